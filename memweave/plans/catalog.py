@@ -29,6 +29,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the modules fills REGISTRY.
     from memweave.plans import (  # noqa: F401
+        collection_queries,
         search_queries,
     )
     return REGISTRY
