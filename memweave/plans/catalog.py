@@ -30,6 +30,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     # Importing the modules fills REGISTRY.
     from memweave.plans import (  # noqa: F401
         collection_queries,
+        text_queries,
         search_queries,
     )
     return REGISTRY
