@@ -31,6 +31,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
     from memweave.plans import (  # noqa: F401
         collection_queries,
         text_queries,
+        ingest_queries,
         search_queries,
     )
     return REGISTRY

@@ -61,44 +61,49 @@ def k6_over_budget(spark, sf_dir):
     return docs.withColumn("over_budget", K.over_budget("n_tokens", 2048))
 
 
-def sublines_sql(L: int) -> str:
+def sublines_sql(L: int, p: str = "") -> str:
     return f"""
-raw AS (
+{p}raw AS (
   SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
-wl AS (SELECT doc_id, pos, regexp_extract_all(line, '{WORD_RE2}') AS ws FROM raw),
-subs AS (
-  SELECT doc_id, pos, unnest(range(CAST(ceil(len(ws) / {L}) AS BIGINT))) AS sub, ws FROM wl WHERE len(ws) > 0),
-sublines AS (
+{p}wl AS (SELECT doc_id, pos, regexp_extract_all(line, '{WORD_RE2}') AS ws FROM {p}raw),
+{p}subs AS (
+  SELECT doc_id, pos, unnest(range(CAST(ceil(len(ws) / {L}) AS BIGINT))) AS sub, ws FROM {p}wl WHERE len(ws) > 0),
+{p}sublines AS (
   SELECT doc_id, pos, sub, array_to_string(ws[sub * {L} + 1 : sub * {L} + {L}], ' ') AS line,
          least({L}, len(ws) - sub * {L}) AS n
-  FROM subs)"""
+  FROM {p}subs)"""
 
 
-def chunks_sql(L: int, P: int, O: int) -> str:
+def chunk_ctes(L: int, P: int, O: int, p: str = "") -> str:
+    """CTEs ending in ``{p}chunks(doc_id, part_no, text, n_tokens, n_lines)``; needs WITH RECURSIVE."""
     B = P - O
-    return f"""WITH RECURSIVE {sublines_sql(L)},
-ordered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, sub) AS ord FROM sublines),
-seq AS (
-  SELECT doc_id, ord, n AS cur, 0 AS par FROM ordered WHERE ord = 1
+    return f"""{sublines_sql(L, p)},
+{p}ordered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, sub) AS ord FROM {p}sublines),
+{p}seq AS (
+  SELECT doc_id, ord, n AS cur, 0 AS par FROM {p}ordered WHERE ord = 1
   UNION ALL
   SELECT o.doc_id, o.ord,
          CASE WHEN s.cur > 0 AND s.cur + o.n > {B} THEN o.n ELSE s.cur + o.n END,
          CASE WHEN s.cur > 0 AND s.cur + o.n > {B} THEN s.par + 1 ELSE s.par END
-  FROM seq s JOIN ordered o ON o.doc_id = s.doc_id AND o.ord = s.ord + 1),
-par AS (SELECT o.doc_id, o.ord, s.par, o.line, o.n FROM seq s JOIN ordered o USING (doc_id, ord)),
-npar AS (SELECT doc_id, max(par) AS maxp FROM par GROUP BY doc_id),
-suffix AS (
+  FROM {p}seq s JOIN {p}ordered o ON o.doc_id = s.doc_id AND o.ord = s.ord + 1),
+{p}par AS (SELECT o.doc_id, o.ord, s.par, o.line, o.n FROM {p}seq s JOIN {p}ordered o USING (doc_id, ord)),
+{p}npar AS (SELECT doc_id, max(par) AS maxp FROM {p}par GROUP BY doc_id),
+{p}suffix AS (
   SELECT *, sum(n) OVER (PARTITION BY doc_id, par ORDER BY ord DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS suf
-  FROM par),
-ov AS (
-  SELECT s.doc_id, s.par + 1 AS par, s.ord, s.line, s.n FROM suffix s JOIN npar USING (doc_id)
-  WHERE {O} > 0 AND s.suf <= {O} AND s.par < npar.maxp),
-allp AS (SELECT doc_id, par, ord, line, n FROM par UNION ALL SELECT doc_id, par, ord, line, n FROM ov),
-chunks AS (
+  FROM {p}par),
+{p}ov AS (
+  SELECT s.doc_id, s.par + 1 AS par, s.ord, s.line, s.n FROM {p}suffix s JOIN {p}npar USING (doc_id)
+  WHERE {O} > 0 AND s.suf <= {O} AND s.par < {p}npar.maxp),
+{p}allp AS (SELECT doc_id, par, ord, line, n FROM {p}par UNION ALL SELECT doc_id, par, ord, line, n FROM {p}ov),
+{p}chunks AS (
   SELECT doc_id, par AS part_no, string_agg(line, chr(10) ORDER BY ord) AS text,
          sum(n) AS n_tokens, count(*) AS n_lines
-  FROM allp GROUP BY doc_id, par)"""
+  FROM {p}allp GROUP BY doc_id, par)"""
+
+
+def chunks_sql(L: int, P: int, O: int) -> str:
+    return "WITH RECURSIVE " + chunk_ctes(L, P, O)
 
 
 @register("c1_split_lines", f"""
