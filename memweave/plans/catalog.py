@@ -32,6 +32,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
         collection_queries,
         text_queries,
         ingest_queries,
+        render_chat_queries,
         search_queries,
     )
     return REGISTRY
