@@ -118,6 +118,9 @@ def _batch_topk(scores: np.ndarray, keys: np.ndarray, k: int, higher: bool):
     s = scores if higher else -scores
     valid = ~np.isnan(s)
     n = s.shape[1]
+    if k is None:
+        qi, ni = np.nonzero(valid)
+        return qi, ni, scores[qi, ni]
     if n > k:
         filled = np.where(valid, s, -np.inf)
         kth = np.partition(filled, n - k, axis=1)[:, n - k]
@@ -170,6 +173,8 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
                  max_broadcast_bytes: int = DEFAULT_QUERY_BROADCAST_BYTES) -> DataFrame:
     """N3/N4/N5 for a table of queries: best ``top_k`` records per query.
 
+    ``top_k=None`` (or negative) keeps every record above the floor.
+
     ``queries`` has ``qid_col``, ``query_vector_col`` and optional ``match_cols``
     (e.g. ``collection``): a query only scores records with equal match values.
     Output: the query id, the record columns (vector only if asked) and ``score``.
@@ -185,7 +190,8 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
                           + [rec_fields[c] for c in out_cols]
                           + [T.StructField("score", T.DoubleType(), True)])
     spark = records.sparkSession
-    if top_k <= 0:
+    unlimited = top_k is None or top_k < 0
+    if not unlimited and top_k <= 0:
         return spark.createDataFrame([], schema)
 
     qsel = queries.select(qid_col, query_vector_col, *match_cols)
@@ -204,12 +210,14 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
 
     candidates = None
     for qb in blocks:
-        part = _score_block(records, qb, top_k=top_k, min_relevance=min_relevance, policy=policy, metric=metric,
+        part = _score_block(records, qb, top_k=None if unlimited else top_k, min_relevance=min_relevance, policy=policy, metric=metric,
                             higher=higher, qid_col=qid_col, query_vector_col=query_vector_col,
                             match_cols=match_cols, key_col=key_col, vector_col=vector_col, dim=dim,
                             out_cols=out_cols, schema=schema)
         candidates = part if candidates is None else candidates.unionByName(part)
 
+    if unlimited:
+        return candidates
     order = F.col("score").desc() if higher else F.col("score").asc()
     w = Window.partitionBy(qid_col).orderBy(order, F.col(key_col).asc())
     return (candidates.withColumn("_rn", F.row_number().over(w))
@@ -310,3 +318,42 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
             .filter((F.col("rank") > offset) & (F.col("rank") <= offset + count)))
     snippets = docs.select(doc_id_col, F.substring(F.col(text_col), 1, SNIPPET_CHARS).alias("snippet"))
     return page.join(snippets, doc_id_col)
+
+
+# ---------------------------------------------------------------------------
+# Memory search and grounding
+# ---------------------------------------------------------------------------
+
+def search_memory(records: DataFrame, queries: DataFrame, *, embedder, filters=None, min_relevance: float = 0.0,
+                  limit: int = -1, qid_col: str = "qid", query_col: str = "query", tags_col: str = "tags",
+                  key_col: str = "key", vector_col: str = "embedding") -> DataFrame:
+    """Embed each query text, keep records matching any tag filter, rank by cosine.
+
+    ``filters`` is a list of ``{tag: value or [values]}``: OR across filters,
+    AND inside one. ``limit=-1`` means no limit. In-memory floor (``>=``).
+    """
+    from memweave.functions.filters import tag_filters
+
+    qv = queries.select(qid_col, embedder(F.col(query_col)).alias("query_vector"))
+    recs = records.filter(tag_filters(F.col(tags_col), filters or []))
+    return nearest_many(recs, qv, top_k=None if limit < 0 else limit, min_relevance=min_relevance,
+                        policy="memory", qid_col=qid_col, key_col=key_col, vector_col=vector_col)
+
+
+def grounding(hits: DataFrame, *, token_budget: int, qid_col: str = "qid", key_col: str = "key",
+              text_col: str = "text", tokens_col: str = "n_tokens") -> DataFrame:
+    """Facts for an answer: best hits first while their running token sum fits the budget.
+
+    Returns one row per query: the kept facts joined by newlines, their count
+    and token total. (Answer generation itself is not part of this library.)
+    """
+    w = (Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col(key_col).asc())
+         .rowsBetween(Window.unboundedPreceding, 0))
+    kept = (hits.withColumn("_run", F.sum(tokens_col).over(w))
+            .withColumn("_rank", F.row_number().over(Window.partitionBy(qid_col)
+                                                       .orderBy(F.col("score").desc(), F.col(key_col).asc())))
+            .filter(F.col("_run") <= token_budget))
+    return kept.groupBy(qid_col).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", text_col))), lambda x: x[text_col]),
+                     "\n").alias("facts"),
+        F.count(F.lit(1)).alias("n_facts"), F.sum(tokens_col).cast("bigint").alias("n_tokens"))

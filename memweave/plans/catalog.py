@@ -33,6 +33,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
         text_queries,
         ingest_queries,
         render_chat_queries,
+        memory_queries,
         search_queries,
     )
     return REGISTRY
