@@ -34,6 +34,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
         ingest_queries,
         render_chat_queries,
         memory_queries,
+        io_queries,
         search_queries,
     )
     return REGISTRY
