@@ -69,7 +69,7 @@ def upsert(state: DataFrame, batch: DataFrame, *, key_cols: Sequence[str] = KEY_
         batch, _ = check_collections(batch, registry, strict=strict)
     latest = latest_per_key(batch, key_cols, seq_col)
     keys = broadcast_if_small(latest.select(*key_cols))
-    kept = state.join(keys, key_cols, "left_anti")
+    kept = state.join(keys, key_cols, "left_anti").select(*state.columns)
     return kept.unionByName(latest.select(*state.columns), allowMissingColumns=True)
 
 
@@ -182,7 +182,8 @@ def batch_counts(batch: DataFrame, *, size: int = MAX_BATCH_SIZE, group_cols: Se
 
 def remove_keys(state: DataFrame, keys: DataFrame, *, key_cols: Sequence[str] = ("key",)) -> DataFrame:
     """Drop rows whose key is listed; unknown keys are no-ops."""
-    return state.join(broadcast_if_small(keys.select(*key_cols).distinct()), list(key_cols), "left_anti")
+    out = state.join(broadcast_if_small(keys.select(*key_cols).distinct()), list(key_cols), "left_anti")
+    return out.select(*state.columns)
 
 
 def remove_where(state: DataFrame, pred: Column | Mapping) -> DataFrame:
@@ -194,7 +195,7 @@ def remove_where(state: DataFrame, pred: Column | Mapping) -> DataFrame:
 def remove_documents(state: DataFrame, document_ids: DataFrame, *, id_col: str = "document_id") -> DataFrame:
     """U8: drop every record of the listed documents."""
     ids = broadcast_if_small(document_ids.select(F.col(id_col).alias("document_id")).distinct())
-    return state.join(ids, "document_id", "left_anti")
+    return state.join(ids, "document_id", "left_anti").select(*state.columns)
 
 
 def clear_namespace(state: DataFrame, namespace: str) -> DataFrame:
@@ -262,13 +263,13 @@ def drop_collections(registry: DataFrame, names: DataFrame, *, strict: bool = Tr
         missing = n.join(registry.select("name"), "name", "left_anti").count()
         if missing:
             raise CollectionError(f"Could not delete {missing} collection(s): not found")
-    return registry.join(broadcast_if_small(n), "name", "left_anti")
+    return registry.join(broadcast_if_small(n), "name", "left_anti").select(*registry.columns)
 
 
 def drop_records_of(state: DataFrame, names: DataFrame, *, name_col: str = "name") -> DataFrame:
     """Records of dropped collections go with them."""
     n = broadcast_if_small(names.select(F.col(name_col).alias("collection")).distinct())
-    return state.join(n, "collection", "left_anti")
+    return state.join(n, "collection", "left_anti").select(*state.columns)
 
 
 # ---------------------------------------------------------------------------
