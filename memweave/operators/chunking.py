@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from memweave.functions.arrays import empty, let, sum_ints
+from memweave.functions.parallel import spread
 from memweave.operators.tokens import PRETOKEN_PATTERN, words
 
 CHUNK_MODES = ("whitespace", "pretoken")
@@ -202,7 +203,7 @@ def split_lines(docs: DataFrame, *, max_tokens_per_line: int, mode: str = "white
     if max_tokens_per_line <= 0:
         raise ValueError("max_tokens_per_line must be > 0")
     parts = sub_lines(F.col(text_col), max_tokens_per_line, mode, markdown)
-    return (docs.select(id_col, F.explode(parts).alias("p"))
+    return (spread(docs, id_col).select(id_col, F.explode(parts).alias("p"))
             .select(id_col, "p.pos", "p.sub", "p.line", "p.n_tokens"))
 
 
@@ -225,7 +226,7 @@ def chunk_documents(docs: DataFrame, *, max_tokens_per_line: int, max_tokens_per
         chunks = F.when(markdown, build(True)).otherwise(build(False))
     else:
         chunks = build(bool(markdown))
-    return (docs.select(id_col, *keep_cols, F.explode(chunks).alias("c"))
+    return (spread(docs, id_col).select(id_col, *keep_cols, F.explode(chunks).alias("c"))
             .select(id_col, *keep_cols, "c.part_no", "c.text", "c.n_tokens", "c.n_lines"))
 
 

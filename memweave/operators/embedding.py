@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from memweave.functions.parallel import spread
 from memweave.functions.sizing import broadcast_if_small
 from memweave.operators.ingest import (EMBEDDING_EXTENSION, MIME_EMBEDDING, PARTITIONABLE_MIME,
                                        TYPE_EMBEDDING, TYPE_SYNTHETIC_DATA, TYPE_TEXT_PARTITION)
@@ -66,7 +67,7 @@ def embed(df: DataFrame, *, embedder: Embedder | None = None, text_col: str = "t
     """
     embedder = embedder or hashed_embedder()
     v = embedder(F.col(text_col))
-    out = df.withColumn(out_col, v)
+    out = spread(df).withColumn(out_col, v)
     bad = F.col(out_col).isNull() | (F.size(out_col) == 0)
     if strict:
         out = out.filter(F.when(bad, F.raise_error(F.lit("embedding generator returned no vector"))).otherwise(F.lit(True)))
@@ -120,20 +121,21 @@ def mark_processed(artifacts: DataFrame, step: str) -> DataFrame:
     return artifacts.select("artifact_id", F.lit(step).alias("step"))
 
 
-def embed_jobs(jobs: DataFrame, *, embedders: dict[str, Embedder] | None = None, stamp: str) -> DataFrame:
+def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
+               embedders: dict[str, Embedder] | None = None, stamp: str) -> DataFrame:
     """E5 + E6: embed each distinct text once per generator, join back, build embedding rows.
 
-    ``embedders`` maps generator name to embedder; generators without one use
-    the hashed default of their ``dim``. ``stamp`` is the run time (a parameter,
-    so reruns are reproducible).
+    ``generators`` is the configuration the jobs were expanded with;
+    ``embedders`` maps generator name to embedder, and generators without one
+    use the hashed default of their ``dim``. ``stamp`` is the run time (a
+    parameter, so reruns are reproducible).
     """
     embedders = embedders or {}
-    gens = [r["generator"] for r in jobs.select("generator", "dim").distinct().collect()]  # config-sized
     out = None
-    for gen in gens:
-        dim_row = jobs.filter(F.col("generator") == gen).select("dim").first()
-        emb = embedders.get(gen) or hashed_embedder(int(dim_row["dim"]))
+    for _cls, gen, dim in generators:
+        emb = embedders.get(gen) or hashed_embedder(int(dim))
         mine = jobs.filter(F.col("generator") == gen)
+        # E5: one embedding per distinct text (SHA-256), joined back to every job.
         distinct_texts = mine.select("sha256", "text").dropDuplicates(["sha256"])
         vectors = embed(distinct_texts, embedder=emb).select("sha256", "embedding")
         rows = mine.join(vectors, "sha256")

@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from memweave.functions.parallel import spread
 from memweave.operators.chunking import chunk_documents, short_id
 
 # --- fixed values: MIME types, artifact types and file names of the pipeline --
@@ -91,7 +92,7 @@ def import_web_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     document_id = F.col(id_col).cast("string")
     url_file = short_id(document_id, F.lit(WEB_FILE_NAME))
     text = html_to_text(F.col(html_col))
-    return pages.select(
+    return spread(pages, id_col).select(
         document_id.alias("document_id"), url_file.alias("file_id"),
         short_id(url_file, F.lit(TYPE_EXTRACTED_TEXT)).alias("artifact_id"),
         url_file.alias("parent_id"), F.lit(None).cast("string").alias("source_partition_id"),

@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from memweave.functions import vectors as V
 from memweave.functions.filters import equality_filter
+from memweave.functions.parallel import spread
 from memweave.functions.sizing import broadcast_if_small
 
 SCORE_DIGITS = 6
@@ -308,11 +309,16 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
         raise ValueError("offset must be >= 0")
     qterms = broadcast_if_small(
         queries.select(qid_col, F.explode(F.array_distinct(terms(F.col(query_col)))).alias("term")))
-    # Term occurrences meet the (broadcast) query terms inside the scan stage;
-    # only matches reach the shuffle, already partially aggregated per task.
-    dterms = docs.select(doc_id_col, F.explode(terms(F.col(text_col))).alias("term"))
-    hits = (dterms.join(qterms, "term")
-            .groupBy(qid_col, doc_id_col).agg(F.count(F.lit(1)).alias("score")))
+    vocab = qterms.select("term").distinct()
+    # Term occurrences are first cut to the query vocabulary (broadcast
+    # semi-join inside the scan stage) and counted per (document, term), so
+    # a common word is joined to its queries once per document, not once per
+    # occurrence.
+    tf = (spread(docs, doc_id_col).select(doc_id_col, F.explode(terms(F.col(text_col))).alias("term"))
+          .join(F.broadcast(vocab), "term", "left_semi")
+          .groupBy(doc_id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    hits = (tf.join(qterms, "term")
+            .groupBy(qid_col, doc_id_col).agg(F.sum("tf").alias("score")))
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col(doc_id_col).asc())
     page = (hits.withColumn("rank", F.row_number().over(w))
             .filter((F.col("rank") > offset) & (F.col("rank") <= offset + count)))

@@ -12,6 +12,7 @@ from memweave.operators import collections as C
 from memweave.operators import embedding as E
 from memweave.operators import ingest as I
 from memweave.operators import records as R
+from memweave.session import ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -41,12 +42,21 @@ def import_files(documents: DataFrame | None = None, pages: DataFrame | None = N
     return out
 
 
-def partitions(files: DataFrame, opts: IngestOptions) -> DataFrame:
-    """Gate (C5) and partition (C1-C4, C6, C7); returns chunk artifacts."""
+def partitions(files: DataFrame, opts: IngestOptions, *, materialize: bool = False) -> DataFrame:
+    """Gate (C5) and partition (C1-C4, C6, C7); returns chunk artifacts.
+
+    With ``materialize`` the partitions are written once to the shared
+    checkpoint folder (as the pipeline writes partition files to storage), so
+    the embedding stage reads them instead of re-chunking per generator.
+    """
     accepted, _rejected = I.partition_gate(files)
-    return I.partition_artifacts(accepted, max_tokens_per_line=opts.max_tokens_per_line,
-                                 max_tokens_per_paragraph=opts.max_tokens_per_paragraph,
-                                 overlap_tokens=opts.overlap_tokens, mode=opts.count_mode)
+    parts = I.partition_artifacts(accepted, max_tokens_per_line=opts.max_tokens_per_line,
+                                  max_tokens_per_paragraph=opts.max_tokens_per_paragraph,
+                                  overlap_tokens=opts.overlap_tokens, mode=opts.count_mode)
+    if materialize:
+        ensure_checkpoint_dir(parts.sparkSession)
+        parts = parts.checkpoint(eager=True)
+    return parts
 
 
 def embeddings(parts: DataFrame, opts: IngestOptions, existing: DataFrame | None = None) -> DataFrame:
@@ -54,7 +64,7 @@ def embeddings(parts: DataFrame, opts: IngestOptions, existing: DataFrame | None
     jobs = E.with_generators(E.embeddable(parts), opts.generators)
     if existing is not None:
         jobs = E.pending(jobs, existing)
-    return E.embed_jobs(jobs, embedders=opts.embedders, stamp=opts.stamp)
+    return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp)
 
 
 def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
@@ -66,9 +76,13 @@ def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
 
 def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> DataFrame:
     """Chunks -> embeddings -> records -> purge stale -> upsert. Returns the new state."""
-    new = records(embeddings(partitions(files, opts), opts), opts)
+    new = records(embeddings(partitions(files, opts, materialize=True), opts), opts)
     if state is None:
         return new
+    # The run's records feed both the purge and the upsert: write them once to
+    # the shared checkpoint folder instead of recomputing chunks and vectors.
+    ensure_checkpoint_dir(new.sparkSession)
+    new = new.checkpoint(eager=True)
     stale = R.stale_records(state, new).select("collection", "namespace", "key")
     kept = state.join(stale, ["collection", "namespace", "key"], "left_anti")
     # Record keys are unique within a run, so every row carries the same sequence number.

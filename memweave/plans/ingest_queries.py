@@ -191,7 +191,7 @@ SELECT document_id, part_no, generator, {_sid("part_id", "provider", "generator"
        '{STAMP}' AS timestamp
 FROM jobs""")
 def e6_embedding_rows(spark, sf_dir):
-    rows = E.embed_jobs(_jobs(spark, sf_dir), stamp=STAMP)
+    rows = E.embed_jobs(_jobs(spark, sf_dir), GENERATORS, stamp=STAMP)
     return rows.select("document_id", "part_no", "generator", "embedding_id", "embedding_name", "vector_size",
                        "source_partition_id", "timestamp")
 

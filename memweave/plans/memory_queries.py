@@ -22,7 +22,7 @@ FILTERS_SQL = "(lang = 'en' OR source = 'src1')"
 
 def memory_records(spark, sf_dir):
     files = P.import_files(load(spark, sf_dir, "documents"))
-    return P.records(P.embeddings(P.partitions(files, OPTS64), OPTS64), OPTS64)
+    return P.records(P.embeddings(P.partitions(files, OPTS64, materialize=True), OPTS64), OPTS64)
 
 
 def _queries(spark, sf_dir):

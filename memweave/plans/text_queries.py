@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from memweave.operators import chunking as CH
 from memweave.operators import tokens as K
+from memweave.functions.parallel import spread
 from memweave.plans.catalog import register
 from memweave.sources.tables import load
 
@@ -35,7 +36,7 @@ WITH {PRETOKENS_SQL}
 SELECT d.doc_id, coalesce(t.n, 0) AS n_pretokens, coalesce(t.n_space, 0) AS n_space_led
 FROM documents d LEFT JOIN tok_counts t USING (doc_id)""")
 def k1_pretokens(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents"), "doc_id")
     toks = K.pretokens("text")
     return docs.select("doc_id", F.size(toks).cast("bigint").alias("n_pretokens"),
                        F.size(F.filter(toks, lambda t: t.startswith(" "))).cast("bigint").alias("n_space_led"))
@@ -47,7 +48,7 @@ SELECT d.doc_id, CAST(len(regexp_extract_all(coalesce(d.text, ''), '{WORD_RE2}')
        coalesce(t.n, 0) AS n_pretoken
 FROM documents d LEFT JOIN tok_counts t USING (doc_id)""")
 def k5_token_counts(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents"), "doc_id")
     return docs.select("doc_id", K.count_tokens("text", "whitespace").cast("bigint").alias("n_whitespace"),
                        K.count_tokens("text", "pretoken").cast("bigint").alias("n_pretoken"))
 
@@ -57,7 +58,8 @@ WITH {PRETOKENS_SQL}
 SELECT d.doc_id, coalesce(t.n, 0) AS n_tokens, coalesce(t.n, 0) > 2048 AS over_budget
 FROM documents d LEFT JOIN tok_counts t USING (doc_id)""")
 def k6_over_budget(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents").select("doc_id", K.count_tokens("text").cast("bigint").alias("n_tokens"))
+    docs = spread(load(spark, sf_dir, "documents"), "doc_id").select(
+        "doc_id", K.count_tokens("text").cast("bigint").alias("n_tokens"))
     return docs.withColumn("over_budget", K.over_budget("n_tokens", 2048))
 
 
