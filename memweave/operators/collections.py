@@ -59,15 +59,17 @@ def check_collections(batch: DataFrame, registry: DataFrame, *, strict: bool = T
 
 
 def upsert(state: DataFrame, batch: DataFrame, *, key_cols: Sequence[str] = KEY_COLS, seq_col: str = "seq",
-           registry: DataFrame | None = None, strict: bool = True) -> DataFrame:
+           registry: DataFrame | None = None, strict: bool = True, dedupe: bool = True) -> DataFrame:
     """Replace whole rows by key; new keys are added.
 
     Result = (state without the batch keys) union (latest batch row per key).
+    ``dedupe=False`` skips the last-write-wins window for batches whose keys
+    are unique by construction (e.g. one record per chunk and generator).
     """
     key_cols = list(key_cols)
     if registry is not None:
         batch, _ = check_collections(batch, registry, strict=strict)
-    latest = latest_per_key(batch, key_cols, seq_col)
+    latest = latest_per_key(batch, key_cols, seq_col) if dedupe else batch
     keys = broadcast_if_small(latest.select(*key_cols))
     kept = state.join(keys, key_cols, "left_anti").select(*state.columns)
     return kept.unionByName(latest.select(*state.columns), allowMissingColumns=True)

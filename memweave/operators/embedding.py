@@ -131,15 +131,21 @@ def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
     parameter, so reruns are reproducible).
     """
     embedders = embedders or {}
-    out = None
-    for _cls, gen, dim in generators:
+    # E5: every distinct text (by SHA-256) is embedded once per generator; one
+    # shuffle de-duplicates for all generators and one join brings the vectors back.
+    distinct_texts = spread(jobs.select("sha256", "text").dropDuplicates(["sha256"]))
+    vec_cols = []
+    for i, (_cls, gen, dim) in enumerate(generators):
         emb = embedders.get(gen) or hashed_embedder(int(dim))
-        mine = jobs.filter(F.col("generator") == gen)
-        # E5: one embedding per distinct text (SHA-256), joined back to every job.
-        distinct_texts = mine.select("sha256", "text").dropDuplicates(["sha256"])
-        vectors = embed(distinct_texts, embedder=emb).select("sha256", "embedding")
-        rows = mine.join(vectors, "sha256")
-        out = rows if out is None else out.unionByName(rows)
+        distinct_texts = distinct_texts.withColumn(f"_v{i}", emb(F.col("text")))
+        vec_cols.append((gen, f"_v{i}"))
+    vectors = distinct_texts.drop("text")
+    pick = None
+    for gen, c in vec_cols:
+        pick = F.when(F.col("generator") == gen, F.col(c)) if pick is None else pick.when(F.col("generator") == gen, F.col(c))
+    out = jobs.join(vectors, "sha256").withColumn("embedding", pick)
+    bad = F.col("embedding").isNull() | (F.size("embedding") == 0)
+    out = out.filter(F.when(bad, F.raise_error(F.lit("embedding generator returned no vector"))).otherwise(F.lit(True)))
     return out.select(
         "document_id", "file_id",
         F.sha2(F.concat_ws("/", "artifact_id", "provider", "generator"), 256).substr(1, 32).alias("embedding_id"),

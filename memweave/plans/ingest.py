@@ -77,16 +77,16 @@ def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
 def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> DataFrame:
     """Chunks -> embeddings -> records -> purge stale -> upsert. Returns the new state."""
     new = records(embeddings(partitions(files, opts, materialize=True), opts), opts)
-    if state is None:
-        return new
     # The run's records feed both the purge and the upsert: write them once to
     # the shared checkpoint folder instead of recomputing chunks and vectors.
     ensure_checkpoint_dir(new.sparkSession)
     new = new.checkpoint(eager=True)
+    if state is None:
+        return new
     stale = R.stale_records(state, new).select("collection", "namespace", "key")
     kept = state.join(stale, ["collection", "namespace", "key"], "left_anti")
     # Record keys are unique within a run, so every row carries the same sequence number.
-    return C.upsert(kept, new.withColumn("seq", F.lit(0)))
+    return C.upsert(kept, new.withColumn("seq", F.lit(0)), dedupe=False)
 
 
 def run_steps(files: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
