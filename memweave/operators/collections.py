@@ -34,9 +34,16 @@ class CollectionError(ValueError):
 # ---------------------------------------------------------------------------
 
 def latest_per_key(batch: DataFrame, key_cols: Sequence[str] = KEY_COLS, seq_col: str = "seq") -> DataFrame:
-    """Last write in input order wins for duplicate keys inside a batch."""
-    w = Window.partitionBy(*key_cols).orderBy(F.col(seq_col).desc())
-    return batch.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    """Last write in input order wins for duplicate keys inside a batch.
+
+    An aggregate (``max_by`` on the sequence number) rather than a window: it
+    combines map-side, so a key repeated across a third of the batch still
+    sends one row per task to the shuffle.
+    """
+    key_cols = list(key_cols)
+    rest = [c for c in batch.columns if c not in key_cols]
+    latest = batch.groupBy(*key_cols).agg(F.max_by(F.struct(*rest), F.col(seq_col)).alias("_row"))
+    return latest.select(*key_cols, *[F.col("_row")[c].alias(c) for c in rest]).select(*batch.columns)
 
 
 def check_collections(batch: DataFrame, registry: DataFrame, *, strict: bool = True) -> tuple[DataFrame, DataFrame]:

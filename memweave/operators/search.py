@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from memweave.functions import vectors as V
 from memweave.functions.filters import equality_filter
 from memweave.functions.parallel import spread
-from memweave.functions.sizing import broadcast_if_small
+from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
 
 SCORE_DIGITS = 6
 POLICIES = ("memory", "remote")
@@ -270,7 +270,7 @@ def _score_block(records, qb, *, top_k, min_relevance, policy, metric, higher, q
                     out["score"] = sc
                     yield out
 
-    return records.mapInPandas(score_batches, schema)
+    return spread(records).mapInPandas(score_batches, schema)
 
 
 def rank_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], k: int,
@@ -307,15 +307,17 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
         raise ValueError("count must be between 1 and 10")
     if offset < 0:
         raise ValueError("offset must be >= 0")
-    qterms = broadcast_if_small(
-        queries.select(qid_col, F.explode(F.array_distinct(terms(F.col(query_col)))).alias("term")))
+    qterms = queries.select(qid_col, F.explode(F.array_distinct(terms(F.col(query_col)))).alias("term"))
+    small = qterms.count() <= DEFAULT_BROADCAST_ROWS
     vocab = qterms.select("term").distinct()
+    if small:
+        qterms, vocab = F.broadcast(qterms), F.broadcast(vocab)
     # Term occurrences are first cut to the query vocabulary (broadcast
     # semi-join inside the scan stage) and counted per (document, term), so
     # a common word is joined to its queries once per document, not once per
     # occurrence.
     tf = (spread(docs, doc_id_col).select(doc_id_col, F.explode(terms(F.col(text_col))).alias("term"))
-          .join(F.broadcast(vocab), "term", "left_semi")
+          .join(vocab, "term", "left_semi")
           .groupBy(doc_id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
     hits = (tf.join(qterms, "term")
             .groupBy(qid_col, doc_id_col).agg(F.sum("tf").alias("score")))
