@@ -77,12 +77,13 @@ def nearest(records: DataFrame, query_vector: Sequence[float], *, top_k: int, mi
     higher = V.higher_is_better(metric)
     df = _narrow(records, namespace, where)
     df = score_records(df, query_vector, metric=metric, vector_col=vector_col)
-    df = df.filter(_floor_pred(F.col("score"), min_relevance, policy, higher))
-    order = [F.col("score").desc() if higher else F.col("score").asc(), F.col(key_col).asc()]
+    order = [F.col("score").desc_nulls_last() if higher else F.col("score").asc_nulls_last(), F.col(key_col).asc()]
     df = _project(df, vector_col, include_vectors, include_metadata, key_col)
     if top_k <= 0:
         return df.limit(0)
-    return df.orderBy(*order).limit(top_k)
+    # The floor is applied after the top-k: the two commute (NULL scores sort
+    # last), and a filter below the projection would compute the score twice.
+    return df.orderBy(*order).limit(top_k).filter(_floor_pred(F.col("score"), min_relevance, policy, higher))
 
 
 def _narrow(records: DataFrame, namespace: str | None, where) -> DataFrame:
