@@ -128,20 +128,32 @@ def sub_lines(text: Column, max_tokens_per_line: int, mode: str = "whitespace",
 
 
 def _fence_units(lines: Column) -> Column:
-    """Merge each fenced code block (fence to fence) into one element."""
-    init = F.struct(F.lit(False).alias("inside"), _empty("string").alias("out"))
-
-    def step(acc, line):
-        is_fence = line.rlike(FENCE_PATTERN)
-        last = F.size(acc["out"])
-        appended = F.concat(acc["out"], F.array(line))
-        glued = F.concat(F.slice(acc["out"], 1, F.greatest(last - 1, F.lit(0))),
-                         F.array(F.concat_ws("\n", F.get(acc["out"], last - 1), line)))
-        out = F.when(acc["inside"], glued).otherwise(appended)
-        inside = F.when(is_fence, ~acc["inside"]).otherwise(acc["inside"])
-        return F.struct(inside.alias("inside"), out.alias("out"))
-
-    return F.aggregate(lines, init, step, lambda acc: acc["out"])
+    """Merge each fenced code block (opening fence to closing fence) into one element.
+
+    A line starts a new unit unless an odd number of fence lines precede it
+    (then it lies inside an open block or closes it). Fence positions are
+    found once, so the cost is lines x fences, not lines squared.
+    """
+    def with_lines(ls):
+        n = F.size(ls)
+        fence_pos = F.filter(F.transform(ls, lambda l, i: F.when(l.rlike(FENCE_PATTERN), i).otherwise(F.lit(-1))),
+                             lambda x: x >= 0)
+
+        def with_fences(fp):
+            starts = F.filter(F.sequence(F.lit(0), n - 1),
+                              lambda i: F.size(F.filter(fp, lambda p: p < i)) % 2 == 0)
+
+            def with_starts(st):
+                def unit(g):
+                    b0, bl = _group_bounds(st, n, g)
+                    return F.array_join(F.slice(ls, b0 + 1, bl), "\n")
+                return _groups(st, unit)
+
+            return let(starts, with_starts)
+
+        return let(fence_pos, with_fences)
+
+    return let(lines, with_lines)
 
 
 CHUNK_TYPE = "array<struct<part_no:int,text:string,n_tokens:int,n_lines:int>>"

@@ -308,3 +308,34 @@ def p3_full_ingest(spark, sf_dir):
                         F.size("embedding").cast("int").alias("vector_size"),
                         F.sha2(F.col("payload.text"), 256).alias("text_sha256"),
                         F.col("payload.last_update").alias("last_update"))
+
+
+@register("e2_embeddable", BASE + """
+SELECT document_id, count(*) AS n_embeddable FROM parts GROUP BY document_id""")
+def e2_embeddable(spark, sf_dir):
+    files = P.import_files(_docs(spark, sf_dir))
+    parts = _parts(spark, sf_dir)
+    cols = ["document_id", "artifact_type", "mime_type"]
+    emb = parts.select("document_id", F.lit(I.TYPE_EMBEDDING).alias("artifact_type"),
+                       F.lit(I.MIME_EMBEDDING).alias("mime_type"))
+    arts = files.select(*cols).unionByName(parts.select(*cols)).unionByName(emb)
+    return E.embeddable(arts).groupBy("document_id").agg(F.count(F.lit(1)).alias("n_embeddable"))
+
+
+@register("p2_import_steps", BASE + """
+SELECT document_id, part_no, CAST(n_tokens AS INTEGER) AS n_tokens, sha256 FROM parts""")
+def p2_import_steps(spark, sf_dir):
+    steps = [lambda df: I.partition_gate(df)[0],
+             lambda df: I.partition_artifacts(df, max_tokens_per_line=LINE_LIMIT,
+                                              max_tokens_per_paragraph=PARAGRAPH_LIMIT, overlap_tokens=OVERLAP)]
+    out = P.run_steps(P.import_files(_docs(spark, sf_dir)), steps)
+    return out.select("document_id", "part_no", "n_tokens", "sha256")
+
+
+@register("b3_save_embeddings", BASE + "," + JOBS_CTE + """
+SELECT document_id, generator, count(*) AS n_records, CAST(min(dim) AS INTEGER) AS vector_size FROM jobs
+GROUP BY document_id, generator""")
+def b3_save_embeddings(spark, sf_dir):
+    recs = _records(spark, sf_dir)
+    return recs.groupBy("document_id", F.col("namespace").alias("generator")).agg(
+        F.count(F.lit(1)).alias("n_records"), F.min(F.size("embedding")).cast("int").alias("vector_size"))

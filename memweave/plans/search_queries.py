@@ -159,3 +159,14 @@ def w1_keyword_page(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     queries = load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
     return search.keyword_search(docs, queries, count=5, offset=5).select("qid", "doc_id", "score", "rank", "snippet")
+
+
+@register("n10_ids_only", with_views("""
+SELECT collection, namespace, key, round(list_cosine_similarity(r.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS score
+FROM records r, (SELECT embedding FROM embeddings WHERE vec_id = 1) q
+WHERE r.collection = 'c1'
+QUALIFY row_number() OVER (ORDER BY score DESC, key) <= 10""", "records"))
+def n10_ids_only(spark, sf_dir):
+    qv = load(spark, sf_dir, "embeddings").filter(F.col("vec_id") == 1).select("embedding").first()["embedding"]
+    rec = records(spark, sf_dir).filter(F.col("collection") == "c1")
+    return search.nearest(rec, qv, top_k=10, min_relevance=None, include_metadata=False)

@@ -63,31 +63,34 @@ def k6_over_budget(spark, sf_dir):
     return docs.withColumn("over_budget", K.over_budget("n_tokens", 2048))
 
 
-def sublines_sql(L: int, p: str = "") -> str:
+def sublines_sql(L: int, p: str = "", src: str = "documents") -> str:
     return f"""
 {p}raw AS (
   SELECT doc_id, unnest(range(len(ls))) AS pos, unnest(ls) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents)),
-{p}wl AS (SELECT doc_id, pos, regexp_extract_all(line, '{WORD_RE2}') AS ws FROM {p}raw),
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM {src})),
+{p}wl AS (SELECT doc_id, pos, regexp_extract_all(line, '{WORD_RE2}') AS ws,
+                 regexp_matches(line, '^#{{1,6}} ') AS heading FROM {p}raw),
 {p}subs AS (
-  SELECT doc_id, pos, unnest(range(CAST(ceil(len(ws) / {L}) AS BIGINT))) AS sub, ws FROM {p}wl WHERE len(ws) > 0),
+  SELECT doc_id, pos, unnest(range(CAST(ceil(len(ws) / {L}) AS BIGINT))) AS sub, ws, heading
+  FROM {p}wl WHERE len(ws) > 0),
 {p}sublines AS (
   SELECT doc_id, pos, sub, array_to_string(ws[sub * {L} + 1 : sub * {L} + {L}], ' ') AS line,
-         least({L}, len(ws) - sub * {L}) AS n
+         least({L}, len(ws) - sub * {L}) AS n, heading AND sub = 0 AS heading
   FROM {p}subs)"""
 
 
-def chunk_ctes(L: int, P: int, O: int, p: str = "") -> str:
+def chunk_ctes(L: int, P: int, O: int, p: str = "", src: str = "documents", markdown: bool = False) -> str:
     """CTEs ending in ``{p}chunks(doc_id, part_no, text, n_tokens, n_lines)``; needs WITH RECURSIVE."""
     B = P - O
-    return f"""{sublines_sql(L, p)},
+    brk = f"(s.cur + o.n > {B} OR o.heading)" if markdown else f"s.cur + o.n > {B}"
+    return f"""{sublines_sql(L, p, src)},
 {p}ordered AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos, sub) AS ord FROM {p}sublines),
 {p}seq AS (
   SELECT doc_id, ord, n AS cur, 0 AS par FROM {p}ordered WHERE ord = 1
   UNION ALL
   SELECT o.doc_id, o.ord,
-         CASE WHEN s.cur > 0 AND s.cur + o.n > {B} THEN o.n ELSE s.cur + o.n END,
-         CASE WHEN s.cur > 0 AND s.cur + o.n > {B} THEN s.par + 1 ELSE s.par END
+         CASE WHEN s.cur > 0 AND {brk} THEN o.n ELSE s.cur + o.n END,
+         CASE WHEN s.cur > 0 AND {brk} THEN s.par + 1 ELSE s.par END
   FROM {p}seq s JOIN {p}ordered o ON o.doc_id = s.doc_id AND o.ord = s.ord + 1),
 {p}par AS (SELECT o.doc_id, o.ord, s.par, o.line, o.n FROM {p}seq s JOIN {p}ordered o USING (doc_id, ord)),
 {p}npar AS (SELECT doc_id, max(par) AS maxp FROM {p}par GROUP BY doc_id),
@@ -141,3 +144,60 @@ def c2_pack_paragraphs(spark, sf_dir):
 @register("c3_overlap_chunks", chunks_sql(LINE_LIMIT, PARAGRAPH_LIMIT, OVERLAP) + CHUNK_OUT)
 def c3_overlap_chunks(spark, sf_dir):
     return _chunk_rows(spark, sf_dir, OVERLAP)
+
+
+# --- C4: markdown rule (conversations rendered as markdown, one heading per turn) ---
+
+MD_SQL = """md AS (
+  SELECT conv_id AS doc_id,
+         string_agg('## ' || role || chr(10) || coalesce(text, ''), chr(10) ORDER BY turn) AS text
+  FROM conversations GROUP BY conv_id)"""
+
+
+def markdown_docs(spark, sf_dir):
+    c = load(spark, sf_dir, "conversations")
+    block = F.struct("turn", F.concat(F.lit("## "), F.col("role"), F.lit("\n"), F.coalesce("text", F.lit(""))).alias("b"))
+    return c.groupBy(F.col("conv_id").alias("doc_id")).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(block)), lambda x: x["b"]), "\n").alias("text"))
+
+
+@register("c4_markdown_chunks", "WITH RECURSIVE " + MD_SQL + "," + chunk_ctes(LINE_LIMIT, 120, 0, src="md", markdown=True)
+          + CHUNK_OUT)
+def c4_markdown_chunks(spark, sf_dir):
+    ch = CH.chunk_documents(markdown_docs(spark, sf_dir), max_tokens_per_line=LINE_LIMIT, max_tokens_per_paragraph=120,
+                            overlap_tokens=0, markdown=True)
+    return ch.select(F.col("doc_id").cast("string").alias("document_id"), "part_no",
+                     F.col("n_tokens").cast("bigint").alias("n_tokens"), F.col("n_lines").cast("bigint").alias("n_lines"),
+                     F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
+
+
+@register("c6_skip_empty", chunks_sql(LINE_LIMIT, PARAGRAPH_LIMIT, 0) + """
+SELECT d.doc_id, coalesce(c.n, 0) AS n_chunks
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n FROM chunks GROUP BY doc_id) c USING (doc_id)""")
+def c6_skip_empty(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    ch = CH.chunk_documents(docs, max_tokens_per_line=LINE_LIMIT, max_tokens_per_paragraph=PARAGRAPH_LIMIT)
+    counts = ch.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+    return docs.join(counts, "doc_id", "left").select("doc_id", F.coalesce("n", F.lit(0)).alias("n_chunks"))
+
+
+# --- K2: byte -> symbol classes -------------------------------------------------
+
+def _extended_bytes() -> list[str]:
+    """Hex of the bytes that the byte table maps outside themselves (from its rule)."""
+    from memweave.operators.bpe import bytes_to_unicode
+    return [f"{b:02X}" for b, ch in bytes_to_unicode().items() if ord(ch) != b]
+
+
+@register("k2_byte_symbols", f"""
+SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+       CAST(len(list_filter(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                            lambda h: h IN ({", ".join("'" + h + "'" for h in _extended_bytes())}))) AS BIGINT) AS n_extended
+FROM documents""")
+def k2_byte_symbols(spark, sf_dir):
+    docs = spread(load(spark, sf_dir, "documents"), "doc_id")
+    raw = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    pairs = F.regexp_extract_all(F.hex(raw), F.lit("(..)"), 1)
+    ext = _extended_bytes()
+    return docs.select("doc_id", F.octet_length(raw).cast("bigint").alias("n_bytes"),
+                       F.size(F.filter(pairs, lambda h: h.isin(*ext))).cast("bigint").alias("n_extended"))
