@@ -117,7 +117,12 @@ def classify(state: DataFrame, batch: DataFrame, *, metadata_cols: Sequence[str]
     if "key_fallback" in b.columns:
         b = b.withColumn("key", F.when(F.coalesce(F.col("key"), F.lit("")) != "", F.col("key"))
                          .otherwise(F.col("key_fallback")))
-    s = state.select(*key_cols, s_meta.alias("_state_meta"), F.lit(True).alias("_present"))
+    # The batch is the preserved side of the outer join and cannot be
+    # broadcast; so the state is first cut to the batch's keys with a
+    # broadcast semi-join (a map-side filter, the state is not shuffled).
+    keys = broadcast_if_small(b.select(*key_cols).distinct())
+    hit = state.join(keys, key_cols, "left_semi")
+    s = hit.select(*key_cols, s_meta.alias("_state_meta"), F.lit(True).alias("_present"))
     j = b.join(s, key_cols, "left")
     op = (F.when(F.col("_present").isNull(), F.lit("upsert"))
           .when(F.col("_meta").isNull() | F.col("_state_meta").isNull(), F.lit("update"))
