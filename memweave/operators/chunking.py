@@ -245,15 +245,3 @@ def chunk_documents(docs: DataFrame, *, max_tokens_per_line: int, max_tokens_per
 def short_id(*parts: Column) -> Column:
     """Deterministic 32-hex id (replaces random GUIDs so reruns are idempotent)."""
     return F.substring(F.sha2(F.concat_ws("/", *parts), 256), 1, 32)
-
-
-def describe_chunks(chunks: DataFrame, *, document_col: str = "document_id", file_id_col: str = "file_id",
-                    file_name_col: str = "file_name") -> DataFrame:
-    """Partition descriptors: name by index, size, tokens, SHA-256, parent id."""
-    return chunks.select(
-        "*",
-        short_id(F.col(file_id_col), F.col("part_no").cast("string")).alias("part_id"),
-        F.concat(F.col(file_name_col), F.lit(".partition."), F.col("part_no").cast("string"), F.lit(".txt")).alias("part_name"),
-        F.length("text").cast("int").alias("n_chars"),
-        F.sha2(F.col("text"), 256).alias("sha256"),
-    )

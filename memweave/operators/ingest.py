@@ -26,7 +26,6 @@ MIME_MARKDOWN = "text/markdown"
 MIME_HTML = "text/html"
 MIME_WEB_PAGE_URL = "text/x-uri"
 MIME_EMBEDDING = "float[]"
-TYPE_UNDEFINED = "undefined"
 TYPE_EXTRACTED_TEXT = "extracted_text"
 TYPE_TEXT_PARTITION = "text_partition"
 TYPE_SYNTHETIC_DATA = "synthetic_data"
@@ -37,8 +36,6 @@ EMBEDDING_EXTENSION = ".text_embedding"
 # ---------------------------------------------------------------------------
 
 PARTITIONABLE_MIME = (MIME_PLAIN_TEXT, MIME_MARKDOWN)
-ARTIFACT_COLS = ("document_id", "file_id", "artifact_id", "parent_id", "source_partition_id", "name", "size",
-                 "mime_type", "artifact_type", "sha256", "tags")
 
 
 def user_tags(cols: Sequence[str]) -> Column:
@@ -60,7 +57,7 @@ def import_text(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         F.lit(TEXT_FILE_NAME).alias("name"), F.length(text_col).cast("int").alias("size"),
         F.lit(MIME_PLAIN_TEXT).alias("mime_type"), F.lit(TYPE_EXTRACTED_TEXT).alias("artifact_type"),
         F.sha2(F.col(text_col), 256).alias("sha256"), user_tags(list(tag_cols)).alias("tags"),
-        F.col(text_col).alias("text"), F.lit("").alias("url"))
+        F.col(text_col).alias("text"), source_url(F.lit(MIME_PLAIN_TEXT), F.lit("")).alias("url"))
 
 
 # Regular expressions for page text (valid in Java and RE2 alike).
@@ -100,7 +97,7 @@ def import_web_pages(pages: DataFrame, *, id_col: str = "page_id", url_col: str
         F.length(text).cast("int").alias("size"), F.lit(MIME_PLAIN_TEXT).alias("mime_type"),
         F.lit(TYPE_EXTRACTED_TEXT).alias("artifact_type"), F.sha2(text, 256).alias("sha256"),
         F.create_map().cast("map<string,array<string>>").alias("tags"),
-        text.alias("text"), F.col(url_col).alias("url"))
+        text.alias("text"), source_url(F.lit(MIME_WEB_PAGE_URL), F.col(url_col)).alias("url"))
 
 
 def source_url(upload_mime: Column, url: Column) -> Column:

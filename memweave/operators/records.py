@@ -14,7 +14,6 @@ TAG_DOCUMENT_ID = "__document_id"
 TAG_FILE_TYPE = "__file_type"
 TAG_FILE_ID = "__file_id"
 TAG_FILE_PART = "__file_part"
-PAYLOAD_FIELDS = ("file", "url", "text", "vector_provider", "vector_generator", "last_update")
 STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 # ---------------------------------------------------------------------------
 
@@ -70,12 +69,6 @@ def partitions_as_embeddings(partitions: DataFrame) -> DataFrame:
         F.lit("").alias("generator"), F.array().cast("array<float>").alias("embedding"))
 
 
-def to_collection(records: DataFrame, *, collection: str, namespace: str = "") -> DataFrame:
-    """Records as rows of a keyed collection (key = record id)."""
-    return records.select(F.lit(collection).alias("collection"), F.lit(namespace).alias("namespace"),
-                          F.col("record_id").alias("key"), "*").drop("record_id")
-
-
 def stale_records(previous: DataFrame, current: DataFrame, *, key_col: str = "key") -> DataFrame:
     """Records of earlier runs of the same documents that the current run no longer produces."""
     docs = broadcast_if_small(current.select("document_id").distinct())

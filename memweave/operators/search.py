@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from memweave.functions import vectors as V
 from memweave.functions.filters import equality_filter
 from memweave.functions.parallel import spread
-from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS, broadcast_if_small
+from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS
 
 SCORE_DIGITS = 6
 POLICIES = ("memory", "remote")

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from memweave.operators import chat as H
 from memweave.operators import render as RD
-from memweave.operators.tokens import WS_CLASS
 from memweave.plans.catalog import register
 from memweave.plans.text_queries import W, WORD_RE2
 from memweave.sources.tables import load

@@ -1,12 +1,12 @@
 """Session helpers.
 
 Library functions never change session settings; only ``build_session`` (used
-by tests and ``bench.py``) does, and only where a value is still unset.
+by tests and ``bench.py``) does. The checkpoint folder is read from the
+session (``spark.checkpoint.dir``) and only set where it is unset.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,11 +57,3 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(path: str) -> bool:
-    return os.path.exists(local_path(path))

@@ -17,7 +17,6 @@ from collections.abc import Iterable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from memweave.sources.files import scan_files
 
