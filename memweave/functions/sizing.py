@@ -12,7 +12,16 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the row count is within ``max_rows``."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
+                       known_small: bool | None = None) -> DataFrame:
+    """Hint a broadcast only when the row count is within ``max_rows``.
+
+    ``known_small`` passes a verdict already established by the caller (a
+    count of the table this one derives from), saving another count job.
+    """
+    small = known_small if known_small is not None else df.count() <= max_rows
+    return F.broadcast(df) if small else df
+
+
+def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    return df.count() <= max_rows

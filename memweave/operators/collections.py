@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from memweave.functions.filters import equality_filter
 from memweave.functions.ordering import dense_index
-from memweave.functions.sizing import broadcast_if_small
+from memweave.functions.sizing import broadcast_if_small, is_small
 
 KEY_COLS = ("collection", "namespace", "key")
 POLICIES = ("memory", "remote")
@@ -66,7 +66,8 @@ def check_collections(batch: DataFrame, registry: DataFrame, *, strict: bool = T
 
 
 def upsert(state: DataFrame, batch: DataFrame, *, key_cols: Sequence[str] = KEY_COLS, seq_col: str = "seq",
-           registry: DataFrame | None = None, strict: bool = True, dedupe: bool = True) -> DataFrame:
+           registry: DataFrame | None = None, strict: bool = True, dedupe: bool = True,
+           batch_small: bool | None = None) -> DataFrame:
     """Replace whole rows by key; new keys are added.
 
     Result = (state without the batch keys) union (latest batch row per key).
@@ -77,7 +78,7 @@ def upsert(state: DataFrame, batch: DataFrame, *, key_cols: Sequence[str] = KEY_
     if registry is not None:
         batch, _ = check_collections(batch, registry, strict=strict)
     latest = latest_per_key(batch, key_cols, seq_col) if dedupe else batch
-    keys = broadcast_if_small(latest.select(*key_cols))
+    keys = broadcast_if_small(latest.select(*key_cols), known_small=batch_small)
     kept = state.join(keys, key_cols, "left_anti").select(*state.columns)
     return kept.unionByName(latest.select(*state.columns), allowMissingColumns=True)
 
@@ -98,7 +99,8 @@ def same_metadata(a: Column, b: Column) -> Column:
 
 
 def classify(state: DataFrame, batch: DataFrame, *, metadata_cols: Sequence[str] | None = None,
-             metadata_col: str | None = None, key_cols: Sequence[str] = KEY_COLS) -> DataFrame:
+             metadata_col: str | None = None, key_cols: Sequence[str] = KEY_COLS,
+             batch_small: bool | None = None) -> DataFrame:
     """Label each batch row ``upsert`` (absent), ``skip`` (same metadata) or ``update``.
 
     Compared against the state before the batch. The vector is not compared:
@@ -120,7 +122,7 @@ def classify(state: DataFrame, batch: DataFrame, *, metadata_cols: Sequence[str]
     # The batch is the preserved side of the outer join and cannot be
     # broadcast; so the state is first cut to the batch's keys with a
     # broadcast semi-join (a map-side filter, the state is not shuffled).
-    keys = broadcast_if_small(b.select(*key_cols).distinct())
+    keys = broadcast_if_small(b.select(*key_cols).distinct(), known_small=batch_small)
     hit = state.join(keys, key_cols, "left_semi")
     s = hit.select(*key_cols, s_meta.alias("_state_meta"), F.lit(True).alias("_present"))
     j = b.join(s, key_cols, "left")
@@ -149,10 +151,11 @@ def classified_upsert(state: DataFrame, batch: DataFrame, *, metadata_cols: Sequ
     ``op`` and ``op_order`` (skips, then upserts, then updates; input order
     inside each), sortable by ``(op_order, seq)``.
     """
-    labelled = classify(state, batch, metadata_cols=metadata_cols, key_cols=key_cols)
+    small = is_small(batch)  # one size check serves both joins below
+    labelled = classify(state, batch, metadata_cols=metadata_cols, key_cols=key_cols, batch_small=small)
     report = labelled.select(*key_cols, seq_col, "op", op_order(F.col("op")).alias("op_order"))
     changes = labelled.filter(F.col("op") != "skip").drop("op")
-    new_state = upsert(state, changes, key_cols=key_cols, seq_col=seq_col)
+    new_state = upsert(state, changes, key_cols=key_cols, seq_col=seq_col, batch_small=small)
     return new_state, report
 
 

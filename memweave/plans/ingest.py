@@ -12,7 +12,7 @@ from memweave.operators import collections as C
 from memweave.operators import embedding as E
 from memweave.operators import ingest as I
 from memweave.operators import records as R
-from memweave.session import ensure_checkpoint_dir
+from memweave.session import materialize as write_once
 
 
 @dataclass(frozen=True)
@@ -54,8 +54,7 @@ def partitions(files: DataFrame, opts: IngestOptions, *, materialize: bool = Fal
                                   max_tokens_per_paragraph=opts.max_tokens_per_paragraph,
                                   overlap_tokens=opts.overlap_tokens, mode=opts.count_mode)
     if materialize:
-        ensure_checkpoint_dir(parts.sparkSession)
-        parts = parts.checkpoint(eager=True)
+        parts = write_once(parts, "partitions")
     return parts
 
 
@@ -79,8 +78,7 @@ def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> Da
     new = records(embeddings(partitions(files, opts, materialize=True), opts), opts)
     # The run's records feed both the purge and the upsert: write them once to
     # the shared checkpoint folder instead of recomputing chunks and vectors.
-    ensure_checkpoint_dir(new.sparkSession)
-    new = new.checkpoint(eager=True)
+    new = write_once(new, "records")
     if state is None:
         return new
     stale = R.stale_records(state, new).select("collection", "namespace", "key")

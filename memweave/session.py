@@ -57,3 +57,17 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str = "table"):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()`` but computes the plan only once (an
+    eager checkpoint of an unpersisted plan computes it twice: once for the
+    count, once for the files). The folder is shared, so a lost executor
+    does not lose the data.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

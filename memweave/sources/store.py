@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from memweave.functions.sizing import broadcast_if_small
 from memweave.operators import collections as C
-from memweave.session import ensure_checkpoint_dir
+from memweave.session import materialize
 
 PARTITION_COLS = ["collection", "namespace"]
 
@@ -44,8 +44,7 @@ def _rewrite(spark: SparkSession, path: str, new_rows: DataFrame, parts: list[tu
     The new rows are materialised to the shared checkpoint folder first,
     because they are computed from the partitions being overwritten.
     """
-    ensure_checkpoint_dir(spark)
-    staged = new_rows.checkpoint(eager=True)
+    staged = materialize(new_rows, "staged")
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLS).parquet(path))
     present = {(r["collection"], r["namespace"]) for r in staged.select(*PARTITION_COLS).distinct().collect()}
@@ -77,8 +76,7 @@ def apply_classified_upsert(spark: SparkSession, path: str, batch: DataFrame, *,
         return batch.limit(0)
     state = read_state(spark, path).filter(_partition_filter(parts))
     new_state, report = C.classified_upsert(state, batch, metadata_cols=metadata_cols, seq_col=seq_col)
-    ensure_checkpoint_dir(spark)
-    report = report.checkpoint(eager=True)
+    report = materialize(report, "report")
     _rewrite(spark, path, new_state.select(*state.columns), parts)
     return report
 
