@@ -158,7 +158,8 @@ WHERE r.rank > 5 AND r.rank <= 10""")
 def w1_keyword_page(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     queries = load(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
-    return search.keyword_search(docs, queries, count=5, offset=5).select("qid", "doc_id", "score", "rank", "snippet")
+    page = search.keyword_search(docs, queries, count=5, offset=5)
+    return page.select("qid", "doc_id", "score", F.col("rank").cast("bigint").alias("rank"), "snippet")
 
 
 @register("n10_ids_only", with_views("""
