@@ -25,3 +25,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
 
 def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     return df.count() <= max_rows
+
+
+def rows_for_keys(big: DataFrame, keys: DataFrame, key_cols: list[str], *, small: bool) -> DataFrame:
+    """Rows of a large table for a bounded set of keys.
+
+    With ``small`` the keys are broadcast into a semi-join, so the large table
+    is filtered inside its scan stage instead of being shuffled or broadcast.
+    """
+    k = keys.select(*key_cols).distinct()
+    return big.join(F.broadcast(k) if small else k, key_cols, "left_semi")

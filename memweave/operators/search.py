@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from memweave.functions import vectors as V
 from memweave.functions.filters import equality_filter
 from memweave.functions.parallel import spread
-from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS
+from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS, rows_for_keys
 
 SCORE_DIGITS = 6
 POLICIES = ("memory", "remote")
@@ -310,6 +310,8 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
         raise ValueError("offset must be >= 0")
     qterms = queries.select(qid_col, F.explode(F.array_distinct(terms(F.col(query_col)))).alias("term"))
     small = qterms.count() <= DEFAULT_BROADCAST_ROWS
+    # A page holds at most count rows per query.
+    page_small = queries.count() * count <= DEFAULT_BROADCAST_ROWS
     vocab = qterms.select("term").distinct()
     if small:
         qterms, vocab = F.broadcast(qterms), F.broadcast(vocab)
@@ -325,7 +327,8 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col(doc_id_col).asc())
     page = (hits.withColumn("rank", F.row_number().over(w))
             .filter((F.col("rank") > offset) & (F.col("rank") <= offset + count)))
-    snippets = docs.select(doc_id_col, F.substring(F.col(text_col), 1, SNIPPET_CHARS).alias("snippet"))
+    snippets = rows_for_keys(docs, page, [doc_id_col], small=page_small).select(
+        doc_id_col, F.substring(F.col(text_col), 1, SNIPPET_CHARS).alias("snippet"))
     return page.join(snippets, doc_id_col)
 
 
