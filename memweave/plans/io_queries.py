@@ -66,3 +66,35 @@ def p5_stream_usage(spark, sf_dir):
     run_usage_stream(spark, source=sf_dir, glob="conversations.parquet", schema=conv.schema,
                      out_path=f"{base}/usage", checkpoint_path=f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/usage")
+
+
+# --- P4 over the events table: weekly files streamed in time order ---------------
+
+def event_records(spark, sf_dir):
+    """One record per (event type, user): metadata = value and props; later events win."""
+    ev = load(spark, sf_dir, "events")
+    return ev.select(F.col("event_type").alias("collection"), F.lit("").alias("namespace"),
+                     F.col("user_id").cast("string").alias("key"), "value", "props", "ts",
+                     F.col("ts").alias("seq"))
+
+
+@register("p4_event_stream", """
+SELECT event_type AS collection, '' AS namespace, CAST(user_id AS VARCHAR) AS key, value, props
+FROM events
+QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC) = 1""")
+def p4_event_stream(spark, sf_dir):
+    from memweave.operators import collections as C
+
+    base = scratch_dir(spark, "p4e")
+    state_path, source_dir = f"{base}/state", f"{base}/events"
+    recs = event_records(spark, sf_dir).withColumn("_week", F.date_trunc("week", "ts"))
+    # The calendar weeks present are a handful of values; each week arrives as one file.
+    weeks = sorted(r["_week"] for r in recs.select("_week").distinct().collect())
+    first = recs.filter(F.col("_week") == weeks[0]).drop("_week")
+    store.create_state(C.latest_per_key(first).drop("seq"), state_path)
+    for w in weeks[1:]:
+        recs.filter(F.col("_week") == w).drop("_week").coalesce(1).write.mode("append").parquet(source_dir)
+    run_upsert_stream(spark, source_dir=source_dir, schema=first.schema, state_path=state_path,
+                      checkpoint_path=f"{base}/checkpoint", report_path=f"{base}/report",
+                      metadata_cols=["value", "props"])
+    return store.read_state(spark, state_path).select("collection", "namespace", "key", "value", "props")

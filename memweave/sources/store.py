@@ -8,8 +8,11 @@ partition filter reaches the scan as partition pruning.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from memweave.functions.sizing import broadcast_if_small
 from memweave.operators import collections as C
@@ -18,12 +21,53 @@ from memweave.session import materialize
 PARTITION_COLS = ["collection", "namespace"]
 
 
+# Spark writes an empty partition value as the Hive default partition and
+# reads it back as NULL; the default namespace is ''.
+_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+SCHEMA_FILE = "_schema.json"  # ignored by the parquet reader (leading underscore)
+
+
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    p, fs = _fs_path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    p, fs = _fs_path(spark, path)
+    jvm = spark.sparkContext._jvm
+    stream = fs.open(p)
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def read_state(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The store with its partition columns as strings ('' namespace restored).
+
+    The schema comes from the store's schema file, so an emptied store still
+    reads, and partition values such as ``007`` are not type-inferred into numbers.
+    """
+    schema = T.StructType.fromJson(json.loads(_read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")))
+    df = spark.read.schema(schema).parquet(path)
+    return df.withColumn("namespace", F.coalesce(F.col("namespace"), F.lit("")))
 
 
 def create_state(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").partitionBy(*PARTITION_COLS).parquet(path)
+    fields = [f for f in df.schema.fields if f.name not in PARTITION_COLS]
+    schema = T.StructType(fields + [T.StructField(c, T.StringType(), True) for c in PARTITION_COLS])
+    _write_text(df.sparkSession, f"{path.rstrip('/')}/{SCHEMA_FILE}", schema.json())
 
 
 def _touched(batch: DataFrame) -> list[tuple[str, str]]:
@@ -54,7 +98,8 @@ def _rewrite(spark: SparkSession, path: str, new_rows: DataFrame, parts: list[tu
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         for coll, ns in emptied:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/collection={coll}/namespace={ns}")
+            ns_dir = ns if ns != "" else _DEFAULT_PARTITION
+            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/collection={coll}/namespace={ns_dir}")
             p.getFileSystem(conf).delete(p, True)
 
 

@@ -63,3 +63,14 @@ def test_file_sink_and_inventory(spark, tmp_dir):
                                 "path string")
     inv = {r.path: r.exists for r in FS.file_inventory(spark, req, f"{tmp_dir}/out").collect()}
     assert inv["nope"] is False and sum(inv.values()) >= 1
+
+
+def test_default_namespace_and_numeric_names_round_trip(spark, tmp_dir):
+    path = f"{tmp_dir}/state"
+    df = spark.createDataFrame([("007", "", "k1", "en"), ("007", "", "k2", "fr")],
+                               "collection string, namespace string, key string, lang string")
+    store.create_state(df, path)
+    rows = sorted((r.collection, r.namespace, r.key) for r in store.read_state(spark, path).collect())
+    assert rows == [("007", "", "k1"), ("007", "", "k2")]
+    store.apply_delete(spark, path, spark.createDataFrame([("k1",), ("k2",)], "key string"))
+    assert store.read_state(spark, path).count() == 0
