@@ -24,8 +24,10 @@ by one left fold (linear in sub-lines); chunks are built with ``slice``.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from memweave.functions.arrays import empty, let, sum_ints
 from memweave.functions.parallel import spread
@@ -159,54 +161,87 @@ def _fence_units(lines: Column) -> Column:
 CHUNK_TYPE = "array<struct<part_no:int,text:string,n_tokens:int,n_lines:int>>"
 
 
-def paragraphs(parts: Column, max_tokens_per_paragraph: int, overlap_tokens: int,
-               markdown: bool = False) -> Column:
-    """C2 + C3: array<struct<part_no, text, n_tokens, n_lines>> from C1 sub-lines."""
-    budget = max_tokens_per_paragraph - overlap_tokens
+def _build_chunks(counts: Column, texts: Column, starts: Column, total: Column, overlap_tokens: int) -> Column:
+    """Chunk structs from group starts; all arguments must be lambda variables (cheap)."""
+    def overlap_len(g):
+        prev_start, prev_len = _group_bounds(starts, total, g - 1)
+        prev_counts = F.reverse(F.slice(counts, prev_start + 1, prev_len))
+        init = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("stop"))
 
-    def with_parts(ps):
-        total = F.size(ps)
-        cols = F.struct(F.transform(ps, lambda p: p["n_tokens"]).alias("counts"),
-                        F.transform(ps, lambda p: p["line"]).alias("texts"),
-                        F.transform(ps, lambda p: p["heading"]).alias("breaks"))
+        def step(acc, c):
+            stop = acc["stop"] | (acc["s"] + c > overlap_tokens)
+            return F.struct(F.when(stop, acc["s"]).otherwise(acc["s"] + c).alias("s"),
+                            F.when(stop, acc["n"]).otherwise(acc["n"] + 1).alias("n"),
+                            stop.alias("stop"))
+
+        return F.when(g > 0, F.aggregate(prev_counts, init, step, lambda a: a["n"])).otherwise(F.lit(0))
+
+    def chunk(g):
+        start, length = _group_bounds(starts, total, g)
+
+        def with_ov(ov):
+            first = start - ov
+            n_lines = length + ov
+            return F.struct(g.cast("int").alias("part_no"),
+                            F.array_join(F.slice(texts, first + 1, n_lines), "\n").alias("text"),
+                            sum_ints(F.slice(counts, first + 1, n_lines)).alias("n_tokens"),
+                            n_lines.alias("n_lines"))
+
+        return with_ov(F.lit(0)) if overlap_tokens == 0 else let(overlap_len(g), with_ov)
+
+    return _groups(starts, chunk)
 
-        def with_cols(cs):
-            counts, texts = cs["counts"], cs["texts"]
 
-            def with_starts(starts):
-                def overlap_len(g):
-                    prev_start, prev_len = _group_bounds(starts, total, g - 1)
-                    prev_counts = F.reverse(F.slice(counts, prev_start + 1, prev_len))
-                    init = F.struct(F.lit(0).alias("s"), F.lit(0).alias("n"), F.lit(False).alias("stop"))
+def _columns_of(ps: Column) -> Column:
+    return F.struct(F.transform(ps, lambda p: p["n_tokens"]).alias("counts"),
+                    F.transform(ps, lambda p: p["line"]).alias("texts"),
+                    F.transform(ps, lambda p: p["heading"]).alias("breaks"))
 
-                    def step(acc, c):
-                        stop = acc["stop"] | (acc["s"] + c > overlap_tokens)
-                        return F.struct(F.when(stop, acc["s"]).otherwise(acc["s"] + c).alias("s"),
-                                        F.when(stop, acc["n"]).otherwise(acc["n"] + 1).alias("n"),
-                                        stop.alias("stop"))
 
-                    return F.when(g > 0, F.aggregate(prev_counts, init, step, lambda a: a["n"])).otherwise(F.lit(0))
+def paragraphs(parts: Column, max_tokens_per_paragraph: int, overlap_tokens: int,
+               markdown: bool = False, starts: Column | None = None) -> Column:
+    """C2 + C3: array<struct<part_no, text, n_tokens, n_lines>> from C1 sub-lines.
 
-                def chunk(g):
-                    start, length = _group_bounds(starts, total, g)
+    Group starts come from the Catalyst fold, or from ``starts`` when given
+    (the pandas-UDF packer).
+    """
+    budget = max_tokens_per_paragraph - overlap_tokens
 
-                    def with_ov(ov):
-                        first = start - ov
-                        n_lines = length + ov
-                        return F.struct(g.cast("int").alias("part_no"),
-                                        F.array_join(F.slice(texts, first + 1, n_lines), "\n").alias("text"),
-                                        sum_ints(F.slice(counts, first + 1, n_lines)).alias("n_tokens"),
-                                        n_lines.alias("n_lines"))
+    def with_both(b):
+        ps = b["parts"]
+        total = F.size(ps)
 
-                    return with_ov(F.lit(0)) if overlap_tokens == 0 else let(overlap_len(g), with_ov)
+        def with_cols(cs):
+            def with_starts(st):
+                return _build_chunks(cs["counts"], cs["texts"], st, total, overlap_tokens)
+            if starts is not None:
+                return with_starts(b["starts"])
+            return let(greedy_starts(cs["counts"], budget, cs["breaks"] if markdown else None), with_starts)
+
+        return F.when(total > 0, let(_columns_of(ps), with_cols)).otherwise(F.array().cast(CHUNK_TYPE))
 
-                return _groups(starts, chunk)
+    bundle = F.struct(parts.alias("parts"), (starts if starts is not None else F.lit(None)).alias("starts"))
+    return let(bundle, with_both)
 
-            return let(greedy_starts(counts, budget, cs["breaks"] if markdown else None), with_starts)
 
-        return F.when(total > 0, let(cols, with_cols)).otherwise(F.array().cast(CHUNK_TYPE))
+def _greedy_udf(budget: int):
+    """Greedy starts over int arrays in Python: linear in sub-lines, only ints cross the boundary."""
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def greedy(counts: pd.Series, breaks: pd.Series) -> pd.Series:
+        out = []
+        for cs, bs in zip(counts, breaks):
+            starts, cur = [], 0
+            if cs is not None:
+                for i, (n, b) in enumerate(zip(cs, bs)):
+                    if i == 0 or (cur > 0 and (cur + n > budget or b)):
+                        starts.append(i)
+                        cur = n
+                    else:
+                        cur += n
+            out.append(starts)
+        return pd.Series(out)
 
-    return let(parts, with_parts)
+    return greedy
 
 
 def split_lines(docs: DataFrame, *, max_tokens_per_line: int, mode: str = "whitespace",
@@ -219,16 +254,36 @@ def split_lines(docs: DataFrame, *, max_tokens_per_line: int, mode: str = "white
             .select(id_col, "p.pos", "p.sub", "p.line", "p.n_tokens"))
 
 
+PACKERS = ("fold", "udf")
+
+
 def chunk_documents(docs: DataFrame, *, max_tokens_per_line: int, max_tokens_per_paragraph: int,
                     overlap_tokens: int = 0, mode: str = "whitespace", markdown: bool | Column = False,
-                    id_col: str = "doc_id", text_col: str = "text", keep_cols=()) -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", keep_cols=(), packer: str = "fold") -> DataFrame:
     """C1-C3 (+C4, C6): one row per chunk (id, part_no, text, n_tokens, n_lines).
 
     Documents with no words produce no chunks (C6). ``markdown`` may be a
     boolean column (e.g. from the MIME type) to pick the rule per document.
+    ``packer='fold'`` keeps everything in Catalyst (cost grows with the square
+    of a document's chunk count); ``packer='udf'`` sends only the sub-line
+    token counts to a pandas UDF for the greedy pass (linear), for corpora
+    with very long documents. Both give the same chunks.
     """
     validate(max_tokens_per_line, max_tokens_per_paragraph, overlap_tokens)
+    if packer not in PACKERS:
+        raise ValueError(f"packer must be one of {PACKERS}")
     text = F.col(text_col)
+    if packer == "udf":
+        def parts_of(md: bool) -> Column:
+            return sub_lines(text, max_tokens_per_line, mode, md)
+        parts = (F.when(markdown, parts_of(True)).otherwise(parts_of(False)) if isinstance(markdown, Column)
+                 else parts_of(bool(markdown)))
+        staged = spread(docs, id_col).select(id_col, *keep_cols, parts.alias("_parts"))
+        staged = staged.withColumn("_starts", _greedy_udf(max_tokens_per_paragraph - overlap_tokens)(
+            F.transform("_parts", lambda p: p["n_tokens"]), F.transform("_parts", lambda p: p["heading"])))
+        chunks = paragraphs(F.col("_parts"), max_tokens_per_paragraph, overlap_tokens, starts=F.col("_starts"))
+        return (staged.select(id_col, *keep_cols, F.explode(chunks).alias("c"))
+                .select(id_col, *keep_cols, "c.part_no", "c.text", "c.n_tokens", "c.n_lines"))
 
     def build(md: bool) -> Column:
         return paragraphs(sub_lines(text, max_tokens_per_line, mode, md), max_tokens_per_paragraph,

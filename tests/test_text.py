@@ -73,3 +73,15 @@ def test_limits_validated(spark):
 def test_empty_documents_have_no_chunks(spark):
     df = spark.createDataFrame([(1, ""), (2, "  \n \t ")], "doc_id long, text string")
     assert CH.chunk_documents(df, max_tokens_per_line=5, max_tokens_per_paragraph=10).count() == 0
+
+
+def test_udf_packer_equals_fold(spark):
+    from memweave.sources.tables import load
+    docs = load(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    md = spark.createDataFrame([(1, "# A\nx y z\n## B\n```\ncode here\n```\nw v")], "doc_id long, text string")
+    for d, kw in ((docs, {}), (md, {"markdown": True})):
+        for overlap in (0, 7):
+            args = dict(max_tokens_per_line=9, max_tokens_per_paragraph=30, overlap_tokens=overlap, **kw)
+            a = sorted(map(tuple, CH.chunk_documents(d, **args).collect()))
+            b = sorted(map(tuple, CH.chunk_documents(d, packer="udf", **args).collect()))
+            assert a == b and len(a) > 0
