@@ -78,11 +78,13 @@ def cells_to_text(cells: DataFrame, *, with_sheet_number: bool = True, with_end_
                   with_quotes: bool = True, sheet_template: str = SHEET_NUMBER_TEMPLATE,
                   end_template: str = END_OF_SHEET_TEMPLATE, row_prefix: str = ROW_PREFIX,
                   column_separator: str = COLUMN_SEPARATOR, row_suffix: str = ROW_SUFFIX,
-                  doc_col: str = "doc") -> DataFrame:
+                  doc_col: str = "doc", sheets: DataFrame | None = None) -> DataFrame:
     """Sheets as delimited text.
 
     Only used cells count: a blank cell is dropped, so later cells of the row
-    shift left. Text cells are quoted with ``"`` doubled inside.
+    shift left. Text cells are quoted with ``"`` doubled inside. With
+    ``sheets`` (doc, sheet_no) every listed sheet is rendered, an empty one as
+    its header (and end marker) only.
     """
     used = cells.filter(F.col("value").isNotNull() & (F.col("value") != ""))
     quoted = F.concat(F.lit('"'), F.replace(F.col("value"), F.lit('"'), F.lit('""')), F.lit('"'))
@@ -90,11 +92,15 @@ def cells_to_text(cells: DataFrame, *, with_sheet_number: bool = True, with_end_
     rows = (used.withColumn("_cell", cell).groupBy(doc_col, "sheet_no", "row")
             .agg(_ordered_join("col", "_cell", column_separator).alias("_line"))
             .withColumn("_line", F.concat(F.lit(row_prefix), F.col("_line"), F.lit(row_suffix), F.lit("\n"))))
-    sheets = rows.groupBy(doc_col, "sheet_no").agg(_ordered_join("row", "_line", "").alias("_rows"))
+    filled = rows.groupBy(doc_col, "sheet_no").agg(_ordered_join("row", "_line", "").alias("_rows"))
+    if sheets is not None:
+        listed = sheets.select(doc_col, "sheet_no").distinct()
+        filled = (listed.join(filled, [doc_col, "sheet_no"], "full")
+                  .withColumn("_rows", F.coalesce(F.col("_rows"), F.lit(""))))
     header = F.concat(_fill(sheet_template, F.col("sheet_no")), F.lit("\n")) if with_sheet_number else F.lit("")
     footer = F.concat(_fill(end_template, F.col("sheet_no")), F.lit("\n")) if with_end_marker else F.lit("")
-    sheets = sheets.select(doc_col, "sheet_no", F.concat(header, F.col("_rows"), footer).alias("_sheet"))
-    return (sheets.groupBy(doc_col).agg(_ordered_join("sheet_no", "_sheet", "").alias("_t"))
+    rendered = filled.select(doc_col, "sheet_no", F.concat(header, F.col("_rows"), footer).alias("_sheet"))
+    return (rendered.groupBy(doc_col).agg(_ordered_join("sheet_no", "_sheet", "").alias("_t"))
             .select(doc_col, trim_ws(F.col("_t")).alias("text")))
 
 

@@ -154,6 +154,14 @@ def sheet_cells(data: bytes) -> list[tuple[int, int, int, bool, str]]:
     return out
 
 
+def sheet_list(data: bytes) -> list[int]:
+    """Numbers of all worksheets in workbook order (empty ones included)."""
+    with zipfile.ZipFile(io.BytesIO(data)) as z:
+        wb = ET.fromstring(z.read(XL_MAIN))
+    sheets = wb.find(_q(NS_S, "sheets"))
+    return list(range(1, 1 + (0 if sheets is None else len(sheets.findall(_q(NS_S, "sheet"))))))
+
+
 def _files_to_rows(kind: str):
     def run(batches: Iterable[pd.DataFrame]):
         for pdf in batches:
@@ -162,12 +170,15 @@ def _files_to_rows(kind: str):
                 data = bytes(content)
                 if kind == "word":
                     rows += [(path, i, t) for i, t in enumerate(word_paragraphs(data))]
+                elif kind == "sheets":
+                    rows += [(path, n) for n in sheet_list(data)]
                 elif kind == "slides":
                     rows += [(path, n, i, t, h) for n, texts, h in slide_texts(data) for i, t in enumerate(texts)]
                 else:
                     rows += [(path, *cell) for cell in sheet_cells(data)]
             cols = {"word": ["doc", "pos", "text"], "slides": ["doc", "slide_no", "pos", "text", "hidden"],
-                    "cells": ["doc", "sheet_no", "row", "col", "is_text", "value"]}[kind]
+                    "cells": ["doc", "sheet_no", "row", "col", "is_text", "value"],
+                    "sheets": ["doc", "sheet_no"]}[kind]
             yield pd.DataFrame(rows, columns=cols)
     return run
 
@@ -190,10 +201,16 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "content").mapInPandas(_files_to_rows("cells"), CELL_SCHEMA)
 
 
+def read_sheets(spark: SparkSession, path: str) -> DataFrame:
+    """.xlsx files -> (doc, sheet_no) for every worksheet, empty ones included."""
+    files = scan_files(spark, path, glob="*.xlsx")
+    return files.select("path", "content").mapInPandas(_files_to_rows("sheets"), "doc string, sheet_no int")
+
+
 def office_to_text(spark: SparkSession, path: str) -> DataFrame:
     """S4-S6 + T1-T3: every Office file under ``path`` as (doc, text)."""
     from memweave.operators import render
 
     return (render.paragraphs_to_text(read_word(spark, path))
             .unionByName(render.slides_to_text(read_slides(spark, path)))
-            .unionByName(render.cells_to_text(read_cells(spark, path))))
+            .unionByName(render.cells_to_text(read_cells(spark, path), sheets=read_sheets(spark, path))))

@@ -81,6 +81,21 @@ def test_sheet_blank_cell_shifts_left(spark, tmp_dir):
     assert text == '# Worksheet 1\n\n"name", 1.5\n"say ""hi""", 7'
 
 
+def test_empty_sheet_renders_header_only(spark, tmp_dir):
+    wb = (f'<workbook {S}><sheets><sheet name="S1" sheetId="1" r:id="rId1"/>'
+          '<sheet name="S2" sheetId="2" r:id="rId2"/></sheets></workbook>')
+    rels = (f'<Relationships {REL}><Relationship Id="rId1" Target="worksheets/sheet1.xml"/>'
+            '<Relationship Id="rId2" Target="worksheets/sheet2.xml"/></Relationships>')
+    sheet1 = f'<worksheet {S}><sheetData><row r="1"><c r="A1"><v>3</v></c></row></sheetData></worksheet>'
+    sheet2 = f'<worksheet {S}><sheetData/></worksheet>'
+    _zip(f"{tmp_dir}/e.xlsx", {"xl/workbook.xml": wb, "xl/_rels/workbook.xml.rels": rels,
+                               "xl/worksheets/sheet1.xml": sheet1, "xl/worksheets/sheet2.xml": sheet2})
+    text = RD.cells_to_text(office.read_cells(spark, tmp_dir), sheets=office.read_sheets(spark, tmp_dir),
+                            with_end_marker=True).first().text
+    assert text == ("# Worksheet 1\n\n3\n\n# End of worksheet 1\n\n# Worksheet 2\n\n\n"
+                    "# End of worksheet 2")
+
+
 def test_office_to_text_all_formats(spark, tmp_dir):
     make_docx(f"{tmp_dir}/a.docx")
     make_pptx(f"{tmp_dir}/d.pptx")
