@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from memweave.functions import vectors as V
 from memweave.functions.filters import equality_filter
+from memweave.functions.ordering import dense_index
 from memweave.functions.parallel import spread
 from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS, rows_for_keys
 
@@ -205,8 +206,11 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     block = max(1, max_broadcast_bytes // per_query)
     n_blocks = math.ceil(n_q / block)
     if n_blocks > 1:
-        qsel = qsel.persist()
-        blocks = [qsel.filter(F.pmod(F.xxhash64(F.col(qid_col)), F.lit(n_blocks)) == b) for b in range(n_blocks)]
+        # Exact block sizes: number the queries (skew-safe dense index) and cut by position,
+        # so no block exceeds the broadcast limit.
+        numbered = dense_index(qsel.withColumn("_all", F.lit(0)), ["_all"], [qid_col], "_qpos").drop("_all")
+        numbered = numbered.withColumn("_blk", F.floor(F.col("_qpos") / F.lit(block))).persist()
+        blocks = [numbered.filter(F.col("_blk") == b).drop("_qpos", "_blk") for b in range(n_blocks)]
     else:
         blocks = [qsel]
 
