@@ -50,12 +50,14 @@ def invalid_roles(conversations: DataFrame) -> DataFrame:
             .groupBy("role").agg(F.count(F.lit(1)).alias("n_messages")))
 
 
-def assemble_requests(conversations: DataFrame, *, strict: bool = True) -> tuple[DataFrame, DataFrame]:
+def assemble_requests(conversations: DataFrame, *, strict: bool = True,
+                      fail_on_invalid: bool = False) -> tuple[DataFrame, DataFrame]:
     """H1 (strict) / H2 (lenient): one ordered message list per conversation.
 
     Returns ``(requests, rejects)``: requests have ``messages`` =
     array<struct<role, content>> in turn order; in strict mode a conversation
-    holding any other role than user/assistant/system is a reject.
+    holding any other role than user/assistant/system is a reject, or, with
+    ``fail_on_invalid``, fails the job as the original request builder does.
     """
     role = F.col("role") if strict else lenient_role(F.col("role"))
     msgs = conversations.select("conv_id", "turn", role.alias("role"), F.col("text").alias("content"))
@@ -67,6 +69,11 @@ def assemble_requests(conversations: DataFrame, *, strict: bool = True) -> tuple
         .alias("messages"), "_ok")
     if not strict:
         return requests.drop("_ok"), requests.limit(0).drop("_ok")
+    if fail_on_invalid:
+        checked = requests.filter(F.when(F.col("_ok") == 0, F.raise_error(
+            F.concat(F.lit("Invalid chat message author role in conversation "), F.col("conv_id").cast("string"))))
+            .otherwise(F.lit(True)))
+        return checked.drop("_ok"), requests.limit(0).drop("_ok")
     return requests.filter(F.col("_ok") == 1).drop("_ok"), requests.filter(F.col("_ok") == 0).drop("_ok")
 
 

@@ -10,6 +10,12 @@ def test_role_policy_strict_rejects_lenient_maps_to_system(spark):
                                (2, 1, "assistant", "hey there")], CONV)
     ok, bad = H.assemble_requests(c, strict=True)
     assert [r.conv_id for r in ok.collect()] == [2] and [r.conv_id for r in bad.collect()] == [1]
+    try:
+        H.assemble_requests(c, fail_on_invalid=True)[0].collect()
+    except Exception:
+        pass
+    else:
+        raise AssertionError("an invalid role must fail the job")
     lenient, _ = H.assemble_requests(c, strict=False)
     msgs = {r.conv_id: [m.role for m in r.messages] for r in lenient.collect()}
     assert msgs[1] == ["user", "system"]
