@@ -92,8 +92,7 @@ def append_answers(history: DataFrame, replies: DataFrame) -> DataFrame:
 
     ``replies(conv_id, choice_index, text)``; returns the appended rows.
     """
-    w = Window.partitionBy("conv_id").orderBy("choice_index")
-    first = replies.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    first = replies.groupBy("conv_id").agg(F.min_by("text", F.col("choice_index")).alias("text"))
     last_turn = history.groupBy("conv_id").agg(F.max("turn").alias("_last"))
     return (first.join(last_turn, "conv_id")
             .select("conv_id", (F.col("_last") + 1).alias("turn"), F.lit("assistant").alias("role"), "text"))
