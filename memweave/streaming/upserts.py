@@ -33,5 +33,15 @@ def run_upsert_stream(spark: SparkSession, *, source_dir: str, schema, state_pat
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     query = writer.start()
     if available_now:
-        query.awaitTermination(timeout_s)
+        finish(query, timeout_s)
     return query
+
+
+def finish(query, timeout_s: int | None) -> None:
+    """Wait for an available-now query; stop it and fail if it does not finish in time."""
+    done = query.awaitTermination(timeout_s) if timeout_s else query.awaitTermination()
+    if done is False:
+        query.stop()
+        raise TimeoutError(f"streaming query {query.name or query.id} did not finish in {timeout_s} s")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memweave.operators.tokens import count_tokens
+from memweave.streaming.upserts import finish
 
 
 def usage_counters(messages: DataFrame, *, count_mode: str = "whitespace") -> DataFrame:
@@ -27,5 +28,5 @@ def run_usage_stream(spark: SparkSession, *, source: str, schema, out_path: str,
 
     query = (usage_counters(msgs).writeStream.outputMode("complete").foreachBatch(publish)
              .option("checkpointLocation", checkpoint_path).trigger(availableNow=True).start())
-    query.awaitTermination(timeout_s)
+    finish(query, timeout_s)
     return query
