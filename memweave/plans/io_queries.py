@@ -98,3 +98,12 @@ def p4_event_stream(spark, sf_dir):
                       checkpoint_path=f"{base}/checkpoint", report_path=f"{base}/report",
                       metadata_cols=["value", "props"])
     return store.read_state(spark, state_path).select("collection", "namespace", "key", "value", "props")
+
+
+@register("s3_write_table", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+def s3_write_table(spark, sf_dir):
+    """S3: create a table in a fresh folder (refusing to overwrite), read it back."""
+    path = f"{scratch_dir(spark, 's3')}/pages"
+    pages = load(spark, sf_dir, "pages").select("page_id", "url", F.length("html").cast("bigint").alias("n_chars"))
+    FS.write_table(pages, path, mode="errorifexists")
+    return spark.read.parquet(path)
