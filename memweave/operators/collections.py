@@ -71,7 +71,7 @@ def upsert(state: DataFrame, batch: DataFrame, *, key_cols: Sequence[str] = KEY_
     """Replace whole rows by key; new keys are added.
 
     Result = (state without the batch keys) union (latest batch row per key).
-    ``dedupe=False`` skips the last-write-wins window for batches whose keys
+    ``dedupe=False`` skips the last-write-wins aggregate for batches whose keys
     are unique by construction (e.g. one record per chunk and generator).
     """
     key_cols = list(key_cols)
@@ -218,7 +218,7 @@ def remove_documents(state: DataFrame, document_ids: DataFrame, *, id_col: str =
 def clear_namespace(state: DataFrame, namespace: str) -> DataFrame:
     """Drop a namespace; the empty namespace means everything."""
     if namespace == "":
-        return state.limit(0)
+        return state.filter(F.lit(False))
     return state.filter(~F.coalesce(F.col("namespace") == F.lit(namespace), F.lit(False)))
 
 
@@ -324,7 +324,7 @@ def query_by_filter(state: DataFrame, where: Mapping | Column, *, top_k: int = 1
     """Rows matching a metadata filter, at most ``top_k`` (ordered by key)."""
     pred = where if isinstance(where, Column) else equality_filter(where)
     if top_k <= 0:
-        return state.limit(0)
+        return state.filter(F.lit(False))
     return state.filter(pred).orderBy(F.col(key_col)).limit(top_k)
 
 

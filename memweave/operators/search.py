@@ -81,7 +81,7 @@ def nearest(records: DataFrame, query_vector: Sequence[float], *, top_k: int, mi
     order = [F.col("score").desc_nulls_last() if higher else F.col("score").asc_nulls_last(), F.col(key_col).asc()]
     df = _project(df, vector_col, include_vectors, include_metadata, key_col)
     if top_k <= 0:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     # The floor is applied after the top-k: the two commute (NULL scores sort
     # last), and a filter below the projection would compute the score twice.
     return df.orderBy(*order).limit(top_k).filter(_floor_pred(F.col("score"), min_relevance, policy, higher))

@@ -118,7 +118,7 @@ def apply_classified_upsert(spark: SparkSession, path: str, batch: DataFrame, *,
     """U3 on disk; returns the classification report (materialised)."""
     parts = _touched(batch)
     if not parts:
-        return batch.limit(0)
+        return batch.filter(F.lit(False))
     state = read_state(spark, path).filter(_partition_filter(parts))
     new_state, report = C.classified_upsert(state, batch, metadata_cols=metadata_cols, seq_col=seq_col)
     report = materialize(report, "report")
