@@ -105,9 +105,15 @@ def embedding_name(part_name: Column, provider: Column, generator: Column) -> Co
 
 
 def pending(jobs: DataFrame, existing: DataFrame) -> DataFrame:
-    """Drop jobs whose (partition, provider, generator) already has an embedding."""
-    keys = existing.select(F.col("source_partition_id").alias("artifact_id"), "provider", "generator").distinct()
-    return jobs.join(broadcast_if_small(keys), ["artifact_id", "provider", "generator"], "left_anti")
+    """Drop jobs whose (partition, provider, generator) already has an embedding.
+
+    When ``existing`` also carries the ``sha256`` of the text it was made from
+    (E5), a job is skipped only if its text is unchanged: partition ids are
+    positional, so an edited document must not keep a stale vector.
+    """
+    cols = ["artifact_id", "provider", "generator"] + (["sha256"] if "sha256" in existing.columns else [])
+    keys = existing.select(F.col("source_partition_id").alias("artifact_id"), *cols[1:]).distinct()
+    return jobs.join(broadcast_if_small(keys), cols, "left_anti")
 
 
 def not_processed(artifacts: DataFrame, log: DataFrame, step: str) -> DataFrame:

@@ -110,3 +110,12 @@ def test_reads_with_limits_and_by_document(spark):
     stats = {(r.collection, r.namespace): r.n_vectors for r in
              C.index_stats(st.withColumn("embedding", F.array(F.lit(1.0)))).collect()}
     assert stats[("c", "n")] == 10 and stats[(None, None)] == 10
+
+
+def test_pending_recomputes_changed_text(spark):
+    docs = spark.createDataFrame([(1, "a b c d", "en", "s")], DOCS)
+    opts = P.IngestOptions(max_tokens_per_line=4, max_tokens_per_paragraph=8, overlap_tokens=0)
+    jobs = E.with_generators(E.embeddable(P.partitions(P.import_files(docs), opts)), [("a.b.c.Gen", "g", 8)])
+    same = jobs.select(F.col("artifact_id").alias("source_partition_id"), "provider", "generator", "sha256")
+    changed = same.withColumn("sha256", F.lit("0" * 64))
+    assert E.pending(jobs, same).count() == 0 and E.pending(jobs, changed).count() == 1
