@@ -98,3 +98,29 @@ def test_keyword_paging_limits(spark):
             search.keyword_search(d, q, count=count, offset=offset)
     page = search.keyword_search(d, q, count=1, offset=0).collect()
     assert page[0].score == 1 and page[0].rank == 1
+
+
+def test_batch_topk_merge_is_exact_with_ties_and_small_batches(spark):
+    import random
+    rnd = random.Random(3)
+    base = [[rnd.choice([-1.0, 0.0, 1.0]) for _ in range(3)] for _ in range(12)]
+    rows = [("c", "", "k%03d" % i, base[i % 12], "en") for i in range(150)]  # many exact ties
+    r = recs(spark, rows)
+    q = spark.createDataFrame([("q%d" % i, base[i]) for i in range(6)], "qid string, query_vector array<float>")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sorted((x.qid, x.key, x.score) for x in search.nearest_many(r, q, top_k=9, min_relevance=None).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    exp = []
+    for qid, qv in [("q%d" % i, base[i]) for i in range(6)]:
+        scored = []
+        for _, _, key, v, _ in rows:
+            nq, nv = math.sqrt(sum(x * x for x in qv)), math.sqrt(sum(x * x for x in v))
+            if nq == 0 or nv == 0:
+                continue
+            scored.append((round(sum(a * b for a, b in zip(qv, v)) / (nq * nv), 6), key))
+        scored.sort(key=lambda t: (-t[0], t[1]))
+        exp += [(qid, key, s) for s, key in scored[:9]]
+    assert got == sorted(exp)
