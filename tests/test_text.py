@@ -85,3 +85,27 @@ def test_udf_packer_equals_fold(spark):
             a = sorted(map(tuple, CH.chunk_documents(d, **args).collect()))
             b = sorted(map(tuple, CH.chunk_documents(d, packer="udf", **args).collect()))
             assert a == b and len(a) > 0
+
+
+def test_chunking_properties_random_texts(spark):
+    """Random texts: both packers agree, words survive in order, budgets hold."""
+    hyp = pytest.importorskip("hypothesis")
+    st = pytest.importorskip("hypothesis.strategies")
+    word = st.text(alphabet="abcxyz", min_size=1, max_size=6)
+    line = st.lists(word, min_size=0, max_size=30).map(" ".join)
+    texts = st.lists(line, min_size=1, max_size=12).map("\n".join)
+
+    @hyp.settings(max_examples=8, deadline=None, derandomize=True)
+    @hyp.given(st.lists(texts, min_size=1, max_size=4))
+    def check(docs):
+        df = spark.createDataFrame([(i, t) for i, t in enumerate(docs)], "doc_id long, text string")
+        args = dict(max_tokens_per_line=5, max_tokens_per_paragraph=12, overlap_tokens=0)
+        fold = sorted(map(tuple, CH.chunk_documents(df, **args).collect()))
+        udf = sorted(map(tuple, CH.chunk_documents(df, packer="udf", **args).collect()))
+        assert fold == udf
+        for i, t in enumerate(docs):
+            parts = [r for r in fold if r[0] == i]
+            assert re.findall(r"\S+", " ".join(r[2] for r in parts)) == re.findall(r"\S+", t)
+            assert all(r[3] <= 12 for r in parts)
+
+    check()
