@@ -152,6 +152,21 @@ def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
     out = jobs.join(vectors, "sha256").withColumn("embedding", pick)
     bad = F.col("embedding").isNull() | (F.size("embedding") == 0)
     out = out.filter(F.when(bad, F.raise_error(F.lit("embedding generator returned no vector"))).otherwise(F.lit(True)))
+    return embedding_rows(out, stamp)
+
+
+def reuse_existing(jobs: DataFrame, existing: DataFrame, *, stamp: str) -> DataFrame:
+    """E5 across runs: jobs whose partition text is unchanged take the stored vector.
+
+    ``existing`` holds (source_partition_id, provider, generator, sha256, embedding).
+    """
+    old = existing.select(F.col("source_partition_id").alias("artifact_id"), "provider", "generator", "sha256",
+                          "embedding")
+    return embedding_rows(jobs.join(old, ["artifact_id", "provider", "generator", "sha256"]), stamp)
+
+
+def embedding_rows(out: DataFrame, stamp: str) -> DataFrame:
+    """The embedding artifact rows of jobs that carry a vector."""
     return out.select(
         "document_id", "file_id",
         F.sha2(F.concat_ws("/", "artifact_id", "provider", "generator"), 256).substr(1, 32).alias("embedding_id"),

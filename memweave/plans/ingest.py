@@ -59,11 +59,24 @@ def partitions(files: DataFrame, opts: IngestOptions, *, materialize: bool = Fal
 
 
 def embeddings(parts: DataFrame, opts: IngestOptions, existing: DataFrame | None = None) -> DataFrame:
-    """Embedding rows for partitions that do not have one yet."""
+    """Embedding rows of every partition.
+
+    With ``existing`` (vectors of an earlier run with their text hashes) only
+    new or changed partitions are embedded; unchanged ones reuse their vector.
+    """
     jobs = E.with_generators(E.embeddable(parts), opts.generators)
-    if existing is not None:
-        jobs = E.pending(jobs, existing)
-    return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp)
+    if existing is None:
+        return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp)
+    fresh = E.embed_jobs(E.pending(jobs, existing), opts.generators, embedders=opts.embedders, stamp=opts.stamp)
+    return fresh.unionByName(E.reuse_existing(jobs, existing, stamp=opts.stamp))
+
+
+def stored_embeddings(state: DataFrame) -> DataFrame:
+    """Vectors of a records state, keyed as embedding jobs are (for reuse on re-ingest)."""
+    return state.select(F.col("part_id").alias("source_partition_id"),
+                        F.col("payload.vector_provider").alias("provider"),
+                        F.col("payload.vector_generator").alias("generator"),
+                        F.sha2(F.col("payload.text"), 256).alias("sha256"), "embedding")
 
 
 def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
@@ -75,7 +88,8 @@ def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
 
 def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> DataFrame:
     """Chunks -> embeddings -> records -> purge stale -> upsert. Returns the new state."""
-    new = records(embeddings(partitions(files, opts, materialize=True), opts), opts)
+    existing = stored_embeddings(state) if state is not None else None
+    new = records(embeddings(partitions(files, opts, materialize=True), opts, existing), opts)
     # The run's records feed both the purge and the upsert: write them once to
     # the shared checkpoint folder instead of recomputing chunks and vectors.
     new = write_once(new, "records")

@@ -119,3 +119,15 @@ def test_pending_recomputes_changed_text(spark):
     same = jobs.select(F.col("artifact_id").alias("source_partition_id"), "provider", "generator", "sha256")
     changed = same.withColumn("sha256", F.lit("0" * 64))
     assert E.pending(jobs, same).count() == 0 and E.pending(jobs, changed).count() == 1
+
+
+def test_reingest_reuses_unchanged_vectors(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma\\ndelta", "en", "s"), (2, "one two", "fr", "s")], DOCS)
+    opts = P.IngestOptions(max_tokens_per_line=5, max_tokens_per_paragraph=10, overlap_tokens=0,
+                           generators=(("x.y.z.Gen", "g", 8),))
+    first = P.ingest(None, P.import_files(docs), opts)
+    # Mark the stored vectors, then re-ingest with one document changed.
+    marked = first.withColumn("embedding", F.array(*[F.lit(9.0)] * 8).cast("array<float>"))
+    changed = docs.withColumn("text", F.when(F.col("doc_id") == 2, F.lit("three four")).otherwise(F.col("text")))
+    again = {r.document_id: r.embedding for r in P.ingest(marked, P.import_files(changed), opts).collect()}
+    assert again["1"] == [9.0] * 8 and again["2"] != [9.0] * 8
