@@ -128,18 +128,30 @@ def mark_processed(artifacts: DataFrame, step: str) -> DataFrame:
 
 
 def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
-               embedders: dict[str, Embedder] | None = None, stamp: str) -> DataFrame:
+               embedders: dict[str, Embedder] | None = None, stamp: str,
+               existing: DataFrame | None = None) -> DataFrame:
     """E5 + E6: embed each distinct text once per generator, join back, build embedding rows.
 
     ``generators`` is the configuration the jobs were expanded with;
     ``embedders`` maps generator name to embedder, and generators without one
     use the hashed default of their ``dim``. ``stamp`` is the run time (a
-    parameter, so reruns are reproducible).
+    parameter, so reruns are reproducible). ``existing`` (source_partition_id,
+    provider, generator, sha256, embedding) holds vectors of an earlier run:
+    a job whose partition text is unchanged keeps its stored vector and only
+    the others are embedded.
     """
     embedders = embedders or {}
+    keys = ["artifact_id", "provider", "generator", "sha256"]
+    if existing is not None:
+        old = existing.select(F.col("source_partition_id").alias("artifact_id"), "provider", "generator",
+                              "sha256", F.col("embedding").alias("_old"))
+        jobs = jobs.join(old, keys, "left")
+        todo = jobs.filter(F.col("_old").isNull())
+    else:
+        todo = jobs
     # E5: every distinct text (by SHA-256) is embedded once per generator; one
     # shuffle de-duplicates for all generators and one join brings the vectors back.
-    distinct_texts = spread(jobs.select("sha256", "text").dropDuplicates(["sha256"]))
+    distinct_texts = spread(todo.select("sha256", "text").dropDuplicates(["sha256"]))
     vec_cols = []
     for i, (_cls, gen, dim) in enumerate(generators):
         emb = embedders.get(gen) or hashed_embedder(int(dim))
@@ -149,22 +161,15 @@ def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
     pick = None
     for gen, c in vec_cols:
         pick = F.when(F.col("generator") == gen, F.col(c)) if pick is None else pick.when(F.col("generator") == gen, F.col(c))
-    out = jobs.join(vectors, "sha256").withColumn("embedding", pick)
+    if existing is not None:
+        out = jobs.join(vectors, "sha256", "left").withColumn("embedding", F.coalesce(F.col("_old"), pick))
+    else:
+        out = jobs.join(vectors, "sha256").withColumn("embedding", pick)
     bad = F.col("embedding").isNull() | (F.size("embedding") == 0)
     out = out.filter(F.when(bad, F.raise_error(F.lit("embedding generator returned no vector"))).otherwise(F.lit(True)))
     return embedding_rows(out, stamp)
 
 
-def reuse_existing(jobs: DataFrame, existing: DataFrame, *, stamp: str) -> DataFrame:
-    """E5 across runs: jobs whose partition text is unchanged take the stored vector.
-
-    ``existing`` holds (source_partition_id, provider, generator, sha256, embedding).
-    """
-    old = existing.select(F.col("source_partition_id").alias("artifact_id"), "provider", "generator", "sha256",
-                          "embedding")
-    return embedding_rows(jobs.join(old, ["artifact_id", "provider", "generator", "sha256"]), stamp)
-
-
 def embedding_rows(out: DataFrame, stamp: str) -> DataFrame:
     """The embedding artifact rows of jobs that carry a vector."""
     return out.select(

@@ -65,10 +65,7 @@ def embeddings(parts: DataFrame, opts: IngestOptions, existing: DataFrame | None
     new or changed partitions are embedded; unchanged ones reuse their vector.
     """
     jobs = E.with_generators(E.embeddable(parts), opts.generators)
-    if existing is None:
-        return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp)
-    fresh = E.embed_jobs(E.pending(jobs, existing), opts.generators, embedders=opts.embedders, stamp=opts.stamp)
-    return fresh.unionByName(E.reuse_existing(jobs, existing, stamp=opts.stamp))
+    return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp, existing=existing)
 
 
 def stored_embeddings(state: DataFrame) -> DataFrame:
