@@ -87,6 +87,20 @@ def nearest(records: DataFrame, query_vector: Sequence[float], *, top_k: int, mi
     return df.orderBy(*order).limit(top_k).filter(_floor_pred(F.col("score"), min_relevance, policy, higher))
 
 
+def query(records: DataFrame, *, top_k: int, vector: Sequence[float] | None = None, namespace: str | None = None,
+          where: Mapping | Column | None = None, include_metadata: bool = True, key_col: str = "key") -> DataFrame:
+    """Raw query. With a vector: best ``top_k`` by cosine (remote rule, no
+    threshold); without one: records matching the filter, at most ``top_k``
+    (ordered by key, as G5)."""
+    if vector is not None:
+        return nearest(records, vector, top_k=top_k, min_relevance=None, policy="remote", namespace=namespace,
+                       where=where, include_metadata=include_metadata, key_col=key_col)
+    from memweave.operators.collections import query_by_filter
+    df = _narrow(records, namespace, None)
+    out = query_by_filter(df, where if where is not None else F.lit(True), top_k=top_k, key_col=key_col)
+    return _project(out, "embedding", False, include_metadata, key_col)
+
+
 def _narrow(records: DataFrame, namespace: str | None, where) -> DataFrame:
     df = records
     if namespace is not None:

@@ -124,3 +124,12 @@ def test_batch_topk_merge_is_exact_with_ties_and_small_batches(spark):
         scored.sort(key=lambda t: (-t[0], t[1]))
         exp += [(qid, key, s) for s, key in scored[:9]]
     assert got == sorted(exp)
+
+
+def test_raw_query_with_and_without_vector(spark):
+    r = recs(spark, [("c", "n1", "a", [1.0, 0.0], "en"), ("c", "n1", "b", [0.0, 1.0], "fr"),
+                     ("c", "n2", "c", [1.0, 0.1], "en")])
+    with_vec = search.query(r, top_k=1, vector=[1.0, 0.0], namespace="n1")
+    assert [x.key for x in with_vec.collect()] == ["a"]
+    no_vec = search.query(r, top_k=5, where={"lang": "en"})
+    assert [x.key for x in no_vec.collect()] == ["a", "c"] and "embedding" not in no_vec.columns
