@@ -187,6 +187,7 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
                  policy: str = "memory", metric: str = "cosine", qid_col: str = "qid",
                  query_vector_col: str = "query_vector", match_cols: Sequence[str] = (),
                  key_col: str = "key", vector_col: str = "embedding", include_vectors: bool = False,
+                 include_metadata: bool = True,
                  max_broadcast_bytes: int = DEFAULT_QUERY_BROADCAST_BYTES) -> DataFrame:
     """N3/N4/N5 for a table of queries: best ``top_k`` records per query.
 
@@ -201,6 +202,8 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     higher = V.higher_is_better(metric)
     match_cols = list(match_cols)
     out_cols = [c for c in records.columns if include_vectors or c != vector_col]
+    if not include_metadata:  # N10: ids (and partition columns) only
+        out_cols = [c for c in out_cols if c in (key_col, vector_col, "collection", "namespace", *match_cols)]
     rec_fields = {f.name: f for f in records.schema.fields}
     qid_field = queries.schema[qid_col]
     schema = T.StructType([T.StructField(qid_col, qid_field.dataType, True)]

@@ -133,3 +133,10 @@ def test_raw_query_with_and_without_vector(spark):
     assert [x.key for x in with_vec.collect()] == ["a"]
     no_vec = search.query(r, top_k=5, where={"lang": "en"})
     assert [x.key for x in no_vec.collect()] == ["a", "c"] and "embedding" not in no_vec.columns
+
+
+def test_many_query_ids_only(spark):
+    r = _random_records(spark, n=40)
+    q = r.filter(F.col("key") == "k000").select(F.col("key").alias("qid"), F.col("embedding").alias("query_vector"))
+    out = search.nearest_many(r, q, top_k=3, min_relevance=None, include_metadata=False)
+    assert set(out.columns) == {"qid", "collection", "namespace", "key", "score"} and out.count() == 3
