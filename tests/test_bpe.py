@@ -1,7 +1,6 @@
 import collections
 
 import pytest
-from pyspark.sql import functions as F
 
 from memweave.operators import bpe
 

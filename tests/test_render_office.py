@@ -1,7 +1,6 @@
 import io
 import zipfile
 
-from pyspark.sql import functions as F
 
 from memweave.operators import render as RD
 from memweave.sources import office

@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from memweave.sources import files as FS
 from memweave.sources import store

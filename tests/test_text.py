@@ -1,7 +1,6 @@
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from memweave.operators import chunking as CH
 from memweave.operators import tokens as K
