@@ -214,10 +214,14 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     if not unlimited and top_k <= 0:
         return spark.createDataFrame([], schema)
 
-    qsel = queries.select(qid_col, query_vector_col, *match_cols)
+    # The query table is read by the size check and then collected block by
+    # block; cache it for those driver-side actions only (released below, the
+    # returned plan reads the records and the broadcast, not the queries).
+    qsel = queries.select(qid_col, query_vector_col, *match_cols).persist()
     stats = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector_col)).alias("d")).first()
     n_q, dim = int(stats["n"]), int(stats["d"] or 0)
     if n_q == 0 or dim <= 0:
+        qsel.unpersist()
         return spark.createDataFrame([], schema)
     per_query = dim * 8 + 64
     block = max(1, max_broadcast_bytes // per_query)
@@ -238,6 +242,9 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
                             match_cols=match_cols, key_col=key_col, vector_col=vector_col, dim=dim,
                             out_cols=out_cols, schema=schema)
         candidates = part if candidates is None else candidates.unionByName(part)
+    qsel.unpersist()
+    if n_blocks > 1:
+        numbered.unpersist()
 
     if unlimited:
         return candidates
