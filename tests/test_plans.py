@@ -57,7 +57,3 @@ def test_keyword_search_cuts_to_query_vocabulary(spark):
     p = plan(spark, "w1_keyword_page")
     assert p.count("LeftSemi") >= 2 and "WindowGroupLimit" in p
 
-
-def test_no_registered_query_plans_a_cross_product(spark):
-    crossing = [name for name in Q if any(op in plan(spark, name) for op in ("CartesianProduct", "NestedLoopJoin"))]
-    assert crossing == []
