@@ -7,26 +7,39 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from memweave.session import materialize
 
-def dense_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], index_col: str = "idx",
-                num_partitions: int | None = None) -> DataFrame:
-    """0-based position of each row within its group, in ``order_cols`` order.
 
-    Rows are range-partitioned on (group, order), so a group that holds a third
-    of the data spreads over many tasks. Each task numbers its own slice; the
-    per-(group, task) counts (at most groups x tasks rows) give every slice its
-    offset. The explicit partition count keeps AQE from coalescing the
-    exchange, so both consumers see the same partition ids.
+def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], value_col: str | None,
+                  total_col: str, num_partitions: int | None = None) -> DataFrame:
+    """Sum of ``value_col`` (rows if None) over the rows of the group that come before, in ``order_cols`` order.
+
+    Rows are range-partitioned on (group, order) and written once together with
+    the number of their partition, so a group that holds a third of the data
+    spreads over many tasks, and the rows and the per-partition sums are read
+    from the same files. Each task adds up its own slice; the sums, one row
+    for each (group, partition), give every slice its offset. Null group
+    values form a group of their own.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_cols, order_cols = list(group_cols), list(order_cols)
-    ranged = df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_pid", F.spark_partition_id())
-    local_w = Window.partitionBy(*group_cols, "_pid").orderBy(*order_cols)
-    local = ranged.withColumn("_local", F.row_number().over(local_w))
-    counts = ranged.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_n"))
-    off_w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(off_w), F.lit(0))).drop("_n")
-    # offsets has one row per (group, task); AQE broadcasts it when it is small.
-    out = local.join(offsets, [*group_cols, "_pid"])
-    return out.withColumn(index_col, (F.col("_off") + F.col("_local") - 1).cast("bigint")).drop("_pid", "_local", "_off")
+    value = F.lit(1) if value_col is None else F.col(value_col)
+    ranged = materialize(df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_pid", F.spark_partition_id()), "ranged")
+    before = Window.partitionBy(*group_cols, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_local", F.coalesce(F.sum(value).over(before), F.lit(0)))
+    sums = ranged.groupBy(*group_cols, "_pid").agg(F.sum(value).alias("_n"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(group_cols)], F.col("_pid").alias("_p"),
+                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    same = F.col("_pid") == F.col("_p")
+    for k, c in enumerate(group_cols):
+        same = same & F.col(c).eqNullSafe(F.col(f"_g{k}"))
+    out = local.join(offsets, same).withColumn(total_col, (F.col("_off") + F.col("_local")).cast("bigint"))
+    return out.drop("_pid", "_local", "_off", "_p", *[f"_g{k}" for k in range(len(group_cols))])
+
+
+def dense_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], index_col: str = "idx",
+                num_partitions: int | None = None) -> DataFrame:
+    """0-based position of each row within its group, in ``order_cols`` order."""
+    return running_total(df, group_cols, order_cols, None, index_col, num_partitions)
