@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memweave.llm import bpecount, linerules, neardup, quality
+from memweave.llm import bpecount, chatformat, decontaminate, linededup, linerules, neardup, packing, quality
 from memweave.sources.tables import load
 
 QUERIES: dict = {}
@@ -43,3 +43,30 @@ def op9_heap_bpe_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return bpecount.count_tokens(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+
+
+#: The control conversation that op8 formats beside the table's rows.
+CONTROL_CONVERSATION = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query
+def op8_budgeted_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(CONTROL_CONVERSATION, "conv_id long, turn long, role string, text string")
+    return chatformat.digests(chatformat.format_windows(rows.unionByName(extra)))
+
+
+@query
+def op1_optimal_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"))
+
+
+@query
+def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@query
+def op7_deletion_neighbourhood_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = linededup.drop_repeated_lines(load(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
