@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memweave.llm import bpecount, chatformat, decontaminate, linededup, linerules, neardup, packing, quality
+from memweave.llm import bpecount, chatformat, decontaminate, langid, linededup, linerules, neardup, packing, quality
 from memweave.sources.tables import load
 
 QUERIES: dict = {}
@@ -70,3 +70,10 @@ def op2_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_deletion_neighbourhood_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = linededup.drop_repeated_lines(load(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query
+def op10_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    rows = docs.select("doc_id", langid.held_out().alias("held_out"), "lang", "text")
+    return langid.identify(rows, keep=["doc_id", "held_out"], train_filter=~F.col("held_out"))
