@@ -2,7 +2,8 @@
 
 ``STAGES`` lists (name, function); each function takes (spark, docs, sf_dir)
 and returns a DataFrame that is written as Parquet and read again as the next
-stage's documents. ``run`` applies them to ``documents``.
+stage's documents. All but the last return the columns of ``documents``.
+``run`` applies them to ``documents``.
 """
 
 from __future__ import annotations
@@ -10,27 +11,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memweave.llm import neardup, quality
+from memweave.llm import decontaminate, linededup, neardup, packing, quality
+from memweave.llm.joins import without_ids
 from memweave.session import materialize
 from memweave.sources.tables import load
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose junk and toxicity scores are both below one half."""
+    """Keep the documents whose junk and toxicity scores are both below one half."""
     judged = quality.classify(docs, load(spark, sf_dir, "labels"))
     return judged.filter("kept").select(*docs.columns)
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Remove lines that repeat an earlier line (equal, or one word apart); a document that loses every word goes.
+
+    ``n_chars`` becomes the length of the text that is left.
+    """
+    cleaned = linededup.drop_repeated_lines(docs)
+    cleaned = cleaned.filter(r"n_removed = 0 or text rlike '[^\\x20\\x09-\\x0D]'")
+    return cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    """Keep the smallest id of each group of near-duplicates (five-word shingles, similarity 0.8)."""
     found = neardup.group_near_duplicates(docs, percent=80)
-    dropped = materialize(found.filter("id <> component").select(F.col("id").alias("doc_id")).distinct(), "dropped")
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    dropped = materialize(found.filter("id <> component").select("id").distinct(), "dropped")
+    return without_ids(docs, dropped).select(*docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the documents that hold no benchmark item, verbatim or re-parameterised."""
+    found = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark"))
+    leaked = materialize(found.filter("id is not null").select("id").distinct(), "leaked")
+    return without_ids(docs, leaked).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length bucket, batch and place of every document."""
+    return packing.pack(docs)
 
 
 STAGES = [
     ("quality_classifier", quality_stage),
+    ("line_dedup", line_stage),
     ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
 ]
 
 #: Weak-label learning, signatures and dynamic programming have no SQL form.

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memweave.llm import bpecount, chatformat, decontaminate, langid, linededup, linerules, neardup, packing, quality
+from memweave.llm import bpecount, chatformat, decontaminate, htmltext, langid, linededup, linerules, neardup, packing, quality
 from memweave.sources.tables import load
 
 QUERIES: dict = {}
@@ -77,3 +77,8 @@ def op10_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     rows = docs.select("doc_id", langid.held_out().alias("held_out"), "lang", "text")
     return langid.identify(rows, keep=["doc_id", "held_out"], train_filter=~F.col("held_out"))
+
+
+@query
+def op4_boosted_dom_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract_main_text(load(spark, sf_dir, "pages"), keep=["page_id", "url"])
