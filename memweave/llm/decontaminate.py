@@ -194,5 +194,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     found = leaks(docs, benchmark, text_col, id_col, **options)
     per_doc = found.groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
     ids = docs.select(F.col(f"`{id_col}`").alias(id_col))
-    out = ids.join(per_doc, F.col(id_col).eqNullSafe(F.col("id")), "left").drop("id")
+    per_doc = per_doc.withColumnRenamed("id", "_leaked_id")
+    out = ids.join(per_doc, F.col(f"`{id_col}`").eqNullSafe(F.col("_leaked_id")), "left").drop("_leaked_id")
     return out.withColumn("contaminated", F.col("item_ids").isNotNull())

@@ -144,8 +144,11 @@ def map_texts(df: DataFrame, text_col: str, keep: Sequence[str], out: Sequence[S
               work: Callable[[TextView], list[pa.Array]]) -> DataFrame:
     """Columns ``keep`` of ``df`` followed by the columns that ``work`` makes of each slice of texts; no shuffle.
 
-    A null text is handled as an empty one. ``keep`` columns pass through whatever their names and types.
+    A null text is handled as an empty one. ``keep`` columns pass through whatever their types; one that has the
+    name of a new column gives way to it.
     """
+    made = {f.name for f in out}
+    keep = [c for c in keep if c not in made]
     kept = df.select(*[F.col(f"`{c}`") for c in keep])
     schema = StructType([*kept.schema.fields, *out])
     names = schema.names
