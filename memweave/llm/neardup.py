@@ -10,7 +10,8 @@ r"""Near-duplicate documents by SuperMinHash.
   shingles make one step only.
 * Documents with equal sets form one class at once. Class representatives are
   banded; the members of a bucket are verified, on their full sets, against
-  one pivot drawn for that bucket. Verified links are grouped by union-find.
+  two pivots: the member that meets most others in its buckets, and one drawn
+  at random. Verified links are grouped by union-find.
 * Remainder: in buckets that still hold several components, any further link
   must join two of them. Those documents meet again on the rarest shingles of
   their sets (a prefix long enough that sets of the wanted similarity share
@@ -39,6 +40,8 @@ from memweave.llm.textview import TextView, map_texts
 from memweave.session import materialize
 
 WORDS, BANDS, ROWS = 5, 28, 5
+#: Shingles that a row of the remainder's join carries; a longer head only prunes more.
+HEAD = 96
 #: Ids are broadcast up to this many (8 bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 2_000_000
 
@@ -157,27 +160,35 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def _remainder(members: DataFrame, sets: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs from different components that may be similar, among the documents of buckets that hold several components.
 
-    A set's prefix has n - ceil(percent/100 * n) + 1 of its shingles, rarest
-    first; two sets of the wanted similarity share a shingle of their prefixes.
+    Only shingles met in two components or more can be shared by such a pair,
+    so a document with ``c`` of them shares ``c`` at most. A set's prefix has
+    n - ceil(percent/100 * n) + 1 of its shingles, those of the fewest
+    components first; two sets of the wanted similarity share a shingle of
+    their prefixes, and a pair is listed at the first one they share. Each row
+    carries the first HEAD of its shareable shingles to bound the overlap.
     """
     named = members.join(groups, members["id"] == groups["node"], "left").select("key", "id", F.coalesce("component", "id").alias("g"))
     mixed = named.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low <> high").select("key")
     ids = materialize(named.join(mixed, "key", "left_semi").select("id", "g").distinct(), "rest")
-    items = sets.join(ids, "id").select("id", "g", "n", F.explode("items").alias("item"))
-    often = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
-    items = items.join(often, "item")
-    ranked = items.groupBy("id", "g", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("all"))
+    items = materialize(sets.join(ids, "id").select("id", "g", "n", F.explode("items").alias("item")), "rest")
+    often = items.select("item", "g").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("df"))
+    ranked = items.join(often, "item").groupBy("id", "g", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("all"))
     length = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
-    prefix = (ranked.select("id", "g", "n", F.explode(F.slice("all", F.lit(1), length.cast("int"))).alias("x"))
-              .select("id", "g", "n", F.col("x.item").alias("item"), F.col("x.df").alias("df")).filter("df > 1"))
-    prefix = materialize(prefix, "prefix")
-    # a shingle whose holders are all in one component cannot give a new link
-    useful = prefix.groupBy("item").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low <> high").select("item")
-    prefix = prefix.join(useful, "item", "left_semi")
-    a = prefix.select("item", F.col("id").alias("u"), F.col("g").alias("gu"), F.col("n").alias("nu"))
-    b = prefix.select("item", F.col("id").alias("v"), F.col("g").alias("gv"), F.col("n").alias("nv"))
-    pairs = a.join(b, "item").filter((F.col("u") > F.col("v")) & (F.col("gu") != F.col("gv")) & _may_match(F.col("nu"), F.col("nv"), percent))
-    return pairs.select("u", "v").distinct()
+    shared_items = F.transform(F.filter("all", lambda x: x["df"] > 1), lambda x: x["item"])
+    prefix = F.transform(F.filter(F.slice("all", F.lit(1), length.cast("int")), lambda x: x["df"] > 1), lambda x: x["item"])
+    ranked = ranked.select("id", "g", "n", shared_items.alias("common"), prefix.alias("prefix"))
+    ranked = ranked.select("id", "g", "n", F.size("common").alias("c"), F.slice("common", 1, HEAD).alias("head"), "prefix")
+    ranked = materialize(ranked.filter(_similar(F.col("c"), F.col("n"), F.col("c"), percent)), "prefix")
+    listed = ranked.select(F.explode("prefix").alias("item"), "id", "g", "n", "c", "head")
+    a, b = (listed.select(F.col("item").alias(f"item_{side}"), *[F.col(x).alias(f"{x}_{side}") for x in ("id", "g", "n", "c", "head")])
+            for side in "ab")
+    both = F.array_intersect("head_a", "head_b")
+    # what is shared lies in both heads or, at most, in all of the longer rest behind them
+    rest = F.greatest(F.col("c_a") - F.size("head_a"), F.col("c_b") - F.size("head_b"))
+    most = F.least("c_a", "c_b", F.size(both) + rest)
+    pairs = a.join(b, (F.col("item_a") == F.col("item_b")) & (F.col("id_a") > F.col("id_b")) & (F.col("g_a") != F.col("g_b"))
+                   & F.coalesce(F.get(both, 0) == F.col("item_a"), F.lit(True)) & _similar(most, F.col("n_a"), F.col("n_b"), percent))
+    return pairs.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct()
 
 
 def group_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, percent: int = 80) -> DataFrame:
@@ -192,10 +203,15 @@ def group_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     classes = materialize(linked.groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"),
                                                              F.any_value("bands").alias("bands")), "classes")
     members = classes.select("id", "n", F.explode("bands").alias("key"))
-    pivots = members.groupBy("key").agg(F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "n")).alias("p"),
-                                        F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = materialize(members.join(pivots.select("key", F.col("p.id").alias("pivot"), F.col("p.n").alias("pn")), "key"), "buckets")
-    pairs = (shared.filter((F.col("id") != F.col("pivot")) & _may_match(F.col("n"), F.col("pn"), percent))
+    often = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    shared = materialize(members.join(often, "key"), "buckets")
+    # a bucket's pivots: the member that meets the most others over all its buckets, and one drawn by a hash
+    degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
+    ranked = shared.join(degree, "id").groupBy("key").agg(F.max(F.struct("degree", "id", "n")).alias("p"),
+                                                          F.min(F.struct(F.xxhash64("id", "key").alias("h"), "id", "n")).alias("q"))
+    pivots = ranked.select("key", F.explode(F.array(F.struct("p.id", "p.n"), F.struct("q.id", "q.n"))).alias("x"))
+    pivots = materialize(pivots.select("key", F.col("x.id").alias("pivot"), F.col("x.n").alias("pn")), "pivots")
+    pairs = (shared.join(pivots, "key").filter((F.col("id") != F.col("pivot")) & _may_match(F.col("n"), F.col("pn"), percent))
              .select(F.greatest("id", "pivot").alias("u"), F.least("id", "pivot").alias("v")).distinct())
     pairs = materialize(pairs, "pairs")
     ids = materialize(shared.select("id").distinct(), "ids")
