@@ -10,8 +10,9 @@
    patterns depends on the labellers, not on the input's size.
 3. A hashed linear scorer (logistic loss, sparse weights over words, word
    beginnings and steps of the measures) learns the posteriors on a bounded
-   sample of documents: the first ``train_rows`` by a hash, among those the
-   annotators cover if there are any. It scores every whole text.
+   sample of documents: the first ``train_rows`` by a hash of those the
+   annotators cover, or, if these are few, of all others too. It scores every
+   whole text.
 
 ``kept`` is true when both scores are below ``threshold``.
 
@@ -180,19 +181,22 @@ def features(view: TextView, m: dict[str, np.ndarray], wanted: np.ndarray | None
 
 
 N_WEIGHTS = N_FEATURES + 11 * len(STEPS)
+#: Features met in fewer training rows get no weight.
+LEAST_ROWS = 4
+#: With fewer annotated training rows the others' weak labels are learned from as well.
+ENOUGH = 1000
 
 
 def fit_scorer(row: np.ndarray, index: np.ndarray, target: np.ndarray, weight: np.ndarray, *, rounds: int = 80,
-               penalty: float = 4e-4, least: int = 4) -> tuple[np.ndarray, float]:
+               penalty: float = 0.03) -> tuple[np.ndarray, float]:
     """Sparse logistic regression by proximal gradient steps with a rate for each weight: (weights, bias).
 
-    Features met in fewer than ``least`` rows get no weight.
+    The penalty shrinks with the root of the sample's size.
     """
     w, bias = np.zeros(N_WEIGHTS, np.float32), 0.0
     if not len(target):
         return w, bias
-    often = np.bincount(index, minlength=N_WEIGHTS)[index] >= least
-    row, index = row[often], index[often]
+    penalty /= np.sqrt(len(target))
     used, inverse = np.unique(index, return_inverse=True)
     own, square = np.zeros(len(used)), np.full(len(used), 1e-10)
     bias_square, total = 1e-10, max(weight.sum(), 1e-9)
@@ -234,7 +238,7 @@ TARGETS = (("junk_votes", 12), ("toxic_votes", 5))
 
 
 def classify(docs: DataFrame, labels: DataFrame | None = None, text_col: str = "text", id_col: str = "doc_id",
-             keep: list[str] | None = None, *, train_rows: int = 8000, threshold: float = 0.5) -> DataFrame:
+             keep: list[str] | None = None, *, train_rows: int = 6000, threshold: float = 0.5) -> DataFrame:
     """Columns ``keep`` (default: all) plus ``junk_score``, ``toxic_score`` and ``kept``.
 
     ``labels`` (doc_id, quality 0/1, toxic 0/1) may cover any part of the
@@ -276,11 +280,7 @@ def classify(docs: DataFrame, labels: DataFrame | None = None, text_col: str = "
 
 
 def _fit(own: DataFrame, labels: DataFrame | None, train_rows: int, posteriors: dict) -> list[tuple[np.ndarray, float]]:
-    """Weights of both scorers, from a sample of at most ``train_rows`` documents."""
-    sample = None
-    if labels is not None:
-        known = labels.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-        sample = own.join(F.broadcast(known), "_id", "left_semi")  # train_rows ids at most
+    """Weights of both scorers, from samples of at most ``train_rows`` annotated and as many other documents."""
     cols = [*_VOTE_COLS, StructField("features", ArrayType(IntegerType()))]
 
     def both(view: TextView) -> list[pa.Array]:
@@ -289,18 +289,26 @@ def _fit(own: DataFrame, labels: DataFrame | None, train_rows: int, posteriors:
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(index.astype(np.int32)))
         return [*_vote(view), lists]
 
-    def read(df: DataFrame):
-        return _annotated(map_texts(df, "_text", ["_id"], cols, both).filter("has_words"), labels).drop("_id").limit(train_rows).toPandas()
+    def read(df: DataFrame) -> pa.Table:
+        return _annotated(map_texts(df, "_text", ["_id"], cols, both).filter("has_words"), labels).drop("_id").limit(train_rows).toArrow()
 
-    rows = read(sample) if sample is not None else None
-    if rows is None or not len(rows):
-        rows = read(own.filter("_text is not null").orderBy(F.xxhash64("_text"), "_text").limit(train_rows))
-    row = np.repeat(np.arange(len(rows)), [len(x) for x in rows["features"]])
-    index = np.concatenate([*rows["features"], np.zeros(0, np.int64)]).astype(np.int64)
+    parts = []
+    if labels is not None:
+        known = labels.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
+        parts.append(read(own.join(F.broadcast(known), "_id", "left_semi")))  # train_rows ids at most
+    if not parts or parts[0].num_rows < ENOUGH:
+        parts.append(read(own.filter("_text is not null").orderBy(F.xxhash64("_text"), "_text").limit(train_rows)))
+    rows = pa.concat_tables(parts)
+    lists = rows["features"].combine_chunks()
+    index = lists.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(rows.num_rows, dtype=np.int32), lists.value_lengths().to_numpy(zero_copy_only=False))
+    # most features are words met once or twice; they go before anything else is made of them
+    often = np.bincount(index, minlength=N_WEIGHTS)[index] >= LEAST_ROWS
+    row, index = row[often], index[often]
     found = []
     for name, _ in TARGETS:
-        target = np.array([posteriors[name].get(int(c), 0.0) for c in rows[name]])
-        # both classes weigh the same: bad documents are the smaller one
-        weight = np.where(target > 0.5, len(target) / max((target > 0.5).sum(), 1), len(target) / max((target <= 0.5).sum(), 1))
+        target = np.array([posteriors[name].get(c, 0.0) for c in rows[name].to_pylist()])
+        # bad documents, the smaller class, weigh as much as the others, up to eight times each
+        weight = np.where(target > 0.5, min(8.0, (target <= 0.5).sum() / max((target > 0.5).sum(), 1)), 1.0)
         found.append(fit_scorer(row, index, target, weight))
     return found
