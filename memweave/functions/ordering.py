@@ -25,18 +25,18 @@ def running_total(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     group_cols, order_cols = list(group_cols), list(order_cols)
     value = F.lit(1) if value_col is None else F.col(value_col)
-    ranged = materialize(df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_pid", F.spark_partition_id()), "ranged")
-    before = Window.partitionBy(*group_cols, "_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_local", F.coalesce(F.sum(value).over(before), F.lit(0)))
-    sums = ranged.groupBy(*group_cols, "_pid").agg(F.sum(value).alias("_n"))
-    earlier = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*[F.col(c).alias(f"_g{k}") for k, c in enumerate(group_cols)], F.col("_pid").alias("_p"),
-                          F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
-    same = F.col("_pid") == F.col("_p")
+    ranged = materialize(df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_rt_pid", F.spark_partition_id()), "ranged")
+    before = Window.partitionBy(*group_cols, "_rt_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_rt_local", F.coalesce(F.sum(value).over(before), F.lit(0)))
+    sums = ranged.groupBy(*group_cols, "_rt_pid").agg(F.sum(value).alias("_rt_n"))
+    earlier = Window.partitionBy(*group_cols).orderBy("_rt_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*[F.col(c).alias(f"_rt_g{k}") for k, c in enumerate(group_cols)], F.col("_rt_pid").alias("_rt_p"),
+                          F.coalesce(F.sum("_rt_n").over(earlier), F.lit(0)).alias("_rt_off"))
+    same = F.col("_rt_pid") == F.col("_rt_p")
     for k, c in enumerate(group_cols):
-        same = same & F.col(c).eqNullSafe(F.col(f"_g{k}"))
-    out = local.join(offsets, same).withColumn(total_col, (F.col("_off") + F.col("_local")).cast("bigint"))
-    return out.drop("_pid", "_local", "_off", "_p", *[f"_g{k}" for k in range(len(group_cols))])
+        same = same & F.col(c).eqNullSafe(F.col(f"_rt_g{k}"))
+    out = local.join(offsets, same).withColumn(total_col, (F.col("_rt_off") + F.col("_rt_local")).cast("bigint"))
+    return out.drop("_rt_pid", "_rt_local", "_rt_off", "_rt_p", *[f"_rt_g{k}" for k in range(len(group_cols))])
 
 
 def dense_index(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str], index_col: str = "idx",

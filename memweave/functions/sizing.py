@@ -1,7 +1,9 @@
-"""Size checks before broadcasting.
+"""Size checks before broadcasting, by bytes and without running anything.
 
-A side is only broadcast when a count proves it small; otherwise the join is
-left to the planner (sort-merge / shuffled hash, re-planned by AQE).
+The planner's own size estimate of a side (file sizes and row widths) is read
+from its optimised plan. Up to ``BROADCAST_BYTES`` the side is broadcast; above,
+or where the estimate is unknown and hence huge, the join is left to the
+planner (sort-merge / shuffled hash, re-planned by AQE from real sizes).
 """
 
 from __future__ import annotations
@@ -9,22 +11,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
+#: Estimates count compressed file bytes, so this leaves room for rows that are several times larger in memory.
+BROADCAST_BYTES = 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS, *,
-                       known_small: bool | None = None) -> DataFrame:
-    """Hint a broadcast only when the row count is within ``max_rows``.
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of ``df``; no job is started."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    ``known_small`` passes a verdict already established by the caller (a
-    count of the table this one derives from), saving another count job.
-    """
-    small = known_small if known_small is not None else df.count() <= max_rows
-    return F.broadcast(df) if small else df
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
 
 
-def is_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
-    return df.count() <= max_rows
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES, *, known_small: bool | None = None) -> DataFrame:
+    """Hint a broadcast only when the estimate is within ``max_bytes``.
+
+    ``known_small`` passes a verdict already established by the caller for the
+    table this one derives from.
+    """
+    small = known_small if known_small is not None else is_small(df, max_bytes)
+    return F.broadcast(df) if small else df
 
 
 def rows_for_keys(big: DataFrame, keys: DataFrame, key_cols: list[str], *, small: bool) -> DataFrame:

@@ -143,16 +143,20 @@ def op_order(op: Column) -> Column:
     return expr
 
 
-def classified_upsert(state: DataFrame, batch: DataFrame, *, metadata_cols: Sequence[str],
-                      key_cols: Sequence[str] = KEY_COLS, seq_col: str = "seq") -> tuple[DataFrame, DataFrame]:
+def classified_upsert(state: DataFrame, batch: DataFrame, *, metadata_cols: Sequence[str] | None = None,
+                      metadata_col: str | None = None, key_cols: Sequence[str] = KEY_COLS,
+                      seq_col: str = "seq") -> tuple[DataFrame, DataFrame]:
     """Classify, then upsert only non-skip rows.
 
+    Metadata is one map column (``metadata_col``, which may be NULL) or the
+    non-null fields of ``metadata_cols``.
+
     Returns ``(new_state, report)``; the report has one row per batch row with
     ``op`` and ``op_order`` (skips, then upserts, then updates; input order
     inside each), sortable by ``(op_order, seq)``.
     """
     small = is_small(batch)  # one size check serves both joins below
-    labelled = classify(state, batch, metadata_cols=metadata_cols, key_cols=key_cols, batch_small=small)
+    labelled = classify(state, batch, metadata_cols=metadata_cols, metadata_col=metadata_col, key_cols=key_cols, batch_small=small)
     report = labelled.select(*key_cols, seq_col, "op", op_order(F.col("op")).alias("op_order"))
     changes = labelled.filter(F.col("op") != "skip").drop("op")
     new_state = upsert(state, changes, key_cols=key_cols, seq_col=seq_col, batch_small=small)
@@ -197,53 +201,67 @@ def batch_counts(batch: DataFrame, *, size: int = MAX_BATCH_SIZE, group_cols: Se
 # removal
 # ---------------------------------------------------------------------------
 
-def remove_keys(state: DataFrame, keys: DataFrame, *, key_cols: Sequence[str] = ("key",)) -> DataFrame:
-    """Drop rows whose key is listed; unknown keys are no-ops."""
-    out = state.join(broadcast_if_small(keys.select(*key_cols).distinct()), list(key_cols), "left_anti")
-    return out.select(*state.columns)
+def _outside(collection: str | None) -> Column:
+    """Rows that a removal from ``collection`` leaves alone (None: the state holds one collection, all are in scope)."""
+    return F.lit(False) if collection is None else ~F.coalesce(F.col("collection") == F.lit(collection), F.lit(False))
+
+
+def remove_keys(state: DataFrame, keys: DataFrame, *, collection: str | None = None,
+                key_cols: Sequence[str] = ("key",)) -> DataFrame:
+    """Drop rows of ``collection`` whose key is listed; unknown keys are no-ops.
+
+    Without ``collection`` the key columns must tell the collections apart, or the state hold one only.
+    """
+    key_cols = list(key_cols)
+    marks = broadcast_if_small(keys.select(*[F.col(c).alias(f"_del_{c}") for c in key_cols]).distinct())
+    same = ~_outside(collection)
+    for c in key_cols:
+        same = same & (state[c] == marks[f"_del_{c}"])
+    return state.join(marks, same, "left_anti").select(*state.columns)
 
 
-def remove_where(state: DataFrame, pred: Column | Mapping) -> DataFrame:
-    """Drop rows matching the filter; a row lacking a filter field stays."""
+def remove_where(state: DataFrame, pred: Column | Mapping, *, collection: str | None = None) -> DataFrame:
+    """Drop rows of ``collection`` matching the filter; a row lacking a filter field stays."""
     pred = pred if isinstance(pred, Column) else equality_filter(pred)
-    return state.filter(~F.coalesce(pred, F.lit(False)))
+    return state.filter(_outside(collection) | ~F.coalesce(pred, F.lit(False)))
 
 
-def remove_documents(state: DataFrame, document_ids: DataFrame, *, id_col: str = "document_id") -> DataFrame:
-    """U8: drop every record of the listed documents."""
-    ids = broadcast_if_small(document_ids.select(F.col(id_col).alias("document_id")).distinct())
-    return state.join(ids, "document_id", "left_anti").select(*state.columns)
+def remove_documents(state: DataFrame, document_ids: DataFrame, *, collection: str | None = None,
+                     id_col: str = "document_id") -> DataFrame:
+    """U8: drop every record of the listed documents from ``collection``."""
+    ids = document_ids.select(F.col(id_col).alias("document_id"))
+    return remove_keys(state, ids, collection=collection, key_cols=("document_id",))
 
 
-def clear_namespace(state: DataFrame, namespace: str) -> DataFrame:
-    """Drop a namespace; the empty namespace means everything."""
-    if namespace == "":
-        return state.filter(F.lit(False))
-    return state.filter(~F.coalesce(F.col("namespace") == F.lit(namespace), F.lit(False)))
+def clear_namespace(state: DataFrame, namespace: str, *, collection: str | None) -> DataFrame:
+    """Drop a namespace of ``collection``; the empty namespace means all of the collection.
+
+    The collection must be named; None says that the state holds one collection only.
+    """
+    gone = F.lit(True) if namespace == "" else F.coalesce(F.col("namespace") == F.lit(namespace), F.lit(False))
+    return state.filter(_outside(collection) | ~gone)
 
 
-def delete(state: DataFrame, *, ids: DataFrame | None = None, namespace: str | None = None,
+def delete(state: DataFrame, *, collection: str | None, ids: DataFrame | None = None, namespace: str | None = None,
            where: Mapping | Column | None = None, delete_all: bool = False) -> DataFrame:
-    """Delete rows matching ids AND namespace AND filter.
+    """Delete rows of ``collection`` matching ids AND namespace AND filter.
 
-    With ``delete_all`` the namespace (or, without one, everything) is cleared.
+    With ``delete_all`` the namespace (or, without one, the collection) is cleared.
     A request with no ids, namespace, filter or delete_all is an error.
     """
     if ids is None and namespace is None and where is None and not delete_all:
         raise CollectionError("delete needs ids, a namespace, a filter or delete_all")
     if delete_all:
-        return clear_namespace(state, namespace or "")
-    pred = F.lit(True)
+        return clear_namespace(state, namespace or "", collection=collection)
+    pred = ~_outside(collection)
     if namespace is not None:
         pred = pred & (F.col("namespace") == F.lit(namespace))
     if where is not None:
         pred = pred & (where if isinstance(where, Column) else equality_filter(where))
     if ids is None:
         return state.filter(~F.coalesce(pred, F.lit(False)))
-    marked = (broadcast_if_small(ids.select(F.col("key").alias("_del_key")).distinct()))
-    j = state.join(marked, state["key"] == marked["_del_key"], "left")
-    doomed = F.col("_del_key").isNotNull() & F.coalesce(pred, F.lit(False))
-    return j.filter(~doomed).drop("_del_key")
+    marked = broadcast_if_small(ids.select(F.col("key").alias("_del_key")).distinct())
+    return state.join(marked, (state["key"] == marked["_del_key"]) & F.coalesce(pred, F.lit(False)), "left_anti")
 
 
 # ---------------------------------------------------------------------------
@@ -279,7 +297,7 @@ def drop_collections(registry: DataFrame, names: DataFrame, *, strict: bool = Tr
         # The names list is small (it is a request); counting the misses is cheap.
         missing = n.join(registry.select("name"), "name", "left_anti").count()
         if missing:
-            raise CollectionError(f"Could not delete {missing} collection(s): not found")
+            raise CollectionError(f"{missing} of the named collections are unknown")
     return registry.join(broadcast_if_small(n), "name", "left_anti").select(*registry.columns)
 
 

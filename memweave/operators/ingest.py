@@ -108,11 +108,11 @@ def source_url(upload_mime: Column, url: Column) -> Column:
 def partition_gate(artifacts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Only extracted text in plain text or markdown is partitioned.
 
-    Returns ``(accepted, rejected)``; other artifact types pass through neither.
+    Returns ``(accepted, rejected)``; a NULL MIME type is rejected, and other artifact types pass through neither.
     """
     extracted = artifacts.filter(F.col("artifact_type") == TYPE_EXTRACTED_TEXT)
     ok = F.col("mime_type").isin(*PARTITIONABLE_MIME)
-    return extracted.filter(ok), extracted.filter(~ok)
+    return extracted.filter(ok), extracted.filter(~F.coalesce(ok, F.lit(False)))
 
 
 def partition_artifacts(files: DataFrame, *, max_tokens_per_line: int, max_tokens_per_paragraph: int,

@@ -69,11 +69,24 @@ def partitions_as_embeddings(partitions: DataFrame) -> DataFrame:
         F.lit("").alias("generator"), F.array().cast("array<float>").alias("embedding"))
 
 
-def stale_records(previous: DataFrame, current: DataFrame, *, key_col: str = "key") -> DataFrame:
-    """Records of earlier runs of the same documents that the current run no longer produces."""
-    docs = broadcast_if_small(current.select("document_id").distinct())
-    old = previous.join(docs, "document_id", "left_semi")
-    return old.join(current.select(key_col), key_col, "left_anti")
+def stale_records(previous: DataFrame, current: DataFrame, *, documents: DataFrame | None = None,
+                  collection: str | None = None, key_cols: Sequence[str] = ("collection", "namespace", "key")) -> DataFrame:
+    """Records of earlier runs of the same documents that the current run no longer produces.
+
+    ``documents`` (document_id) are the documents of the run, which may have
+    left no record at all; by default those of ``current``. Records of other
+    collections than ``collection`` (default: those named in ``current`` by the
+    full key) are never stale.
+    """
+    key_cols = list(key_cols)
+    docs = broadcast_if_small((documents if documents is not None else current).select("document_id").distinct())
+    scope = previous
+    if collection is not None:
+        scope = scope.filter(F.col("collection") == F.lit(collection))
+    elif "collection" in key_cols:
+        scope = scope.join(broadcast_if_small(current.select("collection").distinct()), "collection", "left_semi").select(*previous.columns)
+    old = scope.join(docs, "document_id", "left_semi").select(*previous.columns)
+    return old.join(current.select(*key_cols), key_cols, "left_anti").select(*previous.columns)
 
 
 def fan_out(records: DataFrame, targets: Sequence[str]) -> DataFrame:

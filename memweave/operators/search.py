@@ -32,7 +32,7 @@ from memweave.functions import vectors as V
 from memweave.functions.filters import equality_filter
 from memweave.functions.ordering import dense_index
 from memweave.functions.parallel import spread
-from memweave.functions.sizing import DEFAULT_BROADCAST_ROWS, rows_for_keys
+from memweave.functions.sizing import broadcast_if_small, is_small, rows_for_keys
 
 SCORE_DIGITS = 6
 POLICIES = ("memory", "remote")
@@ -194,7 +194,8 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     ``top_k=None`` (or negative) keeps every record above the floor.
 
     ``queries`` has ``qid_col``, ``query_vector_col`` and optional ``match_cols``
-    (e.g. ``collection``): a query only scores records with equal match values.
+    (e.g. ``collection``): a query only scores records with equal match values
+    and a vector as long as its own; ``without_counterpart`` lists the rest.
     Output: the query id, the record columns (vector only if asked) and ``score``.
     """
     _check_policy(policy)
@@ -218,7 +219,7 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     # block; cache it for those driver-side actions only (released below, the
     # returned plan reads the records and the broadcast, not the queries).
     qsel = queries.select(qid_col, query_vector_col, *match_cols).persist()
-    stats = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector_col)).alias("d")).first()
+    stats = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector_col)).alias("d")).first()  # longest vector sizes the blocks
     n_q, dim = int(stats["n"]), int(stats["d"] or 0)
     if n_q == 0 or dim <= 0:
         qsel.unpersist()
@@ -239,7 +240,7 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     for qb in blocks:
         part = _score_block(records, qb, top_k=None if unlimited else top_k, min_relevance=min_relevance, policy=policy, metric=metric,
                             higher=higher, qid_col=qid_col, query_vector_col=query_vector_col,
-                            match_cols=match_cols, key_col=key_col, vector_col=vector_col, dim=dim,
+                            match_cols=match_cols, key_col=key_col, vector_col=vector_col,
                             out_cols=out_cols, schema=schema)
         candidates = part if candidates is None else candidates.unionByName(part)
     qsel.unpersist()
@@ -254,15 +255,25 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
             .filter(F.col("_rn") <= top_k).drop("_rn"))
 
 
+def without_counterpart(records: DataFrame, queries: DataFrame, *, query_vector_col: str = "query_vector",
+                        vector_col: str = "embedding", match_cols: Sequence[str] = ()) -> DataFrame:
+    """Queries that no record can answer: none has equal match values and a vector of the query's length."""
+    there = records.select(*match_cols, F.size(vector_col).alias("_dim")).distinct()
+    wanted = queries.withColumn("_dim", F.size(query_vector_col))
+    return wanted.join(broadcast_if_small(there), [*match_cols, "_dim"], "left_anti").drop("_dim")
+
+
 def _score_block(records, qb, *, top_k, min_relevance, policy, metric, higher, qid_col, query_vector_col,
-                 match_cols, key_col, vector_col, dim, out_cols, schema) -> DataFrame:
+                 match_cols, key_col, vector_col, out_cols, schema) -> DataFrame:
     spark = records.sparkSession
     qpdf = qb.toPandas()  # bounded: the caller sized the block to the broadcast limit
     groups: dict = {}
     for mk, g in (qpdf.groupby(match_cols, sort=False, dropna=False) if match_cols else [((), qpdf)]):
         mk = mk if isinstance(mk, tuple) else (mk,)
-        Q, ok = _stack(g[query_vector_col], dim)
-        groups[mk] = (g[qid_col].to_numpy()[ok], Q[ok])
+        lengths = g[query_vector_col].map(lambda v: 0 if v is None else len(v))
+        for dim in sorted(set(lengths) - {0}):  # a query meets the records whose vectors are as long as its own
+            own = g[lengths == dim]
+            groups.setdefault(mk, []).append((dim, own[qid_col].to_numpy(), _stack(own[query_vector_col], dim)[0]))
     bc = spark.sparkContext.broadcast(groups)
     floor = min_relevance
     strict = policy == "remote"
@@ -277,12 +288,12 @@ def _score_block(records, qb, *, top_k, min_relevance, policy, metric, higher, q
                 mk = mk if isinstance(mk, tuple) else (mk,)
                 if mk not in qgroups:
                     continue
-                qids, Q = qgroups[mk]
-                if len(qids) == 0:
-                    continue
-                X, ok = _stack(g[vector_col], dim)
-                keys = np.asarray(g[key_col].astype(str).to_numpy(), dtype=str)
-                for lo in range(0, len(qids), 1024):
+                keys = g[key_col].to_numpy()
+                if keys.dtype == object:
+                    keys = np.asarray(g[key_col].astype(str).to_numpy(), dtype=str)
+                stacked = {dim: _stack(g[vector_col], dim) for dim, _, _ in qgroups[mk]}
+                for dim, qids, Q, lo in ((d, i, q, lo) for d, i, q in qgroups[mk] for lo in range(0, len(i), 1024)):
+                    X, ok = stacked[dim]
                     S = np.round(_score_matrix(Q[lo:lo + 1024], X, metric), SCORE_DIGITS)
                     S[:, ~ok] = np.nan
                     if floor is not None:
@@ -325,11 +336,12 @@ def terms(text: Column) -> Column:
 
 def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: int = 0,
                    doc_id_col: str = "doc_id", text_col: str = "text", qid_col: str = "qid",
-                   query_col: str = "query") -> DataFrame:
+                   query_col: str = "query", snippet_chars: int | None = SNIPPET_CHARS) -> DataFrame:
     """One page of keyword hits per query.
 
     Score = occurrences in the document of any distinct query term. Ranked by
     score desc, then document id; the page is ranks ``offset+1 .. offset+count``.
+    ``snippet_chars`` is the length of a hit's snippet (None: the whole text).
     ``1 <= count <= 10`` and ``offset >= 0`` or ``ValueError``.
     """
     if not 1 <= count <= 10:
@@ -337,9 +349,8 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
     if offset < 0:
         raise ValueError("offset must be >= 0")
     qterms = queries.select(qid_col, F.explode(F.array_distinct(terms(F.col(query_col)))).alias("term"))
-    small = qterms.count() <= DEFAULT_BROADCAST_ROWS
-    # A page holds at most count rows per query.
-    page_small = queries.count() * count <= DEFAULT_BROADCAST_ROWS
+    # Terms and page keys are in proportion to the query texts.
+    small = page_small = is_small(queries)
     vocab = qterms.select("term").distinct()
     if small:
         qterms, vocab = F.broadcast(qterms), F.broadcast(vocab)
@@ -356,7 +367,7 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
     page = (hits.withColumn("rank", F.row_number().over(w))
             .filter((F.col("rank") > offset) & (F.col("rank") <= offset + count)))
     snippets = rows_for_keys(docs, page, [doc_id_col], small=page_small).select(
-        doc_id_col, F.substring(F.col(text_col), 1, SNIPPET_CHARS).alias("snippet"))
+        doc_id_col, (F.col(text_col) if snippet_chars is None else F.substring(F.col(text_col), 1, snippet_chars)).alias("snippet"))
     return page.join(snippets, doc_id_col)
 
 
@@ -365,12 +376,12 @@ def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: i
 # ---------------------------------------------------------------------------
 
 def search_memory(records: DataFrame, queries: DataFrame, *, embedder, filters=None, min_relevance: float = 0.0,
-                  limit: int = -1, qid_col: str = "qid", query_col: str = "query", tags_col: str = "tags",
+                  limit: int, qid_col: str = "qid", query_col: str = "query", tags_col: str = "tags",
                   key_col: str = "key", vector_col: str = "embedding") -> DataFrame:
     """Embed each query text, keep records matching any tag filter, rank by cosine.
 
     ``filters`` is a list of ``{tag: value or [values]}``: OR across filters,
-    AND inside one. ``limit=-1`` means no limit. In-memory floor (``>=``).
+    AND inside one. ``limit=-1`` means no limit, which has to be asked for. In-memory floor (``>=``).
     """
     from memweave.functions.filters import tag_filters
 

@@ -102,37 +102,37 @@ def u5_batch_counts(spark, sf_dir):
 
 
 @register("u6_remove_keys", with_views(f"""
-SELECT {KEYS} FROM records r WHERE r.key NOT IN (SELECT key FROM request_keys)""", "records", "request_keys"))
+SELECT {KEYS} FROM records r WHERE NOT (r.collection = 'c1' AND r.key IN (SELECT key FROM request_keys))""", "records", "request_keys"))
 def u6_remove_keys(spark, sf_dir):
-    return C.remove_keys(records(spark, sf_dir), request_keys(spark, sf_dir)).select("collection", "namespace", "key")
+    return C.remove_keys(records(spark, sf_dir), request_keys(spark, sf_dir), collection="c1").select("collection", "namespace", "key")
 
 
 @register("u7_remove_filter", with_views(f"""
-SELECT {KEYS}, lang FROM records WHERE NOT coalesce(lang = 'en', false)""", "records"))
+SELECT {KEYS}, lang FROM records WHERE NOT (collection = 'c1' AND coalesce(lang = 'en', false))""", "records"))
 def u7_remove_filter(spark, sf_dir):
-    return C.remove_where(records(spark, sf_dir), {"lang": "en"}).select("collection", "namespace", "key", "lang")
+    return C.remove_where(records(spark, sf_dir), {"lang": "en"}, collection="c1").select("collection", "namespace", "key", "lang")
 
 
 @register("u8_remove_documents", with_views(f"""
 SELECT {KEYS}, document_id FROM records
-WHERE document_id NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 1)""", "records"))
+WHERE NOT (collection = 'c1' AND document_id IN (SELECT CAST(doc_id AS VARCHAR) FROM labels WHERE toxic = 1))""", "records"))
 def u8_remove_documents(spark, sf_dir):
     ids = load(spark, sf_dir, "labels").filter(F.col("toxic") == 1).select(F.col("doc_id").cast("string").alias("document_id"))
-    return C.remove_documents(records(spark, sf_dir), ids).select("collection", "namespace", "key", "document_id")
+    return C.remove_documents(records(spark, sf_dir), ids, collection="c1").select("collection", "namespace", "key", "document_id")
 
 
 @register("u9_clear_namespace", with_views(f"""
-SELECT {KEYS} FROM records WHERE namespace <> 'ns1'""", "records"))
+SELECT {KEYS} FROM records WHERE NOT (collection = 'c1' AND namespace = 'ns1')""", "records"))
 def u9_clear_namespace(spark, sf_dir):
-    return C.clear_namespace(records(spark, sf_dir), "ns1").select("collection", "namespace", "key")
+    return C.clear_namespace(records(spark, sf_dir), "ns1", collection="c1").select("collection", "namespace", "key")
 
 
 @register("u10_delete", with_views(f"""
 SELECT {KEYS}, lang FROM records r
-WHERE NOT (r.key IN (SELECT key FROM request_keys) AND r.namespace = 'ns2' AND coalesce(r.lang = 'en', false))""",
+WHERE NOT (r.collection = 'c1' AND r.key IN (SELECT key FROM request_keys) AND r.namespace = 'ns2' AND coalesce(r.lang = 'en', false))""",
     "records", "request_keys"))
 def u10_delete(spark, sf_dir):
-    out = C.delete(records(spark, sf_dir), ids=request_keys(spark, sf_dir), namespace="ns2", where={"lang": "en"})
+    out = C.delete(records(spark, sf_dir), collection="c1", ids=request_keys(spark, sf_dir), namespace="ns2", where={"lang": "en"})
     return out.select("collection", "namespace", "key", "lang")
 
 

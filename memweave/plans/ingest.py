@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from memweave.functions.sizing import broadcast_if_small
 from memweave.operators import collections as C
 from memweave.operators import embedding as E
 from memweave.operators import ingest as I
@@ -76,6 +77,12 @@ def stored_embeddings(state: DataFrame) -> DataFrame:
                         F.sha2(F.col("payload.text"), 256).alias("sha256"), "embedding")
 
 
+def own_records(state: DataFrame, documents: DataFrame, opts: IngestOptions) -> DataFrame:
+    """The records of a run's collection and documents."""
+    scope = state.filter(F.col("collection") == F.lit(opts.collection))
+    return scope.join(broadcast_if_small(documents), "document_id", "left_semi")
+
+
 def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
     """Collection rows keyed by record id, one namespace per generator."""
     recs = R.prepare_records(emb_rows, stamp=opts.stamp).withColumn("namespace", F.col("payload.vector_generator"))
@@ -84,15 +91,21 @@ def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
 
 
 def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> DataFrame:
-    """Chunks -> embeddings -> records -> purge stale -> upsert. Returns the new state."""
-    existing = stored_embeddings(state) if state is not None else None
+    """Chunks -> embeddings -> records -> purge stale -> upsert. Returns the new state.
+
+    Only records of ``opts.collection`` and of the documents in ``files`` are
+    read for reuse, purged or replaced; a document that gives no chunk any
+    more loses all its records there.
+    """
+    documents = files.select("document_id").distinct()
+    existing = stored_embeddings(own_records(state, documents, opts)) if state is not None else None
     new = records(embeddings(partitions(files, opts, materialize=True), opts, existing), opts)
     # The run's records feed both the purge and the upsert: write them once to
     # the shared checkpoint folder instead of recomputing chunks and vectors.
     new = write_once(new, "records")
     if state is None:
         return new
-    stale = R.stale_records(state, new).select("collection", "namespace", "key")
+    stale = R.stale_records(state, new, documents=documents, collection=opts.collection).select("collection", "namespace", "key")
     kept = state.join(stale, ["collection", "namespace", "key"], "left_anti")
     # Record keys are unique within a run, so every row carries the same sequence number.
     return C.upsert(kept, new.withColumn("seq", F.lit(0)), dedupe=False)

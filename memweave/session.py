@@ -21,7 +21,7 @@ LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
@@ -40,13 +40,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) do we pick a fresh scratch folder.
+    (local tests) do we pick a fresh scratch folder. On a cluster a folder of
+    the driver's own would be lost on the executors, so there an unset
+    ``spark.checkpoint.dir`` is an error.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if conf_dir:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(conf_dir)
         return conf_dir
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="memweave-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)

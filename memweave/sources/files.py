@@ -15,6 +15,12 @@ def expand(path: str) -> str:
     return os.path.expandvars(path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as the file listing names it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(expand(path))
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def scan_files(spark: SparkSession, path: str, *, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """(path, modificationTime, length, content) per file; unreadable paths fail the job."""
     reader = spark.read.format("binaryFile")
@@ -32,9 +38,8 @@ def file_inventory(spark: SparkSession, requested: DataFrame, root: str, *, path
     Only file metadata is read: the ``content`` column is pruned, so no file
     body is opened. ``requested[path_col]`` holds paths relative to ``root``.
     """
-    listing = scan_files(spark, root, glob=glob).select(
-        F.regexp_replace("path", "^file:", "").alias("_abs"), "length", "modificationTime")
-    base = expand(root).rstrip("/") + "/"
+    listing = scan_files(spark, root, glob=glob).select(F.col("path").alias("_abs"), "length", "modificationTime")
+    base = qualified(spark, root).rstrip("/") + "/"
     req = requested.withColumn("_abs", F.concat(F.lit(base), F.col(path_col)))
     return (req.join(listing, "_abs", "left")
             .select(path_col, F.col("length").isNotNull().alias("exists"), "length", "modificationTime"))

@@ -97,9 +97,11 @@ def _rewrite(spark: SparkSession, path: str, new_rows: DataFrame, parts: list[tu
         # Dynamic overwrite leaves partitions without new rows untouched: empty them explicitly.
         jvm = spark.sparkContext._jvm
         conf = spark.sparkContext._jsc.hadoopConfiguration()
+        # folder names are escaped as Spark's writer escapes them
+        escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         for coll, ns in emptied:
             ns_dir = ns if ns != "" else _DEFAULT_PARTITION
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/collection={coll}/namespace={ns_dir}")
+            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/collection={escape(coll)}/namespace={escape(ns_dir)}")
             p.getFileSystem(conf).delete(p, True)
 
 
@@ -127,11 +129,17 @@ def apply_classified_upsert(spark: SparkSession, path: str, batch: DataFrame, *,
 
 
 def apply_delete(spark: SparkSession, path: str, keys: DataFrame) -> None:
-    """U6 on disk: remove keys; only partitions holding a key are rewritten."""
+    """U6 on disk: remove the rows with the full keys (collection, namespace, key); only partitions holding one are rewritten."""
     state = read_state(spark, path)
-    hits = state.join(broadcast_if_small(keys.select("key").distinct()), "key", "left_semi")
-    parts = _touched(hits)
+    wanted = keys.select(*C.KEY_COLS).distinct()
+    apply_removal(spark, path, state.join(broadcast_if_small(wanted), list(C.KEY_COLS), "left_semi"),
+                  lambda rows: C.remove_keys(rows, wanted, key_cols=C.KEY_COLS))
+
+
+def apply_removal(spark: SparkSession, path: str, doomed: DataFrame, remove) -> None:
+    """U7-U10, B5 on disk: ``remove`` maps the rows of the partitions that hold ``doomed`` rows to those that stay."""
+    parts = _touched(doomed)
     if not parts:
         return
-    scoped = state.filter(_partition_filter(parts))
-    _rewrite(spark, path, C.remove_keys(scoped, keys).select(*state.columns), parts)
+    state = read_state(spark, path)
+    _rewrite(spark, path, remove(state.filter(_partition_filter(parts))).select(*state.columns), parts)

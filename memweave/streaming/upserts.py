@@ -17,8 +17,11 @@ from memweave.sources import store
 
 def run_upsert_stream(spark: SparkSession, *, source_dir: str, schema, state_path: str, checkpoint_path: str,
                       report_path: str, metadata_cols: list[str], files_per_batch: int = 1,
-                      available_now: bool = True, timeout_s: int | None = 600):
-    """Start the stream; with ``available_now`` it processes what is there and stops."""
+                      available_now: bool = True, timeout_s: int | None = None):
+    """Start the stream; with ``available_now`` it processes what is there and stops.
+
+    ``timeout_s`` (off by default) stops and fails a query that takes longer.
+    """
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
               .parquet(source_dir))
 

@@ -16,7 +16,7 @@ def usage_counters(messages: DataFrame, *, count_mode: str = "whitespace") -> Da
 
 
 def run_usage_stream(spark: SparkSession, *, source: str, schema, out_path: str, checkpoint_path: str,
-                     glob: str | None = None, files_per_batch: int = 1, timeout_s: int | None = 600):
+                     glob: str | None = None, files_per_batch: int = 1, timeout_s: int | None = None):
     """Each trigger rewrites the counter snapshot at ``out_path``; ``source`` is a folder."""
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:

@@ -70,11 +70,11 @@ def test_remove_and_delete_rules(spark):
     assert sorted(r.key for r in C.remove_keys(st, keys).collect()) == ["b", "c"]
     # a row lacking the filter field stays
     assert sorted(r.key for r in C.remove_where(st, {"lang": "en"}).collect()) == ["b", "c"]
-    assert C.clear_namespace(st, "").count() == 0
-    assert sorted(r.key for r in C.clear_namespace(st, "n").collect()) == ["c"]
+    assert C.clear_namespace(st, "", collection=None).count() == 0
+    assert sorted(r.key for r in C.clear_namespace(st, "n", collection=None).collect()) == ["c"]
     with pytest.raises(C.CollectionError):
-        C.delete(st)
-    out = C.delete(st, ids=keys, namespace="n", where={"lang": "en"})
+        C.delete(st, collection=None)
+    out = C.delete(st, collection=None, ids=keys, namespace="n", where={"lang": "en"})
     assert sorted(r.key for r in out.collect()) == ["b", "c"]
 
 
@@ -119,3 +119,44 @@ def test_batch_counts_blocks_of_100(spark):
                                    F.col("id").alias("seq"))
     rows = {(r.namespace, r.batch_no): r.n_vectors for r in C.batch_counts(b).collect() if r.collection}
     assert rows[("n", 0)] == 100 and rows[("n", 2)] == 50 and rows[("n", None)] == 250
+
+
+def test_removals_stay_in_their_collection(spark):
+    rows = [(c, n, k, f"d{k}", "en") for c in ("A", "B") for n in ("", "n") for k in ("a", "b")]
+    st = spark.createDataFrame(rows, "collection string, namespace string, key string, document_id string, lang string")
+    keys = spark.createDataFrame([("a",)], "key string")
+    docs = spark.createDataFrame([("da",)], "document_id string")
+    left = lambda df: sorted((r.collection, r.namespace, r.key) for r in df.collect())
+    all_b = [("B", n, k) for n in ("", "n") for k in ("a", "b")]
+    assert left(C.remove_keys(st, keys, collection="A")) == [("A", "", "b"), ("A", "n", "b"), *all_b]
+    assert left(C.remove_documents(st, docs, collection="A")) == [("A", "", "b"), ("A", "n", "b"), *all_b]
+    assert left(C.remove_where(st, {"lang": "en"}, collection="A")) == all_b
+    assert left(C.clear_namespace(st, "n", collection="A")) == [("A", "", "a"), ("A", "", "b"), *all_b]
+    assert left(C.clear_namespace(st, "", collection="A")) == all_b
+    assert left(C.delete(st, collection="A", ids=keys, namespace="n")) == [("A", "", "a"), ("A", "", "b"), ("A", "n", "b"), *all_b]
+    assert left(C.delete(st, collection="A", delete_all=True)) == all_b
+
+
+def test_null_metadata_updates_through_the_upsert(spark):
+    schema = "collection string, namespace string, key string, meta map<string,string>, v long, seq long"
+    st = spark.createDataFrame([("c", "n", "a", None, 1, 0)], schema)
+    batch = spark.createDataFrame([("c", "n", "a", None, 2, 1)], schema)
+    new, report = C.classified_upsert(st, batch, metadata_col="meta")
+    assert [r.op for r in report.collect()] == ["update"] and [r.v for r in new.collect()] == [2]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_dense_index_on_many_rows(spark, adaptive):
+    from pyspark.sql import functions as F
+
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    try:
+        df = spark.range(300_000).select((F.col("id") % 10_007).alias("g"), F.hash("id").alias("o"), "id", F.md5(F.col("id").cast("string")).alias("payload"))
+        one = dense_index(df.withColumn("z", F.lit(None).cast("int")), ["z"], ["o", "id"], "i", num_partitions=13)
+        got = one.agg(F.count("*"), F.countDistinct("i"), F.min("i"), F.max("i"), F.countDistinct("payload")).first()
+        assert tuple(got) == (300_000, 300_000, 0, 299_999, 300_000)
+        per = dense_index(df, ["g"], ["o", "id"], "i", num_partitions=13).groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("i").alias("d"), F.max("i").alias("m"))
+        assert per.filter("n <> d or m <> n - 1").count() == 0 and per.agg(F.sum("n")).first()[0] == 300_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)

@@ -131,3 +131,31 @@ def test_reingest_reuses_unchanged_vectors(spark):
     changed = docs.withColumn("text", F.when(F.col("doc_id") == 2, F.lit("three four")).otherwise(F.col("text")))
     again = {r.document_id: r.embedding for r in P.ingest(marked, P.import_files(changed), opts).collect()}
     assert again["1"] == [9.0] * 8 and again["2"] != [9.0] * 8
+
+
+def test_reingest_touches_its_collection_and_documents_only(spark):
+    """Two collections; one document edited, one emptied, one untouched, and the generator replaced."""
+    words = lambda tag: " ".join(f"{tag}{i}" for i in range(20))
+    docs = spark.createDataFrame([(1, words("a"), "en", "s"), (2, words("b"), "en", "s"), (3, words("c"), "en", "s")], DOCS)
+    base = dict(max_tokens_per_line=5, max_tokens_per_paragraph=10, overlap_tokens=0)
+    old = {c: P.IngestOptions(collection=c, generators=(("x.y.z.Gen", "g", 8),), **base) for c in "AB"}
+    state = P.ingest(P.ingest(None, P.import_files(docs), old["A"]), P.import_files(docs), old["B"])
+    changed = docs.filter("doc_id <> 3").withColumn("text", F.when(F.col("doc_id") == 1, F.lit(" ".join(f"z{i}" for i in range(8)))).otherwise(F.lit("")))
+    new = P.IngestOptions(collection="A", generators=(("x.y.z.Gen", "g2", 8),), **base)
+    out = P.ingest(state, P.import_files(changed), new)
+    rows = out.select("collection", "namespace", "document_id", "key", "embedding").collect()
+    keys = [(r.collection, r.namespace, r.key) for r in rows]
+    assert len(keys) == len(set(keys))
+    count = lambda **want: sum(all(getattr(r, k) == v for k, v in want.items()) for r in rows)
+    assert count(collection="B") == 6 and count(collection="A", document_id="3", namespace="g") == 2
+    assert count(collection="A", document_id="1", namespace="g") == 0 and count(collection="A", document_id="1", namespace="g2") == 1
+    assert count(collection="A", document_id="2") == 0
+    again = P.ingest(out, P.import_files(changed), new)
+    pick = lambda df: sorted((r.collection, r.namespace, r.key, tuple(r.embedding)) for r in df.collect())
+    assert pick(again) == pick(out)
+
+
+def test_null_mime_is_rejected(spark):
+    files = P.import_files(spark.createDataFrame([(1, "x y", "en", "s")], DOCS)).withColumn("mime_type", F.lit(None).cast("string"))
+    ok, bad = P.I.partition_gate(files)
+    assert ok.count() == 0 and bad.count() == 1

@@ -33,7 +33,14 @@ def test_get_batch_broadcasts_requests_and_prunes_vectors(spark):
 
 
 def test_classification_cuts_state_with_a_broadcast_semi_join(spark):
-    p = plan(spark, "u2_classify")
+    from memweave.operators import collections as C
+    from memweave.plans.collection_queries import META
+    from memweave.plans.fixtures import incoming, records
+    from memweave.session import materialize
+
+    # a batch in files, as the stream and the store see it: its size is known
+    batch = materialize(incoming(spark, SF), "batch")
+    p = C.classify(records(spark, SF), batch, metadata_cols=META)._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi, BuildRight" in p
 
 

@@ -140,3 +140,11 @@ def test_many_query_ids_only(spark):
     q = r.filter(F.col("key") == "k000").select(F.col("key").alias("qid"), F.col("embedding").alias("query_vector"))
     out = search.nearest_many(r, q, top_k=3, min_relevance=None, include_metadata=False)
     assert set(out.columns) == {"qid", "collection", "namespace", "key", "score"} and out.count() == 3
+
+
+def test_mixed_lengths_and_numeric_ties(spark):
+    rec = spark.createDataFrame([(2, [1.0, 0.0]), (10, [1.0, 0.0]), (30, [1.0, 0.0]), (4, [1.0, 0.0, 0.0])], "key long, embedding array<double>")
+    q = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0]), (3, [1.0])], "qid long, query_vector array<double>")
+    got = {(r.qid, r.key) for r in search.nearest_many(rec, q, top_k=1).collect()}
+    assert got == {(1, 2), (2, 4)}
+    assert [r.qid for r in search.without_counterpart(rec, q).collect()] == [3]

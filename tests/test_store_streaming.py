@@ -28,7 +28,7 @@ def test_upsert_rewrites_only_touched_partitions(spark, tmp_dir):
 def test_delete_empties_partition(spark, tmp_dir):
     path = f"{tmp_dir}/state"
     _state(spark, path)
-    store.apply_delete(spark, path, spark.createDataFrame([("k3",)], "key string"))
+    store.apply_delete(spark, path, spark.createDataFrame([("c", "b", "k3")], "collection string, namespace string, key string"))
     rows = sorted(r.key for r in store.read_state(spark, path).collect())
     assert rows == ["k1", "k2"]
 
@@ -71,5 +71,25 @@ def test_default_namespace_and_numeric_names_round_trip(spark, tmp_dir):
     store.create_state(df, path)
     rows = sorted((r.collection, r.namespace, r.key) for r in store.read_state(spark, path).collect())
     assert rows == [("007", "", "k1"), ("007", "", "k2")]
-    store.apply_delete(spark, path, spark.createDataFrame([("k1",), ("k2",)], "key string"))
+    store.apply_delete(spark, path, spark.createDataFrame([("007", "", "k1"), ("007", "", "k2")], "collection string, namespace string, key string"))
     assert store.read_state(spark, path).count() == 0
+
+
+def test_delete_keeps_other_collections_and_odd_names(spark, tmp_dir):
+    path, names = f"{tmp_dir}/state", ["ns:1", "x/y", "%", "a=b", "plain", ""]
+    schema = "collection string, namespace string, key string, lang string"
+    rows = [(c, n, "k", "en") for c in ("A", "B:1") for n in names]
+    store.create_state(spark.createDataFrame(rows, schema), path)
+    left = set(rows)
+    for c, n, k, lang in rows[:6]:
+        store.apply_delete(spark, path, spark.createDataFrame([(c, n, k)], "collection string, namespace string, key string"))
+        left.remove((c, n, k, lang))
+        assert {tuple(r) for r in store.read_state(spark, path).select("collection", "namespace", "key", "lang").collect()} == left
+
+
+def test_inventory_of_qualified_roots(spark, tmp_dir):
+    spark.createDataFrame([("a",)], "text string").coalesce(1).write.text(f"{tmp_dir}/t")
+    name = next(n for n in os.listdir(f"{tmp_dir}/t") if n.startswith("part"))
+    req = spark.createDataFrame([(name,), ("nope",)], "path string")
+    for root in (f"{tmp_dir}/t", f"file:{tmp_dir}/t", f"file://{tmp_dir}/t/"):
+        assert {r.path: r.exists for r in FS.file_inventory(spark, req, root).collect()} == {name: True, "nope": False}
