@@ -36,5 +36,6 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
         memory_queries,
         io_queries,
         search_queries,
+        file_queries,
     )
     return REGISTRY

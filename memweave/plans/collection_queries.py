@@ -10,7 +10,7 @@ from memweave.plans.fixtures import collections_registry, incoming, records, req
 from memweave.sources.tables import load
 
 META = ["document_id", "lang", "source"]
-STATE_SQL = "collection, namespace, key, document_id, lang, source, round(embedding[1]::DOUBLE, 6) AS emb_head"
+STATE_SQL = "collection, namespace, key, document_id, lang, source, round(list_sum(list_transform(embedding, lambda x, i: x::DOUBLE * i)), 4) AS emb_check"
 LATEST_SQL = """
 SELECT * FROM incoming
 QUALIFY row_number() OVER (PARTITION BY collection, namespace, key ORDER BY seq DESC) = 1"""
@@ -19,7 +19,9 @@ KEYS = "collection, namespace, key"
 
 def _state_out(df):
     return df.select("collection", "namespace", "key", "document_id", "lang", "source",
-                     F.round(F.element_at("embedding", 1).cast("double"), 6).alias("emb_head"))
+                     # every element, weighted by its place
+                     F.round(F.aggregate(F.transform("embedding", lambda x, i: x.cast("double") * (i + 1)), F.lit(0.0).cast("double"),
+                                         lambda a, x: a + x), 4).alias("emb_check"))
 
 
 def _not_in(alias_l: str, alias_r: str) -> str:
@@ -82,7 +84,7 @@ def u3_upsert_report(spark, sf_dir):
 , latest AS ({LATEST_SQL})
 SELECT r.collection, r.namespace, r.key, r.document_id,
        coalesce(l.lang, r.lang) AS lang, coalesce(l.source, r.source) AS source,
-       round(r.embedding[1]::DOUBLE, 6) AS emb_head
+       round(list_sum(list_transform(r.embedding, lambda x, i: x::DOUBLE * i)), 4) AS emb_check
 FROM records r LEFT JOIN latest l ON {_not_in('l', 'r')}""", "records", "incoming"))
 def u4_update_in_place(spark, sf_dir):
     changes = C.latest_per_key(incoming(spark, sf_dir)).select("collection", "namespace", "key", "lang", "source")
