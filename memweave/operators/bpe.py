@@ -14,12 +14,13 @@ Token ids (our contract, the original id file is not available): byte symbol
 from __future__ import annotations
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from memweave.functions.ordering import dense_index
-from memweave.operators.tokens import pretokens
+from memweave.operators.tokens import PRETOKEN_PATTERN, pretokens
 
 MAX_MERGES = 2_000_000  # broadcast guard: a merge table is a dictionary, not data
 
@@ -146,3 +147,22 @@ def count_bpe_tokens(text: Column | str, merges_bc) -> Column:
                          dtype="int32")
 
     return _count(pretokens(text))
+
+
+def word_counter(merges_bc):
+    """Counter for ``chunking.chunk_documents(mode='counter')``: a word counts the BPE tokens of a space and the word."""
+    pieces = regex.compile(PRETOKEN_PATTERN).findall
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def _count(lines: pd.Series) -> pd.Series:
+        vocab, seen = _vocab_from(merges_bc), {}
+
+        def tokens(word: str) -> int:
+            n = seen.get(word)
+            if n is None:
+                n = seen[word] = sum(len(vocab.encode_pretoken(t)) for t in pieces(" " + word))
+            return n
+
+        return pd.Series([[[tokens(w) for w in ws] for ws in (ls if ls is not None else [])] for ls in lines])
+
+    return _count

@@ -24,6 +24,8 @@ by one left fold (linear in sub-lines); chunks are built with ``slice``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ from memweave.functions.arrays import empty, let, sum_ints
 from memweave.functions.parallel import spread
 from memweave.operators.tokens import PRETOKEN_PATTERN, words
 
-CHUNK_MODES = ("whitespace", "pretoken")
+CHUNK_MODES = ("whitespace", "pretoken", "counter")
 HEADING_PATTERN = r"^#{1,6} "
 FENCE_PATTERN = r"^\s*```"
 
@@ -84,14 +86,24 @@ def _groups(starts: Column, fn) -> Column:
 PART_TYPE = "array<struct<pos:int,sub:int,line:string,n_tokens:int,heading:boolean>>"
 
 
+def units_of(text: Column, markdown: bool = False) -> Column:
+    """The lines of a text; with ``markdown`` each fenced block is one of them."""
+    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
+    return _fence_units(lines) if markdown else lines
+
+
 def sub_lines(text: Column, max_tokens_per_line: int, mode: str = "whitespace",
-              markdown: bool = False) -> Column:
-    """array<struct<pos:int, sub:int, line:string, n_tokens:int, heading:boolean>>."""
+              markdown: bool = False, word_counts: Column | None = None) -> Column:
+    """array<struct<pos:int, sub:int, line:string, n_tokens:int, heading:boolean>>.
+
+    In mode ``counter`` the tokens of every word of every line (of
+    ``units_of``) come from ``word_counts`` (array<array<int>>).
+    """
     if mode not in CHUNK_MODES:
         raise ValueError(f"mode must be one of {CHUNK_MODES}")
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    if markdown:
-        lines = _fence_units(lines)
+    if (mode == "counter") != (word_counts is not None):
+        raise ValueError("mode counter and word_counts go together")
+    lines = units_of(text, markdown)
     L = max_tokens_per_line
 
     def per_line(line, pos):
@@ -117,11 +129,13 @@ def sub_lines(text: Column, max_tokens_per_line: int, mode: str = "whitespace",
                             return mk(F.array_join(F.slice(ws, b0 + 1, bl), " "), sum_ints(F.slice(wc, b0 + 1, bl)), g)
                         return _groups(st, one)
                     return let(greedy_starts(wc, L), with_starts)
-                parts = let(F.transform(ws, lambda w: F.regexp_count(w, F.lit(PRETOKEN_PATTERN)).cast("int")),
-                            with_counts)
+                counts = (F.get(word_counts, pos) if mode == "counter"
+                          else F.transform(ws, lambda w: F.regexp_count(w, F.lit(PRETOKEN_PATTERN)).cast("int")))
+                parts = let(counts, with_counts)
             if markdown:
                 # A fenced block is one unit: kept verbatim, counted as a whole.
-                parts = F.when(fenced, F.array(mk(line, n, F.lit(0)))).otherwise(parts)
+                whole = sum_ints(F.get(word_counts, pos)) if mode == "counter" else n
+                parts = F.when(fenced, F.array(mk(line, whole, F.lit(0)))).otherwise(parts)
             return F.when(n > 0, parts).otherwise(F.array().cast(PART_TYPE))
 
         return let(words(line), build)
@@ -259,7 +273,8 @@ PACKERS = ("fold", "udf")
 
 def chunk_documents(docs: DataFrame, *, max_tokens_per_line: int, max_tokens_per_paragraph: int,
                     overlap_tokens: int = 0, mode: str = "whitespace", markdown: bool | Column = False,
-                    id_col: str = "doc_id", text_col: str = "text", keep_cols=(), packer: str = "fold") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", keep_cols=(), packer: str = "fold",
+                    word_counter: Callable[[Column], Column] | None = None) -> DataFrame:
     """C1-C3 (+C4, C6): one row per chunk (id, part_no, text, n_tokens, n_lines).
 
     Documents with no words produce no chunks (C6). ``markdown`` may be a
@@ -268,17 +283,29 @@ def chunk_documents(docs: DataFrame, *, max_tokens_per_line: int, max_tokens_per
     of a document's chunk count); ``packer='udf'`` sends only the sub-line
     token counts to a pandas UDF for the greedy pass (linear), for corpora
     with very long documents. Both give the same chunks.
+
+    With ``mode='counter'`` budgets count what ``word_counter`` says: it maps
+    the words of every line (array<array<string>>) to their token counts
+    (array<array<int>>), as ``bpe.word_counter`` does with a merge table.
     """
     validate(max_tokens_per_line, max_tokens_per_paragraph, overlap_tokens)
     if packer not in PACKERS:
         raise ValueError(f"packer must be one of {PACKERS}")
     text = F.col(text_col)
+    source, counts = spread(docs, id_col), None
+    if mode == "counter":
+        if word_counter is None or packer != "fold":
+            raise ValueError("mode counter needs a word_counter and the fold packer")
+        units = (F.when(markdown, units_of(text, True)).otherwise(units_of(text)) if isinstance(markdown, Column)
+                 else units_of(text, bool(markdown)))
+        source = source.withColumn("_word_counts", word_counter(F.transform(units, words)))
+        counts = F.col("_word_counts")
     if packer == "udf":
         def parts_of(md: bool) -> Column:
-            return sub_lines(text, max_tokens_per_line, mode, md)
+            return sub_lines(text, max_tokens_per_line, mode, md, counts)
         parts = (F.when(markdown, parts_of(True)).otherwise(parts_of(False)) if isinstance(markdown, Column)
                  else parts_of(bool(markdown)))
-        staged = spread(docs, id_col).select(id_col, *keep_cols, parts.alias("_parts"))
+        staged = source.select(id_col, *keep_cols, parts.alias("_parts"))
         staged = staged.withColumn("_starts", _greedy_udf(max_tokens_per_paragraph - overlap_tokens)(
             F.transform("_parts", lambda p: p["n_tokens"]), F.transform("_parts", lambda p: p["heading"])))
         chunks = paragraphs(F.col("_parts"), max_tokens_per_paragraph, overlap_tokens, starts=F.col("_starts"))
@@ -286,14 +313,14 @@ def chunk_documents(docs: DataFrame, *, max_tokens_per_line: int, max_tokens_per
                 .select(id_col, *keep_cols, "c.part_no", "c.text", "c.n_tokens", "c.n_lines"))
 
     def build(md: bool) -> Column:
-        return paragraphs(sub_lines(text, max_tokens_per_line, mode, md), max_tokens_per_paragraph,
+        return paragraphs(sub_lines(text, max_tokens_per_line, mode, md, counts), max_tokens_per_paragraph,
                           overlap_tokens, md)
 
     if isinstance(markdown, Column):
         chunks = F.when(markdown, build(True)).otherwise(build(False))
     else:
         chunks = build(bool(markdown))
-    return (spread(docs, id_col).select(id_col, *keep_cols, F.explode(chunks).alias("c"))
+    return (source.select(id_col, *keep_cols, F.explode(chunks).alias("c"))
             .select(id_col, *keep_cols, "c.part_no", "c.text", "c.n_tokens", "c.n_lines"))
 
 

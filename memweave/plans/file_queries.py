@@ -15,9 +15,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memweave.operators import bpe, search
+from memweave.operators import bpe, chunking, search
 from memweave.plans.catalog import register
 from memweave.plans.fixtures import records, with_views
+from memweave.plans.text_queries import CHUNK_OUT, WORD_RE2, chunk_ctes, sublines_sql
 from memweave.session import scratch_dir
 from memweave.sources import office
 from memweave.sources.files import write_text_files
@@ -113,9 +114,9 @@ def s9_load_merges(spark, sf_dir):
 MERGES = (("t", "h"), ("e", "r"), ("i", "n"), ("th", "e"), ("o", "n"), ("in", "g"), ("e", "n"), ("a", "n"), ("i", "on"), ("r", "e"), ("t", "ion"), ("d", "e"))
 
 
-def _merged_bytes() -> str:
+def _merged_bytes(text: str = "text") -> str:
     """DuckDB expression: bytes of the text after replacing, in rank order, each pair by one spare byte."""
-    symbol, expr = {}, "text"
+    symbol, expr = {}, text
     for rank, (left, right) in enumerate(MERGES):
         code = lambda s: symbol.get(s, f"'{s}'")
         symbol[left + right] = f"chr({rank + 14})"  # control bytes that no text holds
@@ -136,3 +137,22 @@ def n6_filter_query(spark, sf_dir):
     """N6 without a vector: the first ten keys that match."""
     out = search.query(records(spark, sf_dir), top_k=10, namespace="ns1", where={"lang": "en"})
     return out.select("collection", "namespace", "key", "lang")
+
+
+# With no line above the line limit every line is one sub-line, counted as a space before each of its words.
+LINE_SQL = f"""
+flat AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+worded AS (SELECT doc_id, pos, regexp_extract_all(raw, '{WORD_RE2}') AS ws FROM flat),
+sublines AS (SELECT doc_id, pos, 0 AS sub, array_to_string(ws, ' ') AS line, CAST({_merged_bytes("(' ' || array_to_string(ws, ' '))")} AS INTEGER) AS n
+             FROM worded WHERE len(ws) > 0)"""
+
+
+@register("c2_bpe_chunks", "WITH RECURSIVE " + chunk_ctes(1, 900, 0).replace(sublines_sql(1, "", "documents"), LINE_SQL.strip()) + CHUNK_OUT)
+def c2_bpe_chunks(spark, sf_dir):
+    """Lines packed by BPE token counts; the line limit is above any line."""
+    merges = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(MERGES)], "rank int, left string, right string")
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    ch = chunking.chunk_documents(docs, max_tokens_per_line=10**9, max_tokens_per_paragraph=900, mode="counter",
+                                  word_counter=bpe.word_counter(bpe.broadcast_vocabulary(merges)))
+    return ch.select(F.col("doc_id").cast("string").alias("document_id"), "part_no", F.col("n_tokens").cast("bigint").alias("n_tokens"),
+                     F.col("n_lines").cast("bigint").alias("n_lines"), F.length("text").cast("bigint").alias("n_chars"), F.sha2("text", 256).alias("sha256"))
