@@ -58,10 +58,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+#: Scratch folders handed out, by application.
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh folder under the shared checkpoint location for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders that this application was handed; returns their number.
+
+    For a caller that is done with all results: DataFrames that still read
+    written intermediate tables fail afterwards.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
 
 
 def materialize(df, name: str = "table"):

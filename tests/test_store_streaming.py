@@ -93,3 +93,16 @@ def test_inventory_of_qualified_roots(spark, tmp_dir):
     req = spark.createDataFrame([(name,), ("nope",)], "path string")
     for root in (f"{tmp_dir}/t", f"file:{tmp_dir}/t", f"file://{tmp_dir}/t/"):
         assert {r.path: r.exists for r in FS.file_inventory(spark, req, root).collect()} == {name: True, "nope": False}
+
+
+def test_scratch_is_released(spark):
+    from memweave import session
+
+    held = session._SCRATCH.pop(spark.sparkContext.applicationId, [])
+    try:
+        df = session.materialize(spark.range(3).toDF("x"), "t")
+        path = session._SCRATCH[spark.sparkContext.applicationId][0]
+        assert df.count() == 3 and os.path.isdir(path)
+        assert session.release_scratch(spark) == 1 and not os.path.exists(path)
+    finally:
+        session._SCRATCH[spark.sparkContext.applicationId] = held
