@@ -74,18 +74,19 @@ def stale_records(previous: DataFrame, current: DataFrame, *, documents: DataFra
     """Records of earlier runs of the same documents that the current run no longer produces.
 
     ``documents`` (document_id) are the documents of the run, which may have
-    left no record at all; by default those of ``current``. Records of other
-    collections than ``collection`` (default: those named in ``current`` by the
-    full key) are never stale.
+    left no record at all; by default those of ``current``. Only records of
+    ``collection`` can be stale; without it, those of a (collection, document)
+    that ``current`` names.
     """
     key_cols = list(key_cols)
-    docs = broadcast_if_small((documents if documents is not None else current).select("document_id").distinct())
-    scope = previous
-    if collection is not None:
-        scope = scope.filter(F.col("collection") == F.lit(collection))
-    elif "collection" in key_cols:
-        scope = scope.join(broadcast_if_small(current.select("collection").distinct()), "collection", "left_semi").select(*previous.columns)
-    old = scope.join(docs, "document_id", "left_semi").select(*previous.columns)
+    run = documents if documents is not None else current
+    if collection is None:
+        docs, on, scope = current, ["collection", "document_id"], previous
+    else:
+        docs, on, scope = run, ["document_id"], previous.filter(F.col("collection") == F.lit(collection))
+    if collection is None and documents is not None:
+        raise ValueError("documents need a collection")
+    old = scope.join(broadcast_if_small(docs.select(*on).distinct()), on, "left_semi").select(*previous.columns)
     return old.join(current.select(*key_cols), key_cols, "left_anti").select(*previous.columns)
 
 
