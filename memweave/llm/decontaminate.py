@@ -3,13 +3,14 @@ r"""Benchmark decontamination by template canonicalisation.
 Words ``[^\x20\x09-\x0D]+`` lose the ASCII punctuation at their ends and become
 tokens: a number (digits, or a number word), a unit after a number, or a name
 (a capitalised word) turns into a typed placeholder, any other word into its
-lower-case form. Windows of ``size`` tokens are hashed; a window with fewer
-than half literal tokens keeps its words, so placeholders alone never match.
+lower-case form. Every window of ``size`` tokens gets a literal key, the hash of
+its lower-case words, and a template key, the hash of its tokens, if at least
+half of these are literal, so placeholders alone never match.
 
 Benchmark windows and document windows meet in a hash join. Matches on one
 diagonal (document position minus item position) form an alignment; its slots
 (the words behind the placeholders) must map one to one, up to
-``max_conflicts`` of them, which catches re-parameterised questions and drops
+``max_conflicts`` of them (else only its literal windows count), which catches re-parameterised questions and drops
 chance template matches. A document is contaminated by an item when its
 consistent alignments cover ``min_share`` of the item's windows.
 
@@ -86,43 +87,47 @@ def tokens(view: TextView) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return row, kind, word
 
 
-def template_windows(view: TextView, size: int, whole_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, tuple]:
-    """(row, position in the row's tokens, key, parts for ``_slots``) of the windows of ``size`` tokens.
+def template_windows(view: TextView, size: int, whole_only: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, tuple]:
+    """(row, position in the row's tokens, literal key, template key, has a template key, parts for ``_slots``) of the windows of ``size`` tokens.
 
-    ``whole_only`` keeps rows of exactly ``size`` tokens.
+    The literal key names the lower-case words. A window has a template key if
+    it holds a placeholder and at least half literal tokens. ``whole_only``
+    keeps rows of exactly ``size`` tokens.
     """
     row, kind, word = tokens(view)
     at = windows(row, size)
     if whole_only and len(at):
         at = at[np.bincount(row, minlength=view.rows)[row[at]] == size]
     canonical = np.where(kind == LITERAL, word, mix(kind.astype(np.uint64) + np.uint64(77)))
-    literal = np.concatenate([[0], np.cumsum(kind == LITERAL)])
-    rich = 2 * (literal[at + size] - literal[at]) >= size if len(at) else np.zeros(0, bool)
-    key = np.where(rich, Sequences(canonical).runs(at, at + size), mix(Sequences(word).runs(at, at + size) + np.uint64(1)))
+    before = np.concatenate([[0], np.cumsum(kind == LITERAL)])
+    literal = before[at + size] - before[at] if len(at) else at
     begin = np.searchsorted(row, row[at]) if len(at) else at
-    return row[at], at - begin, key, (kind, word, at)
+    return (row[at], at - begin, Sequences(word).runs(at, at + size), Sequences(canonical).runs(at, at + size),
+            (literal < size) & (2 * literal >= size), (kind, word, at))
 
 
 def _slots(parts: tuple, pick: np.ndarray, size: int) -> np.ndarray:
-    kind, word, at = parts
     """Words behind the placeholders of the picked windows; 0 for a literal token."""
+    kind, word, at = parts
     index = at[pick][:, None] + np.arange(size)
     return np.where(kind[index] == LITERAL, np.uint64(0), word[index] | np.uint64(1))
 
 
 def _emit(view: TextView, sizes: list[int], whole: set[int], select) -> list[pa.Array]:
-    """Nested columns (pos, key, slots) of the chosen windows of every row, over all window sizes."""
+    """Nested columns (pos, key, slots) of the chosen windows of every row, over all window sizes; a literal window has no slots."""
     found = []
     for size in sizes:
-        row, pos, key, parts = template_windows(view, size, size in whole)
-        pick = np.flatnonzero(select(key)) if select is not None else np.arange(len(key))
-        slots = _slots(parts, pick, size)
-        found.append((row[pick], pos[pick], key[pick], slots, np.full(len(pick), size)))
+        row, pos, literal, template, has, parts = template_windows(view, size, size in whole)
+        pick = np.flatnonzero(select(literal)) if select is not None else np.arange(len(literal))
+        found.append((row[pick], pos[pick], literal[pick], np.zeros(0, np.uint64), np.zeros(len(pick), np.int64)))
+        pick = np.flatnonzero(has)
+        pick = pick[select(template[pick])] if select is not None else pick
+        found.append((row[pick], pos[pick], template[pick], _slots(parts, pick, size).ravel(), np.full(len(pick), size, np.int64)))
     row = np.concatenate([f[0] for f in found])
     order = np.argsort(row, kind="stable")
     outer = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=view.rows))]).astype(np.int32))
     lens = np.concatenate([f[4] for f in found])
-    flat = np.concatenate([f[3].ravel() for f in found])
+    flat = np.concatenate([f[3] for f in found])
     slots = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32)), signed(flat)).take(pa.array(order))
     cols = [pa.array(np.concatenate([f[1] for f in found])[order].astype(np.int32)), signed(np.concatenate([f[2] for f in found])[order]), slots]
     return [pa.ListArray.from_arrays(outer, c) for c in cols]
@@ -178,13 +183,17 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col:
         hits = materialize(hits, "hits")  # only windows that the benchmark has too
     right = wanted.select(F.col("id").alias("item"), F.col("pos").alias("item_pos"), "key", F.col("slots").alias("item_slots"))
     pairs = F.filter(F.zip_with("item_slots", "slots", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda x: x["a"] != 0)
-    met = hits.join(right, "key").select("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos", pairs.alias("pairs"))
+    met = hits.join(right, "key").select("id", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal"), "item_pos", pairs.alias("pairs"),
+                                              (F.size("slots") == 0).alias("literal"))
     # an alignment has at most as many rows as its item has windows
-    aligned = met.groupBy("id", "item", "diagonal").agg(F.collect_set("item_pos").alias("at"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    aligned = met.groupBy("id", "item", "diagonal").agg(
+        F.collect_set("item_pos").alias("all"), F.collect_set(F.when(F.col("literal"), F.col("item_pos"))).alias("exact"),
+        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
     n, a, b = F.size("pairs"), F.size(F.array_distinct(F.transform("pairs", lambda x: x["a"]))), F.size(F.array_distinct(F.transform("pairs", lambda x: x["b"])))
-    consistent = aligned.filter(n - F.least(a, b) <= F.lit(max_conflicts) * n)
+    consistent = n - F.least(a, b) <= F.lit(max_conflicts) * n
+    covered = aligned.select("id", "item", F.explode(F.when(consistent, F.col("all")).otherwise(F.col("exact"))).alias("p"))
     total = wanted.groupBy(F.col("id").alias("item")).agg(F.count_distinct("pos").alias("item_windows"))
-    cover = (consistent.select("id", "item", F.explode("at").alias("p")).groupBy("id", "item").agg(F.count_distinct("p").alias("n_windows")))
+    cover = covered.groupBy("id", "item").agg(F.count_distinct("p").alias("n_windows"))
     both = cover.join(total.withColumnRenamed("item", "_item"), F.col("item").eqNullSafe(F.col("_item"))).drop("_item")
     return both.filter(F.col("n_windows") >= F.lit(min_share) * F.col("item_windows"))
 

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from memweave.functions.sizing import broadcast_if_small
 from memweave.llm.bytespans import BYTE_LOWER, Hasher, Sequences, mix, ranges, signed, slices
 from memweave.llm.textview import TextView, map_texts
 from memweave.session import materialize
@@ -196,8 +197,9 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     gone = materialize(removed_lines(docs, text_col, id_col, min_words=min_words, near_words=near_words), "gone")
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
-    marked = kept.join(gone.select(F.col("id").alias("_gone_id"), F.col("removed").alias("_removed")),
-                       F.col(f"`{id_col}`") == F.col("_gone_id"), "left")
+    # line numbers only, broadcast while their files are small: then the texts are not shuffled
+    numbers = broadcast_if_small(gone.select(F.col("id").alias("_gone_id"), F.col("removed").alias("_removed")))
+    marked = kept.join(numbers, F.col(f"`{id_col}`") == F.col("_gone_id"), "left")
     at = names.index(text_col)
     schema = StructType([*kept.schema.fields, StructField(n_lines, LongType()), StructField(n_removed, LongType())])
 

@@ -40,6 +40,11 @@ def test_reparameterised_questions(spark):
     assert got == {0: [7], 1: [7], 2: [7], 3: [], 4: [], 5: []}
 
 
+def test_case_and_punctuation_do_not_hide_an_item(spark):
+    texts = ["xx " + ITEM.upper() + " yy", ITEM.lower(), "- " + " ** ".join(ITEM.split()), "\n".join(ITEM.replace(",", "").split())]
+    assert found(spark, texts) == {0: [7], 1: [7], 2: [7], 3: [7]}
+
+
 def test_short_items_match_whole(spark):
     got = found(spark, ["Ich frage: Was ist das? Nichts.", "Was ist das", "Was ist denn das?"])
     assert got == {0: [8], 1: [8], 2: []}
