@@ -46,12 +46,12 @@ def local_forest(links: DataFrame) -> DataFrame:
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(both.groupBy("u").agg(F.min("v").alias("m")), "least")  # written, so a hub's rows can be split in the join
     return both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.least("m", "u").alias("v")).filter("u <> v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialize(links.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = links.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
 

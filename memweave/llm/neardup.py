@@ -137,7 +137,7 @@ def shingle_sets(docs: DataFrame, text_col: str, id_col: str, ids: DataFrame) ->
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("_text"))
     own = own.join(F.broadcast(ids) if small else ids, "id", "left_semi")
     sets = map_texts(own, "_text", ["id"], [StructField("n", LongType()), StructField("items", ArrayType(LongType()))], work)
-    return materialize(sets, "sets").dropDuplicates(["id"])
+    return materialize(sets.dropDuplicates(["id"]), "sets")
 
 
 def _similar(shared: Column, n1: Column, n2: Column, percent: int) -> Column:
@@ -168,10 +168,10 @@ def _remainder(members: DataFrame, sets: DataFrame, groups: DataFrame, percent:
     carries the first HEAD of its shareable shingles to bound the overlap.
     """
     named = members.join(groups, members["id"] == groups["node"], "left").select("key", "id", F.coalesce("component", "id").alias("g"))
-    mixed = named.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low <> high").select("key")
+    mixed = materialize(named.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low <> high").select("key"), "mixed")
     ids = materialize(named.join(mixed, "key", "left_semi").select("id", "g").distinct(), "rest")
     items = materialize(sets.join(ids, "id").select("id", "g", "n", F.explode("items").alias("item")), "rest")
-    often = items.select("item", "g").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("df"))
+    often = materialize(items.select("item", "g").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("df")), "often")
     ranked = items.join(often, "item").groupBy("id", "g", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("all"))
     length = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
     shared_items = F.transform(F.filter("all", lambda x: x["df"] > 1), lambda x: x["item"])
@@ -203,7 +203,8 @@ def group_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     classes = materialize(linked.groupBy("s1", "s2", "n").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("size"),
                                                              F.any_value("bands").alias("bands")), "classes")
     members = classes.select("id", "n", F.explode("bands").alias("key"))
-    often = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    # written aggregates: both sides of the joins with them are shuffled, so a hot key's rows can be split
+    often = materialize(members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "sizes")
     shared = materialize(members.join(often, "key"), "buckets")
     # a bucket's pivots: the member that meets the most others over all its buckets, and one drawn by a hash
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
