@@ -77,6 +77,10 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 SENTENCE = re.compile(r"[.!?,;:]")
 
 
+#: Pages above this length are no training pages, so that the sample stays small on the driver.
+TRAIN_CHARS = 100_000
+
+
 class Page:
     """Tree of one page: parallel lists over elements in page order; element 0 is the root."""
 
@@ -291,10 +295,10 @@ def trained(pages: DataFrame, html_col: str, train_pages: int, layouts: int) ->
     from memweave.llm.training import layouts as laid_out
 
     html = F.col(f"`{html_col}`")
-    sample = pages.select(html.alias("h")).filter(html.isNotNull()).orderBy(F.xxhash64(html), html).limit(train_pages)
+    sample = pages.select(html.alias("h")).filter(html.isNotNull() & (F.length(html) <= TRAIN_CHARS)).orderBy(F.xxhash64(html), html).limit(train_pages)
     own = []
     for r in sample.collect():
-        page = Page(r["h"][:100_000])
+        page = Page(r["h"])
         label = landmark_labels(page)
         if label is not None:
             own.append((page, label))

@@ -183,6 +183,8 @@ def features(view: TextView, m: dict[str, np.ndarray], wanted: np.ndarray | None
 N_WEIGHTS = N_FEATURES + 11 * len(STEPS)
 #: Features met in fewer training rows get no weight.
 LEAST_ROWS = 4
+#: Documents above this length are no training documents, so that the sample's features stay small on the driver.
+TRAIN_CHARS = 200_000
 #: With fewer annotated training rows the others' weak labels are learned from as well.
 ENOUGH = 1000
 
@@ -292,12 +294,12 @@ def _fit(own: DataFrame, labels: DataFrame | None, train_rows: int, posteriors:
     def read(df: DataFrame) -> pa.Table:
         return _annotated(map_texts(df, "_text", ["_id"], cols, both).filter("has_words"), labels).drop("_id").limit(train_rows).toArrow()
 
-    parts = []
+    parts, fit_for = [], own.filter(F.length("_text") <= TRAIN_CHARS)
     if labels is not None:
         known = labels.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-        parts.append(read(own.join(F.broadcast(known), "_id", "left_semi")))  # train_rows ids at most
+        parts.append(read(fit_for.join(F.broadcast(known), "_id", "left_semi")))  # train_rows ids at most
     if not parts or parts[0].num_rows < ENOUGH:
-        parts.append(read(own.filter("_text is not null").orderBy(F.xxhash64("_text"), "_text").limit(train_rows)))
+        parts.append(read(fit_for.orderBy(F.xxhash64("_text"), "_text").limit(train_rows)))
     rows = pa.concat_tables(parts)
     lists = rows["features"].combine_chunks()
     index = lists.flatten().to_numpy(zero_copy_only=False)
