@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from memweave.llm.boosting import BoostedTrees
+from memweave.llm.sampling import first_by_hash
 
 #: HTML element classes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -295,9 +296,11 @@ def trained(pages: DataFrame, html_col: str, train_pages: int, layouts: int) ->
     from memweave.llm.training import layouts as laid_out
 
     html = F.col(f"`{html_col}`")
-    sample = pages.select(html.alias("h")).filter(html.isNotNull() & (F.length(html) <= TRAIN_CHARS)).orderBy(F.xxhash64(html), html).limit(train_pages)
+    usable = pages.select(html.alias("h")).filter(html.isNotNull() & (F.length(html) <= TRAIN_CHARS))
+    # equal pages count once, so there are train_pages of them at most
+    sample = first_by_hash(usable, F.col("h"), train_pages).groupBy(F.xxhash64("h").alias("k")).agg(F.min("h").alias("h"))
     own = []
-    for r in sample.collect():
+    for r in sorted(sample.collect()):
         page = Page(r["h"])
         label = landmark_labels(page)
         if label is not None:
