@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, StringType, StructField
 
+from memweave.llm.sampling import first_by_hash
 from memweave.llm.textview import TextView, map_texts
 
 WINDOW, WINDOWS_PER_ROW = 256, 6
@@ -144,7 +145,7 @@ def probabilities(p: dict, tables: list[np.ndarray], x: np.ndarray, block: int =
 
 def learn(rows: DataFrame, train_rows: int) -> tuple[list[str], dict] | None:
     """(languages, parameters) from rows (id, lang, _text); None if there is nothing to learn from."""
-    sample = rows.filter("lang is not null and _text is not null").orderBy(F.xxhash64("id"), "id").limit(train_rows)
+    sample = first_by_hash(rows.filter("lang is not null and _text is not null"), F.col("id"), train_rows)
 
     def spread(view: TextView) -> list[pa.Array]:
         row, start, end = cut(view.data, view.offs)
@@ -158,13 +159,14 @@ def learn(rows: DataFrame, train_rows: int) -> tuple[list[str], dict] | None:
             lists[r].append(w.tobytes())
         return [pa.array(lists, pa.list_(pa.binary()))]
 
-    got = map_texts(sample, "_text", ["lang"], [StructField("windows", ArrayType(BinaryType()))], spread).toPandas()
-    pairs = [(lang, w) for lang, ws in zip(got["lang"], got["windows"]) for w in ws]
+    got = map_texts(sample, "_text", ["lang"], [StructField("windows", ArrayType(BinaryType()))], spread).limit(train_rows).toPandas()
+    pairs = [(lang, bytes(w)) for lang, ws in zip(got["lang"], got["windows"]) for w in ws]
     if not pairs:
         return None
+    pairs.sort()  # the order of the tasks must not matter
     names = sorted({lang for lang, _ in pairs})
     number = {n: k for k, n in enumerate(names)}
-    x = np.frombuffer(b"".join(bytes(w) for _, w in pairs), np.uint8).reshape(-1, WINDOW)
+    x = np.frombuffer(b"".join(w for _, w in pairs), np.uint8).reshape(-1, WINDOW)
     return names, train(x, np.array([number[lang] for lang, _ in pairs]), len(names))
 
 
