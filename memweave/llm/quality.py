@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType, IntegerType, LongType, StructField
 
 from memweave.llm.bytespans import BYTE_LOWER, Hasher, mix
+from memweave.llm.sampling import first_by_hash
 from memweave.llm.textview import IS_CONTINUATION, IS_LETTER, IS_SYMBOL, IS_UPPER, TextView, byte_set, map_texts
 
 #: Words of abuse, lower case (two overlapping lists for two labellers).
@@ -299,7 +300,7 @@ def _fit(own: DataFrame, labels: DataFrame | None, train_rows: int, posteriors:
         known = labels.select(F.col("doc_id").alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
         parts.append(read(fit_for.join(F.broadcast(known), "_id", "left_semi")))  # train_rows ids at most
     if not parts or parts[0].num_rows < ENOUGH:
-        parts.append(read(fit_for.orderBy(F.xxhash64("_text"), "_text").limit(train_rows)))
+        parts.append(read(first_by_hash(fit_for, F.col("_text"), train_rows)))
     rows = pa.concat_tables(parts)
     lists = rows["features"].combine_chunks()
     index = lists.flatten().to_numpy(zero_copy_only=False)
