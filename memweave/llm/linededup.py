@@ -182,8 +182,9 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
                                                 F.any_value("halves").alias("halves")), "distinct")
     halves = first.select("lh", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).filter("a <> b").select("half")
+    shared = materialize(shared, "halves")  # written, so the rows of a hot half can be split in the join
     wanted = materialize(halves.join(shared, "half", "left_semi").select("first.id", "first.no").distinct(), "candidates")
-    words = materialize(_candidate_words(own, wanted), "words").dropDuplicates(["lh"])
+    words = materialize(_candidate_words(own, wanted).dropDuplicates(["lh"]), "words")
     near = _near(words).select("lh", F.lit(True).alias("near"))
     told = materialize(first.select("lh", "first", "n").join(near, "lh", "left").filter("n > 1 or near")
                        .select("lh", "first", F.coalesce("near", F.lit(False)).alias("near")), "told")
