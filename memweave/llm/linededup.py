@@ -1,7 +1,8 @@
 r"""Near-duplicate lines by a deletion-neighbourhood join.
 
 A line (text between ``\n``) counts as its words ``[^\x20\x09-\x0D]+`` with
-A-Z in lower case. Lines of fewer than ``min_words`` words are left alone. Two
+A-Z in lower case. Lines of fewer than ``min_words`` words are left alone; by
+default that is only lines without a word, so equal short lines go too. Two
 lines match if their words are equal, or, when both have ``near_words`` words
 or more, if one word inserted, deleted or replaced turns one into the other
 (edit distance 1 over words). A line is removed when an earlier line, by
@@ -174,7 +175,7 @@ def _near(lines: DataFrame) -> DataFrame:
     return both.select("lh", "words", "others").mapInArrow(verify, "lh long").distinct()
 
 
-def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 5, near_words: int = 10) -> DataFrame:
+def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10) -> DataFrame:
     """(id, removed): sorted numbers (from 0) of the lines of each document that match an earlier line."""
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("_text")).filter("id is not null")
     lines = materialize(_line_table(own, min_words, near_words), "lines")
@@ -192,7 +193,7 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     return gone.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("removed"))
 
 
-def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 5, near_words: int = 10,
+def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10,
                         n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     """All columns of ``docs`` with ``text_col`` free of its repeated lines, plus the line counts before and removed."""
     gone = materialize(removed_lines(docs, text_col, id_col, min_words=min_words, near_words=near_words), "gone")

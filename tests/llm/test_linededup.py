@@ -75,3 +75,17 @@ def test_within_one_edit():
     assert within_one_edit([1, 2, 3], [1, 2, 3]) and within_one_edit([1, 2, 3], [1, 9, 3]) and within_one_edit([1, 2], [1, 9, 2])
     assert within_one_edit([], [1]) and not within_one_edit([1, 2, 3], [3, 2, 1]) and not within_one_edit([1], [1, 2, 3])
     assert not within_one_edit([1, 2, 3, 4], [2, 3, 4, 1])
+
+
+def test_equal_lines_have_no_word_floor(spark):
+    page = "Title\nA first line that is long enough to count here.\nBy me\n日本語の文には空白がない。\n\n* * *\nThe end."
+    rows = [(1, page), (2, page), (3, page + "\nthe END.\nown words"), (4, None), (None, page)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (page, 0), 2: ("", 6), 3: ("\nown words", 7), 4: (None, 0), None: (page, 0)}
+
+
+def test_small_table_with_short_lines(spark):
+    docs = load(spark, SF, "documents").filter("length(text) < 3000")
+    gone = brute([(r.doc_id, r.text) for r in docs.collect()], min_words=1)
+    got = {r.doc_id: r.n_removed for r in drop_repeated_lines(docs).collect() if r.n_removed}
+    assert got == {i: len(v) for i, v in gone.items()}
