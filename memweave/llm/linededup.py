@@ -4,8 +4,8 @@ A line (text between ``\n``) counts as its words ``[^\x20\x09-\x0D]+`` with
 A-Z in lower case. Lines of fewer than ``min_words`` words are left alone; by
 default that is only lines without a word, so equal short lines go too. Two
 lines match if their words are equal, or, when both have ``near_words`` words
-or more, if one word inserted, deleted or replaced turns one into the other
-(edit distance 1 over words). A line is removed when an earlier line, by
+or more, if their edit distance over words (insert, delete, replace) is at most
+``edit_percent`` percent of the words of the shorter one, and at least 1. A line is removed when an earlier line, by
 (document id, line number), matches it.
 
 1. Equal lines meet on their hash; the earliest one stands for them.
@@ -18,6 +18,12 @@ or more, if one word inserted, deleted or replaced turns one into the other
    Aggregates keep the earliest line of each key, so the members of a key are
    never paired with each other.
 4. Each (line, earliest match) is verified by its edit distance.
+5. Lines long enough for two edits meet on marks: k edits leave a run of
+   (w - k) / (k + 1) words or more whole, and the smallest hash of every few
+   neighbouring word runs (winnowing) picks one mark at least inside it, in
+   both lines, at places up to k apart. Lines are verified against the earliest
+   line of their marks first; those it does not match are verified against all
+   earlier ones that share a mark at such a place and have such a length.
 
 Edge cases: null and empty texts have no lines that count and come back as
 they are; rows with a null id neither remove lines nor lose any; rows that
@@ -26,11 +32,12 @@ share an id count as one document; extra columns pass through.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -60,8 +67,48 @@ def _nested(row: np.ndarray, rows: int, *columns: pa.Array) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(offsets, c) for c in columns]
 
 
-def _line_table(own: DataFrame, min_words: int, near_words: int) -> DataFrame:
-    """(id, no, w, lh, halves): every line that counts; halves are the keys of step 2."""
+def _bound(words, edit_percent: int):
+    """Edits allowed for a shorter line of so many words (numbers or a column)."""
+    if isinstance(words, Column):
+        return F.greatest(F.lit(1), F.floor(words * edit_percent / 100))
+    return max(1, words * edit_percent // 100)
+
+
+def _mark_sizes(near_words: int, edit_percent: int) -> tuple[int, int, int] | None:
+    """(words of the shortest line with two edits, words of a run, neighbouring runs of which one is a mark); None if all bounds are 1."""
+    if edit_percent <= 0:
+        return None
+    long = max(near_words, -(-200 // edit_percent))
+    whole = min(-(-(w - k) // (k + 1)) for w in range(long, long + 10_000) for k in [_bound(w, edit_percent)])
+    if whole < 3:
+        raise ValueError(f"edit_percent={edit_percent} leaves no run of 3 words whole")
+    run = whole // 2
+    return long, run, whole - run + 1
+
+
+def _marks(seq: Sequences, at: np.ndarray, w: np.ndarray, sizes: tuple[int, int, int] | None) -> list[pa.Array]:
+    """Keys and places (list columns) of the marks of the lines that start at word ``at`` and have ``w`` words."""
+    line, key, place = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    use = np.flatnonzero(w >= sizes[0]) if sizes else line
+    if len(use):
+        _, run, near = sizes
+        n = w[use] - run + 1
+        line, place = np.repeat(use, n), ranges(n)
+        start = at[line] + place
+        key = seq.runs(start, start + run)
+        first = np.flatnonzero(line[near - 1:] == line[:len(line) - near + 1])
+        least, pick = key[first], first.copy()
+        for k in range(1, near):
+            less = key[first + k] < least
+            least[less], pick[less] = key[first + k][less], (first + k)[less]
+        pick = np.unique(pick)
+        line, key, place = line[pick], key[pick], place[pick]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(w)))]).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, signed(key)), pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32)))]
+
+
+def _line_table(own: DataFrame, min_words: int, near_words: int, sizes: tuple[int, int, int] | None) -> DataFrame:
+    """(id, no, w, lh, halves, marks, places): every line that counts; halves are the keys of step 2, marks those of step 5."""
     def work(view: TextView) -> list[pa.Array]:
         first, n, seq = _line_words(view)
         number = _line_numbers(view)
@@ -80,12 +127,14 @@ def _line_table(own: DataFrame, min_words: int, near_words: int) -> DataFrame:
         order = np.argsort(line_all, kind="stable")
         halves = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(line_all, minlength=len(use)))]).astype(np.int32)),
                                           signed(key_all[order]))
-        return _nested(row, view.rows, pa.array(number[use].astype(np.int32)), pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves)
+        return _nested(row, view.rows, pa.array(number[use].astype(np.int32)), pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves,
+                       *_marks(seq, at, w, sizes))
 
     cols = [StructField("no", ArrayType(IntegerType())), StructField("w", ArrayType(IntegerType())),
-            StructField("lh", ArrayType(LongType())), StructField("halves", ArrayType(ArrayType(LongType())))]
+            StructField("lh", ArrayType(LongType())), StructField("halves", ArrayType(ArrayType(LongType()))),
+            StructField("marks", ArrayType(ArrayType(LongType()))), StructField("places", ArrayType(ArrayType(IntegerType())))]
     packed = map_texts(own, "_text", ["id"], cols, work)
-    return packed.select("id", F.explode(F.arrays_zip("no", "w", "lh", "halves")).alias("x")).select("id", "x.*")
+    return packed.select("id", F.explode(F.arrays_zip("no", "w", "lh", "halves", "marks", "places")).alias("x")).select("id", "x.*")
 
 
 def _candidate_words(own: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -150,6 +199,26 @@ def within_one_edit(a: list, b: list) -> bool:
     return a[k + 1:] == b[k + 1:] if len(a) == len(b) else a[k:] == b[k + 1:]
 
 
+def within_edits(a: list, b: list, k: int) -> bool:
+    """Edit distance over list items is at most ``k``: furthest place on every diagonal after each number of edits."""
+    n, m = len(a), len(b)
+    if abs(n - m) > k:
+        return False
+    far: dict[int, int] = {}
+    for e in range(k + 1):
+        new = {}
+        for d in range(max(-e, -n), min(e, m) + 1):
+            i = 0 if e == 0 else max(far.get(d, -2) + 1, far.get(d - 1, -2), far.get(d + 1, -2) + 1)
+            i = min(i, n, m - d)
+            while i < n and i + d < m and a[i] == b[i + d]:
+                i += 1
+            new[d] = i
+        if new.get(m - n, -1) >= n:
+            return True
+        far = new
+    return False
+
+
 def _near(lines: DataFrame) -> DataFrame:
     """(lh) of the distinct lines (id, no, lh, words: first places) that match an earlier one at distance 1."""
     variants = materialize(_variants(lines), "variants")
@@ -175,10 +244,59 @@ def _near(lines: DataFrame) -> DataFrame:
     return both.select("lh", "words", "others").mapInArrow(verify, "lh long").distinct()
 
 
-def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10) -> DataFrame:
+def _verified(pairs: DataFrame, words: DataFrame, edit_percent: int) -> DataFrame:
+    """(lh) of the lines of ``pairs`` (lh, other) whose words are within the bound of the other's."""
+    both = pairs.join(words.select("lh", "words"), "lh").join(words.select(F.col("lh").alias("other"), F.col("words").alias("others")), "other")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            right = []
+            for k in range(b.num_rows):
+                x, y = b.column(1)[k].as_py(), b.column(2)[k].as_py()
+                right.append(within_edits(x, y, _bound(min(len(x), len(y)), edit_percent)))
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(right, pa.bool_()))], names=["lh"])
+
+    return both.select("lh", "words", "others").mapInArrow(verify, "lh long").distinct()
+
+
+def _near_by_marks(own: DataFrame, lines: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int) -> DataFrame:
+    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 5)."""
+    marks = lines.filter(F.size("marks") > 0).select("lh", "w", F.explode(F.arrays_zip("marks", "places")).alias("x")).select(
+        "lh", "w", F.col("x.marks").alias("mark"), F.col("x.places").alias("place"))
+    shared = marks.groupBy("mark").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).filter("a <> b").select("mark")
+    shared = materialize(shared, "shared_marks")
+    # the place in steps of the largest bound among lines of about the same length
+    step = math.log(1.25)
+    size = lambda x: F.floor(F.log(x) / step).cast("int")
+    width = F.floor(F.pow(F.lit(1.25), F.col("size") + 1) * edit_percent / 100).cast("int") + 1
+    own_marks = marks.join(broadcast_if_small(shared), "mark", "left_semi").distinct().withColumn("size", size(F.col("w").cast("double")))
+    own_marks = materialize(own_marks.withColumn("cell", F.floor(F.col("place") / width).cast("int")).join(
+        first.select("lh", F.struct("first.id", "first.no").alias("at")), "lh"), "marks")
+    wanted = materialize(own_marks.select("at.id", "at.no").distinct(), "marked")
+    words = materialize(_candidate_words(own, wanted).dropDuplicates(["lh"]).select("lh", "words"), "marked_words")
+    left = own_marks.join(near, "lh", "left_anti")
+    least = materialize(own_marks.groupBy("mark", "size").agg(F.min(F.struct("at", "lh", "w")).alias("m")), "least_marks")
+    fits = lambda w, v: F.abs(F.col(w) - F.col(v)) <= _bound(F.least(w, v), edit_percent)
+    pairs = left.join(least, ["mark", "size"]).filter(F.col("at") > F.col("m.at")).filter(fits("w", "m.w")).select("lh", F.col("m.lh").alias("other")).distinct()
+    by_least = materialize(_verified(materialize(pairs, "pairs"), words, edit_percent), "by_least")
+    # earlier lines under every size and cell that a match may have
+    reach = F.lit(1 - edit_percent / 100)
+    earlier = own_marks.select("mark", F.col("at").alias("at2"), F.col("lh").alias("other"), F.col("w").alias("w2"), F.col("place").alias("place2"),
+                               F.explode(F.array_distinct(F.array(size(F.col("w") * reach - 0.001), F.col("size"), size(F.col("w") / reach + 0.001)))).alias("size"))
+    cell = F.floor(F.col("place2") / width).cast("int")
+    earlier = earlier.withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
+    rest = left.join(by_least, "lh", "left_anti").join(earlier, ["mark", "size", "cell"])
+    rest = rest.filter((F.col("at") > F.col("at2")) & fits("w", "w2") & (F.abs(F.col("place") - F.col("place2")) <= _bound(F.least("w", "w2"), edit_percent)))
+    found = _verified(materialize(rest.select("lh", "other").distinct(), "pairs"), words, edit_percent)
+    return by_least.union(found)
+
+
+def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10,
+                  edit_percent: int = 5) -> DataFrame:
     """(id, removed): sorted numbers (from 0) of the lines of each document that match an earlier line."""
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("_text")).filter("id is not null")
-    lines = materialize(_line_table(own, min_words, near_words), "lines")
+    sizes = _mark_sizes(near_words, edit_percent)
+    lines = materialize(_line_table(own, min_words, near_words, sizes), "lines")
     first = materialize(lines.groupBy("lh").agg(F.min(F.struct("id", "no")).alias("first"), F.count(F.lit(1)).alias("n"),
                                                 F.any_value("halves").alias("halves")), "distinct")
     halves = first.select("lh", "first", F.explode("halves").alias("half"))
@@ -186,7 +304,11 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     shared = materialize(shared, "halves")  # written, so the rows of a hot half can be split in the join
     wanted = materialize(halves.join(shared, "half", "left_semi").select("first.id", "first.no").distinct(), "candidates")
     words = materialize(_candidate_words(own, wanted).dropDuplicates(["lh"]), "words")
-    near = _near(words).select("lh", F.lit(True).alias("near"))
+    near = _near(words)
+    if sizes:
+        near = materialize(near, "near")
+        near = near.union(_near_by_marks(own, lines, first, near, edit_percent))
+    near = near.select("lh", F.lit(True).alias("near"))
     told = materialize(first.select("lh", "first", "n").join(near, "lh", "left").filter("n > 1 or near")
                        .select("lh", "first", F.coalesce("near", F.lit(False)).alias("near")), "told")
     gone = lines.select("lh", "id", "no").join(told, "lh").filter(F.col("near") | (F.struct("id", "no") > F.col("first")))
@@ -194,9 +316,9 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
 
 def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10,
-                        n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
+                        edit_percent: int = 5, n_lines: str = "n_lines", n_removed: str = "n_removed") -> DataFrame:
     """All columns of ``docs`` with ``text_col`` free of its repeated lines, plus the line counts before and removed."""
-    gone = materialize(removed_lines(docs, text_col, id_col, min_words=min_words, near_words=near_words), "gone")
+    gone = materialize(removed_lines(docs, text_col, id_col, min_words=min_words, near_words=near_words, edit_percent=edit_percent), "gone")
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
     # line numbers only, broadcast while their files are small: then the texts are not shuffled

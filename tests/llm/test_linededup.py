@@ -1,6 +1,6 @@
 import random
 
-from memweave.llm.linededup import drop_repeated_lines, within_one_edit
+from memweave.llm.linededup import drop_repeated_lines, within_edits, within_one_edit
 from memweave.sources.tables import load
 from tests.llm.helpers import LOWER, SF, WORD, awkward, nothing, sentence
 
@@ -89,3 +89,45 @@ def test_small_table_with_short_lines(spark):
     gone = brute([(r.doc_id, r.text) for r in docs.collect()], min_words=1)
     got = {r.doc_id: r.n_removed for r in drop_repeated_lines(docs).collect() if r.n_removed}
     assert got == {i: len(v) for i, v in gone.items()}
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        diagonal, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
+    return row[-1]
+
+
+def test_within_edits():
+    rng = random.Random(5)
+    for _ in range(2000):
+        a, b = ([rng.randrange(3) for _ in range(rng.randrange(9))] for _ in range(2))
+        for k in range(6):
+            assert within_edits(a, b, k) == (distance(a, b) <= k)
+
+
+def test_bound_grows_with_the_line(spark):
+    rng = random.Random(6)
+    passage = sentence(rng, 30)
+    rows = []
+    for n in (39, 40, 59, 60, 100, 173, 300):
+        base = sentence(rng, n).split()
+        for d in range(12):
+            w = list(base)
+            for _ in range(rng.randrange(2 + n // 16)):
+                k = rng.randrange(len(w))
+                w[k:k + rng.randrange(2)] = [f"x{rng.randrange(999)}"] * rng.randrange(2)
+            rows.append((len(rows), " ".join(w)))
+    rows += [(len(rows) + k, sentence(rng, k) + " " + passage + " " + sentence(rng, 30 - k)) for k in range(1, 30)]
+    rng.shuffle(rows)
+    want, seen = set(), []
+    for i, t in sorted(rows):
+        w = t.lower().split()
+        if any(distance(v, w) <= max(1, min(len(v), len(w)) * 5 // 100) for v in seen):
+            want.add(i)
+        seen.append(w)
+    got = {r.doc_id for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_removed > 0").collect()}
+    old = {r.doc_id for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), edit_percent=0).filter("n_removed > 0").collect()}
+    assert got == want and old < want
