@@ -77,3 +77,39 @@ def test_random_prose_is_clean(spark):
     rng = random.Random(4)
     items = [(k, sentence(rng, 30)) for k in range(40)]
     assert not any(found(spark, [sentence(rng, 60) for _ in range(60)], items).values())
+
+
+SHORT = "a heavy stone rolls down from this steep hill until water stops its long way"
+
+
+def test_one_changed_word_does_not_hide_a_short_item(spark):
+    words = SHORT.split()
+    items = [(n, " ".join(words[:n])) for n in range(8, 16)]
+    texts, want = [], []
+    for n in range(8, 16):
+        for k in range(n):
+            for middle in (["xx"], [], ["xx", words[k]]):
+                texts.append("yy zz " + " ".join(words[:k] + middle + words[k + 1:n]) + " zz yy")
+                want.append(n)
+    got = found(spark, texts, items)
+    assert all(n in got[d] for d, n in enumerate(want))
+    # the words in another order, or far from each other, are no copy
+    apart = " ".join(" ".join(words[k:k + 4]) + " ww" * 9 for k in range(0, 15, 4))
+    assert found(spark, [" ".join(reversed(words)), apart], [items[-1]]) == {0: [], 1: []}
+
+
+def test_parts_of_long_items(spark):
+    rng = random.Random(8)
+    words = sentence(rng, 100).lower().split()
+    item = [(1, " ".join(words))]
+    texts = ["aa " + " ".join(words[40:40 + n]) + " bb" for n in (12, 13, 32)]
+    # every ninth word is another one: runs of eight tokens, four of five tokens covered
+    texts.append(" ".join("xx" if k % 9 == 8 else w for k, w in enumerate(words)))
+    assert found(spark, texts, item) == {0: [], 1: [1], 2: [1], 3: [1]}
+
+
+def test_dense_windows_do_not_count_against_new_values(spark):
+    text = "the red box is put on top of another old box by %s"
+    item = [(1, text % " ".join(f"{k}" for k in range(10, 40)))]
+    other = text % " ".join(f"{k}" for k in range(50, 80))
+    assert found(spark, [other, "the red box stands here, " + " ".join(f"{k}" for k in range(50, 80))], item) == {0: [1], 1: []}
