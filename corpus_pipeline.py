@@ -24,7 +24,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Remove lines that repeat an earlier line (equal, or one word apart); a document that loses every word goes.
+    """Remove lines that repeat an earlier line (equal, or within the edit bound); a document that loses every word goes.
 
     ``n_chars`` becomes the length of the text that is left.
     """
