@@ -6,10 +6,12 @@ holds the DuckDB form of those that SQL can express.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memweave.llm import bpecount, chatformat, decontaminate, htmltext, langid, linededup, linerules, neardup, packing, quality
+from memweave.functions.arrays import let
+from memweave.llm import (bestfit, bpecount, chatformat, decontaminate, hardneg, htmltext, langid, linededup, linerules, neardup, packing, periodic,
+                          quality)
 from memweave.sources.tables import load
 
 QUERIES: dict = {}
@@ -82,3 +84,66 @@ def op10_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_boosted_dom_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract_main_text(load(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+@query
+def op11_threshold_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings").withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hardneg.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+SQL["op11_threshold_hard_negatives"] = """
+with raw as (
+  select vec_id as id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.id as a, r.id as r, a.label = r.label as same, cast(list_inner_product(a.v, r.v) as bigint) as s
+  from raw a join raw r on a.id % 50 = 0 and a.id <> r.id),
+pos as (
+  select a, r as p, s as ps from scored where same qualify row_number() over (partition by a order by s desc, r) <= 5)
+select pos.a as anchor_id, pos.p as positive_id,
+       cast(row_number() over (partition by pos.a, pos.p order by n.s desc, n.r) as integer) as rank,
+       n.r as negative_id, pos.ps as positive_score, n.s as negative_score
+from pos join scored n on n.a = pos.a and not n.same and 50 * pos.ps <= 100 * n.s and 100 * n.s <= 95 * pos.ps
+qualify rank <= 3
+"""
+
+
+def periodic_copy(text: Column, doc_id: Column) -> Column:
+    """The text with its words made periodic where crc32 of the id ends in 0; other texts, and those without an id, as they are."""
+    h = F.crc32(doc_id.cast("string"))
+    g = F.floor(h / 10)
+
+    def rewritten(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        word = lambda i: F.element_at(w, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int") + 1)
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), word), " ")).otherwise("")
+
+    return F.when(h % 10 == 0, let(F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)), rewritten)).otherwise(text)
+
+
+@query
+def op12_difference_cover_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", periodic_copy(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic.find_runs(docs, keep=["doc_id"])
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("back"), (-r["period"]).alias("short"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    found = found.withColumn("top", top)
+    return found.select(
+        "doc_id", "n_words", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.back")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.short")).alias("period"), F.expr("1000 * top.length div -top.short").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query
+def op13_bound_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    cut = bestfit.pieces(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
+    return bestfit.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).rows
