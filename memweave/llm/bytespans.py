@@ -9,6 +9,7 @@ however long it is.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,3 +160,11 @@ def ranges(lengths: np.ndarray) -> np.ndarray:
 
 def signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64), pa.int64())
+
+
+def release_memory() -> None:
+    """Give memory that a finished task no longer uses back to the system; a worker process outlives its tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)

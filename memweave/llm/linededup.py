@@ -9,25 +9,32 @@ or more, if their edit distance over words (insert, delete, replace) is at most
 (document id, line number), matches it.
 
 1. Equal lines meet on their hash; the earliest one stands for them.
-2. A line takes part in the neighbourhood join only if it shares its first or
-   last half with another one: of two lines at distance 1, one half of the
-   shorter is whole in the longer, so no match is lost here.
+2. Lines whose bound with a shorter one can be 1 take part in the neighbourhood
+   join, but only if they share their first or last half with another one: of
+   two lines at distance 1, one half of the shorter is whole in the longer, so
+   no match is lost here.
 3. Those lines emit themselves and every variant with one word left out as
    hashed keys. Two lines match if their variants at one position are equal
    (a replaced word) or a variant of one is the other line (a missing word).
    Aggregates keep the earliest line of each key, so the members of a key are
    never paired with each other.
 4. Each (line, earliest match) is verified by its edit distance.
-5. Lines long enough for two edits meet on marks: k edits leave a run of
+5. Two lines long enough for two edits meet on marks: k edits leave a run of
    (w - k) / (k + 1) words or more whole, and the smallest hash of every few
    neighbouring word runs (winnowing) picks one mark at least inside it, in
-   both lines, at places up to k apart. Lines are verified against the earliest
-   line of their marks first; those it does not match are verified against all
-   earlier ones that share a mark at such a place and have such a length.
+   both lines, at places up to k apart. All marks of a line are looked up, but a
+   line looks for others only by the marks of k + 1 disjoint stretches of it: the
+   edits leave one of them whole. Stretches whose mark no other line has come
+   first, then the rarest ones, so a phrase that many lines share is looked for
+   only by lines that have too little else. Lines are verified against the
+   earliest line of their marks first; those it does not match are verified against
+   all earlier ones that have such a mark at such a place and are of such a length.
 
 Edge cases: null and empty texts have no lines that count and come back as
 they are; rows with a null id neither remove lines nor lose any; rows that
-share an id count as one document; extra columns pass through.
+share an id count as one document: lines at one place of several texts do not
+remove each other, and each text loses its own lines only; extra columns pass
+through.
 """
 
 from __future__ import annotations
@@ -37,12 +44,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from memweave.functions.sizing import broadcast_if_small
-from memweave.llm.bytespans import BYTE_LOWER, Hasher, Sequences, mix, ranges, signed, slices
+from memweave.llm.bytespans import BYTE_LOWER, Hasher, Sequences, mix, ranges, release_memory, signed, slices
 from memweave.llm.textview import TextView, map_texts
 from memweave.session import materialize
 
@@ -87,8 +94,11 @@ def _mark_sizes(near_words: int, edit_percent: int) -> tuple[int, int, int] | No
 
 
 def _marks(seq: Sequences, at: np.ndarray, w: np.ndarray, sizes: tuple[int, int, int] | None) -> list[pa.Array]:
-    """Keys and places (list columns) of the marks of the lines that start at word ``at`` and have ``w`` words."""
-    line, key, place = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    """Keys, places and stretches (list columns) of the marks of the lines that start at word ``at`` and have ``w`` words.
+
+    Stretch j of a line begins at word j * (run + near - 1); a mark that is not the pick of such a stretch has number -1.
+    """
+    line, key, place, stretch = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     use = np.flatnonzero(w >= sizes[0]) if sizes else line
     if len(use):
         _, run, near = sizes
@@ -101,21 +111,25 @@ def _marks(seq: Sequences, at: np.ndarray, w: np.ndarray, sizes: tuple[int, int,
         for k in range(1, near):
             less = key[first + k] < least
             least[less], pick[less] = key[first + k][less], (first + k)[less]
+        number = np.full(len(line), -1, np.int64)
+        head = place[first] % (run + near - 1) == 0
+        number[pick[head]] = place[first[head]] // (run + near - 1)
         pick = np.unique(pick)
-        line, key, place = line[pick], key[pick], place[pick]
+        line, key, place, stretch = line[pick], key[pick], place[pick], number[pick]
     offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(w)))]).astype(np.int32))
-    return [pa.ListArray.from_arrays(offsets, signed(key)), pa.ListArray.from_arrays(offsets, pa.array(place.astype(np.int32)))]
+    return [pa.ListArray.from_arrays(offsets, c) for c in (signed(key), pa.array(place.astype(np.int32)), pa.array(stretch.astype(np.int32)))]
 
 
 def _line_table(own: DataFrame, min_words: int, near_words: int, sizes: tuple[int, int, int] | None) -> DataFrame:
-    """(id, no, w, lh, halves, marks, places): every line that counts; halves are the keys of step 2, marks those of step 5."""
+    """(id, th, no, w, lh, halves, marks, places, stretches): every line that counts; halves are the keys of step 2, marks those of step 5."""
     def work(view: TextView) -> list[pa.Array]:
         first, n, seq = _line_words(view)
         number = _line_numbers(view)
         use = np.flatnonzero(n >= min_words)
         row, at, w = view.lines[2][use], first[use], n[use]
         keys, line = [], []
-        near = np.flatnonzero(w >= near_words)
+        # the shorter line of a pair with bound 1 has sizes[0] - 1 words at most
+        near = np.flatnonzero((w >= near_words) & (w <= (sizes[0] if sizes else np.inf)))
         for back in (0, 1):
             own_near = near if back == 0 else near[w[near] % 2 == 0]  # an odd length has one half length only
             f = (w[own_near] - back) // 2
@@ -132,35 +146,38 @@ def _line_table(own: DataFrame, min_words: int, near_words: int, sizes: tuple[in
 
     cols = [StructField("no", ArrayType(IntegerType())), StructField("w", ArrayType(IntegerType())),
             StructField("lh", ArrayType(LongType())), StructField("halves", ArrayType(ArrayType(LongType()))),
-            StructField("marks", ArrayType(ArrayType(LongType()))), StructField("places", ArrayType(ArrayType(IntegerType())))]
-    packed = map_texts(own, "_text", ["id"], cols, work)
-    return packed.select("id", F.explode(F.arrays_zip("no", "w", "lh", "halves", "marks", "places")).alias("x")).select("id", "x.*")
+            StructField("marks", ArrayType(ArrayType(LongType()))), StructField("places", ArrayType(ArrayType(IntegerType()))),
+            StructField("stretches", ArrayType(ArrayType(IntegerType())))]
+    packed = map_texts(own, "_text", ["id", "th"], cols, work)
+    return packed.select("id", "th", F.explode(F.arrays_zip(*[c.name for c in cols])).alias("x")).select("id", "th", "x.*")
 
 
 def _candidate_words(own: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, no, lh, words): the word hashes of the lines named in ``wanted`` (id, no)."""
-    per_doc = wanted.groupBy("id").agg(F.collect_set("no").alias("nos"))
-    per_doc = materialize(per_doc, "wanted")
-    docs = own.join(F.broadcast(per_doc) if wanted.count() <= BROADCAST_IDS else per_doc, "id")
+    """(id, no, lh, words): the word hashes of the lines named in ``wanted`` (id, th, no, lh), each line hash once."""
+    per_doc = wanted.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("no", "lh"))).alias("x"))
+    per_doc = materialize(per_doc.select("id", "th", "x.no", "x.lh"), "wanted")
+    docs = own.join(F.broadcast(per_doc) if wanted.count() <= BROADCAST_IDS else per_doc, ["id", "th"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            nos = b.column(1).to_pylist()
-            for start, end, data, offs in slices(b.column(2)):
+            per_row = b.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(per_row)
+            no, lh = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in (1, 2))
+            for start, end, data, offs in slices(b.column(3)):
                 view = TextView(data, offs)
                 first, n, seq = _line_words(view)
-                base = np.searchsorted(view.lines[2], np.arange(view.rows))
-                pick = np.concatenate([base[k] + np.sort(np.array(nos[start + k], np.int64)) for k in range(view.rows)])
-                row = view.lines[2][pick]
+                asked = slice(ends[start] - per_row[start], ends[end - 1])
+                row = np.repeat(np.arange(view.rows), per_row[start:end])
+                pick = np.searchsorted(view.lines[2], row) + no[asked]
                 w = n[pick]
                 at = np.repeat(first[pick], w) + ranges(w)
                 words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(w)]).astype(np.int32)), signed(seq.items[at]))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, end - start).take(pa.array(row)),
-                                                  pa.array((pick - base[row]).astype(np.int32)),
-                                                  signed(seq.runs(first[pick], first[pick] + w)), words], names=["id", "no", "lh", "words"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, end - start).take(pa.array(row)), pa.array(no[asked].astype(np.int32)),
+                                                  pa.array(lh[asked].astype(np.int64)), words], names=["id", "no", "lh", "words"])
+        release_memory()
 
     schema = StructType([own.schema["id"], StructField("no", IntegerType()), StructField("lh", LongType()), StructField("words", ArrayType(LongType()))])
-    return docs.select("id", "nos", "_text").mapInArrow(run, schema)
+    return docs.select("id", "no", "lh", "_text").mapInArrow(run, schema).dropDuplicates(["lh"])
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -189,16 +206,6 @@ def _variants(lines: DataFrame) -> DataFrame:
     return lines.select("id", "no", "lh", "words").mapInArrow(run, schema)
 
 
-def within_one_edit(a: list, b: list) -> bool:
-    """Edit distance over list items is at most 1."""
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1:
-        return False
-    k = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(a))
-    return a[k + 1:] == b[k + 1:] if len(a) == len(b) else a[k:] == b[k + 1:]
-
-
 def within_edits(a: list, b: list, k: int) -> bool:
     """Edit distance over list items is at most ``k``: furthest place on every diagonal after each number of edits."""
     n, m = len(a), len(b)
@@ -219,6 +226,17 @@ def within_edits(a: list, b: list, k: int) -> bool:
     return False
 
 
+def _ends_off(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
+    """Both without the words that they share at the start and at the end; the edit distance stays the same."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(a[:n] != b[:n])
+    head = int(differ[0]) if len(differ) else n
+    a, b, n = a[head:], b[head:], n - head
+    differ = np.flatnonzero(a[len(a) - n:] != b[len(b) - n:])
+    tail = n - 1 - int(differ[-1]) if len(differ) else n
+    return a[:len(a) - tail].tolist(), b[:len(b) - tail].tolist()
+
+
 def _near(lines: DataFrame) -> DataFrame:
     """(lh) of the distinct lines (id, no, lh, words: first places) that match an earlier one at distance 1."""
     variants = materialize(_variants(lines), "variants")
@@ -233,15 +251,7 @@ def _near(lines: DataFrame) -> DataFrame:
     found = replaced.select("lh", "id", "no", "m").unionByName(shorter.select("lh", "id", "no", "m")).unionByName(longer.select("lh", "id", "no", "m"))
     earlier = found.filter(F.struct("id", "no") > F.struct("m.id", "m.no"))
     pairs = materialize(earlier.select("lh", F.col("m.lh").alias("other")).distinct(), "matches")
-    words = lines.select("lh", "words")
-    both = pairs.join(words, "lh").join(words.select(F.col("lh").alias("other"), F.col("words").alias("others")), "other")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            right = [within_one_edit(x, y) for x, y in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(right, pa.bool_()))], names=["lh"])
-
-    return both.select("lh", "words", "others").mapInArrow(verify, "lh long").distinct()
+    return _verified(pairs, lines, 0)
 
 
 def _verified(pairs: DataFrame, words: DataFrame, edit_percent: int) -> DataFrame:
@@ -250,42 +260,60 @@ def _verified(pairs: DataFrame, words: DataFrame, edit_percent: int) -> DataFram
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            right = []
+            words = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (b.column(1), b.column(2))]
+            right = np.zeros(b.num_rows, bool)
             for k in range(b.num_rows):
-                x, y = b.column(1)[k].as_py(), b.column(2)[k].as_py()
-                right.append(within_edits(x, y, _bound(min(len(x), len(y)), edit_percent)))
-            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(right, pa.bool_()))], names=["lh"])
+                x, y = (values[offs[k]:offs[k + 1]] for offs, values in words)
+                bound = _bound(min(len(x), len(y)), edit_percent)
+                if abs(len(x) - len(y)) <= bound:
+                    right[k] = within_edits(*_ends_off(x, y), bound)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(right))], names=["lh"])
+        release_memory()
 
     return both.select("lh", "words", "others").mapInArrow(verify, "lh long").distinct()
 
 
-def _near_by_marks(own: DataFrame, lines: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int) -> DataFrame:
-    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 5)."""
-    marks = lines.filter(F.size("marks") > 0).select("lh", "w", F.explode(F.arrays_zip("marks", "places")).alias("x")).select(
-        "lh", "w", F.col("x.marks").alias("mark"), F.col("x.places").alias("place"))
-    shared = marks.groupBy("mark").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).filter("a <> b").select("mark")
-    shared = materialize(shared, "shared_marks")
-    # the place in steps of the largest bound among lines of about the same length
+def _near_by_marks(own: DataFrame, lines: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int, span: int) -> DataFrame:
+    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 5).
+
+    ``span`` is the number of words of a stretch.
+    """
+    zipped = lines.filter(F.size("marks") > 0).join(first.select("lh", "first"), "lh")
+    zipped = zipped.filter((F.col("id") == F.col("first.id")) & (F.col("no") == F.col("first.no")) & (F.col("th") == F.col("first.th")))
+    marks = zipped.select("lh", "w", F.struct("id", "no").alias("at"), "th", F.explode(F.arrays_zip("marks", "places", "stretches")).alias("x")).select(
+        "lh", "w", "at", "th", F.col("x.marks").alias("mark"), F.col("x.places").alias("place"), F.col("x.stretches").alias("stretch"))
+    marks = materialize(marks, "all_marks")
+    shared = marks.groupBy("mark").agg(F.min("lh").alias("a"), F.max("lh").alias("b"), F.count(F.lit(1)).alias("often")).filter("a <> b")
+    shared = materialize(shared.select("mark", "often"), "shared_marks")
     step = math.log(1.25)
     size = lambda x: F.floor(F.log(x) / step).cast("int")
-    width = F.floor(F.pow(F.lit(1.25), F.col("size") + 1) * edit_percent / 100).cast("int") + 1
-    own_marks = marks.join(broadcast_if_small(shared), "mark", "left_semi").distinct().withColumn("size", size(F.col("w").cast("double")))
-    own_marks = materialize(own_marks.withColumn("cell", F.floor(F.col("place") / width).cast("int")).join(
-        first.select("lh", F.struct("first.id", "first.no").alias("at")), "lh"), "marks")
-    wanted = materialize(own_marks.select("at.id", "at.no").distinct(), "marked")
-    words = materialize(_candidate_words(own, wanted).dropDuplicates(["lh"]).select("lh", "words"), "marked_words")
-    left = own_marks.join(near, "lh", "left_anti")
+    own_marks = materialize(marks.join(broadcast_if_small(shared), "mark").withColumn("size", size(F.col("w").cast("double"))), "marks")
+    bound = _bound(F.col("w"), edit_percent)
+    # an earlier line of w' words may be longer, and the smaller length sets the bound of a pair
+    needed = bound + 1 - (F.floor(F.col("w") / span) - F.count(F.lit(1)).over(Window.partitionBy("lh")))
+    rarest = F.row_number().over(Window.partitionBy("lh").orderBy("often", "mark", "place"))
+    seeks = own_marks.filter("stretch >= 0").join(near, "lh", "left_anti").withColumn("needed", needed).withColumn("nth", rarest)
+    seeks = materialize(seeks.filter("nth <= needed").select("lh", "w", "at", "mark", "place", "size"), "seeks")
+    met = seeks.select("mark").distinct()
+    own_marks = materialize(own_marks.join(met, "mark", "left_semi").select("lh", "w", "at", "th", "mark", "place", "size"), "met_marks")
+    wanted = materialize(own_marks.select("at.id", "th", "at.no", "lh").distinct(), "marked")
+    words = materialize(_candidate_words(own, wanted).select("lh", "words"), "marked_words")
+    # lengths that a match may have, by class of length
+    reach = F.lit(1 - edit_percent / 100)
+    classes = F.array_distinct(F.array(size(F.col("w") * reach - 0.001), F.col("size"), size(F.col("w") / reach + 0.001)))
+    seeks = seeks.withColumn("size", F.explode(classes))
     least = materialize(own_marks.groupBy("mark", "size").agg(F.min(F.struct("at", "lh", "w")).alias("m")), "least_marks")
     fits = lambda w, v: F.abs(F.col(w) - F.col(v)) <= _bound(F.least(w, v), edit_percent)
-    pairs = left.join(least, ["mark", "size"]).filter(F.col("at") > F.col("m.at")).filter(fits("w", "m.w")).select("lh", F.col("m.lh").alias("other")).distinct()
+    pairs = seeks.join(least, ["mark", "size"]).filter(F.col("at") > F.col("m.at")).filter(fits("w", "m.w")).select("lh", F.col("m.lh").alias("other")).distinct()
     by_least = materialize(_verified(materialize(pairs, "pairs"), words, edit_percent), "by_least")
-    # earlier lines under every size and cell that a match may have
-    reach = F.lit(1 - edit_percent / 100)
-    earlier = own_marks.select("mark", F.col("at").alias("at2"), F.col("lh").alias("other"), F.col("w").alias("w2"), F.col("place").alias("place2"),
-                               F.explode(F.array_distinct(F.array(size(F.col("w") * reach - 0.001), F.col("size"), size(F.col("w") / reach + 0.001)))).alias("size"))
-    cell = F.floor(F.col("place2") / width).cast("int")
-    earlier = earlier.withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1)))
-    rest = left.join(by_least, "lh", "left_anti").join(earlier, ["mark", "size", "cell"])
+    # the place in steps of the largest bound in the class; a line left looks in every step that its own bound reaches
+    width = F.floor(F.pow(F.lit(1.25), F.col("size") + 1) * edit_percent / 100).cast("int") + 1
+    cell = lambda x: F.floor(x / width).cast("int")
+    k = _bound(F.col("w"), edit_percent)
+    left = seeks.join(by_least, "lh", "left_anti").withColumn("cell", F.explode(F.sequence(cell(F.col("place") - k), cell(F.col("place") + k))))
+    earlier = own_marks.select("mark", "size", F.col("at").alias("at2"), F.col("lh").alias("other"), F.col("w").alias("w2"), F.col("place").alias("place2"),
+                               cell(F.col("place")).alias("cell"))
+    rest = left.join(earlier, ["mark", "size", "cell"])
     rest = rest.filter((F.col("at") > F.col("at2")) & fits("w", "w2") & (F.abs(F.col("place") - F.col("place2")) <= _bound(F.least("w", "w2"), edit_percent)))
     found = _verified(materialize(rest.select("lh", "other").distinct(), "pairs"), words, edit_percent)
     return by_least.union(found)
@@ -293,26 +321,26 @@ def _near_by_marks(own: DataFrame, lines: DataFrame, first: DataFrame, near: Dat
 
 def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10,
                   edit_percent: int = 5) -> DataFrame:
-    """(id, removed): sorted numbers (from 0) of the lines of each document that match an earlier line."""
-    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("_text")).filter("id is not null")
+    """(id, th, removed): sorted numbers (from 0) of the lines that match an earlier line, for each id and xxhash64 of a text."""
+    own = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("th"), F.col(f"`{text_col}`").alias("_text")).filter("id is not null")
     sizes = _mark_sizes(near_words, edit_percent)
     lines = materialize(_line_table(own, min_words, near_words, sizes), "lines")
-    first = materialize(lines.groupBy("lh").agg(F.min(F.struct("id", "no")).alias("first"), F.count(F.lit(1)).alias("n"),
+    first = materialize(lines.groupBy("lh").agg(F.min(F.struct("id", "no", "th")).alias("first"), F.count(F.lit(1)).alias("n"),
                                                 F.any_value("halves").alias("halves")), "distinct")
     halves = first.select("lh", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.min("lh").alias("a"), F.max("lh").alias("b")).filter("a <> b").select("half")
     shared = materialize(shared, "halves")  # written, so the rows of a hot half can be split in the join
-    wanted = materialize(halves.join(shared, "half", "left_semi").select("first.id", "first.no").distinct(), "candidates")
-    words = materialize(_candidate_words(own, wanted).dropDuplicates(["lh"]), "words")
+    wanted = materialize(halves.join(shared, "half", "left_semi").select("first.id", "first.th", "first.no", "lh").distinct(), "candidates")
+    words = materialize(_candidate_words(own, wanted), "words")
     near = _near(words)
     if sizes:
         near = materialize(near, "near")
-        near = near.union(_near_by_marks(own, lines, first, near, edit_percent))
+        near = near.union(_near_by_marks(own, lines, first, near, edit_percent, sizes[1] + sizes[2] - 1))
     near = near.select("lh", F.lit(True).alias("near"))
     told = materialize(first.select("lh", "first", "n").join(near, "lh", "left").filter("n > 1 or near")
-                       .select("lh", "first", F.coalesce("near", F.lit(False)).alias("near")), "told")
-    gone = lines.select("lh", "id", "no").join(told, "lh").filter(F.col("near") | (F.struct("id", "no") > F.col("first")))
-    return gone.groupBy("id").agg(F.sort_array(F.collect_set("no")).alias("removed"))
+                       .select("lh", F.struct("first.id", "first.no").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "told")
+    gone = lines.select("lh", "id", "th", "no").join(told, "lh").filter(F.col("near") | (F.struct("id", "no") > F.col("first")))
+    return gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("no")).alias("removed"))
 
 
 def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, min_words: int = 1, near_words: int = 10,
@@ -322,8 +350,8 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     names = [c for c in docs.columns if c not in (n_lines, n_removed)]
     kept = docs.select(*[F.col(f"`{c}`") for c in names])
     # line numbers only, broadcast while their files are small: then the texts are not shuffled
-    numbers = broadcast_if_small(gone.select(F.col("id").alias("_gone_id"), F.col("removed").alias("_removed")))
-    marked = kept.join(numbers, F.col(f"`{id_col}`") == F.col("_gone_id"), "left")
+    numbers = broadcast_if_small(gone.select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th"), F.col("removed").alias("_removed")))
+    marked = kept.join(numbers, (F.col(f"`{id_col}`") == F.col("_gone_id")) & (F.xxhash64(f"`{text_col}`") == F.col("_gone_th")), "left")
     at = names.index(text_col)
     schema = StructType([*kept.schema.fields, StructField(n_lines, LongType()), StructField(n_removed, LongType())])
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from memweave.llm.bytespans import (BYTE_LOWER, Hasher, counts_per_row, mix, row_of, slices, windows, word_spans, Sequences)
+from memweave.llm.bytespans import (BYTE_LOWER, Hasher, counts_per_row, mix, release_memory, row_of, slices, windows, word_spans, Sequences)
 
 #: Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -159,5 +159,6 @@ def map_texts(df: DataFrame, text_col: str, keep: Sequence[str], out: Sequence[S
             for first, end, data, offs in slices(texts):
                 own = work(TextView(data, offs))
                 yield pa.RecordBatch.from_arrays([c.slice(first, end - first) for c in b.columns[:-1]] + own, names=names)
+        release_memory()
 
     return df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").alias("_viewed_text")).mapInArrow(run, schema)

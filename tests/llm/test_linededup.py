@@ -1,39 +1,54 @@
 import random
 
-from memweave.llm.linededup import drop_repeated_lines, within_edits, within_one_edit
+from memweave.llm.linededup import drop_repeated_lines, within_edits
 from memweave.sources.tables import load
 from tests.llm.helpers import LOWER, SF, WORD, awkward, nothing, sentence
 
 
-def brute(rows, min_words=5, near_words=10):
-    """Removed line numbers per id, by comparing every line with all earlier ones."""
-    lines = sorted({(i, no, tuple(WORD.findall(x.translate(LOWER)))) for i, t in rows if i is not None and t is not None
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        diagonal, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
+    return row[-1]
+
+
+def matches(v, w, near_words, edit_percent):
+    """The stated rule, for different lines."""
+    short = min(len(v), len(w))
+    bound = max(1, short * edit_percent // 100)
+    if short < near_words or abs(len(v) - len(w)) > bound:
+        return False
+    # far apart in what they hold is far apart in edits, which spares most of the table
+    if len(set(v) ^ set(w)) > 2 * bound:
+        return False
+    return distance(v, w) <= bound
+
+
+def brute(rows, near_words=10, edit_percent=5):
+    """Removed line numbers by (id, text), by comparing every line with all at earlier places."""
+    lines = sorted({(i, no, tuple(WORD.findall(x.translate(LOWER))), t) for i, t in rows if i is not None and t is not None
                     for no, x in enumerate(t.split("\n"))})
-    lines = [x for x in lines if len(x[2]) >= min_words]
-    gone, exact, near = {}, set(), []
-    for i, no, w in lines:
-        hit = w in exact
-        if not hit and len(w) >= near_words:
-            hit = any(abs(len(v) - len(w)) <= 1 and within_one_edit(list(v), list(w)) for v in near)
-        if hit:
-            gone.setdefault(i, set()).add(no)
-        if w not in exact:
-            exact.add(w)
-            if len(w) >= near_words:
-                near.append(w)
+    gone, seen = {}, {}
+    for i, no, w, t in lines:
+        if not w:
+            continue
+        if any(at < (i, no) and (v == w or matches(v, w, near_words, edit_percent)) for v, at in seen.items()):
+            gone.setdefault((i, t), set()).add(no)
+        seen.setdefault(w, (i, no))
     return gone
 
 
-def check(df):
+def check(df, **options):
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
-    gone = brute(rows)
-    got = drop_repeated_lines(df).collect()
-    assert len(got) == len(rows)
+    gone = brute(rows, **options)
+    got = drop_repeated_lines(df, **options).collect()
     want = []
     for i, t in rows:
-        out = gone.get(i, set()) if i is not None else set()
+        out = gone.get((i, t), set())
         want.append((i, None if t is None else "\n".join(x for k, x in enumerate(t.split("\n")) if k not in out), len(out)))
-    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    key = lambda x: (x[0] is None, x[0] or 0, x[1] or "", x[2])
     assert sorted(((r.doc_id, r.text, r.n_removed) for r in got), key=key) == sorted(want, key=key)
 
 
@@ -71,12 +86,6 @@ def test_one_word_edits(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
-def test_within_one_edit():
-    assert within_one_edit([1, 2, 3], [1, 2, 3]) and within_one_edit([1, 2, 3], [1, 9, 3]) and within_one_edit([1, 2], [1, 9, 2])
-    assert within_one_edit([], [1]) and not within_one_edit([1, 2, 3], [3, 2, 1]) and not within_one_edit([1], [1, 2, 3])
-    assert not within_one_edit([1, 2, 3, 4], [2, 3, 4, 1])
-
-
 def test_equal_lines_have_no_word_floor(spark):
     page = "Title\nA first line that is long enough to count here.\nBy me\n日本語の文には空白がない。\n\n* * *\nThe end."
     rows = [(1, page), (2, page), (3, page + "\nthe END.\nown words"), (4, None), (None, page)]
@@ -84,20 +93,36 @@ def test_equal_lines_have_no_word_floor(spark):
     assert got == {1: (page, 0), 2: ("", 6), 3: ("\nown words", 7), 4: (None, 0), None: (page, 0)}
 
 
-def test_small_table_with_short_lines(spark):
-    docs = load(spark, SF, "documents").filter("length(text) < 3000")
-    gone = brute([(r.doc_id, r.text) for r in docs.collect()], min_words=1)
-    got = {r.doc_id: r.n_removed for r in drop_repeated_lines(docs).collect() if r.n_removed}
-    assert got == {i: len(v) for i, v in gone.items()}
+def test_small_table_with_longer_texts_and_other_bounds(spark):
+    docs = load(spark, SF, "documents").filter("length(text) between 2000 and 3500")
+    check(docs)
+    check(docs, edit_percent=0)
+    check(docs, near_words=20, edit_percent=10)
 
 
-def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        diagonal, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            diagonal, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, diagonal + (x != y))
-    return row[-1]
+def test_two_texts_under_one_id(spark):
+    rng = random.Random(9)
+    a, b, c = (sentence(rng, 14) for _ in range(3))
+    long = [sentence(rng, 50) for _ in range(3)]
+    rows = [(5, f"{a}\n{b}\nx"), (5, f"{c}\n{a}"), (5, "\n".join(["q", *long, b])), (5, f"{a}\n{b}\nx"),
+            (7, f"{c} more\n{long[1]} and two"), (7, "own words only"), (7, long[2].replace(" ", " extra ", 1)), (None, a), (None, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check(df)
+
+
+def test_phrase_shared_by_many_long_lines(spark):
+    rng = random.Random(11)
+    phrase = sentence(rng, 26)
+    rows = []
+    for k in range(60):
+        base = [*sentence(rng, rng.randrange(8, 30)).split(), *phrase.split(), *sentence(rng, rng.randrange(8, 30)).split()]
+        for _ in range(2):
+            w = list(base)
+            for _ in range(rng.randrange(4)):
+                w[rng.randrange(len(w))] = f"x{rng.randrange(999)}"
+            rows.append((len(rows), " ".join(w)))
+    rng.shuffle(rows)
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
 
 
 def test_within_edits():
@@ -122,12 +147,7 @@ def test_bound_grows_with_the_line(spark):
             rows.append((len(rows), " ".join(w)))
     rows += [(len(rows) + k, sentence(rng, k) + " " + passage + " " + sentence(rng, 30 - k)) for k in range(1, 30)]
     rng.shuffle(rows)
-    want, seen = set(), []
-    for i, t in sorted(rows):
-        w = t.lower().split()
-        if any(distance(v, w) <= max(1, min(len(v), len(w)) * 5 // 100) for v in seen):
-            want.add(i)
-        seen.append(w)
+    want = {i for i, _ in brute(rows)}
     got = {r.doc_id for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_removed > 0").collect()}
     old = {r.doc_id for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), edit_percent=0).filter("n_removed > 0").collect()}
     assert got == want and old < want
