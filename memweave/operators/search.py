@@ -5,10 +5,12 @@ Two execution shapes:
 * ``nearest``: one query vector. The vector is a literal, the score a Catalyst
   expression, and ``orderBy(...).limit(k)`` becomes ``TakeOrderedAndProject``:
   each task keeps its own top-k and only k rows per task reach the final merge.
-* ``nearest_many``: a table of query vectors. The query matrix is broadcast
-  behind a size check (blocks of queries beyond the limit, so nothing is
-  dropped) and every Arrow batch of records is scored by one matrix product in
-  ``mapInPandas``. Each batch emits at most k candidates per query, so no
+* ``nearest_many``: a table of query vectors. A query matrix within the broadcast
+  limit travels to the records, and every Arrow batch of records is scored by
+  one matrix product. Beyond the limit, blocks of queries and blocks of records
+  are paired by a join and each pair is one matrix product; the records are
+  read once, whatever the number of queries, and no query passes the driver.
+  Either way a batch or pair emits at most k candidates per query, so no
   (query, record) pair is ever materialised or shuffled; a window with a
   group limit picks the final k per query.
 
@@ -19,25 +21,25 @@ break on the record key (ascending), making every ranking total.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from memweave.functions import vectors as V
+from memweave.functions.blocks import pair_blocks
 from memweave.functions.filters import equality_filter
-from memweave.functions.ordering import dense_index
 from memweave.functions.parallel import spread
 from memweave.functions.sizing import broadcast_if_small, is_small, rows_for_keys
+from memweave.session import materialize
 
 SCORE_DIGITS = 6
 POLICIES = ("memory", "remote")
 # Query matrices up to this many bytes travel as one broadcast; larger query
-# sets are split into blocks of this size and each block scans the records once.
+# sets are joined with the records in blocks.
 DEFAULT_QUERY_BROADCAST_BYTES = 64 << 20
 
 
@@ -174,21 +176,45 @@ def _score_matrix(Q: np.ndarray, X: np.ndarray, metric: str) -> np.ndarray:
     raise ValueError(metric)
 
 
-def _stack(vectors: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """Stack a Series of arrays into a float64 matrix; rows of other length are invalid."""
-    ok = np.fromiter((v is not None and len(v) == dim for v in vectors), dtype=bool, count=len(vectors))
-    X = np.zeros((len(vectors), dim), dtype=np.float64)
-    if ok.any():
-        X[ok] = np.stack([np.asarray(v, dtype=np.float64) for v, good in zip(vectors, ok) if good])
-    return X, ok
+def _vectors(col: pa.Array | pa.ChunkedArray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, matrix) of the list values that have ``dim`` components, straight from the flat buffer."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    length = col.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(length == dim)
+    own = col if len(rows) == len(col) else col.take(pa.array(rows))
+    return rows, own.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(rows), dim)
+
+
+def _sortable(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Keys as an array that NumPy can order."""
+    keys = col.to_numpy() if isinstance(col, pa.ChunkedArray) else col.to_numpy(zero_copy_only=False)
+    return keys.astype(str) if keys.dtype == object else keys
+
+
+def _best_pairs(Q: np.ndarray, X: np.ndarray, keys: np.ndarray, metric: str, k: int | None, floor: float | None,
+                policy: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, record, score) of each query's best ``k`` records above the floor; 1,024 queries are scored at a time."""
+    higher = V.higher_is_better(metric)
+    found = []
+    for lo in range(0, len(Q), 1024):
+        S = np.round(_score_matrix(Q[lo:lo + 1024], X, metric), SCORE_DIGITS)
+        if floor is not None:
+            if higher:
+                S[(S <= floor) if policy == "remote" else (S < floor)] = np.nan
+            else:
+                S[(S >= floor) if policy == "remote" else (S > floor)] = np.nan
+        qi, ni, sc = _batch_topk(S, keys, k, higher)
+        found.append((qi + lo, ni, sc))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
 
 
 def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_relevance: float | None = 0.0,
                  policy: str = "memory", metric: str = "cosine", qid_col: str = "qid",
                  query_vector_col: str = "query_vector", match_cols: Sequence[str] = (),
                  key_col: str = "key", vector_col: str = "embedding", include_vectors: bool = False,
-                 include_metadata: bool = True,
-                 max_broadcast_bytes: int = DEFAULT_QUERY_BROADCAST_BYTES) -> DataFrame:
+                 include_metadata: bool = True, max_broadcast_bytes: int = DEFAULT_QUERY_BROADCAST_BYTES,
+                 query_block: int = 1024, record_block: int = 16_384) -> DataFrame:
     """N3/N4/N5 for a table of queries: best ``top_k`` records per query.
 
     ``top_k=None`` (or negative) keeps every record above the floor.
@@ -197,6 +223,10 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     (e.g. ``collection``): a query only scores records with equal match values
     and a vector as long as its own; ``without_counterpart`` lists the rest.
     Output: the query id, the record columns (vector only if asked) and ``score``.
+
+    Query tables up to ``max_broadcast_bytes`` travel to the records; larger
+    ones meet them in a join of query and record blocks, keyed by match
+    values, vector length and block numbers, and never pass the driver.
     """
     _check_policy(policy)
     metric = metric.lower()
@@ -215,44 +245,56 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     if not unlimited and top_k <= 0:
         return spark.createDataFrame([], schema)
 
-    # The query table is read by the size check and then collected block by
-    # block; cache it for those driver-side actions only (released below, the
-    # returned plan reads the records and the broadcast, not the queries).
-    qsel = queries.select(qid_col, query_vector_col, *match_cols).persist()
-    stats = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector_col)).alias("d")).first()  # longest vector sizes the blocks
+    qsel = queries.select(qid_col, query_vector_col, *match_cols).filter(F.size(query_vector_col) > 0)
+    stats = qsel.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector_col)).alias("d")).first()
     n_q, dim = int(stats["n"]), int(stats["d"] or 0)
-    if n_q == 0 or dim <= 0:
-        qsel.unpersist()
+    if n_q == 0:
         return spark.createDataFrame([], schema)
-    per_query = dim * 8 + 64
-    block = max(1, max_broadcast_bytes // per_query)
-    n_blocks = math.ceil(n_q / block)
-    if n_blocks > 1:
-        # Exact block sizes: number the queries (skew-safe dense index) and cut by position,
-        # so no block exceeds the broadcast limit.
-        numbered = dense_index(qsel.withColumn("_all", F.lit(0)), ["_all"], [qid_col], "_qpos").drop("_all")
-        numbered = numbered.withColumn("_blk", F.floor(F.col("_qpos") / F.lit(block))).persist()
-        blocks = [numbered.filter(F.col("_blk") == b).drop("_qpos", "_blk") for b in range(n_blocks)]
-    else:
-        blocks = [qsel]
-
-    candidates = None
-    for qb in blocks:
-        part = _score_block(records, qb, top_k=None if unlimited else top_k, min_relevance=min_relevance, policy=policy, metric=metric,
-                            higher=higher, qid_col=qid_col, query_vector_col=query_vector_col,
-                            match_cols=match_cols, key_col=key_col, vector_col=vector_col,
-                            out_cols=out_cols, schema=schema)
-        candidates = part if candidates is None else candidates.unionByName(part)
-    qsel.unpersist()
-    if n_blocks > 1:
-        numbered.unpersist()
-
-    if unlimited:
-        return candidates
+    options = dict(metric=metric, k=None if unlimited else top_k, floor=min_relevance, policy=policy)
+    if n_q * (dim * 8 + 64) <= max_broadcast_bytes:
+        candidates = _score_broadcast(records, qsel, qid_col, query_vector_col, match_cols, key_col, vector_col, out_cols, schema, options)
+        return candidates if unlimited else _merge_top(candidates, qid_col, key_col, top_k, higher)
+    # records get a number, so that only keys and vectors are copied to the blocks and the rest is joined after the cut
+    written = materialize(records.select(*dict.fromkeys([*out_cols, key_col, vector_col, *match_cols])).withColumn(
+        "_row", F.monotonically_increasing_id()), "records")
+    numbered = _score_blocks(written, qsel, qid_col, query_vector_col, match_cols, key_col, vector_col, query_block, record_block, options)
+    if not unlimited:
+        numbered = _merge_top(numbered, qid_col, "_key", top_k, higher)
+    numbered = numbered.select(F.col(qid_col).alias("_qid"), "_row", "score")
+    return numbered.join(written, "_row").select(F.col("_qid").alias(qid_col), *[F.col(f"`{c}`") for c in out_cols], "score")
+
+
+def _merge_top(candidates: DataFrame, qid_col: str, key_col: str, top_k: int, higher: bool) -> DataFrame:
     order = F.col("score").desc() if higher else F.col("score").asc()
     w = Window.partitionBy(qid_col).orderBy(order, F.col(key_col).asc())
-    return (candidates.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") <= top_k).drop("_rn"))
+    return candidates.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= top_k).drop("_rn")
+
+
+def score_pair(schema: T.StructType, options: dict):
+    """Work on a block of queries (_qid, _dim, _vector) and one of records (_row, _key, _vector) of that length."""
+    def work(own: pa.Table, block: pa.Table) -> pa.Table:
+        qi, ni, sc = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if own.num_rows and block.num_rows:
+            dim = own["_dim"][0].as_py()
+            qi, ni, sc = _best_pairs(_vectors(own["_vector"], dim)[1], _vectors(block["_vector"], dim)[1], _sortable(block["_key"]), **options)
+        cols = [own["_qid"].take(pa.array(qi)), block["_row"].take(pa.array(ni)), block["_key"].take(pa.array(ni)), pa.array(sc)]
+        return pa.Table.from_arrays(cols, names=schema.names)
+
+    return work
+
+
+def _score_blocks(records: DataFrame, queries: DataFrame, qid_col: str, query_vector_col: str, match_cols: list[str], key_col: str,
+                  vector_col: str, query_block: int, record_block: int, options: dict) -> DataFrame:
+    """(qid, _row, _key, score): the best rows of every query in every pair of blocks."""
+    by = [*[f"_match{k}" for k in range(len(match_cols))], "_dim"]
+    named = [F.col(f"`{c}`").alias(f"_match{k}") for k, c in enumerate(match_cols)]
+    q = queries.select(*named, F.size(query_vector_col).alias("_dim"), F.col(qid_col).alias("_qid"), F.col(query_vector_col).alias("_vector"))
+    r = records.select(*named, F.size(vector_col).alias("_dim"), "_row", F.col(f"`{key_col}`").alias("_key"), F.col(vector_col).alias("_vector"))
+    schema = T.StructType([T.StructField(qid_col, q.schema["_qid"].dataType), T.StructField("_row", T.LongType()),
+                           T.StructField("_key", r.schema["_key"].dataType), T.StructField("score", T.DoubleType())])
+
+    return pair_blocks(q, r, by, left_hash=[F.col("_qid"), F.col("_vector")], right_hash=[F.col("_row")], left_rows=query_block,
+                       right_rows=record_block, work=score_pair(schema, options), schema=schema)
 
 
 def without_counterpart(records: DataFrame, queries: DataFrame, *, query_vector_col: str = "query_vector",
@@ -263,54 +305,55 @@ def without_counterpart(records: DataFrame, queries: DataFrame, *, query_vector_
     return wanted.join(broadcast_if_small(there), [*match_cols, "_dim"], "left_anti").drop("_dim")
 
 
-def _score_block(records, qb, *, top_k, min_relevance, policy, metric, higher, qid_col, query_vector_col,
-                 match_cols, key_col, vector_col, out_cols, schema) -> DataFrame:
-    spark = records.sparkSession
-    qpdf = qb.toPandas()  # bounded: the caller sized the block to the broadcast limit
+def _score_broadcast(records: DataFrame, queries: DataFrame, qid_col: str, query_vector_col: str, match_cols: list[str], key_col: str,
+                     vector_col: str, out_cols: list[str], schema: T.StructType, options: dict) -> DataFrame:
+    """Candidates of each Arrow batch of records; the query table's size was checked by the caller."""
+    table = queries.toArrow()
+    lengths = table[query_vector_col].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
     groups: dict = {}
-    for mk, g in (qpdf.groupby(match_cols, sort=False, dropna=False) if match_cols else [((), qpdf)]):
-        mk = mk if isinstance(mk, tuple) else (mk,)
-        lengths = g[query_vector_col].map(lambda v: 0 if v is None else len(v))
-        for dim in sorted(set(lengths) - {0}):  # a query meets the records whose vectors are as long as its own
-            own = g[lengths == dim]
-            groups.setdefault(mk, []).append((dim, own[qid_col].to_numpy(), _stack(own[query_vector_col], dim)[0]))
-    bc = spark.sparkContext.broadcast(groups)
-    floor = min_relevance
-    strict = policy == "remote"
-
-    def score_batches(batches: Iterable[pd.DataFrame]):
-        qgroups = bc.value
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            parts = pdf.groupby(match_cols, sort=False, dropna=False) if match_cols else [((), pdf)]
-            for mk, g in parts:
-                mk = mk if isinstance(mk, tuple) else (mk,)
-                if mk not in qgroups:
+    for row, (dim, *values) in enumerate(zip(lengths.tolist(), *[table[c].to_pylist() for c in match_cols])):
+        groups.setdefault(tuple(values), {}).setdefault(dim, []).append(row)
+    blocks = {m: [(dim, np.array(rows), _vectors(table[query_vector_col].combine_chunks().take(pa.array(rows)), dim)[1]) for dim, rows in own.items()]
+              for m, own in groups.items()}
+    bc = records.sparkSession.sparkContext.broadcast((blocks, table[qid_col].combine_chunks()))
+
+    def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks, qids = bc.value
+        for b in batches:
+            for values, rows in _match_groups(b, match_cols):
+                if values not in blocks:
                     continue
-                keys = g[key_col].to_numpy()
-                if keys.dtype == object:
-                    keys = np.asarray(g[key_col].astype(str).to_numpy(), dtype=str)
-                stacked = {dim: _stack(g[vector_col], dim) for dim, _, _ in qgroups[mk]}
-                for dim, qids, Q, lo in ((d, i, q, lo) for d, i, q in qgroups[mk] for lo in range(0, len(i), 1024)):
-                    X, ok = stacked[dim]
-                    S = np.round(_score_matrix(Q[lo:lo + 1024], X, metric), SCORE_DIGITS)
-                    S[:, ~ok] = np.nan
-                    if floor is not None:
-                        if higher:
-                            bad = (S <= floor) if strict else (S < floor)
-                        else:
-                            bad = (S >= floor) if strict else (S > floor)
-                        S[bad] = np.nan
-                    qi, ni, sc = _batch_topk(S, keys, top_k, higher)
-                    if qi.size == 0:
+                part = b if rows is None else b.take(pa.array(rows))
+                keys = _sortable(part.column(key_col))
+                for dim, own, Q in blocks[values]:
+                    at, X = _vectors(part.column(vector_col), dim)
+                    if not len(at):
                         continue
-                    out = g.iloc[ni][out_cols].reset_index(drop=True)
-                    out.insert(0, qid_col, qids[lo:lo + 1024][qi])
-                    out["score"] = sc
-                    yield out
-
-    return spread(records).mapInPandas(score_batches, schema)
+                    qi, ni, sc = _best_pairs(Q, X, keys[at], **options)
+                    take = pa.array(at[ni])
+                    yield pa.RecordBatch.from_arrays([qids.take(pa.array(own[qi])), *[part.column(c).take(take) for c in out_cols], pa.array(sc)],
+                                                     names=schema.names)
+
+    used = list(dict.fromkeys([*out_cols, key_col, vector_col, *match_cols]))
+    return spread(records.select(*[F.col(f"`{c}`") for c in used])).mapInArrow(score_batches, schema)
+
+
+def _match_groups(b: pa.RecordBatch, match_cols: list[str]) -> Iterator[tuple[tuple, np.ndarray | None]]:
+    """(match values, rows) of a batch; rows is None for the whole batch."""
+    if not match_cols:
+        yield (), None
+        return
+    code, values = np.zeros(b.num_rows, np.int64), []
+    for c in match_cols:
+        coded = b.column(c).dictionary_encode(null_encoding="encode")
+        values.append(coded.dictionary.to_pylist())
+        code = code * len(values[-1]) + coded.indices.to_numpy(zero_copy_only=False)
+    for x in np.unique(code).tolist():
+        rows, own = np.flatnonzero(code == x), []
+        for v in reversed(values):
+            x, k = divmod(x, len(v))
+            own.append(v[k])
+        yield tuple(reversed(own)), rows
 
 
 def rank_within(df: DataFrame, partition_cols: Sequence[str], order: Sequence[Column], k: int,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from memweave.functions import vectors as V
-from memweave.operators import search
+from memweave.operators import pruned, search
 from memweave.plans.catalog import register
 from memweave.plans.fixtures import records, with_views
 from memweave.sources.tables import load
@@ -55,19 +55,38 @@ def n3_nearest_single(spark, sf_dir):
 
 # --- N3 many: every record's nearest neighbours in its collection -----------
 
-@register("n3_nearest_many", with_views(f"""
+N3_MANY_SQL = with_views(f"""
 SELECT qid, collection, namespace, key, document_id, lang, source, score FROM (
   SELECT q.key AS qid, {REC_COLS},
          round(list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 6) AS score
   FROM records q JOIN records r ON q.collection = r.collection) s
 WHERE score >= 0.3
-QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, key) <= 10""", "records"))
+QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, key) <= 10""", "records")
+
+
+@register("n3_nearest_many", N3_MANY_SQL)
 def n3_nearest_many(spark, sf_dir):
     rec = records(spark, sf_dir)
     return search.nearest_many(rec, _queries_from(rec, "collection"), top_k=10, min_relevance=0.3,
                                policy="memory", match_cols=["collection"])
 
 
+@register("n3_nearest_blocks", N3_MANY_SQL)
+def n3_nearest_blocks(spark, sf_dir):
+    """The same search as a join of query and record blocks, as for a query table beyond the broadcast limit."""
+    rec = records(spark, sf_dir)
+    return search.nearest_many(rec, _queries_from(rec, "collection"), top_k=10, min_relevance=0.3, policy="memory", match_cols=["collection"],
+                               max_broadcast_bytes=0, query_block=256, record_block=512)
+
+
+@register("n3_pruned_nearest", N3_MANY_SQL)
+def n3_pruned_nearest(spark, sf_dir):
+    """The same search over a stored index, reading only blocks whose bound reaches the k-th score."""
+    rec = records(spark, sf_dir)
+    index = pruned.build_index(rec, match_cols=["collection"], rows_per_block=32)
+    return pruned.nearest(index, _queries_from(rec, "collection"), top_k=10, min_relevance=0.3)[0]
+
+
 # --- N4: remote rule (top-k, then strict floor), within namespace ------------
 
 @register("n4_nearest_remote", with_views(f"""
@@ -85,14 +104,17 @@ def n4_nearest_remote(spark, sf_dir):
 
 # --- N5: metadata filter before ranking --------------------------------------
 
-@register("n5_filtered_nearest", with_views(f"""
+N5_MANY_SQL = with_views(f"""
 SELECT * FROM (
   SELECT q.key AS qid, {REC_COLS},
          round(list_cosine_similarity(q.embedding::DOUBLE[], r.embedding::DOUBLE[]), 6) AS score
   FROM records q JOIN records r ON q.collection = r.collection
   WHERE r.lang = 'en') s
 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC NULLS LAST, key) <= 5
-    AND score > 0.2""", "records"))
+    AND score > 0.2""", "records")
+
+
+@register("n5_filtered_nearest", N5_MANY_SQL)
 def n5_filtered_nearest(spark, sf_dir):
     rec = records(spark, sf_dir)
     filtered = rec.filter(F.col("lang") == "en")
@@ -100,6 +122,14 @@ def n5_filtered_nearest(spark, sf_dir):
                                policy="remote", match_cols=["collection"])
 
 
+@register("n5_pruned_filtered", N5_MANY_SQL)
+def n5_pruned_filtered(spark, sf_dir):
+    """The filtered search over an index of all records."""
+    rec = records(spark, sf_dir)
+    index = pruned.build_index(rec, match_cols=["collection"], rows_per_block=32)
+    return pruned.nearest(index, _queries_from(rec, "collection"), top_k=5, min_relevance=0.2, policy="remote", where=F.col("lang") == "en")[0]
+
+
 # --- N6 / N10: raw query, no threshold, ids and scores only -----------------
 
 @register("n6_raw_query", with_views("""

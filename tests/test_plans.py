@@ -17,7 +17,7 @@ def test_single_query_search_is_take_ordered(spark):
 
 def test_many_query_search_limits_before_the_shuffle(spark):
     p = plan(spark, "n3_nearest_many")
-    assert "MapInPandas" in p and "Partial" in p and "WindowGroupLimit" in p
+    assert "MapInArrow" in p and "Partial" in p and "WindowGroupLimit" in p
     assert "CartesianProduct" not in p and "NestedLoopJoin" not in p
     # the partial group limit sits below the exchange on qid
     lines = p.split("\n")

@@ -148,3 +148,92 @@ def test_mixed_lengths_and_numeric_ties(spark):
     got = {(r.qid, r.key) for r in search.nearest_many(rec, q, top_k=1).collect()}
     assert got == {(1, 2), (2, 4)}
     assert [r.qid for r in search.without_counterpart(rec, q).collect()] == [3]
+
+
+def _rows(df):
+    return sorted((x.qid, x.collection or "", x.key, x.score) for x in df.collect())
+
+
+def _mixed_records(spark, n=700, d=6, seed=11):
+    """Three lengths, zero and null vectors, null match values, exact ties, and one collection with most rows."""
+    import random
+    rnd = random.Random(seed)
+    base = [[rnd.gauss(0, 1) for _ in range(d)] for _ in range(40)]
+    rows = []
+    for i in range(n):
+        v = list(base[i % 40]) if i % 3 == 0 else [x + rnd.gauss(0, 0.3) for x in base[rnd.randrange(40)]]
+        v = {7: [0.0] * d, 8: None, 9: [], 10: v[:3]}.get(i % 90, v)
+        rows.append(("hot" if i % 10 < 6 else None if i % 10 == 6 else f"c{i % 10}", f"ns{i % 2}", f"k{i:04d}", v, "en" if i % 2 else "fr"))
+    return recs(spark, rows)
+
+
+def _queries(r):
+    return r.filter(F.crc32("key") % 3 == 0).select(F.col("key").alias("qid"), F.col("embedding").alias("query_vector"), "collection")
+
+
+@pytest.mark.parametrize("options", [dict(top_k=4, min_relevance=0.1), dict(top_k=6, min_relevance=None, policy="remote"),
+                                     dict(top_k=3, min_relevance=None, metric="euclidean"), dict(top_k=None, min_relevance=0.9)])
+def test_block_join_equals_broadcast_search(spark, options):
+    r = _mixed_records(spark)
+    q = _queries(r)
+    one = search.nearest_many(r, q, match_cols=["collection"], **options)
+    many = search.nearest_many(r, q, match_cols=["collection"], max_broadcast_bytes=0, query_block=20, record_block=50, **options)
+    assert one.columns == many.columns
+    assert _rows(one) == _rows(many) and one.count() > 100
+
+
+def test_block_join_pairs_many_blocks_and_reads_records_once(spark):
+    from memweave.functions.blocks import pair_blocks
+    r = _mixed_records(spark).filter("collection = 'hot' and size(embedding) = 6")
+    q = _queries(r)
+
+    def sizes(a, b):
+        import pyarrow as pa
+        return pa.table({"a": pa.array([a.num_rows], pa.int64()), "b": pa.array([b.num_rows], pa.int64())})
+
+    pairs = pair_blocks(q, r, ["collection"], left_hash=[F.col("qid")], right_hash=[F.col("key")], left_rows=20, right_rows=50,
+                        work=sizes, schema="a long, b long").filter("a > 0 and b > 0").collect()
+    n_q, n_r = q.count(), r.count()
+    assert len(pairs) == -(-n_q // 20) * -(-n_r // 50) > 12 and n_q > 60 and n_r > 150
+    assert sum(x.a * x.b for x in pairs) == n_q * n_r and max(x.b for x in pairs) < 100
+    plan = search.nearest_many(r, q, top_k=2, max_broadcast_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInArrow") == 1 and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("options", [dict(top_k=4, min_relevance=0.1), dict(top_k=6, min_relevance=None, policy="remote")])
+def test_pruned_search_equals_the_full_scan(spark, options):
+    from memweave.operators import pruned
+    r = _mixed_records(spark)
+    q = _queries(r)
+    index = pruned.build_index(r, match_cols=["collection"], rows_per_block=8)
+    found, visits = pruned.nearest(index, q, query_block=16, record_block=40, **options)
+    full = search.nearest_many(r, q, match_cols=["collection"], **options)
+    assert found.columns == full.columns and _rows(found) == _rows(full)
+    total = visits.agg(F.sum("blocks").alias("b"), F.sum("visited").alias("v"), F.max(F.col("visited") > F.col("blocks")).alias("bad")).first()
+    assert not total.bad and total.v < 0.6 * total.b
+
+
+def test_pruned_search_of_all_embeddings(spark):
+    from memweave.operators import pruned
+    from memweave.plans.fixtures import records
+    r = records(spark, "/root/testdata/sf0.01")
+    q = r.select(F.col("key").alias("qid"), F.col("embedding").alias("query_vector"))
+    index = pruned.build_index(r, rows_per_block=16)
+    found, visits = pruned.nearest(index, q, top_k=5, min_relevance=0.2)
+    assert _rows(found) == _rows(search.nearest_many(r, q, top_k=5, min_relevance=0.2))
+    total = visits.agg(F.sum("blocks").alias("b"), F.sum("visited").alias("v")).first()
+    assert 0 < total.v <= total.b
+
+
+def test_pruned_search_without_pivots_or_rows(spark, monkeypatch):
+    from memweave.operators import pruned
+    r = recs(spark, [("c", "", "z", [0.0, 0.0], "en"), ("c", "", "n", None, "en"), ("c", "", "l", [1.0, 0.0, 0.0], "en"), ("c", "", "a", [1.0, 1.0], "en")])
+    q = spark.createDataFrame([("q", [1.0, 0.0], "c"), ("w", [1.0], "c"), ("zero", [0.0, 0.0], "c"), ("none", None, "c"), ("other", [1.0, 0.0], "d")],
+                              "qid string, query_vector array<float>, collection string")
+    for n in (1, 100):
+        index = pruned.build_index(r, match_cols=["collection"], rows_per_block=n)
+        assert [(x.qid, x.key) for x in pruned.nearest(index, q, top_k=3)[0].collect()] == [("q", "a")]
+    monkeypatch.setattr(pruned, "MAX_BLOCKS", 0)
+    assert [(x.qid, x.key) for x in pruned.nearest(index, q, top_k=3)[0].collect()] == [("q", "a")]
+    empty = pruned.build_index(r.limit(0), match_cols=["collection"])
+    assert pruned.nearest(empty, q, top_k=3)[0].count() == 0
