@@ -13,6 +13,10 @@ Token ids (our contract, the original id file is not available): byte symbol
 
 from __future__ import annotations
 
+import hashlib
+import heapq
+from collections.abc import Callable
+
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,12 +27,13 @@ from memweave.functions.ordering import dense_index
 from memweave.operators.tokens import PRETOKEN_PATTERN, pretokens
 
 MAX_MERGES = 2_000_000  # broadcast guard: a merge table is a dictionary, not data
+MEMO = 500_000  # remembered pre-tokens of a generation: bounds memory, changes no result
 
 
 def bytes_to_unicode() -> dict[int, str]:
     """K2: byte -> printable character.
 
-    Rule: bytes in the printable ranges ``!``..``~``, ``¡``..``¬`` and ``®``..``ÿ``
+    Fixed values: bytes in the printable ranges ``!``..``~``, ``¡``..``¬`` and ``®``..``ÿ``
     stand for themselves; every other byte, in increasing order, gets the
     next character from U+0100 on.
     """
@@ -59,48 +64,81 @@ def load_merges(spark: SparkSession, path: str) -> DataFrame:
                          F.get("_p", 1).alias("right"))
 
 
+def load_tokenizer_merges(spark: SparkSession, path: str) -> DataFrame:
+    """S9 for a tokenizer file in JSON: its ``model.merges`` -> (rank, left, right)."""
+    text = spark.read.text(path, wholetext=True)
+    # a merge is written as a pair, or as one string with a space
+    pairs = F.get(F.from_json("value", "model struct<merges: array<array<string>>>")["model"]["merges"], 0).isNotNull()
+    as_pairs = F.from_json("value", "model struct<merges: array<array<string>>>")["model"]["merges"]
+    as_lines = F.transform(F.from_json("value", "model struct<merges: array<string>>")["model"]["merges"], lambda m: F.split(m, " "))
+    merges = text.select(F.posexplode(F.when(pairs, as_pairs).otherwise(as_lines)).alias("rank", "p"))
+    return merges.select("rank", F.get("p", 0).alias("left"), F.get("p", 1).alias("right"))
+
+
+def merged(symbols: list, rank_of: Callable, product: Callable) -> list:
+    """K3: merge the lowest-ranked adjacent pair everywhere, repeatedly.
+
+    The symbols form a linked list and a heap holds the ranked pairs by (rank,
+    place); a pass takes all places of the lowest rank, left to right, and
+    then adds the pairs that its products form. A pre-token of n symbols costs
+    n log n, however long it is.
+    """
+    n = len(symbols)
+    sym, after, before = list(symbols), list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(r, i) for i in range(n - 1) if (r := rank_of((sym[i], sym[i + 1]))) is not None]
+    heapq.heapify(heap)
+    while heap:
+        rank, made = heap[0][0], []
+        while heap and heap[0][0] == rank:
+            i = heapq.heappop(heap)[1]
+            j = after[i]
+            if sym[i] is None or j >= n or rank_of((sym[i], sym[j])) != rank:
+                continue  # one of the two has been merged since
+            sym[i], sym[j] = product((sym[i], sym[j])), None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            made.append(i)
+        for i in made:
+            for left in (before[i], i):
+                if left >= 0 and after[left] < n and (r := rank_of((sym[left], sym[after[left]]))) is not None:
+                    heapq.heappush(heap, (r, left))
+    return [x for x in sym if x is not None]
+
+
 def merge_pretoken(symbols: list[str], ranks: dict[tuple[str, str], int]) -> list[str]:
-    """K3: merge the lowest-ranked adjacent pair everywhere, repeatedly."""
-    word = symbols
-    while len(word) > 1:
-        best, best_rank = None, None
-        for pair in zip(word, word[1:]):
-            r = ranks.get(pair)
-            if r is not None and (best_rank is None or r < best_rank):
-                best, best_rank = pair, r
-        if best is None:
-            break
-        merged, i = [], 0
-        while i < len(word):
-            if i + 1 < len(word) and word[i] == best[0] and word[i + 1] == best[1]:
-                merged.append(best[0] + best[1])
-                i += 2
-            else:
-                merged.append(word[i])
-                i += 1
-        word = merged
-    return word
+    """K3 over printable symbols."""
+    return merged(symbols, ranks.get, "".join)
 
 
 class Vocabulary:
-    """Merge ranks and symbol ids built from (rank, left, right) rows."""
+    """Merge ranks and symbol ids built from (rank, left, right) rows; pairs are kept by their symbols' ids."""
 
     def __init__(self, merges: list[tuple[int, str, str]]):
         self.byte_char = bytes_to_unicode()
-        self.ranks: dict[tuple[str, str], int] = {}
         self.ids: dict[str, int] = {c: b for b, c in self.byte_char.items()}
+        ranks: dict[tuple[str, str], int] = {}
         for rank, left, right in sorted(merges):
-            self.ranks.setdefault((left, right), rank)
+            ranks.setdefault((left, right), rank)
             self.ids.setdefault(left + right, 256 + rank)
-        self._memo: dict[str, list[int]] = {}
+        # a pair with a symbol that nothing makes can never be met
+        known = {p: r for p, r in ranks.items() if p[0] in self.ids and p[1] in self.ids}
+        self._rank = {(self.ids[a], self.ids[b]): r for (a, b), r in known.items()}
+        self._product = {(self.ids[a], self.ids[b]): self.ids[a + b] for a, b in known}
+        self._young: dict[str, list[int]] = {}
+        self._old: dict[str, list[int]] = {}
 
     def encode_pretoken(self, token: str) -> list[int]:
-        hit = self._memo.get(token)
+        """Ids of one pre-token; those met lately are remembered in two generations of ``MEMO``."""
+        hit = self._young.get(token)
         if hit is None:
-            symbols = [self.byte_char[b] for b in token.encode("utf-8")]
-            hit = [self.ids[s] for s in merge_pretoken(symbols, self.ranks)]
-            if len(self._memo) < 1_000_000:
-                self._memo[token] = hit
+            hit = self._old.get(token)
+            if hit is None:
+                hit = merged(list(token.encode("utf-8")), self._rank.get, self._product.__getitem__)
+            if len(token) < 64:
+                if len(self._young) >= MEMO:
+                    self._old, self._young = self._young, {}
+                self._young[token] = hit
         return hit
 
 
@@ -110,18 +148,22 @@ def broadcast_vocabulary(merges: DataFrame):
     if n > MAX_MERGES:
         raise ValueError(f"merge table has {n} rows, above the broadcast guard {MAX_MERGES}")
     rows = [(int(r["rank"]), r["left"], r["right"]) for r in merges.select("rank", "left", "right").collect()]
-    return merges.sparkSession.sparkContext.broadcast(rows)
+    digest = hashlib.sha256(repr(sorted(rows)).encode("utf-8")).hexdigest()
+    return merges.sparkSession.sparkContext.broadcast((digest, rows))
+
+
+#: Vocabularies of a worker process by the digest of their merge table, the latest few.
+_VOCABULARIES: dict[str, Vocabulary] = {}
 
 
-def _vocab_from(bc):
+def _vocab_from(bc) -> Vocabulary:
     """One Vocabulary (and memo) per worker process and merge table."""
-    cache = _vocab_from.__dict__.setdefault("cache", {})
-    rows = bc.value
-    key = (len(rows), rows[0] if rows else None, rows[-1] if rows else None)
-    if key not in cache:
-        cache.clear()
-        cache[key] = Vocabulary(rows)
-    return cache[key]
+    digest, rows = bc.value
+    if digest not in _VOCABULARIES:
+        while len(_VOCABULARIES) >= 4:
+            del _VOCABULARIES[next(iter(_VOCABULARIES))]
+        _VOCABULARIES[digest] = Vocabulary(rows)
+    return _VOCABULARIES[digest]
 
 
 def encode(text: Column | str, merges_bc) -> Column:

@@ -71,7 +71,7 @@ def assemble_requests(conversations: DataFrame, *, strict: bool = True,
         return requests.drop("_ok"), requests.filter(F.lit(False)).drop("_ok")
     if fail_on_invalid:
         checked = requests.filter(F.when(F.col("_ok") == 0, F.raise_error(
-            F.concat(F.lit("Invalid chat message author role in conversation "), F.col("conv_id").cast("string"))))
+            F.concat(F.lit("unknown role in conversation "), F.col("conv_id").cast("string"))))
             .otherwise(F.lit(True)))
         return checked.drop("_ok"), requests.filter(F.lit(False)).drop("_ok")
     return requests.filter(F.col("_ok") == 1).drop("_ok"), requests.filter(F.col("_ok") == 0).drop("_ok")

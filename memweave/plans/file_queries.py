@@ -1,4 +1,4 @@
-"""Registered queries over generated files: Office documents (S4-S6), merge files (S9), BPE counts (K5), raw filter query.
+"""Registered queries over generated files: Office documents (S4-S6), merge files (S9), BPE ids and counts (K4, K5), raw filter query.
 
 The files are made from the given tables with Spark, so the work grows with
 them, and go through the same readers as files from a folder.
@@ -7,6 +7,7 @@ them, and go through the same readers as files from a folder.
 from __future__ import annotations
 
 import io
+import os
 import zipfile
 from collections.abc import Iterable
 from xml.sax.saxutils import escape
@@ -15,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from memweave.functions.parallel import spread
 from memweave.operators import bpe, chunking, search
 from memweave.plans.catalog import register
 from memweave.plans.fixtures import records, with_views
@@ -131,6 +133,21 @@ def k5_bpe_counts(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", bpe.count_bpe_tokens(F.col("text"), table).alias("n_tokens"))
 
 
+def vocabulary_merges(spark):
+    """The merge table of a public 50,000-entry byte-level vocabulary; its file is part of the environment."""
+    import public_tokenizers
+
+    return bpe.load_tokenizer_merges(spark, "file://" + os.path.abspath(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@register("k4_encode")
+def k4_encode(spark, sf_dir):
+    """Ids of every document over a merge table of vocabulary size, as their number and a digest."""
+    table = bpe.broadcast_vocabulary(vocabulary_merges(spark))
+    ids = spread(load(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id").select("doc_id", bpe.encode("text", table).alias("ids"))
+    return ids.select("doc_id", F.size("ids").alias("n_ids"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"))
+
+
 @register("n6_filter_query", with_views("""
 SELECT collection, namespace, key, lang FROM records WHERE lang = 'en' AND namespace = 'ns1' ORDER BY key LIMIT 10""", "records"))
 def n6_filter_query(spark, sf_dir):

@@ -67,11 +67,11 @@ def word_paragraphs(data: bytes) -> list[str]:
     """
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         if WORD_MAIN not in z.namelist():
-            raise OfficeFormatError("The main document part is missing.")
+            raise OfficeFormatError(f"no part {WORD_MAIN} in the file")
         root = ET.fromstring(z.read(WORD_MAIN))
     body = root.find(_q(NS_W, "body"))
     if body is None:
-        raise OfficeFormatError("The document body is missing.")
+        raise OfficeFormatError("the word file holds no body element")
     t_tag = _q(NS_W, "t")
     return ["".join(t.text or "" for t in p.iter(t_tag)) for p in body.iter(_q(NS_W, "p"))]
 

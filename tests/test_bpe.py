@@ -65,3 +65,79 @@ def test_load_merges_and_encode_in_spark(spark, tmp_dir):
     vocab = bpe.Vocabulary(merges)
     exp = [i for t in regex.findall(PAT, "The lazy dog's day.") for i in vocab.encode_pretoken(t)]
     assert out[1] == (exp, len(exp)) and out[2] == ([], 0) and out[3] == ([], 0)
+
+
+def _straight(symbols, ranks):
+    """The rule as stated: find the lowest-ranked pair, merge it everywhere from the left, repeat."""
+    word = list(symbols)
+    while True:
+        known = [(ranks[p], p) for p in zip(word, word[1:]) if p in ranks]
+        if not known:
+            return word
+        pair, out, i = min(known)[1], [], 0
+        while i < len(word):
+            two = tuple(word[i:i + 2]) == pair
+            out.append("".join(pair) if two else word[i])
+            i += 1 + two
+        word = out
+
+
+def test_heap_merging_follows_the_rule():
+    import random
+    rng = random.Random(1)
+    for _ in range(400):
+        syms = ["a", "b", "c"]
+        ranks = {}
+        for r in range(rng.randrange(1, 12)):
+            pair = (rng.choice(syms), rng.choice(syms))
+            ranks.setdefault(pair, r)
+            syms.append("".join(pair))
+        word = [rng.choice("abc") for _ in range(rng.randrange(0, 40))]
+        assert bpe.merge_pretoken(word, ranks) == _straight(word, ranks)
+
+
+def test_long_pretoken_is_not_quadratic():
+    vocab = bpe.Vocabulary([(0, "a", "b"), (1, "ab", "ab")])
+    assert vocab.encode_pretoken("ab" * 100_000) == [257] * 50_000
+
+
+def test_two_merge_tables_alike_at_both_ends_in_one_select(spark):
+    tables = [[(0, "a", "b"), (1, "c", "d"), (2, "e", "f")], [(0, "a", "b"), (1, "d", "c"), (2, "e", "f")]]
+    bcs = [bpe.broadcast_vocabulary(spark.createDataFrame(t, "rank int, left string, right string")) for t in tables]
+    row = spark.createDataFrame([("abcdcef",)], "text string").select(*[bpe.encode("text", bc).alias(f"x{k}") for k, bc in enumerate(bcs)]).first()
+    assert row.x0 == [256, 257, ord("c"), 258] and row.x1 == [256, ord("c"), 257, 258]
+
+
+def test_merges_with_unknown_symbols_are_ignored():
+    assert bpe.Vocabulary([(0, "a", "b"), (1, "xy", "z"), (2, "ab", "c")]).encode_pretoken("xyzabc") == [120, 121, 122, 258]
+
+
+def _vocabulary_ranks(merges):
+    inv = {c: b for b, c in bpe.bytes_to_unicode().items()}
+    ranks = {bytes([b]): b for b in range(256)}
+    for r, a, b in merges:
+        ranks[bytes(inv[c] for c in a + b)] = 256 + r
+    return ranks
+
+
+def test_vocabulary_size_file_and_encode_query(spark, tmp_dir):
+    import hashlib
+
+    from memweave.plans.catalog import load_all
+    from memweave.plans.file_queries import vocabulary_merges
+    from memweave.sources.tables import load
+
+    merges = [(r.rank, r.left, r.right) for r in vocabulary_merges(spark).orderBy("rank").collect()]
+    assert len(merges) == 50_000 and [m[0] for m in merges] == list(range(50_000))
+    path = f"{tmp_dir}/merges.txt"
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("#version: 0.2\n" + "".join(f"{a} {b}\n" for _, a, b in merges))
+    assert sorted(tuple(r) for r in bpe.load_merges(spark, path).collect()) == merges
+    enc = tiktoken.Encoding(name="vocabulary", pat_str=PAT, mergeable_ranks=_vocabulary_ranks(merges), special_tokens={})
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: (r.n_ids, r.ids_sha256) for r in load_all()["k4_encode"][0](spark, sf).collect()}
+    docs = load(spark, sf, "documents").select("doc_id", "text").collect()
+    assert len(got) == len(docs)
+    for doc_id, text in docs:
+        ids = enc.encode_ordinary(text or "")
+        assert got[doc_id] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
