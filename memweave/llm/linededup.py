@@ -23,13 +23,27 @@ or more, if their edit distance over words (insert, delete, replace) is at most
    words fall into 2 k + 1 classes by their hash, and a variant keeps the words
    of one class. An edit touches two classes at most (the word that goes and
    the one that comes), so two lines within k edits have an equal variant of
-   one class at least; a line of w words has about w / 10 variants. A longer
+   one class at least; a line of w words has about w / 10 variants. Classes
+   without words are left out (step 6). A longer
    line also emits those of the smaller k that its shorter partners have. Lines
-   are verified against the earliest line of each key first; those it does not
-   match are verified against all earlier ones with an equal variant. Only pairs
+   are verified against the earliest line of each key first, then against the
+   earliest of each of 16 parts of it; those that none of these matches are
+   verified against all earlier ones with an equal variant. Only pairs
    whose sketches differ in 2 k bits at most are verified: bit b tells whether
    the number of words that hash to b is odd, so an edit changes two bits at most.
 
+6. Two lines that both have an empty class, those of few different words, also
+   meet on marks: k edits leave a run of
+   (w - k) / (k + 1) words or more whole, and the smallest hash of every few
+   neighbouring word runs (winnowing) picks one mark at least inside it, in
+   both lines, at places up to k apart. All marks of a line are looked up, but a
+   line looks for others only by the marks of k + 1 disjoint stretches of it: the
+   edits leave one of them whole. Stretches whose mark no other line has come
+   first, then the rarest ones, so a phrase that many lines share is looked for
+   only by lines that have too little else. Lines are verified against the
+   earliest line of their marks first; those it does not match are verified against
+   all earlier ones that have such a mark at such a place and are of such a length.
+
 Edge cases: null and empty texts have no lines that count and come back as
 they are; rows with a null id neither remove lines nor lose any; rows that
 share an id count as one document: lines at one place of several texts do not
@@ -39,11 +53,12 @@ through.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -52,8 +67,11 @@ from memweave.llm.bytespans import BYTE_LOWER, Hasher, Sequences, mix, ranges, r
 from memweave.llm.textview import TextView, map_texts
 from memweave.session import materialize
 
+#: Parts of a key whose earliest lines are tried before all of its lines; changes no result.
+PIVOTS = 16
 #: 64-bit numbers of a line's sketch.
 SKETCH = 4
+PARTS = [f"s{k}" for k in range(SKETCH)]
 #: Ids are broadcast up to this many rows (a few bytes each); beyond it the join shuffles.
 BROADCAST_IDS = 1_000_000
 
@@ -87,9 +105,52 @@ def _first_long(near_words: int, edit_percent: int) -> float:
     return max(near_words, -(-200 // edit_percent)) if edit_percent > 0 else np.inf
 
 
-def _class_variants(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float, edit_percent: int) -> pa.Array:
-    """Keys (list column) of the one-class variants of the lines that start at word ``at`` and have ``w`` words."""
-    lines, keys = [], []
+def _mark_sizes(near_words: int, edit_percent: int) -> tuple[int, int, int] | None:
+    """(words of the shortest line with two edits, words of a run, neighbouring runs of which one is a mark); None if all bounds are 1."""
+    if edit_percent <= 0:
+        return None
+    long = max(near_words, -(-200 // edit_percent))
+    whole = min(-(-(w - k) // (k + 1)) for w in range(long, long + 10_000) for k in [_bound(w, edit_percent)])
+    if whole < 3:
+        raise ValueError(f"edit_percent={edit_percent} leaves no run of 3 words whole")
+    run = whole // 2
+    return long, run, whole - run + 1
+
+
+def _marks(seq: Sequences, at: np.ndarray, w: np.ndarray, sizes: tuple[int, int, int] | None,
+           poor: np.ndarray) -> list[pa.Array]:
+    """Keys, places and stretches (list columns) of the marks of the ``poor`` lines among those that start at word ``at`` and have ``w`` words.
+
+    Stretch j of a line begins at word j * (run + near - 1); a mark that is not the pick of such a stretch has number -1.
+    """
+    line, key, place, stretch = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    use = np.flatnonzero(poor & (w >= sizes[0])) if sizes else line
+    if len(use):
+        _, run, near = sizes
+        n = w[use] - run + 1
+        line, place = np.repeat(use, n), ranges(n)
+        start = at[line] + place
+        key = seq.runs(start, start + run)
+        first = np.flatnonzero(line[near - 1:] == line[:len(line) - near + 1])
+        least, pick = key[first], first.copy()
+        for k in range(1, near):
+            less = key[first + k] < least
+            least[less], pick[less] = key[first + k][less], (first + k)[less]
+        number = np.full(len(line), -1, np.int64)
+        head = place[first] % (run + near - 1) == 0
+        number[pick[head]] = place[first[head]] // (run + near - 1)
+        pick = np.unique(pick)
+        line, key, place, stretch = line[pick], key[pick], place[pick], number[pick]
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(w)))]).astype(np.int32))
+    return [pa.ListArray.from_arrays(offsets, c) for c in (signed(key), pa.array(place.astype(np.int32)), pa.array(stretch.astype(np.int32)))]
+
+
+def _class_variants(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float, edit_percent: int) -> tuple[pa.Array, np.ndarray]:
+    """Keys (list column) of the one-class variants of the lines that start at word ``at`` and have ``w`` words, and a mask of the lines with an empty class.
+
+    A class without words says nothing and has no key.
+    """
+    lines, keys, poor = [], [], np.zeros(len(w), bool)
     use = np.flatnonzero(w >= long)
     if len(use):
         most = _bound(w[use], edit_percent)
@@ -107,13 +168,15 @@ def _class_variants(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float,
             end = np.cumsum(size)
             runs = Sequences(items[order])
             tag = np.repeat(classes, classes) * 65_537 + ranges(classes)
-            keys.append(mix(runs.runs(end - size, end) + tag.astype(np.uint64)))
-            lines.append(np.repeat(own, classes))
+            full = size > 0
+            keys.append(mix(runs.runs(end - size, end) + tag.astype(np.uint64))[full])
+            lines.append(np.repeat(own, classes)[full])
+            poor[np.repeat(own, classes)[~full]] = True
     line = np.concatenate(lines) if lines else np.zeros(0, np.int64)
     key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
     order = np.argsort(line, kind="stable")
     offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(line, minlength=len(w)))]).astype(np.int32))
-    return pa.ListArray.from_arrays(offsets, signed(key[order]))
+    return pa.ListArray.from_arrays(offsets, signed(key[order])), poor
 
 
 def _sketches(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float) -> pa.Array:
@@ -133,8 +196,11 @@ def _sketches(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float) -> pa.
 
 
 def _line_table(own: DataFrame, min_words: int, near_words: int, edit_percent: int) -> DataFrame:
-    """(id, th, no, w, lh, halves, kept, sketch): every line that counts; halves are the keys of step 2, kept those of step 5."""
-    long = _first_long(near_words, edit_percent)
+    """(id, th, no, w, lh, halves, kept, marks, places, stretches, sketch): every line that counts.
+
+    ``halves`` are the keys of step 2, ``kept`` those of step 5, ``marks`` those of step 6.
+    """
+    long, sizes = _first_long(near_words, edit_percent), _mark_sizes(near_words, edit_percent)
 
     def work(view: TextView) -> list[pa.Array]:
         first, n, seq = _line_words(view)
@@ -155,12 +221,15 @@ def _line_table(own: DataFrame, min_words: int, near_words: int, edit_percent: i
         order = np.argsort(line_all, kind="stable")
         halves = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(line_all, minlength=len(use)))]).astype(np.int32)),
                                           signed(key_all[order]))
+        kept, poor = _class_variants(seq, at, w, long, edit_percent)
         return _nested(row, view.rows, pa.array(number[use].astype(np.int32)), pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves,
-                       _class_variants(seq, at, w, long, edit_percent), _sketches(seq, at, w, long))
+                       kept, *_marks(seq, at, w, sizes, poor), _sketches(seq, at, w, long))
 
     cols = [StructField("no", ArrayType(IntegerType())), StructField("w", ArrayType(IntegerType())),
             StructField("lh", ArrayType(LongType())), StructField("halves", ArrayType(ArrayType(LongType()))),
-            StructField("kept", ArrayType(ArrayType(LongType()))), StructField("sketch", ArrayType(ArrayType(LongType())))]
+            StructField("kept", ArrayType(ArrayType(LongType()))), StructField("marks", ArrayType(ArrayType(LongType()))),
+            StructField("places", ArrayType(ArrayType(IntegerType()))), StructField("stretches", ArrayType(ArrayType(IntegerType()))),
+            StructField("sketch", ArrayType(ArrayType(LongType())))]
     packed = map_texts(own, "_text", ["id", "th"], cols, work)
     return packed.select("id", "th", F.explode(F.arrays_zip(*[c.name for c in cols])).alias("x")).select("id", "th", "x.*")
 
@@ -286,28 +355,82 @@ def _verified(pairs: DataFrame, words: DataFrame, edit_percent: int) -> DataFram
     return both.select("lh", "words", "others").mapInArrow(verify, "lh long").distinct()
 
 
+def _sketch_parts() -> list[Column]:
+    return [F.get("sketch", k).alias(c) for k, c in enumerate(PARTS)]
+
+
+def _may_match(other: str, edit_percent: int) -> Column:
+    """Order, lengths and sketches of a pair allow a match; the earlier line has its columns under the prefix ``other``."""
+    k = _bound(F.least(F.col("w"), F.col(f"{other}w")), edit_percent)
+    bits = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{other}{c}"))) for c in PARTS)
+    return (F.col("at") > F.col(f"{other}at")) & (F.abs(F.col("w") - F.col(f"{other}w")) <= k) & (bits <= 2 * k)
+
+
 def _near_by_classes(own: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int) -> DataFrame:
     """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 5)."""
-    parts = [f"s{k}" for k in range(SKETCH)]
-    keys = first.filter(F.size("kept") > 0).select("lh", "w", "first", *[F.get("sketch", k).alias(c) for k, c in enumerate(parts)], F.explode("kept").alias("key"))
+    keys = first.filter(F.size("kept") > 0).select("lh", "w", "first", *_sketch_parts(), F.explode("kept").alias("key"))
     shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared")
     met = materialize(keys.join(broadcast_if_small(shared), "key"), "met")
     wanted = materialize(met.select("first.id", "first.th", "first.no", "lh").distinct(), "long")
     words = materialize(_candidate_words(own, wanted).select("lh", "words"), "long_words")
-    met = met.select("key", "lh", "w", F.struct("first.id", "first.no").alias("at"), *parts)
+    met = met.select("key", "lh", "w", F.struct("first.id", "first.no").alias("at"), *PARTS)
     left = met.join(near, "lh", "left_anti")
 
-    def may_match(other: str) -> Column:
-        """The pair's earlier line has its columns under the prefix ``other``."""
-        k = _bound(F.least(F.col("w"), F.col(f"{other}w")), edit_percent)
-        bits = sum(F.bit_count(F.col(c).bitwiseXOR(F.col(f"{other}{c}"))) for c in parts)
-        return (F.col("at") > F.col(f"{other}at")) & (F.abs(F.col("w") - F.col(f"{other}w")) <= k) & (bits <= 2 * k)
-
-    least = materialize(met.groupBy("key").agg(F.min(F.struct("at", "lh", "w", *parts)).alias("m")), "least_long")
-    pairs = left.join(least, "key").filter(may_match("m.")).select("lh", F.col("m.lh").alias("other")).distinct()
+    def by_pivots(left: DataFrame, groups: int) -> DataFrame:
+        """(lh) of the lines that match the earliest line of one of ``groups`` parts of the lines with an equal variant."""
+        part = F.pmod(F.xxhash64("lh"), F.lit(groups)).alias("part")
+        pivots = materialize(met.groupBy("key", part).agg(F.min(F.struct("at", "lh", "w", *PARTS)).alias("m")), "pivots")
+        pairs = left.join(pivots, "key").filter(_may_match("m.", edit_percent)).select("lh", F.col("m.lh").alias("other")).distinct()
+        return materialize(_verified(materialize(pairs, "pairs"), words, edit_percent), "by_pivots")
+
+    by_least = by_pivots(left, 1)
+    # lines with many partners meet one of some pivots, so that few of them are left for the search among all
+    left = left.join(by_least, "lh", "left_anti")
+    by_some = by_pivots(left, PIVOTS)
+    earlier = met.select("key", *[F.col(c).alias(f"e_{c}") for c in ("lh", "w", "at", *PARTS)])
+    rest = left.join(by_some, "lh", "left_anti").join(earlier, "key").filter(_may_match("e_", edit_percent))
+    found = _verified(materialize(rest.select("lh", F.col("e_lh").alias("other")).distinct(), "pairs"), words, edit_percent)
+    return by_least.union(by_some).union(found)
+
+
+def _near_by_marks(own: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int, span: int) -> DataFrame:
+    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 6).
+
+    ``span`` is the number of words of a stretch.
+    """
+    zipped = first.filter(F.size("marks") > 0).select("lh", "w", F.struct("first.id", "first.no").alias("at"), F.col("first.th").alias("th"), *_sketch_parts(),
+                                                      F.explode(F.arrays_zip("marks", "places", "stretches")).alias("x"))
+    marks = zipped.select("lh", "w", "at", "th", *PARTS, F.col("x.marks").alias("mark"), F.col("x.places").alias("place"), F.col("x.stretches").alias("stretch"))
+    marks = materialize(marks, "all_marks")
+    shared = marks.groupBy("mark").agg(F.min("lh").alias("a"), F.max("lh").alias("b"), F.count(F.lit(1)).alias("often")).filter("a <> b")
+    shared = materialize(shared.select("mark", "often"), "shared_marks")
+    step = math.log(1.25)
+    size = lambda x: F.floor(F.log(x) / step).cast("int")
+    own_marks = materialize(marks.join(broadcast_if_small(shared), "mark").withColumn("size", size(F.col("w").cast("double"))), "marks")
+    bound = _bound(F.col("w"), edit_percent)
+    # an earlier line of w' words may be longer, and the smaller length sets the bound of a pair
+    needed = bound + 1 - (F.floor(F.col("w") / span) - F.count(F.lit(1)).over(Window.partitionBy("lh")))
+    rarest = F.row_number().over(Window.partitionBy("lh").orderBy("often", "mark", "place"))
+    seeks = own_marks.filter("stretch >= 0").join(near, "lh", "left_anti").withColumn("needed", needed).withColumn("nth", rarest)
+    seeks = materialize(seeks.filter("nth <= needed").select("lh", "w", "at", *PARTS, "mark", "place", "size"), "seeks")
+    met = seeks.select("mark").distinct()
+    own_marks = materialize(own_marks.join(met, "mark", "left_semi").select("lh", "w", "at", "th", *PARTS, "mark", "place", "size"), "met_marks")
+    wanted = materialize(own_marks.select("at.id", "th", "at.no", "lh").distinct(), "marked")
+    words = materialize(_candidate_words(own, wanted).select("lh", "words"), "marked_words")
+    # lengths that a match may have, by class of length
+    reach = F.lit(1 - edit_percent / 100)
+    classes = F.array_distinct(F.array(size(F.col("w") * reach - 0.001), F.col("size"), size(F.col("w") / reach + 0.001)))
+    seeks = seeks.withColumn("size", F.explode(classes))
+    least = materialize(own_marks.groupBy("mark", "size").agg(F.min(F.struct("at", "lh", "w", *PARTS)).alias("m")), "least_marks")
+    pairs = seeks.join(least, ["mark", "size"]).filter(_may_match("m.", edit_percent)).select("lh", F.col("m.lh").alias("other")).distinct()
     by_least = materialize(_verified(materialize(pairs, "pairs"), words, edit_percent), "by_least")
-    earlier = met.select("key", *[F.col(c).alias(f"e_{c}") for c in ("lh", "w", "at", *parts)])
-    rest = left.join(by_least, "lh", "left_anti").join(earlier, "key").filter(may_match("e_"))
+    # the place in steps of the largest bound in the class; a line left looks in every step that its own bound reaches
+    width = F.floor(F.pow(F.lit(1.25), F.col("size") + 1) * edit_percent / 100).cast("int") + 1
+    cell = lambda x: F.floor(x / width).cast("int")
+    k = _bound(F.col("w"), edit_percent)
+    left = seeks.join(by_least, "lh", "left_anti").withColumn("cell", F.explode(F.sequence(cell(F.col("place") - k), cell(F.col("place") + k))))
+    earlier = own_marks.select("mark", "size", *[F.col(c).alias(f"e_{c}") for c in ("lh", "w", "at", "place", *PARTS)], cell(F.col("place")).alias("cell"))
+    rest = left.join(earlier, ["mark", "size", "cell"]).filter(_may_match("e_", edit_percent)).filter(F.abs(F.col("place") - F.col("e_place")) <= k)
     found = _verified(materialize(rest.select("lh", F.col("e_lh").alias("other")).distinct(), "pairs"), words, edit_percent)
     return by_least.union(found)
 
@@ -318,7 +441,7 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("th"), F.col(f"`{text_col}`").alias("_text")).filter("id is not null")
     lines = materialize(_line_table(own, min_words, near_words, edit_percent), "lines")
     first = materialize(lines.groupBy("lh").agg(F.min(F.struct("id", "no", "th")).alias("first"), F.count(F.lit(1)).alias("n"),
-                                                F.any_value(F.struct("w", "halves", "kept", "sketch")).alias("x")).select("lh", "first", "n", "x.*"), "distinct")
+                                                F.any_value(F.struct("w", "halves", "kept", "marks", "places", "stretches", "sketch")).alias("x")).select("lh", "first", "n", "x.*"), "distinct")
     halves = first.select("lh", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
     shared = materialize(shared, "halves")  # written, so the rows of a hot half can be split in the join
@@ -327,7 +450,9 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     near = _near(words)
     if edit_percent > 0:
         near = materialize(near, "near")
-        near = near.union(_near_by_classes(own, first, near, edit_percent))
+        near = materialize(near.union(_near_by_classes(own, first, near, edit_percent)), "near")
+        _, run, beside = _mark_sizes(near_words, edit_percent)
+        near = near.union(_near_by_marks(own, first, near, edit_percent, run + beside - 1))
     near = near.select("lh", F.lit(True).alias("near"))
     told = materialize(first.select("lh", "first", "n").join(near, "lh", "left").filter("n > 1 or near")
                        .select("lh", F.struct("first.id", "first.no").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "told")

@@ -151,3 +151,28 @@ def test_bound_grows_with_the_line(spark):
     got = {r.doc_id for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).filter("n_removed > 0").collect()}
     old = {r.doc_id for r in drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"), edit_percent=0).filter("n_removed > 0").collect()}
     assert got == want and old < want
+
+
+def test_large_group_of_near_copies(spark):
+    rng = random.Random(13)
+    base = sentence(rng, 90).split()
+    rows = []
+    for k in range(70):
+        w = list(base)
+        for _ in range(rng.randrange(7)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(40)}"
+        rows.append((k, " ".join(w)))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_long_lines_of_few_words(spark):
+    rng = random.Random(17)
+    rows = []
+    for k in range(90):
+        kinds = rng.choice([1, 2, 3, 5])
+        w = [f"v{j % kinds}" for j in range(rng.randrange(40, 70))]
+        for _ in range(rng.randrange(6)):
+            at = rng.randrange(len(w))
+            w[at:at + rng.randrange(2)] = [f"v{rng.randrange(8)}"] * rng.randrange(2)
+        rows.append((k, " ".join(w)))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
