@@ -7,7 +7,13 @@ the same of its ancestors, depth, text and link density of its subtree, and
 its place among its siblings. Boosted trees estimate whether the element
 belongs to the article (or holds it). Decoding is hierarchical: the labelling
 of the whole tree with the highest likelihood is chosen under the rule that
-nothing below a dropped element is kept, so choices cannot contradict.
+nothing below a dropped element is kept, so choices cannot contradict. Phrase
+elements (bold, emphasis and the like) beside text go with the element that
+holds that text.
+
+If no text is kept although ``FALLBACK_CHARS`` characters stand outside links
+and outside everything marked as something else, the smallest element that
+holds half of these is taken for the article.
 
 The trees are fitted on pages laid out by ``training.layouts`` from a seed and
 on a bounded sample of the table's own pages (``train_pages``, the first by a
@@ -67,6 +73,9 @@ GROUPS = list(TOKEN_GROUPS)
 TOKEN_BIT = {t: 1 << k for k, g in enumerate(GROUPS) for t in TOKEN_GROUPS[g].split()}
 TAG_BIT = {"article": 1, "main": 1, "nav": 2, "menu": 2, "header": 4, "footer": 8, "aside": 16, "dialog": 1 << 7, "form": 1 << 9, "search": 1 << 9,
            "button": 1 << 9, "fieldset": 1 << 9, "label": 1 << 9}
+#: Phrase elements: part of the text around them.
+PHRASE = frozenset("abbr b bdi bdo cite code data del dfn em font i ins kbd mark q s samp small strike strong sub sup time tt u var wbr span".split())
+LINE_TAGS = frozenset("p h li td blockquote".split())
 #: Tags with a feature of their own; headings and list items share one each.
 TAGS = {t: k for k, t in enumerate("p h li div section article main nav header footer aside form ul td table blockquote figure a span body".split())}
 TAG_ALIAS = {**{f"h{k}": "h" for k in range(1, 7)}, "dt": "li", "dd": "li", "ol": "ul", "dl": "ul", "th": "td", "tr": "table", "tbody": "table",
@@ -80,6 +89,10 @@ SENTENCE = re.compile(r"[.!?,;:]")
 
 #: Pages above this length are no training pages, so that the sample stays small on the driver.
 TRAIN_CHARS = 100_000
+#: A page with less plain text than this and nothing kept has no article.
+FALLBACK_CHARS = 140
+#: All marks but that of content.
+OTHER = ~1 & (1 << len(GROUPS)) - 1
 
 
 class Page:
@@ -178,6 +191,7 @@ class Page:
         parent, tag, mask = self.parent, self.tag, self.mask
         chars, links, marks, paras, below = [0] * n, [0] * n, [0] * n, [0] * n, [1] * n
         depth, above, in_link = [0] * n, [0] * n, [False] * n
+        own = self.own = [0] * n
         place, brothers, alike = [0] * n, [0] * n, [0] * n
         count: list[dict] = [{} for _ in range(n)]
         for k in range(1, n):
@@ -190,6 +204,7 @@ class Page:
             if chunk:
                 size = len(chunk) if not chunk.isspace() else 0
                 chars[node] += size
+                own[node] += size
                 marks[node] += len(SENTENCE.findall(chunk)) if size else 0
                 if in_link[node]:
                     links[node] += size
@@ -201,8 +216,9 @@ class Page:
             paras[up] += paras[k] + (tag[k] == "p")
             below[up] += below[k]
         self.chars = chars
+        self.in_link = in_link
         total = max(chars[0], 1)
-        out = np.zeros((n, len(TAGS) + 2 * len(GROUPS) + 13), np.float32)
+        out = np.zeros((n, len(TAGS) + 2 * len(GROUPS) + 14), np.float32)
         bits = np.arange(len(GROUPS))
         for k in range(n):
             group = TAGS.get(TAG_ALIAS.get(tag[k], tag[k]))
@@ -219,7 +235,7 @@ class Page:
         out[:, t + 2 * len(GROUPS):] = np.stack([
             np.log1p(c), np.array(links) / np.maximum(c, 1), np.log1p(c / b), np.log1p(paras), np.array(marks) / np.maximum(c, 1) * 10, depth,
             np.array(place) / many, np.log1p(many), np.array(alike) / many, c / np.maximum(c[up], 1), c / total, np.log1p(b),
-            np.log1p(c[up])], axis=1)
+            np.log1p(c[up]), np.full(n, any(m & 1 and size for m, size in zip(mask, chars)))], axis=1)
         return out
 
     def decode(self, p: np.ndarray) -> np.ndarray:
@@ -230,12 +246,39 @@ class Page:
         keep, drop = np.where(has, np.log(p), 0.0).tolist(), np.where(has, np.log(1 - p), 0.0).tolist()
         for k in range(n - 1, 0, -1):
             up = self.parent[k]
-            keep[up] += max(keep[k], drop[k])
+            keep[up] += keep[k] if self._goes_along(k) else max(keep[k], drop[k])
             drop[up] += drop[k]
         kept = np.zeros(n, bool)
         kept[0] = True
         for k in range(1, n):
-            kept[k] = kept[self.parent[k]] and not self.hidden[k] and keep[k] >= drop[k]
+            kept[k] = kept[self.parent[k]] and not self.hidden[k] and (keep[k] >= drop[k] or self._goes_along(k))
+        return kept
+
+    def _goes_along(self, k: int) -> bool:
+        """A phrase element without a mark of its own beside text of its parent; a link too, inside a paragraph, heading, item or cell."""
+        up = self.parent[k]
+        if self.mask[k] or not self.own[up]:
+            return False
+        return self.tag[k] in PHRASE or self.tag[k] == "a" and TAG_ALIAS.get(self.tag[up], self.tag[up]) in LINE_TAGS
+
+    def densest(self) -> np.ndarray:
+        """The smallest element with half of the text outside links and marked parts, without the marked parts; nothing if there is too little."""
+        n = len(self.tag)
+        free = [not self.hidden[0]] + [False] * (n - 1)
+        for k in range(1, n):
+            free[k] = free[self.parent[k]] and not self.hidden[k] and not self.mask[k] & OTHER
+        plain = [size if free[k] and not self.in_link[k] else 0 for k, size in enumerate(self.own)]
+        for k in range(n - 1, 0, -1):
+            plain[self.parent[k]] += plain[k]
+        kept = np.zeros(n, bool)
+        if plain[0] < FALLBACK_CHARS:
+            return kept
+        top = max(k for k in range(n) if 2 * plain[k] >= plain[0])
+        while top and self.tag[top] not in BLOCK:
+            top = self.parent[top]
+        kept[top] = True
+        for k in range(top + 1, n):  # boxes that are mostly links are menus
+            kept[k] = kept[self.parent[k]] and free[k] and (plain[k] * 2 >= self.chars[k] or self.tag[k] == "a" and self.own[self.parent[k]] > 0)
         return kept
 
     def text(self, kept: np.ndarray) -> str:
@@ -287,7 +330,7 @@ def extract_texts(htmls: list[str | None], model: BoostedTrees) -> list[str]:
     p = model.predict(np.concatenate(xs))
     out, at = [], 0
     for page, x in zip(pages, xs):
-        out.append(page.text(page.decode(p[at:at + len(x)])))
+        out.append(page.text(page.decode(p[at:at + len(x)])) or page.text(page.densest()))
         at += len(x)
     return out
 
@@ -308,7 +351,7 @@ def trained(pages: DataFrame, html_col: str, train_pages: int, layouts: int) ->
     return fit(laid_out(layouts) + own)
 
 
-def extract_main_text(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None, *, train_pages: int = 150, layouts: int = 300,
+def extract_main_text(pages: DataFrame, html_col: str = "html", keep: list[str] | None = None, *, train_pages: int = 150, layouts: int = 600,
                       text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """Columns ``keep`` (default: all but the html) plus ``text`` and ``n_chars``; no shuffle."""
     keep = [c for c in pages.columns if c not in (html_col, text, n_chars)] if keep is None else keep

@@ -10,10 +10,17 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
 class Writer:
-    """Builds html and remembers, by element in page order, what belongs to the article."""
+    """Builds html and remembers, by element in page order, what belongs to the article.
 
-    def __init__(self, seed: int):
+    ``plain`` pages put the article where no name tells it: in the body itself, in
+    unnamed or neutrally named boxes, in a layout table, or in a fragment without body.
+    Half of them also drop the names of what stands around it.
+    """
+
+    def __init__(self, seed: int, plain: bool = False):
         self.r = random.Random(seed)
+        self.plain = plain
+        self.bare = plain and self.r.random() < 0.5
         self.out: list[str] = []
         self.label: list[int] = [1]  # the root holds the article
 
@@ -92,7 +99,7 @@ class Writer:
             if self.r.random() < 0.4:
                 self.tag("p", 0, self.words(2, 15))
             self.tag("button", 0, self.words(1, 2))
-        self.tag("form", 0, inside, class_=self.r.choice(["", "search", "newsletter", "login", "contact-form"]))
+        self.tag("form", 0, inside, class_="" if self.bare else self.r.choice(["", "search", "newsletter", "login", "contact-form"]))
 
     def comments(self) -> None:
         r = self.r
@@ -115,7 +122,9 @@ class Writer:
         r = self.r
 
         def menu() -> None:
-            if r.random() < 0.7:
+            if self.bare:
+                self.tag(r.choice(["nav", "div"]), 0, lambda: self.links(0, r.randint(2, 8)))
+            elif r.random() < 0.7:
                 self.tag("nav", 0, lambda: self.links(0, r.randint(2, 8)), class_=r.choice(["", "", "menu", "main-nav"]))
             else:
                 self.tag("div", 0, lambda: self.links(0, r.randint(2, 8)), class_=r.choice(["nav", "menu", "navbar top", "breadcrumbs", "navigation"]))
@@ -123,10 +132,12 @@ class Writer:
         def top() -> None:
             def inside() -> None:
                 if r.random() < 0.7:
-                    self.tag(r.choice(["div", "span", "p", "h1", "a"]), 0, self.words(1, 6), class_=r.choice(["logo", "title", "site-title", ""]))
+                    self.tag(r.choice(["div", "span", "p", "h1", "a"]), 0, self.words(1, 6), class_="" if self.bare else r.choice(["logo", "title", "site-title", ""]))
                 if r.random() < 0.5:
                     menu()
-            if r.random() < 0.7:
+            if self.bare:
+                self.tag("header", 0, inside)
+            elif r.random() < 0.7:
                 self.tag("header", 0, inside, class_=r.choice(["", "site-header"]))
             else:
                 self.tag("div", 0, inside, **r.choice([{"class_": "header"}, {"id": "header"}, {"id": "masthead"}]))
@@ -144,7 +155,9 @@ class Writer:
                     if r.random() < 0.5:
                         self.tag(r.choice(["h2", "h3", "h4"]), 0, self.words(1, 4))
                     self.boiler_text()
-            if r.random() < 0.6:
+            if self.bare:
+                self.tag("aside", 0, inside)
+            elif r.random() < 0.6:
                 self.tag("aside", 0, inside, class_=r.choice(["", "sidebar"]))
             else:
                 self.tag("div", 0, inside, **r.choice([{"class_": "sidebar"}, {"id": "sidebar"}, {"class_": "widget related"}, {"class_": "trending"}]))
@@ -157,7 +170,7 @@ class Writer:
                     self.tag("p", 0, "&copy; " + self.words(1, 20))
                 else:
                     self.out.append("&copy; " + self.words(1, 20))
-            if r.random() < 0.7:
+            if self.bare or r.random() < 0.7:
                 self.tag("footer", 0, inside)
             else:
                 self.tag("div", 0, inside, **r.choice([{"class_": "footer"}, {"id": "footer"}, {"class_": "site-footer copyright"}]))
@@ -167,6 +180,8 @@ class Writer:
                 self.article()
                 if r.random() < 0.12:
                     self.comments()
+            if self.plain:
+                return self.unnamed(inside, menu)
             kind = r.random()
             if kind < 0.4:
                 self.tag("article", 1, inside, class_=r.choice(["", "", "post"]))
@@ -183,22 +198,46 @@ class Writer:
             r.shuffle(before)
             for part in before:
                 part()
+            if self.plain and r.random() < 0.5:  # nothing or little around it
+                before, after = [], after[-1:]
             if r.random() < 0.3:
                 self.tag("div", 1, lambda: [p() for p in [story, *after]], class_=r.choice(["wrapper", "container", "page", ""]))
             else:
                 for part in [story, *after]:
                     part()
-        self.tag("body", 1, body)
+        if self.plain and r.random() < 0.12:
+            self.article()
+        else:
+            self.tag("body", 1, body)
         return "".join(self.out)
 
+    def unnamed(self, inside, menu) -> None:
+        """The article without a container, or in one whose name says nothing."""
+        r = self.r
+        kind = r.random()
+        if kind < 0.3:
+            inside()
+        elif kind < 0.75:
+            name, neutral = r.choice(["div", "div", "section"]), r.choice(["", "", "", "container", "wrapper", "inner", "row", "col-md-8", "box", "x1 y2"])
+            if r.random() < 0.4:
+                self.tag("div", 1, lambda: self.tag(name, 1, inside, class_=neutral), class_=r.choice(["", "container", "row", "grid"]))
+            else:
+                self.tag(name, 1, inside, class_=neutral)
+        else:
+            def cells() -> None:
+                if r.random() < 0.5:
+                    self.tag("td", 0, menu)
+                self.tag("td", 1, inside)
+            self.tag("table", 1, lambda: self.tag("tr", 1, cells))
+
 
 def layouts(n: int, seed: int = 11) -> list:
-    """``n`` pages as (tree, label of every element)."""
+    """``n`` pages as (tree, label of every element); every second one is plain."""
     from memweave.llm.htmltext import Page
 
     found = []
     for k in range(n):
-        writer = Writer(seed * 1_000_003 + k)
+        writer = Writer(seed * 1_000_003 + k, plain=k % 2 == 1)
         page = Page(writer.page())
         if len(page.tag) != len(writer.label):
             raise ValueError("layout and parsed tree differ")

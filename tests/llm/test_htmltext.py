@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def model():
-    return htmltext.fit(training.layouts(300))
+    return htmltext.fit(training.layouts(600))
 
 
 def article_blocks(html):
@@ -41,6 +41,52 @@ def test_held_out_layouts(model):
     assert wrong <= 3
 
 
+def test_held_out_layouts_without_names(model):
+    lost = extra = total = 0
+    for k in range(150):
+        writer = training.Writer(555_000_000 + k, plain=True)
+        html = writer.page()
+        want = htmltext.Page(html).text(np.array(writer.label, bool)).split("\n")
+        got = htmltext.extract_texts([html], model)[0].split("\n")
+        lost += sum(len(x) for x in set(want) - set(got))
+        extra += sum(len(x) for x in set(got) - set(want))
+        total += sum(map(len, want))
+    assert lost <= 0.05 * total and extra <= 0.05 * total
+
+
+STORY = [f"Paragraph {k} tells of the river, the town and its people, who {'often ' * k}walked over the hills and sang. They came home late, "
+         "tired, but glad to see light in the windows of every house that they passed on the way down." for k in range(8)]
+
+
+@pytest.mark.parametrize("around", ["%s", "<div>%s</div>", "<div class=container>%s</div>", "<section>%s</section>", "<table><tr><td>%s</td></tr></table>",
+                                    "<div id=x7><div class='row'>%s</div></div>", "<center>%s</center>"])
+@pytest.mark.parametrize("before, after", [("", ""), ("<nav><ul><li><a href=/a>Home</a><li><a href=/b>News</a></ul></nav>", "<footer><p>&copy; 2024 Brand</p></footer>"),
+                                           ("<header><h1>Brand</h1></header><div class=ad>Buy now, pay later.</div>", "<div class=comments><p>Nice story.</p></div>")])
+def test_articles_that_no_name_marks(model, around, before, after):
+    body = around % "".join(f"<p>{p}</p>" for p in STORY)
+    assert htmltext.extract_texts([f"<!doctype html><html><body>{before}{body}{after}</body></html>"], model) == ["\n".join(STORY)]
+
+
+def test_fragments_and_phrases(model):
+    got = htmltext.extract_texts(["<p>one two.</p><p>three four.</p>", "plain <b>text</b> here", "<p>a <em>b <i>c</i></em> d <a href=x>e</a></p>"], model)
+    assert got == ["one two.\nthree four.", "plain text here", "a b c d e"]
+
+
+def test_pages_without_an_article_stay_empty(model):
+    menu = "<nav><ul>" + "".join(f"<li><a href=/{k}>Section number {k}</a>" for k in range(20)) + "</ul></nav>"
+    assert htmltext.extract_texts([f"<html><body>{menu}<div class=ad>Buy now.</div><footer>&copy; 2024 Brand</footer></body></html>"], model) == [""]
+
+
+def test_densest_element_when_nothing_is_kept():
+    links = "".join(f"<a href=/{k}>Link number {k}</a> " for k in range(30))
+    page = htmltext.Page(f"<body><div>{links}</div><div><p>{'</p><p>'.join(STORY)}</p><div class=ad>{STORY[0]}</div></div></body>")
+    page.features()
+    assert page.text(page.densest()) == "\n".join(STORY)
+    short = htmltext.Page("<body><p>Too short.</p></body>")
+    short.features()
+    assert not short.densest().any()
+
+
 def test_decoding_is_the_best_consistent_labelling():
     rng = np.random.default_rng(3)
     for _ in range(60):
