@@ -258,11 +258,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col:
     return out
 
 
+def row_key(text_col: str = "text", id_col: str = "doc_id") -> Column:
+    """A key of id and text: rows with a null or a shared id are told apart by their texts."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
-    """(id_col, item_ids, contaminated): one row per row of ``docs``; ``item_ids`` lists the leaked items in order."""
-    found = leaks(docs, benchmark, text_col, id_col, **options)
-    per_doc = found.groupBy("id").agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
-    ids = docs.select(F.col(f"`{id_col}`").alias(id_col))
-    per_doc = per_doc.withColumnRenamed("id", "_leaked_id")
-    out = ids.join(per_doc, F.col(f"`{id_col}`").eqNullSafe(F.col("_leaked_id")), "left").drop("_leaked_id")
+    """(id_col, item_ids, contaminated): one row per row of ``docs``, judged by its own text; ``item_ids`` lists the leaked items in order."""
+    keyed = docs.select(row_key(text_col, id_col).alias("_row"), F.col(f"`{id_col}`").alias(id_col), F.col(f"`{text_col}`").alias("_text"))
+    found = leaks(keyed, benchmark, "_text", "_row", **options)
+    per_doc = found.groupBy(F.col("id").alias("_row")).agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
+    out = keyed.select("_row", F.col(f"`{id_col}`")).join(per_doc, "_row", "left").drop("_row")
     return out.withColumn("contaminated", F.col("item_ids").isNotNull())

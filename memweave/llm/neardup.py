@@ -22,8 +22,9 @@ With 28 bands of 5 slots a pair at similarity 0.85 misses every bucket with a
 probability below 1e-7.
 
 Edge cases: a null text has the empty set; a row with a null id is never
-linked, has a null component and is kept; repeated rows with one id share their
-result; other columns pass through where the caller asks for them.
+linked, has a null component and is kept; rows with one id are one document: it
+is linked with what any of its texts is like, all its rows have one component,
+and each row's ``n_shingles`` is that of its own text; other columns pass through where the caller asks for them.
 """
 
 from __future__ import annotations
@@ -126,18 +127,18 @@ def signatures(docs: DataFrame, text_col: str, id_col: str, bands: int = BANDS,
 
 
 def shingle_sets(docs: DataFrame, text_col: str, id_col: str, ids: DataFrame) -> DataFrame:
-    """(id, n, items): the full sets of the documents named in ``ids`` (id); one row per id."""
+    """(id, n, name, items): the full sets of the documents named in ``ids`` (id); one row per id and set."""
     def work(view: TextView) -> list[pa.Array]:
         row, key = shingles(view)
         n = np.bincount(row, minlength=view.rows)
-        return [pa.array(n.astype(np.int64)),
+        return [pa.array(n.astype(np.int64)), signed(_sums(mix(key), row, view.rows)),
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), signed(key))]
 
     small = ids.count() <= BROADCAST_IDS
     own = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("_text"))
     own = own.join(F.broadcast(ids) if small else ids, "id", "left_semi")
-    sets = map_texts(own, "_text", ["id"], [StructField("n", LongType()), StructField("items", ArrayType(LongType()))], work)
-    return materialize(sets.dropDuplicates(["id"]), "sets")
+    out = [StructField("n", LongType()), StructField("name", LongType()), StructField("items", ArrayType(LongType()))]
+    return materialize(map_texts(own, "_text", ["id"], out, work).dropDuplicates(["id", "n", "name"]), "sets")
 
 
 def _similar(shared: Column, n1: Column, n2: Column, percent: int) -> Column:
@@ -149,7 +150,7 @@ def _may_match(n1: Column, n2: Column, percent: int) -> Column:
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full sets reach the similarity."""
+    """The pairs (u, v) of which some full sets reach the similarity (an id may have several)."""
     a = sets.select(F.col("id").alias("u"), F.col("items").alias("a"))
     b = sets.select(F.col("id").alias("v"), F.col("items").alias("b"))
     both = pairs.join(a, "u").join(b, "v")
@@ -170,9 +171,9 @@ def _remainder(members: DataFrame, sets: DataFrame, groups: DataFrame, percent:
     named = members.join(groups, members["id"] == groups["node"], "left").select("key", "id", F.coalesce("component", "id").alias("g"))
     mixed = materialize(named.groupBy("key").agg(F.min("g").alias("low"), F.max("g").alias("high")).filter("low <> high").select("key"), "mixed")
     ids = materialize(named.join(mixed, "key", "left_semi").select("id", "g").distinct(), "rest")
-    items = materialize(sets.join(ids, "id").select("id", "g", "n", F.explode("items").alias("item")), "rest")
+    items = materialize(sets.join(ids, "id").select("id", "g", "n", "name", F.explode("items").alias("item")), "rest")
     often = materialize(items.select("item", "g").distinct().groupBy("item").agg(F.count(F.lit(1)).alias("df")), "often")
-    ranked = items.join(often, "item").groupBy("id", "g", "n").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("all"))
+    ranked = items.join(often, "item").groupBy("id", "g", "n", "name").agg(F.sort_array(F.collect_list(F.struct("df", "item"))).alias("all"))
     length = F.col("n") - F.ceil(F.col("n") * F.lit(percent) / 100) + 1
     shared_items = F.transform(F.filter("all", lambda x: x["df"] > 1), lambda x: x["item"])
     prefix = F.transform(F.filter(F.slice("all", F.lit(1), length.cast("int")), lambda x: x["df"] > 1), lambda x: x["item"])
@@ -191,8 +192,18 @@ def _remainder(members: DataFrame, sets: DataFrame, groups: DataFrame, percent:
     return pairs.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).distinct()
 
 
+def _one_id(linked: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes in which one id stands with several texts."""
+    several = linked.groupBy("id").agg(*[f(c).alias(f"{f.__name__}_{c}") for c in ("s1", "s2") for f in (F.min, F.max)])
+    several = materialize(several.filter("min_s1 <> max_s1 or min_s2 <> max_s2").select("id"), "several")
+    named = classes.select("s1", "s2", "n", F.col("id").alias("u"))
+    held = materialize(linked.select("id", "s1", "s2", "n").join(several, "id", "left_semi").join(named, ["s1", "s2", "n"]).select("id", "u").distinct(), "held")
+    first = held.groupBy("id").agg(F.min("u").alias("v"))
+    return held.join(first, "id").filter("u <> v").select("u", "v").distinct()
+
+
 def group_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", *, percent: int = 80) -> DataFrame:
-    """(id, n_shingles, component): one row per input row.
+    """(id, n_shingles, component): one row per input row; rows of one id with different texts are one document with several sets.
 
     ``percent`` is the least Jaccard similarity of a link; it should not lie
     far below 80, where the banding's misses would no longer be negligible.
@@ -217,7 +228,7 @@ def group_near_duplicates(docs: DataFrame, text_col: str = "text", id_col: str =
     pairs = materialize(pairs, "pairs")
     ids = materialize(shared.select("id").distinct(), "ids")
     sets = shingle_sets(docs, text_col, id_col, ids)
-    links = materialize(_verified(pairs, sets, percent), "links")
+    links = materialize(_verified(pairs, sets, percent).union(_one_id(linked, classes)), "links")
     groups = materialize(connected_components(links), "groups")
     more = materialize(_verified(_remainder(shared.select("key", "id"), sets, groups, percent), sets, percent), "links")
     if more.limit(1).count():

@@ -113,3 +113,15 @@ def test_dense_windows_do_not_count_against_new_values(spark):
     item = [(1, text % " ".join(f"{k}" for k in range(10, 40)))]
     other = text % " ".join(f"{k}" for k in range(50, 80))
     assert found(spark, [other, "the red box stands here, " + " ".join(f"{k}" for k in range(50, 80))], item) == {0: [1], 1: []}
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    """A null id, or one id with two texts, does not carry a finding over to a clean row."""
+    clean = "nothing of the kind stands here, only a plain remark about the weather and the sea on a long quiet day"
+    item = "which of the four listed rivers flows through the old town before it meets the sea near the northern harbour"
+    rows = [(None, item), (None, clean), (4, clean), (4, item), (4, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = contamination(docs, items).collect()
+    assert sorted((r.doc_id or 0, r.contaminated, tuple(r.item_ids or ())) for r in got) == [
+        (0, False, ()), (0, True, (9,)), (4, False, ()), (4, True, (9,)), (4, True, (9,))]

@@ -104,3 +104,15 @@ def test_components_of_long_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(5000, 5000), (None, 3), (7, 7)]
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "u long, v long").repartition(7)).collect())
     assert all(got[k] == 0 for k in range(301)) and all(got[1000 + k] == 1000 for k in range(200)) and 5000 not in got
+
+
+def test_one_id_with_several_texts_is_one_document(spark):
+    words = [[f"{side}{k}" for k in range(200)] for side in "abc"]
+    text = [" ".join(w) for w in words]
+    near = [" ".join(w[:-1] + ["other"]) for w in words]
+    # 5 holds a, b and c; 9, 3 and 12 are like one each; 1 and 20 equal one; 30 stays alone
+    rows = [(5, text[0]), (5, text[1]), (5, text[2]), (9, near[0]), (3, near[1]), (12, near[2]), (1, text[1]), (20, text[2]), (30, "quite other words in here"), (30, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = group_near_duplicates(docs, percent=85).collect()
+    assert sorted((r.id, r.component) for r in got) == sorted((i, 30 if i == 30 else 1) for i, _ in rows)
+    assert sorted(r.n_shingles for r in got if r.id == 30) == [0, 1]

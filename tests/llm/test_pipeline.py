@@ -58,6 +58,15 @@ def test_stages_take_awkward_and_empty_input(spark):
             assert out.count() <= len(awkward_rows())
 
 
+def test_decontamination_judges_rows_without_or_with_one_id_by_their_texts(spark):
+    item = max((r.text for r in load(spark, SF, "benchmark").collect() if r.text), key=len)
+    clean = "a clean text about other things that no benchmark holds, with words enough for some windows of tokens in it"
+    rows = [(None, item, "en", "s", 1), (None, clean, "en", "s", 2), (7, clean + " too", "en", "s", 3), (7, "Before it. " + item, "en", "s", 4), (8, None, "en", "s", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.decontamination_stage(spark, docs, SF)
+    assert kept.columns == COLUMNS and sorted(r.n_chars for r in kept.collect()) == [2, 3, 5]
+
+
 def test_registered(spark):
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14)) and "pipeline" in entry.queries()
