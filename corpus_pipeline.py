@@ -41,10 +41,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the documents that hold no benchmark item, verbatim or re-parameterised."""
-    found = decontaminate.leaks(docs, load(spark, sf_dir, "benchmark"))
-    leaked = materialize(found.filter("id is not null").select("id").distinct(), "leaked")
-    return without_ids(docs, leaked).select(*docs.columns)
+    """Keep the documents that hold no benchmark item, verbatim or re-parameterised; each row is judged by its own text."""
+    keyed = docs.withColumn("_row", decontaminate.row_key())
+    found = decontaminate.leaks(keyed, load(spark, sf_dir, "benchmark"), id_col="_row")
+    leaked = materialize(found.select("id").distinct(), "leaked")
+    return without_ids(keyed, leaked, "_row").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
