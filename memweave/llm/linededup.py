@@ -42,7 +42,9 @@ or more, if their edit distance over words (insert, delete, replace) is at most
    first, then the rarest ones, so a phrase that many lines share is looked for
    only by lines that have too little else. Lines are verified against the
    earliest line of their marks first; those it does not match are verified against
-   all earlier ones that have such a mark at such a place and are of such a length.
+   all earlier ones that have such a mark at such a place and are of such a length. A
+   mark that a line repeats counts by its first and last place, so two lines that
+   share it are one pair.
 
 Edge cases: null and empty texts have no lines that count and come back as
 they are; rows with a null id neither remove lines nor lose any; rows that
@@ -412,9 +414,12 @@ def _near_by_marks(own: DataFrame, first: DataFrame, near: DataFrame, edit_perce
     needed = bound + 1 - (F.floor(F.col("w") / span) - F.count(F.lit(1)).over(Window.partitionBy("lh")))
     rarest = F.row_number().over(Window.partitionBy("lh").orderBy("often", "mark", "place"))
     seeks = own_marks.filter("stretch >= 0").join(near, "lh", "left_anti").withColumn("needed", needed).withColumn("nth", rarest)
-    seeks = materialize(seeks.filter("nth <= needed").select("lh", "w", "at", *PARTS, "mark", "place", "size"), "seeks")
+    # a mark that a line repeats is one row with its first and last place, so that two such lines are one pair
+    spread = [F.min("place").alias("lo"), F.max("place").alias("hi")]
+    seeks = materialize(seeks.filter("nth <= needed").groupBy("lh", "w", "at", *PARTS, "mark", "size").agg(*spread), "seeks")
     met = seeks.select("mark").distinct()
-    own_marks = materialize(own_marks.join(met, "mark", "left_semi").select("lh", "w", "at", "th", *PARTS, "mark", "place", "size"), "met_marks")
+    own_marks = own_marks.join(met, "mark", "left_semi").groupBy("lh", "w", "at", "th", *PARTS, "mark", "size").agg(*spread)
+    own_marks = materialize(own_marks, "met_marks")
     wanted = materialize(own_marks.select("at.id", "th", "at.no", "lh").distinct(), "marked")
     words = materialize(_candidate_words(own, wanted).select("lh", "words"), "marked_words")
     # lengths that a match may have, by class of length
@@ -424,13 +429,20 @@ def _near_by_marks(own: DataFrame, first: DataFrame, near: DataFrame, edit_perce
     least = materialize(own_marks.groupBy("mark", "size").agg(F.min(F.struct("at", "lh", "w", *PARTS)).alias("m")), "least_marks")
     pairs = seeks.join(least, ["mark", "size"]).filter(_may_match("m.", edit_percent)).select("lh", F.col("m.lh").alias("other")).distinct()
     by_least = materialize(_verified(materialize(pairs, "pairs"), words, edit_percent), "by_least")
-    # the place in steps of the largest bound in the class; a line left looks in every step that its own bound reaches
+    # The place in steps of the largest bound in the class. A mark in one spot of a line lies in the step of its first place, and
+    # a line left that has it in one spot looks in every step that its own bound reaches. Marks spread over a line meet all: -1 is
+    # where the earlier line's mark is spread, -2 where only that of the line left is. So a pair is made once a mark.
     width = F.floor(F.pow(F.lit(1.25), F.col("size") + 1) * edit_percent / 100).cast("int") + 1
     cell = lambda x: F.floor(x / width).cast("int")
+    spot = F.col("hi") - F.col("lo") < width
     k = _bound(F.col("w"), edit_percent)
-    left = seeks.join(by_least, "lh", "left_anti").withColumn("cell", F.explode(F.sequence(cell(F.col("place") - k), cell(F.col("place") + k))))
-    earlier = own_marks.select("mark", "size", *[F.col(c).alias(f"e_{c}") for c in ("lh", "w", "at", "place", *PARTS)], cell(F.col("place")).alias("cell"))
-    rest = left.join(earlier, ["mark", "size", "cell"]).filter(_may_match("e_", edit_percent)).filter(F.abs(F.col("place") - F.col("e_place")) <= k)
+    reached = F.sequence(F.greatest(cell(F.col("lo") - k - width + 1), F.lit(0)), cell(F.col("hi") + k))
+    left = seeks.join(by_least, "lh", "left_anti").withColumn(
+        "cell", F.explode(F.when(spot, F.concat(F.array(F.lit(-1)), reached)).otherwise(F.array(F.lit(-1), F.lit(-2)))))
+    earlier = own_marks.withColumn("cell", F.explode(F.when(spot, F.array(cell(F.col("lo")), F.lit(-2))).otherwise(F.array(F.lit(-1)))))
+    earlier = earlier.select("mark", "size", "cell", *[F.col(c).alias(f"e_{c}") for c in ("lh", "w", "at", "lo", "hi", *PARTS)])
+    rest = left.join(earlier, ["mark", "size", "cell"]).filter(
+        _may_match("e_", edit_percent) & (F.col("lo") - k <= F.col("e_hi")) & (F.col("e_lo") <= F.col("hi") + k))
     found = _verified(materialize(rest.select("lh", F.col("e_lh").alias("other")).distinct(), "pairs"), words, edit_percent)
     return by_least.union(found)
 

@@ -176,3 +176,18 @@ def test_long_lines_of_few_words(spark):
             w[at:at + rng.randrange(2)] = [f"v{rng.randrange(8)}"] * rng.randrange(2)
         rows.append((k, " ".join(w)))
     check(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
+def test_lines_that_repeat_one_passage(spark):
+    """Lines of few different words hold one mark at many places; each pair of them still counts once and no match is lost."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(60):
+        words = (["over", "and", "again"] * 40)[:100 + rng.randrange(3)]
+        for _ in range(rng.choice([0, 2, 4, 7, 12])):
+            words[rng.randrange(len(words))] = rng.choice(["over", "and", f"word{k}"])
+        rows.append((k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = brute(rows)
+    got = {r.doc_id: r.n_removed for r in drop_repeated_lines(docs).collect() if r.n_removed}
+    assert 0 < len(gone) < 60 and got == {i: len(v) for (i, _), v in gone.items()}
