@@ -35,6 +35,7 @@ def load_all() -> dict[str, tuple[Builder, str | None]]:
         render_chat_queries,
         memory_queries,
         io_queries,
+        store_queries,
         search_queries,
         file_queries,
     )

@@ -1,6 +1,11 @@
+import glob
 import os
 
+import pytest
 
+from pyspark.sql import functions as F
+
+from memweave.operators import collections as C
 from memweave.sources import files as FS
 from memweave.sources import store
 from memweave.streaming.upserts import run_upsert_stream
@@ -14,15 +19,112 @@ def _state(spark, path):
     store.create_state(df, path)
 
 
-def test_upsert_rewrites_only_touched_partitions(spark, tmp_dir):
+def _files(path):
+    return set(glob.glob(f"{path}/versions/**/*.parquet", recursive=True))
+
+
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_dir):
+    path = f"{tmp_dir}/state"
+    schema = "collection string, namespace string, key string, lang string"
+    rows = [("c", n, f"k{i}", "en") for n in ("a", "b") for i in range(40)]
+    store.create_state(spark.createDataFrame(rows, schema), path, buckets=4)
+    before = _files(path)
+    batch = spark.createDataFrame([("c", "a", "k1", "it", 5), ("c", "a", "k1", "xx", 4)], SCHEMA)
+    store.apply_upsert(spark, path, batch)
+    assert {r.key: r.lang for r in store.read_state(spark, path).filter("lang <> 'en'").collect()} == {"k1": "it"}
+    assert store.read_state(spark, path).count() == 80
+    new = _files(path) - before
+    assert before <= _files(path)  # nothing is overwritten
+    assert len({os.path.dirname(f) for f in new}) == 1 and "collection=c/namespace=a/bucket=" in new.pop()
+    held = store.live_buckets(spark, path).collect()
+    assert len(held) == 8 and sum(r.n_rows for r in held) == 80
+    assert sum(r.version.startswith("000000000002") for r in held) == 1
+
+
+def test_state_scan_is_pruned_by_the_manifest(spark, tmp_dir):
     path = f"{tmp_dir}/state"
     _state(spark, path)
-    untouched = sorted(os.listdir(f"{path}/collection=c/namespace=b"))
-    batch = spark.createDataFrame([("c", "a", "k1", "it", 5), ("c", "a", "k9", "es", 6)], SCHEMA)
+    plan = store.read_state(spark, path).filter("collection = 'c'")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "= c)" in plan.split("PartitionFilters")[1]
+
+
+@pytest.mark.parametrize("step", ["rows", "manifest", "publish"])
+def test_failure_between_the_steps_leaves_the_old_state(spark, tmp_dir, monkeypatch, step):
+    path = f"{tmp_dir}/state"
+    _state(spark, path)
+    before = sorted(store.read_state(spark, path).collect())
+    batch = spark.createDataFrame([("c", "a", "k1", "it", 5), ("c", "b", "k3", "it", 6)], SCHEMA)
+
+    def fail(*_args, **_kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        if step == "rows":  # a task dies while it computes the new rows
+            bad = batch.withColumn("lang", F.when(F.col("key") == "k3", F.raise_error(F.lit("lost"))).otherwise(F.col("lang")))
+        else:
+            bad = batch
+            m.setattr(*((store._Store, "files") if step == "manifest" else (store, "_publish")),
+                      fail if step == "publish" else _failing_second(store._Store.files, fail))
+        with pytest.raises(Exception, match="lost"):
+            store.apply_upsert(spark, path, bad)
+    assert store.versions(spark, path) == [1] and sorted(store.read_state(spark, path).collect()) == before
+    store.apply_upsert(spark, path, batch)  # the same mutation again goes through beside the leftovers
+    assert {r.key: r.lang for r in store.read_state(spark, path).collect()} == {"k1": "it", "k2": "fr", "k3": "it"}
+    store.vacuum(spark, path)
+    assert {r.key: r.lang for r in store.read_state(spark, path).collect()} == {"k1": "it", "k2": "fr", "k3": "it"}
+    assert len({f.split("version=")[1].split("/")[0] for f in _files(path)}) <= 2
+
+
+def _failing_second(real, fail):
+    """``real`` for the reads of the old rows, a failure where the new version is counted for the manifest."""
+    return lambda self, held: fail() if held[0].startswith("000000000002") else real(self, held)
+
+
+def test_snapshots_conflicts_compaction(spark, tmp_dir):
+    path = f"{tmp_dir}/state"
+    _state(spark, path)
+    late = store._Store(spark, path)  # a second writer that starts from the first snapshot
+    touched = late.touched(late.rows())
+    reader = store.read_state(spark, path)
+    store.apply_upsert(spark, path, spark.createDataFrame([("c", "a", "k9", "es", 6)], SCHEMA))
+    with pytest.raises(store.StoreConflict):
+        late.commit(late.rows().limit(0), touched)
+    assert reader.count() == 3 and store.read_state(spark, path).count() == 4
+    assert store.read_state(spark, path, version=1).count() == 3
+    with pytest.raises(ValueError):
+        store.read_state(spark, path, version=7)
+    assert store.vacuum(spark, path, keep=2) >= 1  # the late writer's files
+    assert store.read_state(spark, path, version=1).count() == 3
+    store.compact(spark, path)
+    store.vacuum(spark, path)
+    assert store.versions(spark, path) == [3] and store.read_state(spark, path).count() == 4
+    assert {f.split("version=")[1][:12] for f in _files(path)} == {"000000000003"}
+
+
+def test_update_and_removal_on_disk(spark, tmp_dir):
+    path = f"{tmp_dir}/state"
+    _state(spark, path)
+    store.apply_update(spark, path, spark.createDataFrame([("c", "a", "k1", "it"), ("c", "a", "none", "it")],
+                                                          "collection string, namespace string, key string, lang string"))
+    store.apply_removal(spark, path, store.read_state(spark, path).filter("lang = 'fr'"),
+                        lambda rows: C.remove_where(rows, {"lang": "fr"}, collection="c"))
+    assert {r.key: r.lang for r in store.read_state(spark, path).collect()} == {"k1": "it", "k3": "de"}
+    n = len(store.versions(spark, path))
+    store.apply_removal(spark, path, store.read_state(spark, path).filter("lang = 'zz'"), lambda rows: rows)
+    assert len(store.versions(spark, path)) == n  # nothing touched, nothing committed
+
+
+def test_empty_store_null_names_and_reserved_columns(spark, tmp_dir):
+    path, schema = f"{tmp_dir}/state", "collection string, namespace string, key string, lang string"
+    store.create_state(spark.createDataFrame([], schema), path)
+    assert store.read_state(spark, path).count() == 0 and store.live_buckets(spark, path).count() == 0
+    batch = spark.createDataFrame([(None, None, "k", "en", 1), ("", "", "k", "fr", 2)], SCHEMA)
     store.apply_upsert(spark, path, batch)
-    rows = {r.key: r.lang for r in store.read_state(spark, path).collect()}
-    assert rows == {"k1": "it", "k2": "fr", "k3": "de", "k9": "es"}
-    assert sorted(os.listdir(f"{path}/collection=c/namespace=b")) == untouched
+    assert [tuple(r) for r in store.read_state(spark, path).collect()] == [("", "", "k", "fr")]
+    with pytest.raises(FileExistsError):
+        store.create_state(spark.createDataFrame([], schema), path)
+    with pytest.raises(ValueError):
+        store.create_state(spark.createDataFrame([], schema + ", bucket int"), f"{tmp_dir}/other")
 
 
 def test_delete_empties_partition(spark, tmp_dir):
