@@ -33,7 +33,7 @@ from memweave.functions import vectors as V
 from memweave.functions.blocks import pair_blocks
 from memweave.functions.filters import equality_filter
 from memweave.functions.parallel import spread
-from memweave.functions.sizing import broadcast_if_small, is_small, rows_for_keys
+from memweave.functions.sizing import BROADCAST_BYTES, broadcast_if_small, is_small
 from memweave.session import materialize
 
 SCORE_DIGITS = 6
@@ -379,39 +379,145 @@ def terms(text: Column) -> Column:
 
 def keyword_search(docs: DataFrame, queries: DataFrame, *, count: int, offset: int = 0,
                    doc_id_col: str = "doc_id", text_col: str = "text", qid_col: str = "qid",
-                   query_col: str = "query", snippet_chars: int | None = SNIPPET_CHARS) -> DataFrame:
+                   query_col: str = "query", snippet_chars: int | None = SNIPPET_CHARS,
+                   max_index_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One page of keyword hits per query.
 
     Score = occurrences in the document of any distinct query term. Ranked by
     score desc, then document id; the page is ranks ``offset+1 .. offset+count``.
     ``snippet_chars`` is the length of a hit's snippet (None: the whole text).
-    ``1 <= count <= 10`` and ``offset >= 0`` or ``ValueError``.
+    ``1 <= count <= 10`` and ``offset >= 0`` or ``ValueError``. Document ids are
+    unique; documents without an id are not searched.
+
+    Query texts within ``max_index_bytes`` (the planner's estimate) become an
+    inverted index that travels to the documents: a document is counted where
+    it is read and only ``offset + count`` candidates a query and task are
+    shuffled. More queries meet the counted (document, term) rows in a join.
     """
     if not 1 <= count <= 10:
         raise ValueError("count must be between 1 and 10")
     if offset < 0:
         raise ValueError("offset must be >= 0")
-    qterms = queries.select(qid_col, F.explode(F.array_distinct(terms(F.col(query_col)))).alias("term"))
-    # Terms and page keys are in proportion to the query texts.
-    small = page_small = is_small(queries)
-    vocab = qterms.select("term").distinct()
-    if small:
-        qterms, vocab = F.broadcast(qterms), F.broadcast(vocab)
-    # Term occurrences are first cut to the query vocabulary (broadcast
-    # semi-join inside the scan stage) and counted per (document, term), so
-    # a common word is joined to its queries once per document, not once per
-    # occurrence.
-    tf = (spread(docs, doc_id_col).select(doc_id_col, F.explode(terms(F.col(text_col))).alias("term"))
-          .join(vocab, "term", "left_semi")
-          .groupBy(doc_id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
-    hits = (tf.join(qterms, "term")
-            .groupBy(qid_col, doc_id_col).agg(F.sum("tf").alias("score")))
+    docs = docs.filter(F.col(doc_id_col).isNotNull())
+    qterms = queries.select(qid_col, F.explode(terms(F.col(query_col))).alias("term")).distinct()
+    words = spread(docs, doc_id_col).select(doc_id_col, F.explode(terms(F.col(text_col))).alias("term"))
+    small = is_small(queries, max_index_bytes)
+    hits = (_indexed_hits(words, qterms, doc_id_col, qid_col, offset + count) if small
+            else _joined_hits(words, qterms, doc_id_col, qid_col))
     w = Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col(doc_id_col).asc())
     page = (hits.withColumn("rank", F.row_number().over(w))
             .filter((F.col("rank") > offset) & (F.col("rank") <= offset + count)))
-    snippets = rows_for_keys(docs, page, [doc_id_col], small=page_small).select(
-        doc_id_col, (F.col(text_col) if snippet_chars is None else F.substring(F.col(text_col), 1, snippet_chars)).alias("snippet"))
-    return page.join(snippets, doc_id_col)
+    # A page has at most ten rows a query, so it is broadcast exactly where the queries were.
+    snippet = F.col(text_col) if snippet_chars is None else F.substring(F.col(text_col), 1, snippet_chars)
+    return (docs.select(doc_id_col, text_col).join(F.broadcast(page) if small else page, doc_id_col)
+            .select(doc_id_col, qid_col, "score", "rank", snippet.alias("snippet")))
+
+
+def _joined_hits(words: DataFrame, qterms: DataFrame, doc_id_col: str, qid_col: str) -> DataFrame:
+    """(qid, document, score) of all pairs that share a term, by shuffles; for query sets of any size.
+
+    A common word is joined to its queries once per document, not once per occurrence.
+    """
+    tf = (words.join(qterms.select("term").distinct(), "term", "left_semi")
+          .groupBy(doc_id_col, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return tf.join(qterms, "term").groupBy(qid_col, doc_id_col).agg(F.sum("tf").alias("score"))
+
+
+def _indexed_hits(words: DataFrame, qterms: DataFrame, doc_id_col: str, qid_col: str, k: int) -> DataFrame:
+    """(qid, document, score): each task's best ``k`` documents of every query, without a shuffle.
+
+    The index (term -> queries) is sorted by term and broadcast. Words of the
+    vocabulary arrive document by document, as the explode left them, as term
+    numbers only.
+    """
+    spark = words.sparkSession
+    index = qterms.sort("term").toArrow()  # size-checked by the caller
+    coded = index["term"].combine_chunks().dictionary_encode()
+    vocabulary = coded.dictionary.to_pylist()
+    starts = np.concatenate(([0], np.cumsum(np.bincount(coded.indices.to_numpy(), minlength=len(vocabulary)))))
+    qids = index[qid_col].combine_chunks()
+    asked = qids.dictionary_encode(null_encoding="encode")
+    shared = spark.sparkContext.broadcast((starts, asked.indices.to_numpy().astype(np.int64), asked.dictionary))
+    numbered = spark.createDataFrame([(t, i) for i, t in enumerate(vocabulary)], "term string, _term int")
+    rows = words.join(F.broadcast(numbered), "term").select(doc_id_col, "_term")
+    schema = T.StructType([qterms.schema[qid_col], words.schema[doc_id_col], T.StructField("score", T.LongType())])
+    return rows.mapInArrow(_best_documents(shared, k, schema), schema)
+
+
+#: (document, query) pairs scored at a time, besides those of one document (which the index bounds).
+_PAIR_SLICE = 1 << 20
+
+
+def _best_documents(shared, k: int, schema: T.StructType):
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids, document, term, occurrences) of whole documents: the last one of a batch waits for the next batch."""
+        n_terms = len(shared.value[0]) - 1
+        waiting, late_terms, late_counts = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, term, n = b.column(0), b.column(1).to_numpy().astype(np.int64), np.ones(b.num_rows, np.int64)
+            if waiting is not None:
+                ids = pa.concat_arrays([pa.repeat(waiting, len(late_terms)), ids])
+                term, n = np.concatenate((late_terms, term)), np.concatenate((late_counts, n))
+            coded = ids.dictionary_encode()
+            pair, at = np.unique(coded.indices.to_numpy().astype(np.int64) * n_terms + term, return_inverse=True)
+            n = np.bincount(at, weights=n, minlength=len(pair)).astype(np.int64)
+            doc, term = np.divmod(pair, n_terms)
+            last = int(coded.indices[-1].as_py())
+            waiting, late_terms, late_counts = coded.dictionary[last], term[doc == last], n[doc == last]
+            yield coded.dictionary, doc[doc != last], term[doc != last], n[doc != last]
+        if waiting is not None:
+            yield pa.array([waiting.as_py()], waiting.type), np.zeros(len(late_terms), np.int64), late_terms, late_counts
+
+    def scored(ids: pa.Array, doc: np.ndarray, term: np.ndarray, n: np.ndarray):
+        """(query, document, score) of a slice of whole documents."""
+        starts, asked, _ = shared.value
+        width = starts[term + 1] - starts[term]
+        ends = np.cumsum(width)
+        place = np.repeat(starts[term] - ends + width, width) + np.arange(ends[-1])
+        n_queries = int(asked.max()) + 1
+        pair, at = np.unique(np.repeat(doc, width) * n_queries + asked[place], return_inverse=True)
+        return pair % n_queries, pair // n_queries, np.bincount(at, weights=np.repeat(n, width)).astype(np.int64)
+
+    def slices(doc: np.ndarray, term: np.ndarray):
+        """Bounds of runs of whole documents with about ``_PAIR_SLICE`` pairs."""
+        starts = shared.value[0]
+        if not len(doc):
+            return
+        ends = np.cumsum(starts[term + 1] - starts[term])
+        cuts = np.append(np.flatnonzero(np.diff(doc)) + 1, len(doc))
+        lo = 0
+        while lo < len(doc):
+            room = np.searchsorted(ends[cuts - 1], (ends[lo - 1] if lo else 0) + _PAIR_SLICE, "right")
+            hi = int(cuts[max(room - 1, np.searchsorted(cuts, lo, "right"))])
+            yield lo, hi
+            lo = hi
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = shared.value[2]
+        q, score, held = np.zeros(0, np.int64), np.zeros(0, np.int64), None
+        floor = np.zeros(len(asked), np.int64)  # the k-th score of a query with k documents
+        for ids, doc, term, n in counted(batches):
+            for lo, hi in slices(doc, term):
+                new_q, new_doc, new_score = scored(ids, doc[lo:hi], term[lo:hi], n[lo:hi])
+                reach = new_score >= floor[new_q]
+                if not reach.any():
+                    continue
+                found = ids.take(pa.array(new_doc[reach]))
+                held = found if held is None else pa.concat_arrays([held, found])
+                q, score = np.concatenate((q, new_q[reach])), np.concatenate((score, new_score[reach]))
+                order = np.lexsort((_sortable(held), -score, q))
+                first = np.searchsorted(q[order], q[order], "left")
+                order = order[np.arange(len(order)) - first < k]
+                q, score, held = q[order], score[order], held.take(pa.array(order))
+                first = np.flatnonzero(np.diff(q, prepend=-1))
+                full = np.diff(np.append(first, len(q))) == k
+                floor[q[first[full]]] = score[first[full] + k - 1]
+        if held is not None:
+            yield pa.RecordBatch.from_arrays([asked.take(pa.array(q)), held, pa.array(score)], names=schema.names)
+
+    return work
 
 
 # ---------------------------------------------------------------------------

@@ -100,6 +100,38 @@ def test_keyword_paging_limits(spark):
     assert page[0].score == 1 and page[0].rank == 1
 
 
+@pytest.mark.parametrize("ids", ["long", "string"])
+def test_keyword_pages_equal_brute_force(spark, ids):
+    """A word in a third of the documents, documents over several batches, ties, empty and null texts, repeated queries."""
+    import random
+    rnd = random.Random(5)
+    words = ["common", "ä1", "Rare", "x", "y2", "mid", "İz"]
+    texts = [" ".join(rnd.choice(words[1:]) for _ in range(rnd.randrange(0, 9))) + (" COMMON" * rnd.randrange(1, 4) if i % 3 == 0 else "")
+             for i in range(120)] + [None, "", "...", "common " * 500]
+    rows = [(i if ids == "long" else f"d{i}", t) for i, t in enumerate(texts)] + [(None, "common")]
+    queries = [(j, " ".join(rnd.choice(words) for _ in range(rnd.randrange(1, 4)))) for j in range(12)] + [(12, None), (13, "absent"), (0, "x")]
+    d = spark.createDataFrame(rows, f"doc_id {ids}, text string").repartition(3)
+    q = spark.createDataFrame(queries, "qid long, query string")
+    split = {r.doc_id: r.t for r in d.filter("doc_id is not null").select("doc_id", search.terms(F.col("text")).alias("t")).collect()}
+    asked = {}
+    for r in q.select("qid", search.terms(F.col("query")).alias("t")).collect():
+        asked.setdefault(r.qid, set()).update(r.t or [])
+    expect = []
+    for j, ts in asked.items():
+        hits = sorted((-n, i) for i, t in split.items() if (n := sum(x in ts for x in t or [])))
+        expect += [(j, i, -n, k + 1) for k, (n, i) in enumerate(hits) if 2 <= k < 7]
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+    try:
+        for limit in (1 << 24, 0):  # the index, and the joins beyond it
+            got = search.keyword_search(d, q, count=5, offset=2, max_index_bytes=limit)
+            assert sorted((r.qid, r.doc_id, r.score, r["rank"]) for r in got.collect()) == sorted(expect)
+        empty = search.keyword_search(d, q.limit(0), count=5)
+        assert empty.count() == 0 and search.keyword_search(d.limit(0), q, count=5).count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_batch_topk_merge_is_exact_with_ties_and_small_batches(spark):
     import random
     rnd = random.Random(3)
