@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from memweave.operators import embedding as E
@@ -310,6 +312,52 @@ def p3_full_ingest(spark, sf_dir):
                         F.col("payload.last_update").alias("last_update"))
 
 
+# --- P3 over two runs: one collection with edits, one with a replaced generator -----
+
+REVISED_STAMP = "2024-02-01T00:00:00"
+MEMORY_OPTS = (OPTS, replace(OPTS, stamp=REVISED_STAMP))
+ARCHIVE_OPTS = (replace(OPTS, collection="archive", generators=GENERATORS[:1]),
+                replace(OPTS, collection="archive", generators=GENERATORS[1:], stamp=REVISED_STAMP))
+
+
+def revised_documents(spark, sf_dir):
+    """The next state of ``documents``: by ``doc_id % 3`` cut to the first half, emptied, or untouched."""
+    cut = F.expr("substring(text, 1, cast(floor(length(text) / 2) as int))")
+    m = F.col("doc_id") % 3
+    return _docs(spark, sf_dir).withColumn("text", F.when(m == 0, cut).when(m == 1, F.lit("")).otherwise(F.col("text")))
+
+
+@register("p3_reingest", f"""WITH RECURSIVE
+revised AS (SELECT * REPLACE (CASE doc_id % 3 WHEN 0 THEN substr(text, 1, length(text) // 2) WHEN 1 THEN '' ELSE text END AS text)
+            FROM documents),
+{chunk_ctes(LINE_LIMIT, PARAGRAPH_LIMIT, OVERLAP, src="revised")},{FILES_CTE},{parts_cte()},
+runs AS (SELECT * FROM (VALUES ('memory', 'hash64', 64), ('memory', 'hash32', 32), ('archive', 'hash32', 32)) r(collection, generator, dim)),
+words AS (SELECT part_id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS term FROM parts),
+buckets AS (
+  SELECT part_id, dim, (('0x' || substr(md5(term), 1, 4))::INTEGER) % dim AS bucket, count(*) AS c
+  FROM words, (VALUES (64), (32)) d(dim) GROUP BY ALL),
+norms AS (SELECT part_id, dim, sqrt(sum(c * c)) AS norm FROM buckets GROUP BY ALL),
+vectors AS (
+  SELECT part_id, dim, sum(CAST(CAST(c / norm AS FLOAT) AS DOUBLE) * (bucket + 1)) AS emb_check
+  FROM buckets JOIN norms USING (part_id, dim) GROUP BY ALL)
+SELECT r.collection, r.generator AS namespace, {RID} AS key, document_id, r.dim AS vector_size, sha256 AS text_sha256,
+       CASE WHEN r.collection = 'memory' AND CAST(document_id AS BIGINT) % 3 = 2 THEN '{STAMP}' ELSE '{REVISED_STAMP}' END AS last_update,
+       round(coalesce(v.emb_check, 0), 4) AS emb_check
+FROM parts CROSS JOIN runs r LEFT JOIN vectors v USING (part_id, dim)""")
+def p3_reingest(spark, sf_dir):
+    """Both collections ingested, then again from the revised documents; unchanged documents keep their first stamp."""
+    first, second = P.import_files(_docs(spark, sf_dir)), P.import_files(revised_documents(spark, sf_dir))
+    state, known = P.ingest_changed(None, None, first, MEMORY_OPTS[0])
+    archive, also = P.ingest_changed(None, None, first, ARCHIVE_OPTS[0])
+    state, known = state.unionByName(archive), known.unionByName(also)
+    for opts in (MEMORY_OPTS[1], ARCHIVE_OPTS[1]):
+        state, known = P.ingest_changed(state, known, second, opts)
+    weighted = F.transform("embedding", lambda x, i: x.cast("double") * (i + 1))
+    return state.select("collection", "namespace", "key", "document_id", F.size("embedding").cast("int").alias("vector_size"),
+                        F.sha2(F.col("payload.text"), 256).alias("text_sha256"), F.col("payload.last_update").alias("last_update"),
+                        F.round(F.aggregate(weighted, F.lit(0.0).cast("double"), lambda a, x: a + x), 4).alias("emb_check"))
+
+
 @register("e2_embeddable", BASE + """
 SELECT document_id, count(*) AS n_embeddable FROM parts GROUP BY document_id""")
 def e2_embeddable(spark, sf_dir):

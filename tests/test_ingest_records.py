@@ -159,3 +159,49 @@ def test_null_mime_is_rejected(spark):
     files = P.import_files(spark.createDataFrame([(1, "x y", "en", "s")], DOCS)).withColumn("mime_type", F.lit(None).cast("string"))
     ok, bad = P.I.partition_gate(files)
     assert ok.count() == 0 and bad.count() == 1
+
+
+def test_ingest_changed_leaves_unchanged_documents_alone(spark):
+    from dataclasses import replace
+
+    gens = (("org.example.T", "a", 8),)
+    opts = P.IngestOptions(max_tokens_per_line=4, max_tokens_per_paragraph=6, overlap_tokens=0, generators=gens)
+    later = replace(opts, stamp="2025-01-01T00:00:00")
+
+    def files(*rows):
+        return P.import_files(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+
+    def stamps(state):
+        out = {}
+        for r in state.select("collection", "document_id", "namespace", "payload.last_update", "payload.text").collect():
+            out.setdefault((r.collection, r.document_id), set()).add((r.namespace, r.last_update[:4]))
+        return out
+
+    long_text = "one two three four five six seven eight nine ten"
+    first = files((1, long_text, "en", "s"), (2, "b b", "en", "s"), (3, "c", "en", "s"), (4, None, "en", "s"))
+    state, known = P.ingest_changed(None, None, first, opts)
+    other, other_known = P.ingest_changed(None, None, first, replace(opts, collection="other"))
+    state, known = state.unionByName(other), known.unionByName(other_known)
+    assert known.count() == 8
+
+    # nothing changed: an embedder that fails is never called, the state stays as it is
+    failing = replace(later, embedders={"a": lambda text: F.raise_error(F.lit("embedded again")).cast("array<float>")})
+    same, same_known = P.ingest_changed(state, known, first, failing)
+    assert stamps(same) == stamps(state) and sorted(same_known.collect()) == sorted(known.collect())
+
+    # 1 shrinks, 2 is emptied, 3 gets another tag value, 4 stays empty, 5 is new
+    second = files((1, "one two", "en", "s"), (2, "", "en", "s"), (3, "c", "fr", "s"), (4, None, "en", "s"), (5, "e", "en", "s"))
+    new, new_known = P.ingest_changed(state, known, second, later)
+    got = stamps(new)
+    assert got[("memory", "1")] == got[("memory", "3")] == got[("memory", "5")] == {("a", "2025")}
+    assert ("memory", "2") not in got and got[("other", "2")] == {("a", "2024")}
+    assert new.filter("collection = 'memory' and document_id = '1'").count() == 1
+    assert {k: v for k, v in got.items() if k[0] == "other"} == {k: v for k, v in stamps(state).items() if k[0] == "other"}
+    assert new_known.count() == 9 and new_known.dropDuplicates(["collection", "document_id"]).count() == 9
+
+    # a replaced generator: every document of its collection, and of no other
+    swapped = replace(later, collection="other", generators=(("org.example.T", "b", 8),))
+    final, _ = P.ingest_changed(new, new_known, first, swapped)
+    got = stamps(final)
+    assert all(v == {("b", "2025")} for k, v in got.items() if k[0] == "other")
+    assert {k: v for k, v in got.items() if k[0] == "memory"} == {k: v for k, v in stamps(new).items() if k[0] == "memory"}
