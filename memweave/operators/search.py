@@ -546,14 +546,22 @@ def grounding(hits: DataFrame, *, token_budget: int, qid_col: str = "qid", key_c
 
     Returns one row per query: the kept facts joined by newlines, their count
     and token total. (Answer generation itself is not part of this library.)
+    Token counts are at least 0 (null: 0).
+
+    A fact with tokens costs one at least, so a query's first ``token_budget + 1``
+    of them decide the cut: a group limit keeps those in each task before the
+    shuffle. Facts without tokens are groups of their own there (by key, which
+    is unique within a query) and all reach the running sum.
     """
-    w = (Window.partitionBy(qid_col).orderBy(F.col("score").desc(), F.col(key_col).asc())
-         .rowsBetween(Window.unboundedPreceding, 0))
-    kept = (hits.withColumn("_run", F.sum(tokens_col).over(w))
-            .withColumn("_rank", F.row_number().over(Window.partitionBy(qid_col)
-                                                       .orderBy(F.col("score").desc(), F.col(key_col).asc())))
+    tokens = F.coalesce(F.col(tokens_col), F.lit(0))
+    order = [F.col("score").desc(), F.col(key_col).asc()]
+    free = F.when(tokens <= 0, F.col(key_col).cast("string"))
+    prefix = rank_within(hits.withColumn("_free", free), [qid_col, "_free"], order, token_budget + 1).drop("_free")
+    w = Window.partitionBy(qid_col).orderBy(*order)
+    kept = (prefix.withColumn("_run", F.sum(tokens).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("_rank", F.row_number().over(w))
             .filter(F.col("_run") <= token_budget))
     return kept.groupBy(qid_col).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", text_col))), lambda x: x[text_col]),
                      "\n").alias("facts"),
-        F.count(F.lit(1)).alias("n_facts"), F.sum(tokens_col).cast("bigint").alias("n_tokens"))
+        F.count(F.lit(1)).alias("n_facts"), F.sum(tokens).cast("bigint").alias("n_tokens"))

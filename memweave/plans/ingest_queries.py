@@ -12,6 +12,7 @@ from memweave.operators import records as R
 from memweave.plans import ingest as P
 from memweave.plans.catalog import register
 from memweave.plans.text_queries import LINE_LIMIT, OVERLAP, PARAGRAPH_LIMIT, chunk_ctes
+from memweave.session import materialize as write_once
 from memweave.sources.tables import load
 
 PROVIDER_CLASS = "org.example.memweave.embedding.HashedTermEmbedder"
@@ -155,12 +156,6 @@ def _jobs(spark, sf_dir):
     return E.with_generators(E.embeddable(_parts(spark, sf_dir)), GENERATORS)
 
 
-def _existing(jobs):
-    """Embeddings a previous run already made: first partitions, first generator."""
-    return (jobs.filter((F.col("part_no") == 0) & (F.col("generator") == "hash64"))
-            .select(F.col("artifact_id").alias("source_partition_id"), "provider", "generator"))
-
-
 @register("e3_embedding_jobs", BASE + "," + JOBS_CTE + """
 SELECT document_id, part_no, provider, generator, embedding_name FROM jobs""")
 def e3_embedding_jobs(spark, sf_dir):
@@ -169,12 +164,17 @@ def e3_embedding_jobs(spark, sf_dir):
                     E.embedding_name(F.col("name"), F.col("provider"), F.col("generator")).alias("embedding_name"))
 
 
-@register("e4_pending_embeddings", BASE + "," + JOBS_CTE + """
-SELECT document_id, part_no, provider, generator, embedding_name FROM jobs
-WHERE NOT (part_no = 0 AND generator = 'hash64')""")
+@register("e4_pending_embeddings", f"""
+WITH RECURSIVE {chunk_ctes(LINE_LIMIT, PARAGRAPH_LIMIT, OVERLAP)},
+{chunk_ctes(LINE_LIMIT, 120, 0, 'old_')},{FILES_CTE},{parts_cte()},{parts_cte('old_')},{JOBS_CTE}
+SELECT document_id, part_no, provider, generator, embedding_name FROM jobs j
+WHERE NOT (generator = 'hash64' AND EXISTS (SELECT 1 FROM old_parts o WHERE o.part_id = j.part_id AND o.sha256 = j.sha256))""")
 def e4_pending_embeddings(spark, sf_dir):
-    j = _jobs(spark, sf_dir)
-    p = E.pending(j, _existing(j))
+    """Jobs left after an earlier run with other chunk limits and the first generator only: changed chunks, the new generator."""
+    before = replace(PREVIOUS_OPTS, generators=GENERATORS[:1])
+    earlier = write_once(P.embeddings(_parts(spark, sf_dir, before), before)
+                         .select("source_partition_id", "provider", "generator", F.sha2("text", 256).alias("sha256")), "earlier")
+    p = E.pending(_jobs(spark, sf_dir), earlier)
     return p.select("document_id", "part_no", "provider", "generator",
                     E.embedding_name(F.col("name"), F.col("provider"), F.col("generator")).alias("embedding_name"))
 

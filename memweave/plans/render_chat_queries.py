@@ -191,23 +191,23 @@ def h3_invalid_roles(spark, sf_dir):
 
 
 def chat_settings(spark, sf_dir):
-    c = load(spark, sf_dir, "conversations").filter(F.col("turn") == 0)
-    return c.select(F.col("conv_id").alias("id"), (F.col("conv_id") % 130).cast("int").alias("results_per_prompt"),
-                    F.when(F.col("conv_id") % 3 == 0, F.lit(None)).when(F.col("conv_id") % 3 == 1, F.lit(0))
-                    .otherwise(F.col("conv_id") % 7).cast("int").alias("max_tokens"))
+    """The settings of one request a message."""
+    c, n = load(spark, sf_dir, "conversations"), F.col("conv_id") + F.col("turn")
+    return c.select("conv_id", "turn", (n % 130).cast("int").alias("results_per_prompt"),
+                    F.when(n % 3 == 0, F.lit(None)).when(n % 3 == 1, F.lit(0)).otherwise(n % 7).cast("int").alias("max_tokens"))
 
 
 @register("h4_settings", """
 WITH s AS (
-  SELECT conv_id AS id, CAST(conv_id % 130 AS INTEGER) AS rpp,
-         CAST(CASE conv_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE conv_id % 7 END AS INTEGER) AS mt
-  FROM conversations WHERE turn = 0)
-SELECT id, NOT (rpp < 1 OR rpp > 128 OR (mt IS NOT NULL AND mt < 1)) AS is_valid,
+  SELECT conv_id, turn, CAST((conv_id + turn) % 130 AS INTEGER) AS rpp,
+         CAST(CASE (conv_id + turn) % 3 WHEN 0 THEN NULL WHEN 1 THEN 0 ELSE (conv_id + turn) % 7 END AS INTEGER) AS mt
+  FROM conversations)
+SELECT conv_id, turn, NOT (rpp < 1 OR rpp > 128 OR (mt IS NOT NULL AND mt < 1)) AS is_valid,
        CASE WHEN rpp < 1 OR rpp > 128 THEN 'results_per_prompt out of range'
             WHEN mt IS NOT NULL AND mt < 1 THEN 'max_tokens must be greater than zero' END AS reason
 FROM s""")
 def h4_settings(spark, sf_dir):
-    return H.validate_settings(chat_settings(spark, sf_dir)).select("id", "is_valid", "reason")
+    return H.validate_settings(chat_settings(spark, sf_dir)).select("conv_id", "turn", "is_valid", "reason")
 
 
 @register("h5_append_answers", """
@@ -294,11 +294,12 @@ VOICES = ["Echo", "Fable", "Onyx", "Nova", "Shimmer", "Alloy", "Whisper"]
 
 
 def service_requests(spark, sf_dir):
-    c = load(spark, sf_dir, "conversations").filter(F.col("turn") == 0)
+    """One request a message: a service kind and a voice."""
+    c, n = load(spark, sf_dir, "conversations"), F.col("conv_id") + F.col("turn")
     kinds = F.array(*[F.lit(k) for k in KINDS])
     voices = F.array(*[F.lit(v) for v in VOICES])
-    return c.select("conv_id", F.get(kinds, (F.col("conv_id") % len(KINDS)).cast("int")).alias("kind"),
-                    F.get(voices, (F.col("conv_id") % len(VOICES)).cast("int")).alias("voice"))
+    return c.select("conv_id", "turn", F.get(kinds, (n % len(KINDS)).cast("int")).alias("kind"),
+                    F.get(voices, (n % len(VOICES)).cast("int")).alias("voice"))
 
 
 def _list_sql(items):
@@ -307,14 +308,14 @@ def _list_sql(items):
 
 @register("h9_model_lookup", f"""
 WITH r AS (
-  SELECT conv_id, {_list_sql(KINDS)}[conv_id % {len(KINDS)} + 1] AS kind,
-         {_list_sql(VOICES)}[conv_id % {len(VOICES)} + 1] AS voice
-  FROM conversations WHERE turn = 0),
+  SELECT conv_id, turn, {_list_sql(KINDS)}[(conv_id + turn) % {len(KINDS)} + 1] AS kind,
+         {_list_sql(VOICES)}[(conv_id + turn) % {len(VOICES)} + 1] AS voice
+  FROM conversations),
 m AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, v in H.SERVICE_MODELS)}) m(kind, model)),
 v AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{x}')" for k, x in H.TTS_VOICES)}) v(voice, voice_name))
-SELECT r.conv_id, r.kind, m.model, coalesce(v.voice_name, 'alloy') AS voice
+SELECT r.conv_id, r.turn, r.kind, m.model, coalesce(v.voice_name, 'alloy') AS voice
 FROM r LEFT JOIN m USING (kind) LEFT JOIN v USING (voice)""")
 def h9_model_lookup(spark, sf_dir):
     r = service_requests(spark, sf_dir)
-    return r.select("conv_id", "kind", H.model_for(F.col("kind")).alias("model"),
+    return r.select("conv_id", "turn", "kind", H.model_for(F.col("kind")).alias("model"),
                     H.voice_for(F.col("voice")).alias("voice"))

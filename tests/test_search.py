@@ -269,3 +269,26 @@ def test_pruned_search_without_pivots_or_rows(spark, monkeypatch):
     assert [(x.qid, x.key) for x in pruned.nearest(index, q, top_k=3)[0].collect()] == [("q", "a")]
     empty = pruned.build_index(r.limit(0), match_cols=["collection"])
     assert pruned.nearest(empty, q, top_k=3)[0].count() == 0
+
+
+def test_grounding_by_a_bounded_prefix_equals_the_full_cut(spark):
+    import random
+    rnd = random.Random(9)
+    rows = [(q, f"k{i:03d}", rnd.choice([0.9, 0.5, 0.2]), f"t{q}-{i}", rnd.choice([0, 1, 1, 2, None, 7]))
+            for q in range(4) for i in range(120)]
+    rows += [(9, f"k{i}", 1.0 - i / 100, f"one{i}", 1) for i in range(30)] + [(9, "zero", 0.1, "free", 0), (10, "big", 1.0, "x", 50)]
+    hits = spark.createDataFrame(rows, "qid long, key string, score double, text string, n_tokens long").repartition(5)
+    for budget in (0, 1, 10, 30):
+        want = {}
+        for q in {r[0] for r in rows}:
+            run, facts = 0, []
+            for r in sorted((r for r in rows if r[0] == q), key=lambda r: (-r[2], r[1])):
+                run += r[4] or 0
+                if run > budget:
+                    break
+                facts.append(r)
+            if facts:
+                want[q] = ("\n".join(r[3] for r in facts), len(facts), sum(r[4] or 0 for r in facts))
+        got = search.grounding(hits, token_budget=budget)
+        assert {r.qid: (r.facts, r.n_facts, r.n_tokens) for r in got.collect()} == want
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
