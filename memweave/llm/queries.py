@@ -147,3 +147,75 @@ def op13_bound_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     cut = bestfit.pieces(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), keep=["doc_id"])
     return bestfit.pack(cut.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))).rows
+
+
+def _quoted(words) -> str:
+    return ", ".join("'" + w + "'" for w in words)
+
+
+SQL["op5_line_first_cleaning"] = rf"""
+with docs as (
+  select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as ws from documents),
+words as (select doc_id, unnest(ws) as w, unnest(range(len(ws))) as i from docs),
+windows as (
+  select doc_id, i, [w, lead(w, 1) over p, lead(w, 2) over p, lead(w, 3) over p, lead(w, 4) over p] as five, lead(w, 4) over p as last
+  from words window p as (partition by doc_id order by i)),
+twice as (select doc_id, i from windows where last is not null qualify count(*) over (partition by doc_id, five) > 1),
+repeated as (select doc_id, count(distinct i + k) as n from twice, range(5) r(k) group by doc_id),
+split as (select doc_id, string_split(text, chr(10)) as ls from docs),
+lines as (select doc_id, unnest(ls) as line, unnest(range(len(ls))) as pos from split),
+read as (
+  select doc_id, pos, line, regexp_extract_all(line, '[^\x20\x09-\x0D]+') as ws,
+         translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low,
+         length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g')) as symbols,
+         row_number() over (partition by doc_id, line order by pos) > 1 as seen
+  from lines),
+counted as (
+  select doc_id, symbols, len(ws) as n, len(ws) > 0 and seen as again,
+         coalesce(list_sum(list_transform(ws, lambda w: length(w))), 0) as chars,
+         len(list_filter(ws, lambda w: w in ({_quoted(linerules.SEPARATORS)}))) as seps,
+         len(list_filter(ws, lambda w: suffix(w, '!!') and strlen(w) >= 3)) as shouts,
+         regexp_matches(line, '[.!?{"".join(linerules.WIDE_MARKS)}]') as ends, length(line) as width,
+         len(list_filter([{_quoted(linerules.STOCK_PHRASES)}], lambda x: contains(low, x))) > 0 as stock
+  from read),
+judged as (
+  select *, (n >= 8 and not ends) or (seps >= 2 and 5 * seps >= n) or (symbols > 0 and 10 * symbols >= width)
+            or (shouts > 0 and 4 * shouts >= 3 * n) or stock or again as bad
+  from counted),
+sums as (
+  select doc_id, sum(n) as n_words, sum(chars) as word_chars, sum(symbols) as n_symbols, count(*) filter (again) as n_dup_lines,
+         count(*) as n_lines, count(*) filter (bad) as n_failed_lines, coalesce(sum(chars) filter (not bad), 0) as kept_chars
+  from judged group by doc_id),
+based as (
+  select s.*, coalesce(r.n, 0) as n_repeat_words, n_words < 10 or 100 * coalesce(r.n, 0) > 20 * n_words as base_failed
+  from sums s left join repeated r using (doc_id))
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+       n_dup_lines, n_repeat_words, base_failed, not base_failed and 2 * kept_chars >= word_chars and kept_chars > 0 as kept,
+       n_lines, n_failed_lines, cast(kept_chars as bigint) as kept_chars
+from based
+"""
+
+
+SQL["op6_superminhash"] = r"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') as ws from documents),
+words as (select doc_id, len(ws) as n, unnest(ws) as w, unnest(range(len(ws))) as i from docs),
+windows as (
+  select doc_id, i, [w, lead(w, 1) over p, lead(w, 2) over p, lead(w, 3) over p, lead(w, 4) over p] as five, n
+  from words window p as (partition by doc_id order by i)),
+sets as materialized (select distinct doc_id, hash(five) as h, five from windows where i = 0 or i + 5 <= n),
+sizes as materialized (select doc_id, count(*) as n from sets group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n from sets a join sets b on a.h = b.h and a.five = b.five and a.doc_id < b.doc_id
+  group by all),
+links as materialized (
+  select a, b from common c join sizes x on x.doc_id = c.a join sizes y on y.doc_id = c.b where 100 * c.n >= 85 * (x.n + y.n - c.n)),
+ways as materialized (select a, b from links union all select b, a from links),
+reach as (
+  select doc_id, doc_id as other from docs
+  union
+  select r.doc_id, w.b from reach r join ways w on w.a = r.other)
+select d.doc_id, coalesce(z.n, 0) as n_shingles, c.component_id, c.component_id = d.doc_id as kept
+from docs d left join sizes z using (doc_id) join (select doc_id, min(other) as component_id from reach group by doc_id) c using (doc_id)
+"""
