@@ -11,7 +11,7 @@ from memweave.plans.text_queries import WORD_RE2
 from memweave.session import scratch_dir
 from memweave.sources import files as FS
 from memweave.sources import store
-from memweave.sources.tables import TABLES, load
+from memweave.sources.tables import TABLES, load, stream_source
 from memweave.streaming.upserts import run_upsert_stream
 from memweave.streaming.usage import run_usage_stream
 
@@ -63,7 +63,8 @@ FROM conversations GROUP BY role""")
 def p5_stream_usage(spark, sf_dir):
     base = scratch_dir(spark, "p5")
     conv = load(spark, sf_dir, "conversations")
-    run_usage_stream(spark, source=sf_dir, glob="conversations.parquet", schema=conv.schema,
+    source, glob = stream_source(spark, sf_dir, "conversations")
+    run_usage_stream(spark, source=source, glob=glob, schema=conv.schema,
                      out_path=f"{base}/usage", checkpoint_path=f"{base}/checkpoint")
     return spark.read.parquet(f"{base}/usage")
 

@@ -208,3 +208,16 @@ def test_scratch_is_released(spark):
         assert session.release_scratch(spark) == 1 and not os.path.exists(path)
     finally:
         session._SCRATCH[spark.sparkContext.applicationId] = held
+
+
+def test_usage_stream_reads_a_table_of_part_files(spark, tmp_dir):
+    from memweave.plans.io_queries import p5_stream_usage
+
+    rows = [(i, 0, "user" if i % 2 else "assistant", "a b c") for i in range(12)]
+    conv = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    conv.repartition(3).write.parquet(f"{tmp_dir}/many/conversations.parquet")
+    os.makedirs(f"{tmp_dir}/one")
+    conv.toPandas().to_parquet(f"{tmp_dir}/one/conversations.parquet")
+    for folder in ("many", "one"):
+        got = {r.role: (r.n_messages, r.tokens) for r in p5_stream_usage(spark, f"{tmp_dir}/{folder}").collect()}
+        assert got == {"user": (6, 18), "assistant": (6, 18)}, folder
