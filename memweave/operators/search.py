@@ -6,10 +6,11 @@ Two execution shapes:
   expression, and ``orderBy(...).limit(k)`` becomes ``TakeOrderedAndProject``:
   each task keeps its own top-k and only k rows per task reach the final merge.
 * ``nearest_many``: a table of query vectors. A query matrix within the broadcast
-  limit travels to the records, and every Arrow batch of records is scored by
-  one matrix product. Beyond the limit, blocks of queries and blocks of records
-  are paired by a join and each pair is one matrix product; the records are
+  limit travels to the records, and every Arrow batch of records is scored
+  where it is read. Beyond the limit, strips of queries and strips of records
+  are paired by a join and each pair is a task's work; the records are
   read once, whatever the number of queries, and no query passes the driver.
+  Scores are computed in matrices of bounded size.
   Either way a batch or pair emits at most k candidates per query, so no
   (query, record) pair is ever materialised or shuffled; a window with a
   group limit picks the final k per query.
@@ -40,7 +41,13 @@ SCORE_DIGITS = 6
 POLICIES = ("memory", "remote")
 # Query matrices up to this many bytes travel as one broadcast; larger query
 # sets are joined with the records in blocks.
-DEFAULT_QUERY_BROADCAST_BYTES = 64 << 20
+DEFAULT_QUERY_BROADCAST_BYTES = 8 << 20
+# A task pairs a strip of queries with a strip of records, each of this many bytes of vectors at most.
+STRIP_BYTES = 16 << 20
+# Small tables are still cut into about this many strips, so that the pairs fill the cores.
+MIN_STRIPS = 8
+# Queries and records of one score matrix.
+MATRIX_QUERIES, MATRIX_RECORDS = 256, 4096
 
 
 def _floor_pred(score: Column, floor: float | None, policy: str, higher: bool) -> Column | None:
@@ -140,24 +147,27 @@ def _batch_topk(scores: np.ndarray, keys: np.ndarray, k: int, higher: bool):
     if k is None:
         qi, ni = np.nonzero(valid)
         return qi, ni, scores[qi, ni]
-    if n > k:
+    if n > k and np.count_nonzero(valid) > 4 * k * len(s):
         filled = np.where(valid, s, -np.inf)
         kth = np.partition(filled, n - k, axis=1)[:, n - k]
         mask = valid & (filled >= kth[:, None])
-    else:
+    else:  # few scores: sorting them is cheaper
         mask = valid
     qi, ni = np.nonzero(mask)
     if qi.size == 0:
         return qi, ni, np.empty(0)
-    sc = s[qi, ni]
+    qi, ni, sc = _first_k(qi, ni, s[qi, ni], keys, k)
+    return qi, ni, (sc if higher else -sc)
+
+
+def _first_k(qi: np.ndarray, ni: np.ndarray, sc: np.ndarray, keys: np.ndarray, k: int):
+    """The ``k`` highest scores of every query, ties on key asc, ordered by query and rank."""
     order = np.lexsort((keys[ni], -sc, qi))
     qi, ni, sc = qi[order], ni[order], sc[order]
     starts = np.flatnonzero(np.r_[True, qi[1:] != qi[:-1]])
     lengths = np.diff(np.r_[starts, qi.size])
-    rank = np.arange(qi.size) - np.repeat(starts, lengths)
-    keep = rank < k
-    qi, ni, sc = qi[keep], ni[keep], sc[keep]
-    return qi, ni, (sc if higher else -sc)
+    keep = np.arange(qi.size) - np.repeat(starts, lengths) < k
+    return qi[keep], ni[keep], sc[keep]
 
 
 def _score_matrix(Q: np.ndarray, X: np.ndarray, metric: str) -> np.ndarray:
@@ -192,21 +202,40 @@ def _sortable(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return keys.astype(str) if keys.dtype == object else keys
 
 
-def _best_pairs(Q: np.ndarray, X: np.ndarray, keys: np.ndarray, metric: str, k: int | None, floor: float | None,
-                policy: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, record, score) of each query's best ``k`` records above the floor; 1,024 queries are scored at a time."""
+def _best_pairs(Q: np.ndarray, X: np.ndarray, keys: np.ndarray, metric: str, k: int | None, floor: float | None, policy: str,
+                query_rows: int = MATRIX_QUERIES, record_rows: int = MATRIX_RECORDS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, record, score) of each query's best ``k`` records above the floor, some queries at a time.
+
+    Scores are computed in matrices of bounded size. After the first of them a query's k-th best score
+    so far cuts the later ones, so that few scores are ranked.
+    """
     higher = V.higher_is_better(metric)
-    found = []
-    for lo in range(0, len(Q), 1024):
-        S = np.round(_score_matrix(Q[lo:lo + 1024], X, metric), SCORE_DIGITS)
-        if floor is not None:
-            if higher:
-                S[(S <= floor) if policy == "remote" else (S < floor)] = np.nan
-            else:
-                S[(S >= floor) if policy == "remote" else (S > floor)] = np.nan
-        qi, ni, sc = _batch_topk(S, keys, k, higher)
-        found.append((qi + lo, ni, sc))
-    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+    sign = 1.0 if higher else -1.0
+    for lo in range(0, len(Q), query_rows):
+        part = Q[lo:lo + query_rows]
+        qi, ni, sc = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        kth = np.full(len(part), -np.inf)
+        for at in range(0, len(X), record_rows):
+            S = np.round(_score_matrix(part, X[at:at + record_rows], metric), SCORE_DIGITS)
+            if floor is not None:
+                if higher:
+                    S[(S <= floor) if policy == "remote" else (S < floor)] = np.nan
+                else:
+                    S[(S >= floor) if policy == "remote" else (S > floor)] = np.nan
+            if k is not None and at:
+                S[sign * S < kth[:, None]] = np.nan
+            new_q, new_n, new_s = _batch_topk(S, keys[at:at + record_rows], k, higher)
+            if k is None:
+                yield new_q + lo, new_n + at, new_s
+                continue
+            if not new_q.size:
+                continue
+            qi, ni, sc = _first_k(np.concatenate((qi, new_q)), np.concatenate((ni, new_n + at)), np.concatenate((sc, sign * new_s)), keys, k)
+            last = np.flatnonzero(np.diff(qi, append=-1))
+            full = last[np.diff(last, prepend=-1) == k]
+            kth[qi[full]] = sc[full]
+        if qi.size:
+            yield qi + lo, ni, sign * sc
 
 
 def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_relevance: float | None = 0.0,
@@ -225,8 +254,10 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     Output: the query id, the record columns (vector only if asked) and ``score``.
 
     Query tables up to ``max_broadcast_bytes`` travel to the records; larger
-    ones meet them in a join of query and record blocks, keyed by match
-    values, vector length and block numbers, and never pass the driver.
+    ones meet them in a join of query and record strips, keyed by match
+    values, vector length and strip numbers, and never pass the driver. A strip
+    holds at most ``STRIP_BYTES`` of vectors and is scored in matrices of up to
+    ``query_block`` x ``record_block``; with ``top_k=None`` these are the strips.
     """
     _check_policy(policy)
     metric = metric.lower()
@@ -257,6 +288,9 @@ def nearest_many(records: DataFrame, queries: DataFrame, *, top_k: int, min_rele
     # records get a number, so that only keys and vectors are copied to the blocks and the rest is joined after the cut
     written = materialize(records.select(*dict.fromkeys([*out_cols, key_col, vector_col, *match_cols])).withColumn(
         "_row", F.monotonically_increasing_id()), "records")
+    options |= dict(query_rows=min(query_block, MATRIX_QUERIES), record_rows=min(record_block, MATRIX_RECORDS))
+    if not unlimited:  # a row is copied once for each strip of the other side
+        query_block, record_block = strip_rows(n_q, dim, query_block), strip_rows(written.count(), dim, record_block)
     numbered = _score_blocks(written, qsel, qid_col, query_vector_col, match_cols, key_col, vector_col, query_block, record_block, options)
     if not unlimited:
         numbered = _merge_top(numbered, qid_col, "_key", top_k, higher)
@@ -273,16 +307,23 @@ def _merge_top(candidates: DataFrame, qid_col: str, key_col: str, top_k: int, hi
 def score_pair(schema: T.StructType, options: dict):
     """Work on a block of queries (_qid, _dim, _vector) and one of records (_row, _key, _vector) of that length."""
     def work(own: pa.Table, block: pa.Table) -> pa.Table:
-        qi, ni, sc = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if own.num_rows and block.num_rows:
             dim = own["_dim"][0].as_py()
-            qi, ni, sc = _best_pairs(_vectors(own["_vector"], dim)[1], _vectors(block["_vector"], dim)[1], _sortable(block["_key"]), **options)
+            found += _best_pairs(_vectors(own["_vector"], dim)[1], _vectors(block["_vector"], dim)[1], _sortable(block["_key"]), **options)
+        qi, ni, sc = (np.concatenate(x) for x in zip(*found))
         cols = [own["_qid"].take(pa.array(qi)), block["_row"].take(pa.array(ni)), block["_key"].take(pa.array(ni)), pa.array(sc)]
         return pa.Table.from_arrays(cols, names=schema.names)
 
     return work
 
 
+def strip_rows(n_rows: int, dim: int, block: int) -> int:
+    """Rows of a strip: a share of the table, but no less than a block and no more than ``STRIP_BYTES`` of vectors."""
+    most = max(1, STRIP_BYTES // (8 * max(dim, 1)))
+    return max(block, min(most, -(-n_rows // MIN_STRIPS)))
+
+
 def _score_blocks(records: DataFrame, queries: DataFrame, qid_col: str, query_vector_col: str, match_cols: list[str], key_col: str,
                   vector_col: str, query_block: int, record_block: int, options: dict) -> DataFrame:
     """(qid, _row, _key, score): the best rows of every query in every pair of blocks."""
@@ -329,10 +370,10 @@ def _score_broadcast(records: DataFrame, queries: DataFrame, qid_col: str, query
                     at, X = _vectors(part.column(vector_col), dim)
                     if not len(at):
                         continue
-                    qi, ni, sc = _best_pairs(Q, X, keys[at], **options)
-                    take = pa.array(at[ni])
-                    yield pa.RecordBatch.from_arrays([qids.take(pa.array(own[qi])), *[part.column(c).take(take) for c in out_cols], pa.array(sc)],
-                                                     names=schema.names)
+                    for qi, ni, sc in _best_pairs(Q, X, keys[at], **options):
+                        take = pa.array(at[ni])
+                        yield pa.RecordBatch.from_arrays([qids.take(pa.array(own[qi])), *[part.column(c).take(take) for c in out_cols], pa.array(sc)],
+                                                         names=schema.names)
 
     used = list(dict.fromkeys([*out_cols, key_col, vector_col, *match_cols]))
     return spread(records.select(*[F.col(f"`{c}`") for c in used])).mapInArrow(score_batches, schema)

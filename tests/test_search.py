@@ -292,3 +292,35 @@ def test_grounding_by_a_bounded_prefix_equals_the_full_cut(spark):
         got = search.grounding(hits, token_budget=budget)
         assert {r.qid: (r.facts, r.n_facts, r.n_tokens) for r in got.collect()} == want
     assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dotproduct", "euclidean"])
+def test_scores_are_ranked_in_matrices_of_bounded_size(metric, monkeypatch):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    Q, X = rng.integers(-2, 3, (90, 4)).astype(float), rng.integers(-2, 3, (700, 4)).astype(float)  # many ties
+    keys = rng.permutation(700)
+    plain = search._score_matrix
+    higher, want = metric != "euclidean", []
+    S = np.round(plain(Q, X, metric), 6)
+    for q in range(90):
+        best = sorted((-s if higher else s, keys[n], n) for n, s in enumerate(S[q]) if not np.isnan(s) and (s >= 0.5 if higher else s <= 3.0))[:7]
+        want += [(q, n, -s if higher else s) for s, _, n in best]
+    sizes = []
+    monkeypatch.setattr(search, "_score_matrix", lambda a, b, m: sizes.append((len(a), len(b))) or plain(a, b, m))
+    found = [*search._best_pairs(Q, X, keys, metric, 7, 0.5 if higher else 3.0, "memory", query_rows=20, record_rows=64)]
+    assert [(int(q), int(n), float(s)) for part in found for q, n, s in zip(*part)] == [(q, n, float(s)) for q, n, s in want]
+    assert max(a for a, _ in sizes) <= 20 and max(b for _, b in sizes) <= 64 and len(found) == 5
+
+
+def test_strips_bound_the_copies_of_the_block_join(spark, monkeypatch):
+    from memweave.functions import blocks
+    dealt = []
+    plain = blocks.pair_blocks
+    monkeypatch.setattr(search, "pair_blocks", lambda *a, **o: dealt.append((o["left_rows"], o["right_rows"])) or plain(*a, **o))
+    r = _random_records(spark, n=200)
+    q = r.select(F.col("key").alias("qid"), F.col("embedding").alias("query_vector"))
+    got = search.nearest_many(r, q, top_k=3, min_relevance=None, max_broadcast_bytes=0, query_block=2, record_block=3)
+    assert _rows(got) == _rows(search.nearest_many(r, q, top_k=3, min_relevance=None))
+    assert dealt == [(25, 25)]  # eight strips of a side, not a hundred blocks
+    assert search.strip_rows(10**9, 64, 512) == 32_768
