@@ -324,3 +324,28 @@ def test_strips_bound_the_copies_of_the_block_join(spark, monkeypatch):
     assert _rows(got) == _rows(search.nearest_many(r, q, top_k=3, min_relevance=None))
     assert dealt == [(25, 25)]  # eight strips of a side, not a hundred blocks
     assert search.strip_rows(10**9, 64, 512) == 32_768
+
+
+def test_pruned_search_deals_queries_once_however_many_blocks_they_read(spark, monkeypatch):
+    from memweave.operators import pruned
+    dealt = []
+    plain = pruned.pair_blocks
+    monkeypatch.setattr(pruned, "pair_blocks", lambda left, right, by, **o: dealt.append((left.count(), list(by))) or plain(left, right, by, **o))
+    r = _mixed_records(spark)
+    q = _queries(r)
+    index = pruned.build_index(r, match_cols=["collection"], rows_per_block=4)
+    found, visits = pruned.nearest(index, q, top_k=3, min_relevance=0.0)
+    assert _rows(found) == _rows(search.nearest_many(r, q, top_k=3, min_relevance=0.0, match_cols=["collection"]))
+    total = visits.agg(F.sum("visited").alias("v"), F.count("*").alias("n")).first()
+    (_, first), (second, by) = dealt
+    assert first[-1] == "_block" and by[-1] == "_dim" and second <= total.n and total.v > 2 * total.n
+
+
+def test_a_block_reaches_when_its_bound_does():
+    import numpy as np
+    from memweave.operators import pruned
+    rng = np.random.default_rng(2)
+    near, cos, floor = rng.uniform(-1, 1, (50, 80)), np.append(rng.uniform(-1, 1, 79), 1.0), np.append(rng.uniform(-1, 1, 49), -2.0)
+    bound = np.cos(np.maximum(0, np.arccos(near) - np.arccos(cos)))
+    got = pruned._reaches(near, cos, floor)
+    assert got[bound >= floor[:, None]].all() and not got[bound < floor[:, None] - 1e-5].any()
