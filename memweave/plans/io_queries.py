@@ -47,12 +47,12 @@ def p4_stream_upsert(spark, sf_dir):
     state_path, source_dir = f"{base}/state", f"{base}/incoming"
     store.create_state(records(spark, sf_dir), state_path)
     inc = incoming(spark, sf_dir)
-    # Three arriving batch files: even and odd sequence numbers, then the repeats.
+    # Three arriving batches of part files: even and odd sequence numbers, then the repeats.
     first = F.col("seq") < 2000000
     for part in (first & (F.col("seq") % 2 == 0), first & (F.col("seq") % 2 == 1), ~first):
-        inc.filter(part).coalesce(1).write.mode("append").parquet(source_dir)
-    run_upsert_stream(spark, source_dir=source_dir, schema=inc.schema, state_path=state_path,
-                      checkpoint_path=f"{base}/checkpoint", report_path=f"{base}/report", metadata_cols=META)
+        inc.filter(part).write.mode("append").parquet(source_dir)
+        run_upsert_stream(spark, source_dir=source_dir, schema=inc.schema, state_path=state_path, files_per_batch=None,
+                          checkpoint_path=f"{base}/checkpoint", report_path=f"{base}/report", metadata_cols=META)
     return _state_out(store.read_state(spark, state_path))
 
 
@@ -89,15 +89,15 @@ def p4_event_stream(spark, sf_dir):
     base = scratch_dir(spark, "p4e")
     state_path, source_dir = f"{base}/state", f"{base}/events"
     recs = event_records(spark, sf_dir).withColumn("_week", F.date_trunc("week", "ts"))
-    # The calendar weeks present are a handful of values; each week arrives as one file.
+    # The calendar weeks present are a handful of values; each week arrives as one batch of part files.
     weeks = sorted(r["_week"] for r in recs.select("_week").distinct().collect())
     first = recs.filter(F.col("_week") == weeks[0]).drop("_week")
     store.create_state(C.latest_per_key(first).drop("seq"), state_path)
     for w in weeks[1:]:
-        recs.filter(F.col("_week") == w).drop("_week").coalesce(1).write.mode("append").parquet(source_dir)
-    run_upsert_stream(spark, source_dir=source_dir, schema=first.schema, state_path=state_path,
-                      checkpoint_path=f"{base}/checkpoint", report_path=f"{base}/report",
-                      metadata_cols=["value", "props"])
+        recs.filter(F.col("_week") == w).drop("_week").write.mode("append").parquet(source_dir)
+        run_upsert_stream(spark, source_dir=source_dir, schema=first.schema, state_path=state_path, files_per_batch=None,
+                          checkpoint_path=f"{base}/checkpoint", report_path=f"{base}/report",
+                          metadata_cols=["value", "props"])
     return store.read_state(spark, state_path).select("collection", "namespace", "key", "value", "props")
 
 

@@ -16,14 +16,17 @@ from memweave.sources import store
 
 
 def run_upsert_stream(spark: SparkSession, *, source_dir: str, schema, state_path: str, checkpoint_path: str,
-                      report_path: str, metadata_cols: list[str], files_per_batch: int = 1,
+                      report_path: str, metadata_cols: list[str], files_per_batch: int | None = 1,
                       available_now: bool = True, timeout_s: int | None = None):
     """Start the stream; with ``available_now`` it processes what is there and stops.
 
-    ``timeout_s`` (off by default) stops and fails a query that takes longer.
+    ``files_per_batch=None`` takes all new files as one batch, for batches of many part files: run the stream
+    after each arrival. ``timeout_s`` (off by default) stops and fails a query that takes longer.
     """
-    stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-              .parquet(source_dir))
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(source_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()

@@ -221,3 +221,16 @@ def test_usage_stream_reads_a_table_of_part_files(spark, tmp_dir):
     for folder in ("many", "one"):
         got = {r.role: (r.n_messages, r.tokens) for r in p5_stream_usage(spark, f"{tmp_dir}/{folder}").collect()}
         assert got == {"user": (6, 18), "assistant": (6, 18)}, folder
+
+
+def test_stream_takes_an_arrival_of_many_files_as_one_batch(spark, tmp_dir):
+    path, src = f"{tmp_dir}/state", f"{tmp_dir}/in"
+    _state(spark, path)
+    late = [("c", "a", "k%d" % i, "new", 100 + i) for i in range(1, 9)]
+    for rows in ([("c", "a", "k%d" % i, "old", i) for i in range(1, 9)], late):
+        spark.createDataFrame(rows, SCHEMA).repartition(4).write.mode("append").parquet(src)
+        run_upsert_stream(spark, source_dir=src, schema=spark.createDataFrame([], SCHEMA).schema, state_path=path, checkpoint_path=f"{tmp_dir}/ck",
+                          report_path=f"{tmp_dir}/report", metadata_cols=["lang"], files_per_batch=None)
+    assert sorted({r.epoch for r in spark.read.parquet(f"{tmp_dir}/report").select("epoch").collect()}) == [0, 1]
+    state = {(r.namespace, r.key): r.lang for r in store.read_state(spark, path).collect()}
+    assert all(state["a", r[2]] == "new" for r in late)
