@@ -3,9 +3,10 @@
 Pre-tokens come from the JVM regex (K1). Each pre-token's UTF-8 bytes are
 mapped to printable characters (K2) and merged pair by pair, lowest merge
 rank first, until no ranked pair is left (K3). The merge table is a bounded
-dictionary, broadcast once behind a size check; merging runs in an
-Arrow-batched pandas UDF with a per-worker memo, so encoding a corpus is one
-map-only pass (no shuffle of tokens).
+dictionary, broadcast once behind a size check; merging runs in an Arrow UDF
+with a per-worker memo, so encoding a corpus is one map-only pass (no shuffle
+of tokens). Of a batch only the different pre-tokens become Python objects; the
+rest stays in flat buffers, a slice of the rows at a time.
 
 Token ids (our contract, the original id file is not available): byte symbol
 ``b`` has id ``b``; the symbol made by the merge of rank ``r`` has id ``256 + r``.
@@ -15,9 +16,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from array import array
 from collections.abc import Callable
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from memweave.functions.ordering import dense_index
 from memweave.operators.tokens import PRETOKEN_PATTERN, pretokens
 
 MAX_MERGES = 2_000_000  # broadcast guard: a merge table is a dictionary, not data
-MEMO = 500_000  # remembered pre-tokens of a generation: bounds memory, changes no result
+MEMO = 300_000  # remembered pre-tokens of a generation: bounds memory, changes no result
 
 
 def bytes_to_unicode() -> dict[int, str]:
@@ -125,8 +128,8 @@ class Vocabulary:
         known = {p: r for p, r in ranks.items() if p[0] in self.ids and p[1] in self.ids}
         self._rank = {(self.ids[a], self.ids[b]): r for (a, b), r in known.items()}
         self._product = {(self.ids[a], self.ids[b]): self.ids[a + b] for a, b in known}
-        self._young: dict[str, list[int]] = {}
-        self._old: dict[str, list[int]] = {}
+        self._young: dict[str, array] = {}
+        self._old: dict[str, array] = {}
 
     def encode_pretoken(self, token: str) -> list[int]:
         """Ids of one pre-token; those met lately are remembered in two generations of ``MEMO``."""
@@ -134,12 +137,12 @@ class Vocabulary:
         if hit is None:
             hit = self._old.get(token)
             if hit is None:
-                hit = merged(list(token.encode("utf-8")), self._rank.get, self._product.__getitem__)
+                hit = array("i", merged(list(token.encode("utf-8")), self._rank.get, self._product.__getitem__))
             if len(token) < 64:
                 if len(self._young) >= MEMO:
                     self._old, self._young = self._young, {}
                 self._young[token] = hit
-        return hit
+        return hit.tolist()
 
 
 def broadcast_vocabulary(merges: DataFrame):
@@ -166,14 +169,45 @@ def _vocab_from(bc) -> Vocabulary:
     return _VOCABULARIES[digest]
 
 
+#: Rows worked on at a time.
+SLICE = 1024
+
+
+def _by_slices(work: Callable[[pa.Array], pa.Array], column: pa.Array, dtype: pa.DataType) -> pa.Array:
+    parts = [work(column.slice(lo, SLICE)) for lo in range(0, len(column), SLICE)]
+    return pa.concat_arrays([p.cast(dtype) for p in parts]) if parts else pa.array([], dtype)
+
+
+def _offsets(lists: pa.Array) -> np.ndarray:
+    """Where each list begins and ends in ``flatten()`` (null: empty)."""
+    return np.concatenate(([0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)))).astype(np.int64)
+
+
+def _coded(flat: pa.Array) -> tuple[list[str], np.ndarray]:
+    """The different strings, and the place among them of each."""
+    coded = flat.dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+
+
 def encode(text: Column | str, merges_bc) -> Column:
     """K4: text -> token ids (empty for NULL or empty text)."""
     text = F.col(text) if isinstance(text, str) else text
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def _encode(toks: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def _encode(toks: pa.Array) -> pa.Array:
         vocab = _vocab_from(merges_bc)
-        return pd.Series([[i for t in (ts if ts is not None else []) for i in vocab.encode_pretoken(t)] for ts in toks])
+
+        def work(some: pa.Array) -> pa.Array:
+            distinct, at = _coded(some.flatten())
+            found = [vocab.encode_pretoken(t) for t in distinct]
+            size = np.array([len(x) for x in found], np.int64)
+            ids = np.array([i for x in found for i in x], np.int32)
+            starts, own = np.cumsum(size) - size, size[at]
+            ends = np.concatenate(([0], np.cumsum(own)))
+            place = np.repeat(starts[at] - ends[:-1], own) + np.arange(ends[-1])
+            return pa.ListArray.from_arrays(pa.array(ends[_offsets(some)].astype(np.int32)), pa.array(ids[place]))
+
+        return _by_slices(work, toks, pa.list_(pa.int32()))
 
     return _encode(pretokens(text))
 
@@ -182,11 +216,17 @@ def count_bpe_tokens(text: Column | str, merges_bc) -> Column:
     """K5 (bpe mode): number of BPE tokens of a text."""
     text = F.col(text) if isinstance(text, str) else text
 
-    @F.pandas_udf(T.IntegerType())
-    def _count(toks: pd.Series) -> pd.Series:
+    @F.arrow_udf(T.IntegerType())
+    def _count(toks: pa.Array) -> pa.Array:
         vocab = _vocab_from(merges_bc)
-        return pd.Series([sum(len(vocab.encode_pretoken(t)) for t in (ts if ts is not None else [])) for ts in toks],
-                         dtype="int32")
+
+        def work(some: pa.Array) -> pa.Array:
+            distinct, at = _coded(some.flatten())
+            size = np.array([len(vocab.encode_pretoken(t)) for t in distinct], np.int64)
+            ends = np.concatenate(([0], np.cumsum(size[at])))[_offsets(some)]
+            return pa.array(np.diff(ends).astype(np.int32))
+
+        return _by_slices(work, toks, pa.int32())
 
     return _count(pretokens(text))
 
@@ -195,16 +235,17 @@ def word_counter(merges_bc):
     """Counter for ``chunking.chunk_documents(mode='counter')``: a word counts the BPE tokens of a space and the word."""
     pieces = regex.compile(PRETOKEN_PATTERN).findall
 
-    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
-    def _count(lines: pd.Series) -> pd.Series:
-        vocab, seen = _vocab_from(merges_bc), {}
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def _count(lines: pa.Array) -> pa.Array:
+        vocab = _vocab_from(merges_bc)
 
-        def tokens(word: str) -> int:
-            n = seen.get(word)
-            if n is None:
-                n = seen[word] = sum(len(vocab.encode_pretoken(t)) for t in pieces(" " + word))
-            return n
+        def work(some: pa.Array) -> pa.Array:
+            words = some.flatten()
+            distinct, at = _coded(words.flatten())
+            size = np.array([sum(len(vocab.encode_pretoken(t)) for t in pieces(" " + w)) for w in distinct], np.int32)
+            inner = pa.ListArray.from_arrays(pa.array(_offsets(words).astype(np.int32)), pa.array(size[at]))
+            return pa.ListArray.from_arrays(pa.array(_offsets(some).astype(np.int32)), inner)
 
-        return pd.Series([[[tokens(w) for w in ws] for ws in (ls if ls is not None else [])] for ls in lines])
+        return _by_slices(work, lines, pa.list_(pa.list_(pa.int32())))
 
     return _count

@@ -141,3 +141,20 @@ def test_vocabulary_size_file_and_encode_query(spark, tmp_dir):
     for doc_id, text in docs:
         ids = enc.encode_ordinary(text or "")
         assert got[doc_id] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+
+
+def test_batches_are_encoded_in_slices_and_each_different_pretoken_once(spark, monkeypatch):
+    import pyarrow as pa
+
+    sizes = []
+    rows = [["a"] * (k % 3) if k % 7 else None for k in range(3000)]
+    got = bpe._by_slices(lambda some: sizes.append(len(some)) or some.value_lengths().fill_null(0), pa.array(rows, pa.list_(pa.string())), pa.int32())
+    assert got.to_pylist() == [len(x or ()) for x in rows] and max(sizes) == bpe.SLICE and sum(sizes) == 3000
+    assert len(bpe._by_slices(lambda some: some, pa.array([], pa.int32()), pa.int32())) == 0
+    assert bpe._coded(pa.array(["b", "a", "b"]))[0] == ["b", "a"]
+    nested = pa.array([[1], None, [], [2, 3]], pa.list_(pa.int32())).slice(1)
+    assert bpe._offsets(nested).tolist() == [0, 0, 0, 2]
+    table = bpe.broadcast_vocabulary(spark.createDataFrame([(0, "t", "h"), (1, "th", "e")], "rank int, left string, right string"))
+    docs = spark.createDataFrame([(0, "the then"), (1, None), (2, ""), (3, "the \u00e9")], "id int, text string").coalesce(1)
+    got = {r.id: (r.ids, r.n) for r in docs.select("id", bpe.encode("text", table).alias("ids"), bpe.count_bpe_tokens("text", table).alias("n")).collect()}
+    assert got == {0: ([257, 32, 257, 110], 4), 1: ([], 0), 2: ([], 0), 3: ([257, 32, 195, 169], 4)}
