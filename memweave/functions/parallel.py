@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from memweave.functions.sizing import estimated_bytes
@@ -23,3 +26,9 @@ def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     if estimated_bytes(df) >= target * split:
         return df
     return df.repartition(target, key) if key else df.repartition(target)
+
+
+def slices(batch: pa.RecordBatch, rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """An Arrow batch in pieces, so that no more than ``rows`` rows of it are Python objects at a time."""
+    for start in range(0, batch.num_rows, rows):
+        yield batch.slice(start, rows)

@@ -12,11 +12,11 @@ import zipfile
 from collections.abc import Iterable
 from xml.sax.saxutils import escape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memweave.functions.parallel import spread
+from memweave.functions.parallel import slices, spread
 from memweave.operators import bpe, chunking, search
 from memweave.plans.catalog import register
 from memweave.plans.fixtures import records, with_views
@@ -61,13 +61,17 @@ def sheet_file(name: str, number: int) -> bytes:
                                     f'<c r="C1"><v>{number}</v></c></row></sheetData></worksheet>'})
 
 
-def _files(rows: DataFrame, build, schema: str = "path string, content binary") -> DataFrame:
+def _files(rows: DataFrame, build) -> DataFrame:
     """(path, content) with one file per row (path, *arguments of ``build``)."""
-    def run(batches: Iterable[pd.DataFrame]):
-        for pdf in batches:
-            yield pd.DataFrame({"path": pdf.iloc[:, 0], "content": [build(*r) for r in pdf.iloc[:, 1:].itertuples(index=False, name=None)]})
+    schema = pa.schema([("path", pa.string()), ("content", pa.binary())])
 
-    return rows.mapInPandas(run, schema)
+    def run(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            for part in slices(batch):
+                paths, *args = [c.to_pylist() for c in part.columns]
+                yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([build(*r) for r in zip(*args)], pa.binary())], schema=schema)
+
+    return rows.mapInArrow(run, "path string, content binary")
 
 
 @register("s4_word_paragraphs", """
@@ -76,7 +80,7 @@ FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE t
 def s4_word_paragraphs(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").filter("text is not null")
     made = _files(docs.select(F.col("doc_id").cast("string").alias("path"), F.split("text", "\n").alias("lines")), lambda lines: word_file(list(lines)))
-    return made.mapInPandas(office._files_to_rows("word"), office.PARAGRAPH_SCHEMA)
+    return made.mapInArrow(office._files_to_rows("word"), office.PARAGRAPH_SCHEMA)
 
 
 @register("s5_slide_texts", """
@@ -84,7 +88,7 @@ SELECT conv_id || '/' || turn AS doc, 1 AS slide_no, 0 AS pos, text, turn % 5 =
 def s5_slide_texts(spark, sf_dir):
     rows = load(spark, sf_dir, "conversations").filter("text is not null")
     made = _files(rows.select(F.concat_ws("/", "conv_id", "turn").alias("path"), "text", (F.col("turn") % 5 == 4).alias("h")), slide_file)
-    return made.mapInPandas(office._files_to_rows("slides"), office.SLIDE_SCHEMA)
+    return made.mapInArrow(office._files_to_rows("slides"), office.SLIDE_SCHEMA)
 
 
 @register("s6_sheet_cells", """
@@ -93,7 +97,7 @@ UNION ALL
 SELECT CAST(s_suppkey AS VARCHAR), 1, 1, 3, false, CAST(s_nationkey AS VARCHAR) FROM supplier""")
 def s6_sheet_cells(spark, sf_dir):
     rows = load(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("path"), "s_name", "s_nationkey")
-    return _files(rows, sheet_file).mapInPandas(office._files_to_rows("cells"), office.CELL_SCHEMA)
+    return _files(rows, sheet_file).mapInArrow(office._files_to_rows("cells"), office.CELL_SCHEMA)
 
 
 @register("s9_load_merges", """

@@ -117,3 +117,19 @@ def test_paginate(spark):
     df = spark.createDataFrame([(1, "\n".join(str(i) for i in range(5)))], "doc_id long, text string")
     pages = RD.paginate(df, lines_per_page=2).orderBy("page_no").collect()
     assert [(p.page_no, p.text) for p in pages] == [(1, "0\n1"), (2, "2\n3"), (3, "4")]
+
+
+def test_batches_of_files_are_parsed_in_slices(tmp_dir):
+    import pyarrow as pa
+
+    path = f"{tmp_dir}/a.pptx"
+    make_pptx(path)
+    data = open(path, "rb").read()
+    batch = pa.RecordBatch.from_pydict({"path": [f"f{i}" for i in range(600)], "content": [data] * 600})
+    out = list(office._files_to_rows("slides")(iter([batch])))
+    one = office.slide_texts(data)
+    per_file = sum(len(texts) for _n, texts, _h in one)
+    assert [len(set(b.column("doc").to_pylist())) for b in out] == [256, 256, 88]
+    assert sum(b.num_rows for b in out) == 600 * per_file
+    first = out[0].slice(0, per_file).to_pylist()
+    assert [(r["slide_no"], r["pos"], r["text"], r["hidden"]) for r in first] == [(n, i, t, h) for n, texts, h in one for i, t in enumerate(texts)]
