@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from memweave.functions.filters import equality_filter
 from memweave.functions.ordering import dense_index
 from memweave.functions.sizing import broadcast_if_small, is_small
+from memweave.session import materialize
 
 KEY_COLS = ("collection", "namespace", "key")
 POLICIES = ("memory", "remote")
@@ -67,18 +68,25 @@ def check_collections(batch: DataFrame, registry: DataFrame, *, strict: bool = T
 
 def upsert(state: DataFrame, batch: DataFrame, *, key_cols: Sequence[str] = KEY_COLS, seq_col: str = "seq",
            registry: DataFrame | None = None, strict: bool = True, dedupe: bool = True,
-           batch_small: bool | None = None) -> DataFrame:
+           batch_small: bool | None = None, hits_in: Column | None = None) -> DataFrame:
     """Replace whole rows by key; new keys are added.
 
     Result = (state without the batch keys) union (latest batch row per key).
     ``dedupe=False`` skips the last-write-wins aggregate for batches whose keys
     are unique by construction (e.g. one record per chunk and generator).
+    ``hits_in`` is for a large batch of mostly new keys, and names the state rows
+    that can hold any of them: the keys found on both sides are written once, so
+    that state rows are not shuffled for the others.
     """
     key_cols = list(key_cols)
     if registry is not None:
         batch, _ = check_collections(batch, registry, strict=strict)
     latest = latest_per_key(batch, key_cols, seq_col) if dedupe else batch
-    keys = broadcast_if_small(latest.select(*key_cols), known_small=batch_small)
+    keys = latest.select(*key_cols)
+    if hits_in is not None and not is_small(keys):
+        held = state.filter(hits_in).select(*key_cols)
+        keys, batch_small = materialize(keys.join(held, key_cols, "left_semi"), "hits"), None
+    keys = broadcast_if_small(keys, known_small=batch_small)
     kept = state.join(keys, key_cols, "left_anti").select(*state.columns)
     return kept.unionByName(latest.select(*state.columns), allowMissingColumns=True)
 

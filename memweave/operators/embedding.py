@@ -25,9 +25,12 @@ from memweave.functions.sizing import broadcast_if_small
 from memweave.operators.ingest import (EMBEDDING_EXTENSION, MIME_EMBEDDING, PARTITIONABLE_MIME,
                                        TYPE_EMBEDDING, TYPE_SYNTHETIC_DATA, TYPE_TEXT_PARTITION)
 from memweave.operators.search import terms
+from memweave.session import materialize
 
 Embedder = Callable[[Column], Column]
 DEFAULT_DIM = 64
+#: Jobs of one text that are gathered in a row; those of a text with more are joined to its vectors.
+GROUP_JOBS = 1000
 
 
 def term_buckets(text: Column, dim: int) -> Column:
@@ -127,10 +130,22 @@ def mark_processed(artifacts: DataFrame, step: str) -> DataFrame:
     return artifacts.select("artifact_id", F.lit(step).alias("step"))
 
 
+def with_existing(rows: DataFrame, existing: DataFrame) -> DataFrame:
+    """E5: partitions or jobs with ``_stored``, the (provider, generator, embedding) of earlier runs for the same text.
+
+    The vectors of all generators of a partition meet it in one join, so partitions can be joined before they are
+    expanded to jobs. Where ``existing`` names documents, a vector is taken for its own document only.
+    """
+    keys = ["artifact_id", "sha256"] + (["document_id"] if "document_id" in existing.columns else [])
+    stored = existing.withColumnRenamed("source_partition_id", "artifact_id").groupBy(*keys).agg(
+        F.collect_list(F.struct("provider", "generator", "embedding")).alias("_stored"))
+    return rows.join(stored, keys, "left")
+
+
 def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
                embedders: dict[str, Embedder] | None = None, stamp: str,
                existing: DataFrame | None = None) -> DataFrame:
-    """E5 + E6: embed each distinct text once per generator, join back, build embedding rows.
+    """E5 + E6: embed each distinct text once per generator, build embedding rows.
 
     ``generators`` is the configuration the jobs were expanded with;
     ``embedders`` maps generator name to embedder, and generators without one
@@ -138,33 +153,52 @@ def embed_jobs(jobs: DataFrame, generators: Sequence[tuple[str, str, int]], *,
     parameter, so reruns are reproducible). ``existing`` (source_partition_id,
     provider, generator, sha256, embedding) holds vectors of an earlier run:
     a job whose partition text is unchanged keeps its stored vector and only
-    the others are embedded.
+    the others are embedded. Jobs that come from ``with_existing`` already
+    carry theirs.
     """
     embedders = embedders or {}
-    keys = ["artifact_id", "provider", "generator", "sha256"]
     if existing is not None:
-        old = existing.select(F.col("source_partition_id").alias("artifact_id"), "provider", "generator",
-                              "sha256", F.col("embedding").alias("_old"))
-        jobs = jobs.join(old, keys, "left")
+        jobs = with_existing(jobs, existing)
+    reuse = "_stored" in jobs.columns
+    if reuse:
+        own = F.filter("_stored", lambda s: (s["provider"] == F.col("provider")) & (s["generator"] == F.col("generator")))
+        jobs = jobs.withColumn("_own", F.explode_outer(own)).withColumn("_old", F.col("_own.embedding")).drop("_own", "_stored")
         todo = jobs.filter(F.col("_old").isNull())
     else:
         todo = jobs
-    # E5: every distinct text (by SHA-256) is embedded once per generator; one
-    # shuffle de-duplicates for all generators and one join brings the vectors back.
-    distinct_texts = spread(todo.select("sha256", "text").dropDuplicates(["sha256"]))
-    vec_cols = []
-    for i, (_cls, gen, dim) in enumerate(generators):
-        emb = embedders.get(gen) or hashed_embedder(int(dim))
-        distinct_texts = distinct_texts.withColumn(f"_v{i}", emb(F.col("text")))
-        vec_cols.append((gen, f"_v{i}"))
-    vectors = distinct_texts.drop("text")
-    pick = None
-    for gen, c in vec_cols:
-        pick = F.when(F.col("generator") == gen, F.col(c)) if pick is None else pick.when(F.col("generator") == gen, F.col(c))
-    if existing is not None:
-        out = jobs.join(vectors, "sha256", "left").withColumn("embedding", F.coalesce(F.col("_old"), pick))
-    else:
-        out = jobs.join(vectors, "sha256").withColumn("embedding", pick)
+
+    def embedded(texts: DataFrame) -> DataFrame:
+        for i, (_cls, gen, dim) in enumerate(generators):
+            texts = texts.withColumn(f"_v{i}", (embedders.get(gen) or hashed_embedder(int(dim)))(F.col("text")))
+        return texts
+
+    def picked(rows: DataFrame) -> DataFrame:
+        vector = F.lit(None)
+        for i, (_cls, gen, _dim) in enumerate(generators):
+            vector = F.when(F.col("generator") == gen, F.col(f"_v{i}")).otherwise(vector)
+        return rows.withColumn("embedding", vector).select(*jobs.columns, "embedding")
+
+    # E5: every distinct text (by SHA-256) is embedded once per generator. The jobs of a text travel with it, so the text
+    # is shuffled once; those of a text with many jobs stay where they are and its vectors are joined to them.
+    todo = todo.filter(F.col("sha256").isNotNull())
+    hashed = F.xxhash64("sha256")
+    frequent = materialize(todo.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > GROUP_JOBS)
+                           .select("_hash"), "frequent")
+    common = None
+    if not frequent.isEmpty():
+        listed = broadcast_if_small(frequent)
+        common = todo.join(listed, hashed == F.col("_hash"), "left_semi")
+        todo = todo.join(listed, hashed == F.col("_hash"), "left_anti")
+    rest = [c for c in jobs.columns if c not in ("sha256", "text")]
+    # Placed before they are grouped: gathered in the scan's larger tasks they would spill.
+    grouped = todo.repartition("sha256").groupBy("sha256").agg(F.first("text").alias("text"), F.collect_list(F.struct(*rest)).alias("_jobs"))
+    out = picked(embedded(grouped).withColumn("_job", F.explode("_jobs")).select("*", "_job.*"))
+    if common is not None:
+        vectors = embedded(common.select("sha256", "text").dropDuplicates(["sha256"])).drop("text")
+        out = out.unionByName(picked(common.join(vectors, "sha256")))
+    if reuse:
+        kept = jobs.filter(F.col("_old").isNotNull() | F.col("sha256").isNull())
+        out = out.unionByName(kept.withColumn("embedding", F.col("_old")))
     bad = F.col("embedding").isNull() | (F.size("embedding") == 0)
     out = out.filter(F.when(bad, F.raise_error(F.lit("embedding generator returned no vector"))).otherwise(F.lit(True)))
     return embedding_rows(out, stamp)

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from memweave.functions.sizing import broadcast_if_small
+from memweave.functions.sizing import broadcast_if_small, is_small
+from memweave.session import materialize
 
 # --- fixed values: reserved tag and payload names ---------------------------
 TAG_DOCUMENT_ID = "__document_id"
@@ -90,6 +91,27 @@ def stale_records(previous: DataFrame, current: DataFrame, *, documents: DataFra
     return old.join(current.select(*key_cols), key_cols, "left_anti").select(*previous.columns)
 
 
+def purge(state: DataFrame, documents: DataFrame, *, collection: str) -> DataFrame:
+    """The state without the records of a run's ``documents`` (document_id) in ``collection``.
+
+    These are the stale ones (``stale_records``) and those that the run writes again. Other collections pass without
+    a join. Of the collection's documents the fewer ones, those that go or those that stay, are broadcast where they
+    are small, so records are shuffled only where neither are; to find them, ids alone are.
+    """
+    inside = F.col("collection").eqNullSafe(F.lit(collection))
+    own = state.filter(inside)
+    if is_small(documents):
+        left = own.join(F.broadcast(documents), "document_id", "left_anti")
+    else:
+        stay = materialize(own.select("document_id").distinct().join(documents, "document_id", "left_anti")
+                           .withColumnRenamed("document_id", "_stay"), "stay")
+        if is_small(stay):
+            left = own.join(F.broadcast(stay), F.col("document_id").eqNullSafe(F.col("_stay")), "left_semi")
+        else:
+            left = own.join(documents, "document_id", "left_anti")
+    return state.filter(~inside).unionByName(left.select(*state.columns))
+
+
 def fan_out(records: DataFrame, targets: Sequence[str]) -> DataFrame:
     """Every record to every configured store (write with ``partitionBy('target')``)."""
     return records.withColumn("target", F.explode(F.array(*[F.lit(t) for t in targets])))

@@ -56,7 +56,7 @@ def partitions(files: DataFrame, opts: IngestOptions, *, materialize: bool = Fal
                                   max_tokens_per_paragraph=opts.max_tokens_per_paragraph,
                                   overlap_tokens=opts.overlap_tokens, mode=opts.count_mode)
     if materialize:
-        parts = write_once(parts, "partitions")
+        parts = write_once(parts, "partitions", "zstd")
     return parts
 
 
@@ -65,23 +65,27 @@ def embeddings(parts: DataFrame, opts: IngestOptions, existing: DataFrame | None
 
     With ``existing`` (vectors of an earlier run with their text hashes) only
     new or changed partitions are embedded; unchanged ones reuse their vector.
+    The partitions are then written once with their stored vectors, for both
+    the texts to embed and the rows.
     """
-    jobs = E.with_generators(E.embeddable(parts), opts.generators)
-    return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp, existing=existing)
+    parts = E.embeddable(parts)
+    if existing is not None:
+        parts = write_once(E.with_existing(parts, existing), "partitions", "zstd")
+    jobs = E.with_generators(parts, opts.generators)
+    return E.embed_jobs(jobs, opts.generators, embedders=opts.embedders, stamp=opts.stamp)
 
 
 def stored_embeddings(state: DataFrame) -> DataFrame:
     """Vectors of a records state, keyed as embedding jobs are (for reuse on re-ingest)."""
-    return state.select(F.col("part_id").alias("source_partition_id"),
+    return state.select("document_id", F.col("part_id").alias("source_partition_id"),
                         F.col("payload.vector_provider").alias("provider"),
                         F.col("payload.vector_generator").alias("generator"),
                         F.sha2(F.col("payload.text"), 256).alias("sha256"), "embedding")
 
 
-def own_records(state: DataFrame, documents: DataFrame, opts: IngestOptions) -> DataFrame:
-    """The records of a run's collection and documents."""
-    scope = state.filter(F.col("collection") == F.lit(opts.collection))
-    return scope.join(broadcast_if_small(documents), "document_id", "left_semi")
+def own_records(state: DataFrame, opts: IngestOptions) -> DataFrame:
+    """The records of a run's collection; its documents are matched with the partitions (``E.with_existing``)."""
+    return state.filter(F.col("collection") == F.lit(opts.collection))
 
 
 def records(emb_rows: DataFrame, opts: IngestOptions) -> DataFrame:
@@ -98,18 +102,21 @@ def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> Da
     read for reuse, purged or replaced; a document that gives no chunk any
     more loses all its records there.
     """
-    documents = files.select("document_id").distinct()
-    existing = stored_embeddings(own_records(state, documents, opts)) if state is not None else None
-    new = records(embeddings(partitions(files, opts, materialize=True), opts, existing), opts)
-    # The run's records feed both the purge and the upsert: write them once to
+    existing = None
+    if state is not None:
+        # Only vectors of the run's generators can be reused; without any, nothing is joined.
+        existing = stored_embeddings(own_records(state, opts)).filter(F.col("generator").isin([g for _p, g, _d in opts.generators]))
+        existing = None if existing.isEmpty() else existing
+    parts = partitions(files, opts, materialize=existing is None)
+    # The run's records feed both the upsert and the returned state: write them once to
     # the shared checkpoint folder instead of recomputing chunks and vectors.
-    new = write_once(new, "records")
+    new = write_once(records(embeddings(parts, opts, existing), opts), "records", "zstd")
     if state is None:
         return new
-    stale = R.stale_records(state, new, documents=documents, collection=opts.collection).select("collection", "namespace", "key")
-    kept = state.join(stale, ["collection", "namespace", "key"], "left_anti")
+    documents = write_once(files.select("document_id").distinct(), "documents")
+    kept = R.purge(state, documents, collection=opts.collection)
     # Record keys are unique within a run, so every row carries the same sequence number.
-    return C.upsert(kept, new.withColumn("seq", F.lit(0)), dedupe=False)
+    return C.upsert(kept, new.withColumn("seq", F.lit(0)), dedupe=False, hits_in=F.col("collection") == F.lit(opts.collection))
 
 
 def file_digests(files: DataFrame, opts: IngestOptions) -> DataFrame:

@@ -205,3 +205,52 @@ def test_ingest_changed_leaves_unchanged_documents_alone(spark):
     got = stamps(final)
     assert all(v == {("b", "2025")} for k, v in got.items() if k[0] == "other")
     assert {k: v for k, v in got.items() if k[0] == "memory"} == {k: v for k, v in stamps(new).items() if k[0] == "memory"}
+
+
+def _sorted_records(df):
+    return sorted(str((r.collection, r.namespace, r.key, r.document_id, r.payload.text, r.payload.last_update, list(r.embedding))) for r in df.collect())
+
+
+def test_embed_jobs_shuffles_each_text_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"copy {i % 3 // 2} of a text", "en", "s") for i in range(12)], DOCS)
+    gens = (("x.y.z.Gen", "g", 8), ("x.y.z.Gen", "h", 4))
+    opts = P.IngestOptions(max_tokens_per_line=5, max_tokens_per_paragraph=10, overlap_tokens=0, generators=gens)
+    jobs = E.with_generators(E.embeddable(P.partitions(P.import_files(docs), opts, materialize=True)), gens)
+    pick = lambda df: sorted((r.document_id, r.generator, tuple(r.embedding)) for r in df.collect())
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = E.embed_jobs(jobs, gens, stamp=opts.stamp)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1
+        got = pick(rows)
+        # one text has more jobs than are gathered in a row
+        monkeypatch.setattr(E, "GROUP_JOBS", 10)
+        assert pick(E.embed_jobs(jobs, gens, stamp=opts.stamp)) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert len(got) == 24 and len({v for _d, g, v in got if g == "g"}) == 2
+
+
+def test_ingest_of_many_documents_shuffles_no_state_rows(spark, monkeypatch):
+    """Where ids are too many to broadcast, the state is as where they are few; rows with a null or shared id included."""
+    rows = [(1, "a b c", "en", "s"), (1, "a b c", "en", "s"), (2, "b c d", "en", "s"), (3, "c", "en", "s"), (None, "n", "en", "s")]
+    docs = spark.createDataFrame(rows, DOCS)
+    changed = spark.createDataFrame([(1, "a b c", "en", "s"), (1, "a b c", "en", "s"), (2, "", "en", "s"), (None, "n", "en", "s")], DOCS)
+    base = dict(max_tokens_per_line=5, max_tokens_per_paragraph=10, overlap_tokens=0, generators=(("x.y.z.Gen", "g", 8),))
+
+    def run():
+        state = P.ingest(None, P.import_files(docs), P.IngestOptions(**base))
+        other = P.ingest(None, P.import_files(docs), P.IngestOptions(collection="other", **base))
+        return P.ingest(state.unionByName(other), P.import_files(changed), P.IngestOptions(stamp="2025-01-01T00:00:00", **base))
+
+    few = _sorted_records(run())
+    assert sum("2024" in r for r in few) == 5 + 2  # the other collection, document 3 and the null id
+    bounds = []
+    monkeypatch.setattr(C, "is_small", lambda df: False)
+    monkeypatch.setattr(R, "is_small", lambda df: bounds.append(df) or len(bounds) % 2 == 0)
+    many = run()
+    assert len(bounds) == 2 and _sorted_records(many) == few
+    assert "Exchange hashpartitioning" not in many._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(R, "is_small", lambda df: False)
+    assert _sorted_records(run()) == few
