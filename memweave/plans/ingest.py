@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memweave.functions.sizing import broadcast_if_small
+from memweave.functions.sizing import broadcast_if_small, is_small
 from memweave.operators import collections as C
 from memweave.operators import embedding as E
 from memweave.operators import ingest as I
@@ -106,6 +106,9 @@ def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> Da
     if state is not None:
         # Only vectors of the run's generators can be reused; without any, nothing is joined.
         existing = stored_embeddings(own_records(state, opts)).filter(F.col("generator").isin([g for _p, g, _d in opts.generators]))
+        documents = write_once(files.select("document_id").distinct(), "documents")
+        if is_small(documents):
+            existing = existing.join(F.broadcast(documents), "document_id", "left_semi")
         existing = None if existing.isEmpty() else existing
     parts = partitions(files, opts, materialize=existing is None)
     # The run's records feed both the upsert and the returned state: write them once to
@@ -113,7 +116,6 @@ def ingest(state: DataFrame | None, files: DataFrame, opts: IngestOptions) -> Da
     new = write_once(records(embeddings(parts, opts, existing), opts), "records", "zstd")
     if state is None:
         return new
-    documents = write_once(files.select("document_id").distinct(), "documents")
     kept = R.purge(state, documents, collection=opts.collection)
     # Record keys are unique within a run, so every row carries the same sequence number.
     return C.upsert(kept, new.withColumn("seq", F.lit(0)), dedupe=False, hits_in=F.col("collection") == F.lit(opts.collection))
