@@ -19,6 +19,7 @@ or more, if their edit distance over words (insert, delete, replace) is at most
    Aggregates keep the earliest line of each key, so the members of a key are
    never paired with each other.
 4. Each (line, earliest match) is verified by its edit distance.
+   All pairs of an Arrow batch are compared at once, exactly, word by word.
 5. For lines long enough for k = 2 edits or more the variants leave out more: the
    words fall into 2 k + 1 classes by their hash, and a variant keeps the words
    of one class. An edit touches two classes at most (the word that goes and
@@ -26,9 +27,9 @@ or more, if their edit distance over words (insert, delete, replace) is at most
    one class at least; a line of w words has about w / 10 variants. Classes
    without words are left out (step 6). A longer
    line also emits those of the smaller k that its shorter partners have. Lines
-   are verified against the earliest line of each key first, then against the
-   earliest of each of 16 parts of it; those that none of these matches are
-   verified against all earlier ones with an equal variant. Only pairs
+   are verified against all earlier lines of each key that 16 lines or fewer have,
+   and against the earliest of each of 16 parts of a larger key; those that none of
+   these matches are verified against all lines of their larger keys. Only pairs
    whose sketches differ in 2 k bits at most are verified: bit b tells whether
    the number of words that hash to b is odd, so an edit changes two bits at most.
 
@@ -57,20 +58,26 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from memweave.functions.sizing import broadcast_if_small
 from memweave.llm.bytespans import BYTE_LOWER, Hasher, Sequences, mix, ranges, release_memory, signed, slices
-from memweave.llm.textview import TextView, map_texts
+from memweave.llm.textview import TextView, line_spans
 from memweave.session import materialize
 
-#: Parts of a key whose earliest lines are tried before all of its lines; changes no result.
+#: Parts of a key whose earliest lines are tried before all of its lines, where it has more; changes no result.
 PIVOTS = 16
+#: Diagonals of all pairs that are compared at once (one pair may have more), and words of each that are compared in one step.
+CELLS, STEP = 1 << 17, 16
+#: Kinds of lines whose words are fetched, as bits: those of steps 2, 5 and 6.
+HALVES, CLASSES, MARKS = 1, 2, 4
 #: 64-bit numbers of a line's sketch.
 SKETCH = 4
 PARTS = [f"s{k}" for k in range(SKETCH)]
@@ -89,12 +96,6 @@ def _line_numbers(view: TextView) -> np.ndarray:
     return ranges(np.bincount(view.lines[2], minlength=view.rows))
 
 
-def _nested(row: np.ndarray, rows: int, *columns: pa.Array) -> list[pa.Array]:
-    """Values ordered by row as one list column per given column."""
-    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=rows))]).astype(np.int32))
-    return [pa.ListArray.from_arrays(offsets, c) for c in columns]
-
-
 def _bound(words, edit_percent: int):
     """Edits allowed for a shorter line of so many words (numbers or a column)."""
     if isinstance(words, Column):
@@ -165,8 +166,9 @@ def _class_variants(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float,
             items = seq.items[np.repeat(at[own], w[own]) + ranges(w[own])]
             base = np.cumsum(classes) - classes
             group = base[line] + (items >> np.uint64(20)).astype(np.int64) % classes[line]
-            order = np.argsort(group, kind="stable")
-            size = np.bincount(group, minlength=int(classes.sum()))
+            total = int(classes.sum())
+            order = np.argsort(group.astype(np.uint16) if total <= 1 << 16 else group, kind="stable")  # NumPy's radix sort takes 16 bits
+            size = np.bincount(group, minlength=total)
             end = np.cumsum(size)
             runs = Sequences(items[order])
             tag = np.repeat(classes, classes) * 65_537 + ranges(classes)
@@ -204,7 +206,7 @@ def _line_table(own: DataFrame, min_words: int, near_words: int, edit_percent: i
     """
     long, sizes = _first_long(near_words, edit_percent), _mark_sizes(near_words, edit_percent)
 
-    def work(view: TextView) -> list[pa.Array]:
+    def work(view: TextView) -> tuple[np.ndarray, list[pa.Array]]:
         first, n, seq = _line_words(view)
         number = _line_numbers(view)
         use = np.flatnonzero(n >= min_words)
@@ -224,53 +226,64 @@ def _line_table(own: DataFrame, min_words: int, near_words: int, edit_percent: i
         halves = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(line_all, minlength=len(use)))]).astype(np.int32)),
                                           signed(key_all[order]))
         kept, poor = _class_variants(seq, at, w, long, edit_percent)
-        return _nested(row, view.rows, pa.array(number[use].astype(np.int32)), pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves,
-                       kept, *_marks(seq, at, w, sizes, poor), _sketches(seq, at, w, long))
+        return row, [pa.array(number[use].astype(np.int32)), pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves,
+                     kept, *_marks(seq, at, w, sizes, poor), _sketches(seq, at, w, long)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for start, _end, data, offs in slices(b.column(2)):
+                row, made = work(TextView(data, offs))
+                take = pa.array(row + start)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *made], names=schema.names)
+        release_memory()
 
-    cols = [StructField("no", ArrayType(IntegerType())), StructField("w", ArrayType(IntegerType())),
-            StructField("lh", ArrayType(LongType())), StructField("halves", ArrayType(ArrayType(LongType()))),
-            StructField("kept", ArrayType(ArrayType(LongType()))), StructField("marks", ArrayType(ArrayType(LongType()))),
-            StructField("places", ArrayType(ArrayType(IntegerType()))), StructField("stretches", ArrayType(ArrayType(IntegerType()))),
-            StructField("sketch", ArrayType(ArrayType(LongType())))]
-    packed = map_texts(own, "_text", ["id", "th"], cols, work)
-    return packed.select("id", "th", F.explode(F.arrays_zip(*[c.name for c in cols])).alias("x")).select("id", "th", "x.*")
+    lists = {"halves": LongType(), "kept": LongType(), "marks": LongType(), "places": IntegerType(), "stretches": IntegerType(), "sketch": LongType()}
+    schema = StructType([own.schema["id"], own.schema["th"], StructField("no", IntegerType()), StructField("w", IntegerType()), StructField("lh", LongType()),
+                         *[StructField(c, ArrayType(t)) for c, t in lists.items()]])
+    return own.select("id", "th", "_text").mapInArrow(run, schema)
 
 
 def _candidate_words(own: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(id, no, lh, words): the word hashes of the lines named in ``wanted`` (id, th, no, lh), each line hash once."""
-    per_doc = wanted.groupBy("id", "th").agg(F.sort_array(F.collect_set(F.struct("no", "lh"))).alias("x"))
-    per_doc = materialize(per_doc.select("id", "th", "x.no", "x.lh"), "wanted")
-    docs = own.join(F.broadcast(per_doc) if wanted.count() <= BROADCAST_IDS else per_doc, ["id", "th"])
+    """(lh, kind, words): the word hashes of the lines named in ``wanted`` (id, th, no, lh, kind: a written table), each line hash once.
+
+    The rows of each kind lie in files of their own.
+    """
+    per_doc = wanted.groupBy("id", "th").agg(F.sort_array(F.collect_list(F.struct("no", "lh", "kind"))).alias("x"))
+    per_doc = materialize(per_doc.select("id", "th", "x.no", "x.lh", "x.kind"), "wanted")
+    n_wanted = wanted.count()
+    docs = own.join(F.broadcast(per_doc) if n_wanted <= BROADCAST_IDS else per_doc, ["id", "th"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            per_row = b.column(1).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            per_row = b.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(per_row)
-            no, lh = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in (1, 2))
+            no, lh, kind = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in range(3))
             for start, end, data, offs in slices(b.column(3)):
-                view = TextView(data, offs)
-                first, n, seq = _line_words(view)
+                first, last, of = line_spans(data, offs)
                 asked = slice(ends[start] - per_row[start], ends[end - 1])
-                row = np.repeat(np.arange(view.rows), per_row[start:end])
-                pick = np.searchsorted(view.lines[2], row) + no[asked]
-                w = n[pick]
-                at = np.repeat(first[pick], w) + ranges(w)
-                words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(w)]).astype(np.int32)), signed(seq.items[at]))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, end - start).take(pa.array(row)), pa.array(no[asked].astype(np.int32)),
-                                                  pa.array(lh[asked].astype(np.int64)), words], names=["id", "no", "lh", "words"])
+                row = np.repeat(np.arange(end - start), per_row[start:end])
+                pick = np.searchsorted(of, row) + no[asked]
+                size = last[pick] - first[pick]
+                # the asked lines alone, one a row
+                view = TextView(data[np.repeat(first[pick], size) + ranges(size)], np.concatenate([[0], np.cumsum(size)]))
+                hashes = Hasher(view.data, BYTE_LOWER).spans(view.start, view.end)
+                words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(view.n_words)]).astype(np.int32)), signed(hashes))
+                yield pa.RecordBatch.from_arrays([pa.array(lh[asked].astype(np.int64)), pa.array(kind[asked].astype(np.int32)), words],
+                                                 names=["lh", "kind", "words"])
         release_memory()
 
-    schema = StructType([own.schema["id"], StructField("no", IntegerType()), StructField("lh", LongType()), StructField("words", ArrayType(LongType()))])
-    return docs.select("id", "no", "lh", "_text").mapInArrow(run, schema).dropDuplicates(["lh"])
+    words = materialize(docs.select("no", "lh", "kind", "_text").mapInArrow(run, "lh long, kind int, words array<long>"), "words", partition_by=["kind"])
+    # rows that repeat an id and a text bring their lines several times
+    return materialize(words.dropDuplicates(["lh"]), "words", partition_by=["kind"]) if words.count() > n_wanted else words
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """(id, no, lh, pos, key): the line itself (pos -1) and the line without the word at ``pos``."""
+    """(at, lh, pos, key): the line itself (pos -1) and the line without the word at ``pos``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, b.num_rows, 2000):
                 part = b.slice(lo, 2000)
-                words = part.column(3)
+                words = part.column(2)
                 flat = words.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
                 w = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
                 start = np.cumsum(w) - w
@@ -280,62 +293,104 @@ def _variants(lines: DataFrame) -> DataFrame:
                 line = np.concatenate([np.arange(len(w)), line])
                 take = pa.array(line)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), part.column(2).take(take),
+                    [part.column(0).take(take), part.column(1).take(take),
                      pa.array(np.concatenate([np.full(len(w), -1), pos]).astype(np.int32)),
-                     pa.array(np.concatenate([part.column(2).to_numpy(zero_copy_only=False), key.view(np.int64)]))],
-                    names=["id", "no", "lh", "pos", "key"])
+                     pa.array(np.concatenate([part.column(1).to_numpy(zero_copy_only=False), key.view(np.int64)]))],
+                    names=["at", "lh", "pos", "key"])
 
-    schema = StructType([lines.schema["id"], StructField("no", IntegerType()), StructField("lh", LongType()), StructField("pos", IntegerType()),
-                         StructField("key", LongType())])
-    return lines.select("id", "no", "lh", "words").mapInArrow(run, schema)
+    return lines.select("at", "lh", "words").mapInArrow(run, "at long, lh long, pos int, key long")
 
 
 def within_edits(a: list, b: list, k: int) -> bool:
-    """Edit distance over list items is at most ``k``: furthest place on every diagonal after each number of edits."""
+    """Edit distance over the items of two lists of whole numbers is at most ``k``."""
     n, m = len(a), len(b)
-    if abs(n - m) > k:
-        return False
-    far: dict[int, int] = {}
-    for e in range(k + 1):
-        new = {}
-        for d in range(max(-e, -n), min(e, m) + 1):
-            i = 0 if e == 0 else max(far.get(d, -2) + 1, far.get(d - 1, -2), far.get(d + 1, -2) + 1)
-            i = min(i, n, m - d)
-            while i < n and i + d < m and a[i] == b[i + d]:
-                i += 1
-            new[d] = i
-        if new.get(m - n, -1) >= n:
-            return True
-        far = new
-    return False
-
-
-def _ends_off(a: np.ndarray, b: np.ndarray) -> tuple[list, list]:
-    """Both without the words that they share at the start and at the end; the edit distance stays the same."""
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[:n] != b[:n])
-    head = int(differ[0]) if len(differ) else n
-    a, b, n = a[head:], b[head:], n - head
-    differ = np.flatnonzero(a[len(a) - n:] != b[len(b) - n:])
-    tail = n - 1 - int(differ[-1]) if len(differ) else n
-    return a[:len(a) - tail].tolist(), b[:len(b) - tail].tolist()
-
-
-def _near(lines: DataFrame) -> DataFrame:
-    """(lh) of the distinct lines (id, no, lh, words: first places) that match an earlier one at distance 1."""
-    variants = materialize(_variants(lines), "variants")
-    own = F.struct("id", "no", "lh")
-    least = variants.groupBy("key", "pos").agg(F.min(own).alias("m"), F.count(F.lit(1)).alias("c"))
+    return abs(n - m) <= k and bool(_block_within(np.array(a, np.int64), np.array(b, np.int64), np.array([n]), np.array([m]), np.array([k]))[0])
+
+
+def _equal_run(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Number of equal items of ``a`` from each place of ``at_a`` on and ``b`` from ``at_b`` on, at most ``room``."""
+    run = np.zeros(len(room), np.int64)
+    left = np.flatnonzero(room > 0)
+    left = left[a[at_a[left]] == b[at_b[left]]]  # most diagonals end here
+    step = np.arange(STEP)
+    while len(left):
+        ahead = run[left][:, None] + step
+        same = ahead < room[left][:, None]
+        ahead = np.where(same, ahead, 0)
+        same &= a[at_a[left][:, None] + ahead] == b[at_b[left][:, None] + ahead]
+        whole = same.all(axis=1)
+        run[left] += np.where(whole, STEP, same.argmin(axis=1))
+        left = left[whole]
+    return run
+
+
+def _block_within(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Mask of the pairs of lists within ``k`` edits: ``a`` and ``b`` hold their items one after another, ``n`` and ``m`` of them, at most ``k`` apart in number.
+
+    Furthest place on every diagonal after each number of edits, for all pairs at once.
+    """
+    done = np.zeros(len(n), bool)
+    from_a, from_b = np.cumsum(n) - n, np.cumsum(m) - m
+    # with k edits in all, a path that ends on diagonal m - n leaves no more diagonals aside
+    most = int(((k + np.abs(m - n)) // 2).max())
+    diagonal = np.arange(-most, most + 1)
+    never = -(1 << 30)
+    far = np.full((len(n), 2 * most + 3), never, np.int64)
+    pair = np.arange(len(n))
+    for e in range(int(k.max()) + 1):
+        own_n, own_m = n[pair][:, None], m[pair][:, None]
+        at = np.maximum(np.maximum(far[:, 1:-1] + 1, far[:, :-2]), far[:, 2:] + 1)
+        if e == 0:
+            at[:, most] = 0
+        at = np.minimum(at, np.minimum(own_n, own_m - diagonal))
+        row, col = np.nonzero((at >= 0) & (at + diagonal >= 0))
+        i = at[row, col]
+        j, of = i + diagonal[col], pair[row]
+        far[:, 1:-1] = never
+        far[row, col + 1] = i + _equal_run(a, from_a[of] + i, b, from_b[of] + j, np.minimum(n[of] - i, m[of] - j))
+        ended = far[np.arange(len(pair)), m[pair] - n[pair] + most + 1] >= n[pair]
+        done[pair[ended]] = True
+        keep = ~ended & (k[pair] > e)
+        pair, far = pair[keep], far[keep]
+        if not len(pair):
+            break
+    return done
+
+
+def _pairs_within(x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray], edit_percent: int) -> np.ndarray:
+    """Mask of the pairs of lists, as (offsets, values), whose edit distance is within the bound of the shorter one."""
+    (x_offs, x_items), (y_offs, y_items) = x, y
+    n, m = np.diff(x_offs).astype(np.int64), np.diff(y_offs).astype(np.int64)
+    k = _bound(np.minimum(n, m), edit_percent)
+    right = np.zeros(len(n), bool)
+    todo = np.flatnonzero(np.abs(n - m) <= k)
+    todo = todo[np.argsort(k[todo], kind="stable")]  # pairs of like bounds share a block
+    lo = 0
+    while lo < len(todo):
+        hi = lo + max(1, int(np.searchsorted((2 * k[todo[lo:]] + 3) * np.arange(1, len(todo) - lo + 1), CELLS, side="right")))
+        p = todo[lo:hi]
+        items = [values[np.repeat(offs[p].astype(np.int64), size[p]) + ranges(size[p])] for offs, values, size in ((x_offs, x_items, n), (y_offs, y_items, m))]
+        right[p] = _block_within(*items, n[p], m[p], k[p])
+        lo = hi
+    return right
+
+
+def _near(lines: DataFrame, words: DataFrame) -> DataFrame:
+    """(lh) of the distinct ``lines`` (id, no, lh: first places), with ``words`` (lh, words), that match an earlier one at distance 1."""
+    # places as one number each, in their order, so that the aggregates need no sort; lines of two texts at one place share it
+    order = materialize(lines.select("id", "no").distinct().orderBy("id", "no").withColumn("at", F.monotonically_increasing_id()), "order")
+    places = materialize(lines.select("id", "no", "lh").join(order, ["id", "no"]).select("lh", "at"), "places")
+    variants = materialize(_variants(words.join(broadcast_if_small(places), "lh")), "variants")
+    least = variants.groupBy("key", "pos").agg(F.min("at").alias("m"), F.count(F.lit(1)).alias("c"))
     least = materialize(least.filter("c > 1 or pos = -1").select("key", "pos", "m", "c").union(
         # earliest variant at any position, under position -2
         least.filter("pos >= 0").groupBy("key").agg(F.min("m").alias("m"), F.count(F.lit(1)).alias("c")).select("key", F.lit(-2).alias("pos"), "m", "c")), "least")
     replaced = variants.filter("pos >= 0").join(least.filter("c > 1 and pos >= 0").select("key", "pos", "m"), ["key", "pos"])
     shorter = variants.filter("pos >= 0").join(least.filter("pos = -1").select("key", "m"), "key")
     longer = variants.filter("pos = -1").join(least.filter("pos = -2").select("key", "m"), "key")
-    found = replaced.select("lh", "id", "no", "m").unionByName(shorter.select("lh", "id", "no", "m")).unionByName(longer.select("lh", "id", "no", "m"))
-    earlier = found.filter(F.struct("id", "no") > F.struct("m.id", "m.no"))
-    pairs = materialize(earlier.select("lh", F.col("m.lh").alias("other")).distinct(), "matches")
-    return _verified(pairs, lines, 0)
+    found = reduce(DataFrame.union, [x.filter(F.col("at") > F.col("m")).select("lh", "m") for x in (replaced, shorter, longer)])
+    pairs = found.distinct().join(broadcast_if_small(places.select(F.col("lh").alias("other"), F.col("at").alias("m"))), "m")
+    return _verified(materialize(pairs.select("lh", "other"), "matches"), words, 0)
 
 
 def _verified(pairs: DataFrame, words: DataFrame, edit_percent: int) -> DataFrame:
@@ -344,13 +399,8 @@ def _verified(pairs: DataFrame, words: DataFrame, edit_percent: int) -> DataFram
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            words = [(c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (b.column(1), b.column(2))]
-            right = np.zeros(b.num_rows, bool)
-            for k in range(b.num_rows):
-                x, y = (values[offs[k]:offs[k + 1]] for offs, values in words)
-                bound = _bound(min(len(x), len(y)), edit_percent)
-                if abs(len(x) - len(y)) <= bound:
-                    right[k] = within_edits(*_ends_off(x, y), bound)
+            x, y = ((c.offsets.to_numpy(), c.values.to_numpy(zero_copy_only=False)) for c in (b.column(1), b.column(2)))
+            right = _pairs_within(x, y, edit_percent)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(right))], names=["lh"])
         release_memory()
 
@@ -368,47 +418,58 @@ def _may_match(other: str, edit_percent: int) -> Column:
     return (F.col("at") > F.col(f"{other}at")) & (F.abs(F.col("w") - F.col(f"{other}w")) <= k) & (bits <= 2 * k)
 
 
-def _near_by_classes(own: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int) -> DataFrame:
-    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 5)."""
-    keys = first.filter(F.size("kept") > 0).select("lh", "w", "first", *_sketch_parts(), F.explode("kept").alias("key"))
-    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key"), "shared")
-    met = materialize(keys.join(broadcast_if_small(shared), "key"), "met")
-    wanted = materialize(met.select("first.id", "first.th", "first.no", "lh").distinct(), "long")
-    words = materialize(_candidate_words(own, wanted).select("lh", "words"), "long_words")
-    met = met.select("key", "lh", "w", F.struct("first.id", "first.no").alias("at"), *PARTS)
-    left = met.join(near, "lh", "left_anti")
+def _class_keys(first: DataFrame) -> DataFrame:
+    """(key, n, lh, w, at, th, sketch parts): the lines by each one-class variant that two lines or more, ``n``, have (step 5)."""
+    keys = first.filter(F.size("kept") > 0).select("lh", "w", F.struct("first.id", "first.no").alias("at"), F.col("first.th").alias("th"), *_sketch_parts(),
+                                                   F.explode("kept").alias("key"))
+    shared = materialize(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "shared")
+    return materialize(keys.join(broadcast_if_small(shared), "key"), "met")
 
-    def by_pivots(left: DataFrame, groups: int) -> DataFrame:
-        """(lh) of the lines that match the earliest line of one of ``groups`` parts of the lines with an equal variant."""
-        part = F.pmod(F.xxhash64("lh"), F.lit(groups)).alias("part")
-        pivots = materialize(met.groupBy("key", part).agg(F.min(F.struct("at", "lh", "w", *PARTS)).alias("m")), "pivots")
-        pairs = left.join(pivots, "key").filter(_may_match("m.", edit_percent)).select("lh", F.col("m.lh").alias("other")).distinct()
-        return materialize(_verified(materialize(pairs, "pairs"), words, edit_percent), "by_pivots")
 
-    by_least = by_pivots(left, 1)
+def _near_by_classes(met: DataFrame, words: DataFrame, near: DataFrame, edit_percent: int) -> DataFrame:
+    """(lh) of the distinct lines of ``met``, besides ``near`` (lh), that match an earlier one by two edits or more (step 5)."""
+    left = met.join(near, "lh", "left_anti")
+    large = met.filter(F.col("n") > PIVOTS)
+    own = ("at", "lh", "w", *PARTS)
     # lines with many partners meet one of some pivots, so that few of them are left for the search among all
-    left = left.join(by_least, "lh", "left_anti")
-    by_some = by_pivots(left, PIVOTS)
-    earlier = met.select("key", *[F.col(c).alias(f"e_{c}") for c in ("lh", "w", "at", *PARTS)])
-    rest = left.join(by_some, "lh", "left_anti").join(earlier, "key").filter(_may_match("e_", edit_percent))
-    found = _verified(materialize(rest.select("lh", F.col("e_lh").alias("other")).distinct(), "pairs"), words, edit_percent)
-    return by_least.union(by_some).union(found)
+    part = F.pmod(F.xxhash64("lh"), F.lit(PIVOTS)).alias("part")
+    pivots = materialize(large.groupBy("key", part).agg(F.min(F.struct(*own)).alias("m")).select("key", "m.*"), "pivots")
 
+    def pairs(left: DataFrame, others: DataFrame) -> DataFrame:
+        earlier = others.select("key", *[F.col(c).alias(f"e_{c}") for c in own])
+        both = left.join(earlier, "key").filter(_may_match("e_", edit_percent))
+        return materialize(both.select("lh", F.col("e_lh").alias("other")).distinct(), "pairs")
 
-def _near_by_marks(own: DataFrame, first: DataFrame, near: DataFrame, edit_percent: int, span: int) -> DataFrame:
-    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 6).
+    some = met.filter(F.col("n") <= PIVOTS).select("key", *own).unionByName(pivots)
+    by_some = materialize(_verified(pairs(left, some), words, edit_percent), "by_some")
+    rest = left.filter(F.col("n") > PIVOTS).join(by_some, "lh", "left_anti")
+    return by_some.union(_verified(pairs(rest, large), words, edit_percent))
 
-    ``span`` is the number of words of a stretch.
-    """
-    zipped = first.filter(F.size("marks") > 0).select("lh", "w", F.struct("first.id", "first.no").alias("at"), F.col("first.th").alias("th"), *_sketch_parts(),
-                                                      F.explode(F.arrays_zip("marks", "places", "stretches")).alias("x"))
-    marks = zipped.select("lh", "w", "at", "th", *PARTS, F.col("x.marks").alias("mark"), F.col("x.places").alias("place"), F.col("x.stretches").alias("stretch"))
-    marks = materialize(marks, "all_marks")
+
+def _mark_size(x) -> Column:
+    """Class of a length; a class reaches to 1.25 times its least length."""
+    return F.floor(F.log(x) / math.log(1.25)).cast("int")
+
+
+def _shared_marks(first: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lh, w, at, th, sketch parts) of the lines with marks; (mark, often, lh, w, place, stretch, size) of the marks that two different lines have (step 6)."""
+    poor = first.filter(F.size("marks") > 0).select("lh", "w", F.struct("first.id", "first.no").alias("at"), F.col("first.th").alias("th"), *_sketch_parts(),
+                                                    "marks", "places", "stretches")
+    poor = materialize(poor, "poor")
+    marks = poor.select("lh", "w", F.explode(F.arrays_zip("marks", "places", "stretches")).alias("x"))
+    marks = materialize(marks.select("lh", "w", F.col("x.marks").alias("mark"), F.col("x.places").alias("place"), F.col("x.stretches").alias("stretch")), "all_marks")
     shared = marks.groupBy("mark").agg(F.min("lh").alias("a"), F.max("lh").alias("b"), F.count(F.lit(1)).alias("often")).filter("a <> b")
     shared = materialize(shared.select("mark", "often"), "shared_marks")
-    step = math.log(1.25)
-    size = lambda x: F.floor(F.log(x) / step).cast("int")
-    own_marks = materialize(marks.join(broadcast_if_small(shared), "mark").withColumn("size", size(F.col("w").cast("double"))), "marks")
+    marks = materialize(marks.join(broadcast_if_small(shared), "mark").withColumn("size", _mark_size(F.col("w").cast("double"))), "marks")
+    return poor.select("lh", "w", "at", "th", *PARTS), marks
+
+
+def _near_by_marks(poor: DataFrame, own_marks: DataFrame, words: DataFrame, near: DataFrame, edit_percent: int, span: int) -> DataFrame:
+    """(lh) of the distinct lines, besides ``near`` (lh), that match an earlier one by two edits or more (step 6).
+
+    ``poor`` and ``own_marks`` are from ``_shared_marks``; ``span`` is the number of words of a stretch.
+    """
+    size = _mark_size
     bound = _bound(F.col("w"), edit_percent)
     # an earlier line of w' words may be longer, and the smaller length sets the bound of a pair
     needed = bound + 1 - (F.floor(F.col("w") / span) - F.count(F.lit(1)).over(Window.partitionBy("lh")))
@@ -416,12 +477,11 @@ def _near_by_marks(own: DataFrame, first: DataFrame, near: DataFrame, edit_perce
     seeks = own_marks.filter("stretch >= 0").join(near, "lh", "left_anti").withColumn("needed", needed).withColumn("nth", rarest)
     # a mark that a line repeats is one row with its first and last place, so that two such lines are one pair
     spread = [F.min("place").alias("lo"), F.max("place").alias("hi")]
-    seeks = materialize(seeks.filter("nth <= needed").groupBy("lh", "w", "at", *PARTS, "mark", "size").agg(*spread), "seeks")
+    more = poor.select("lh", "at", *PARTS)
+    seeks = materialize(seeks.filter("nth <= needed").groupBy("lh", "w", "mark", "size").agg(*spread).join(broadcast_if_small(more), "lh"), "seeks")
     met = seeks.select("mark").distinct()
-    own_marks = own_marks.join(met, "mark", "left_semi").groupBy("lh", "w", "at", "th", *PARTS, "mark", "size").agg(*spread)
-    own_marks = materialize(own_marks, "met_marks")
-    wanted = materialize(own_marks.select("at.id", "th", "at.no", "lh").distinct(), "marked")
-    words = materialize(_candidate_words(own, wanted).select("lh", "words"), "marked_words")
+    own_marks = own_marks.join(met, "mark", "left_semi").groupBy("lh", "w", "mark", "size").agg(*spread)
+    own_marks = materialize(own_marks.join(broadcast_if_small(more), "lh"), "met_marks")
     # lengths that a match may have, by class of length
     reach = F.lit(1 - edit_percent / 100)
     classes = F.array_distinct(F.array(size(F.col("w") * reach - 0.001), F.col("size"), size(F.col("w") / reach + 0.001)))
@@ -457,18 +517,27 @@ def removed_lines(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
     halves = first.select("lh", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("half")
     shared = materialize(shared, "halves")  # written, so the rows of a hot half can be split in the join
-    wanted = materialize(halves.join(shared, "half", "left_semi").select("first.id", "first.th", "first.no", "lh").distinct(), "candidates")
-    words = materialize(_candidate_words(own, wanted), "words")
-    near = _near(words)
+    kinds = [halves.join(shared, "half", "left_semi").select("first.id", "first.th", "first.no", "lh", F.lit(HALVES).alias("kind"))]
+    if edit_percent > 0:
+        met = _class_keys(first)
+        poor, marks = _shared_marks(first)
+        kinds += [met.select("at.id", "th", "at.no", "lh", F.lit(CLASSES).alias("kind")),
+                  poor.join(marks, "lh", "left_semi").select("at.id", "th", "at.no", "lh", F.lit(MARKS).alias("kind"))]
+    # the texts are read once for the words of all these lines
+    wanted = reduce(DataFrame.union, kinds).groupBy("id", "th", "no", "lh").agg(F.bit_or("kind").alias("kind"))
+    wanted = materialize(wanted, "candidates")
+    words = _candidate_words(own, wanted)
+    of_kind = lambda kind, rows=words: rows.filter(F.col("kind").bitwiseAND(kind) > 0)
+    near = _near(of_kind(HALVES, wanted), of_kind(HALVES))
     if edit_percent > 0:
         near = materialize(near, "near")
-        near = materialize(near.union(_near_by_classes(own, first, near, edit_percent)), "near")
+        near = materialize(near.union(_near_by_classes(met, of_kind(CLASSES), near, edit_percent)), "near")
         _, run, beside = _mark_sizes(near_words, edit_percent)
-        near = near.union(_near_by_marks(own, first, near, edit_percent, run + beside - 1))
+        near = near.union(_near_by_marks(poor, marks, of_kind(MARKS), near, edit_percent, run + beside - 1))
     near = near.select("lh", F.lit(True).alias("near"))
     told = materialize(first.select("lh", "first", "n").join(near, "lh", "left").filter("n > 1 or near")
                        .select("lh", F.struct("first.id", "first.no").alias("first"), F.coalesce("near", F.lit(False)).alias("near")), "told")
-    gone = lines.select("lh", "id", "th", "no").join(told, "lh").filter(F.col("near") | (F.struct("id", "no") > F.col("first")))
+    gone = lines.select("lh", "id", "th", "no").join(broadcast_if_small(told), "lh").filter(F.col("near") | (F.struct("id", "no") > F.col("first")))
     return gone.groupBy("id", "th").agg(F.sort_array(F.collect_set("no")).alias("removed"))
 
 
@@ -486,18 +555,17 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts, total, lost = [], [], []
-            for text, removed in zip(b.column(at), b.column(len(names))):
-                text, removed = text.as_py(), removed.as_py()
-                n = 0 if text is None else text.count("\n") + 1
-                if text is not None and removed:
-                    out = set(removed)
-                    text = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in out)
-                texts.append(text)
-                total.append(n)
-                lost.append(len(removed or ()))
-            cols = [*b.columns[:len(names)], pa.array(total, pa.int64()), pa.array(lost, pa.int64())]
-            cols[at] = pa.array(texts, pa.string())
+            texts, removed = b.column(at), b.column(len(names))
+            total = pc.fill_null(pc.add(pc.cast(pc.count_substring(texts, "\n"), pa.int64()), 1), 0)
+            lost = pc.fill_null(pc.cast(pc.list_value_length(removed), pa.int64()), 0)
+            cols = [*b.columns[:len(names)], total, lost]
+            hit = pc.and_(pc.greater(lost, 0), pc.is_valid(texts))
+            left = []
+            for text, gone_here in zip(texts.filter(hit), removed.filter(hit)):
+                out = set(gone_here.as_py())
+                left.append("\n".join(x for k, x in enumerate(text.as_py().split("\n")) if k not in out))
+            if left:
+                cols[at] = pc.replace_with_mask(texts, hit, pa.array(left, texts.type))
             yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return marked.select(*[F.col(f"`{c}`") for c in names], "_removed").mapInArrow(run, schema)

@@ -32,6 +32,15 @@ IS_UPPER = byte_set(bytes(range(65, 91)))
 IS_LETTER = byte_set(bytes([*range(65, 91), *range(97, 123)])) | (np.arange(256) >= 0xC3)
 
 
+def line_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    r"""(start, end, row) of the lines of every row, split at ``\n``."""
+    breaks = np.flatnonzero(data == 10)
+    start = np.sort(np.concatenate([offs[:-1], breaks + 1]))
+    end = np.sort(np.concatenate([breaks, offs[1:]]))
+    row = np.repeat(np.arange(len(offs) - 1), 1 + counts_per_row(row_of(breaks, offs), len(offs) - 1))
+    return start, end, row
+
+
 class TextView:
     """Lazy arrays over the texts of one slice; ``rows`` is their number."""
 
@@ -90,11 +99,7 @@ class TextView:
     @cached_property
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         r"""(start, end, row) of the lines of every row, split at ``\n``."""
-        breaks = np.flatnonzero(self.data == 10)
-        start = np.sort(np.concatenate([self.offs[:-1], breaks + 1]))
-        end = np.sort(np.concatenate([breaks, self.offs[1:]]))
-        row = np.repeat(np.arange(self.rows), 1 + counts_per_row(row_of(breaks, self.offs), self.rows))
-        return start, end, row
+        return line_spans(self.data, self.offs)
 
     @cached_property
     def line_of_word(self) -> np.ndarray:

@@ -84,16 +84,17 @@ def release_scratch(spark: SparkSession) -> int:
     return len(paths)
 
 
-def materialize(df, name: str = "table", compression: str | None = None):
+def materialize(df, name: str = "table", compression: str | None = None, partition_by: list[str] | None = None):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage like ``checkpoint()`` but computes the plan only once (an
     eager checkpoint of an unpersisted plan computes it twice: once for the
     count, once for the files). The folder is shared, so a lost executor
     does not lose the data. ``compression`` is a Parquet codec (by default the
-    session's); wide text rows take ``zstd``.
+    session's); wide text rows take ``zstd``. ``partition_by`` puts the rows of
+    each value of a few into files of their own.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("errorifexists").parquet(path, compression=compression)
+    df.write.mode("errorifexists").parquet(path, partitionBy=partition_by, compression=compression)
     return spark.read.parquet(path)

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+
+from memweave.llm import linededup
 from memweave.llm.linededup import drop_repeated_lines, within_edits
 from memweave.sources.tables import load
 from tests.llm.helpers import LOWER, SF, WORD, awkward, nothing, sentence
@@ -191,3 +194,42 @@ def test_lines_that_repeat_one_passage(spark):
     gone = brute(rows)
     got = {r.doc_id: r.n_removed for r in drop_repeated_lines(docs).collect() if r.n_removed}
     assert 0 < len(gone) < 60 and got == {i: len(v) for (i, _), v in gone.items()}
+
+
+def test_pairs_are_verified_together(monkeypatch):
+    """Pairs of all lengths and bounds in one batch, in blocks of any size, get the verdict of the edit distance."""
+    rng = random.Random(21)
+    pack = lambda lists: (np.cumsum([0, *map(len, lists)]).astype(np.int32), np.array([x for a in lists for x in a], np.int64))
+    left, right = [], []
+    for _ in range(400):
+        a = [rng.randrange(rng.choice([2, 50])) for _ in range(rng.randrange(1, 90))]
+        b = list(a)
+        for _ in range(rng.randrange(8)):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = [rng.randrange(50)] * rng.randrange(2)
+        left.append(a)
+        right.append(b)
+    for percent in (0, 5, 30):
+        want = [distance(a, b) <= max(1, min(len(a), len(b)) * percent // 100) for a, b in zip(left, right)]
+        for cells in (1, 300, 1 << 17):
+            monkeypatch.setattr(linededup, "CELLS", cells)
+            assert linededup._pairs_within(pack(left), pack(right), percent).tolist() == want
+
+
+def test_texts_are_read_once_for_the_words_of_all_steps(spark, monkeypatch):
+    """One pass over the texts serves the halves, the classes and the marks; rows that repeat an id and a text change nothing."""
+    rng = random.Random(22)
+    rows = []
+    for n, words in ((12, 30), (60, 30), (60, 2), (60, 30), (200, 3)):
+        base = [f"w{rng.randrange(words)}" for _ in range(n)]
+        for _ in range(30):
+            w = list(base)
+            for _ in range(rng.randrange(5)):
+                w[rng.randrange(n)] = f"x{rng.randrange(40)}"
+            rows.append((len(rows), " ".join(w)))
+    rows += rows[::7]
+    written = []
+    plain = linededup.materialize
+    monkeypatch.setattr(linededup, "materialize", lambda df, name="table", *args, **options: written.append(name) or plain(df, name, *args, **options))
+    check(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert written.count("wanted") == 1
