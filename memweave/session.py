@@ -97,4 +97,5 @@ def materialize(df, name: str = "table", compression: str | None = None, partiti
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.mode("errorifexists").parquet(path, partitionBy=partition_by, compression=compression)
-    return spark.read.parquet(path)
+    # partitioned and without rows there is no file to take the columns from
+    return (spark.read.schema(df.schema) if partition_by else spark.read).parquet(path)
