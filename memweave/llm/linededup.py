@@ -62,14 +62,13 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from memweave.functions.sizing import broadcast_if_small
 from memweave.llm.bytespans import BYTE_LOWER, Hasher, Sequences, mix, ranges, release_memory, signed, slices
-from memweave.llm.textview import TextView, line_spans
+from memweave.llm.textview import TextView
 from memweave.session import materialize
 
 #: Parts of a key whose earliest lines are tried before all of its lines, where it has more; changes no result.
@@ -85,15 +84,15 @@ PARTS = [f"s{k}" for k in range(SKETCH)]
 BROADCAST_IDS = 1_000_000
 
 
-def _line_words(view: TextView) -> tuple[np.ndarray, np.ndarray, Sequences]:
-    """(index of the first word of every line, number of its words, hashes of word runs)."""
-    words = Hasher(view.data, BYTE_LOWER).spans(view.start, view.end)
-    first = np.searchsorted(view.start, view.lines[0])
-    return first, view.line_words, Sequences(words)
+def _lines_of(text: str) -> Column:
+    """The lines of each text of a column; null for a null text."""
+    return F.split(F.col(text), "\n", -1)
 
 
-def _line_numbers(view: TextView) -> np.ndarray:
-    return ranges(np.bincount(view.lines[2], minlength=view.rows))
+def _picked(lines: Column, numbers: Column) -> Column:
+    """Those of an array of ``lines`` that have the ``numbers`` (from 0), in their order."""
+    # the one item of the outer array names the lines, so that a text is split once and not once a number
+    return F.get(F.transform(F.array(lines), lambda x: F.transform(numbers, lambda k: F.get(x, k))), 0)
 
 
 def _bound(words, edit_percent: int):
@@ -202,15 +201,15 @@ def _sketches(seq: Sequences, at: np.ndarray, w: np.ndarray, long: float) -> pa.
 def _line_table(own: DataFrame, min_words: int, near_words: int, edit_percent: int) -> DataFrame:
     """(id, th, no, w, lh, halves, kept, marks, places, stretches, sketch): every line that counts.
 
-    ``halves`` are the keys of step 2, ``kept`` those of step 5, ``marks`` those of step 6.
+    ``halves`` are the keys of step 2, ``kept`` those of step 5, ``marks`` those of step 6. Spark cuts the lines, so an Arrow
+    batch holds so many lines and not so many whole texts.
     """
     long, sizes = _first_long(near_words, edit_percent), _mark_sizes(near_words, edit_percent)
 
     def work(view: TextView) -> tuple[np.ndarray, list[pa.Array]]:
-        first, n, seq = _line_words(view)
-        number = _line_numbers(view)
-        use = np.flatnonzero(n >= min_words)
-        row, at, w = view.lines[2][use], first[use], n[use]
+        seq = Sequences(Hasher(view.data, BYTE_LOWER).spans(view.start, view.end))
+        use = np.flatnonzero(view.n_words >= min_words)
+        at, w = (np.cumsum(view.n_words) - view.n_words)[use], view.n_words[use]
         keys, line = [], []
         # the shorter line of a pair with bound 1 has long - 1 words at most
         near = np.flatnonzero((w >= near_words) & (w <= long))
@@ -226,21 +225,20 @@ def _line_table(own: DataFrame, min_words: int, near_words: int, edit_percent: i
         halves = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.bincount(line_all, minlength=len(use)))]).astype(np.int32)),
                                           signed(key_all[order]))
         kept, poor = _class_variants(seq, at, w, long, edit_percent)
-        return row, [pa.array(number[use].astype(np.int32)), pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves,
-                     kept, *_marks(seq, at, w, sizes, poor), _sketches(seq, at, w, long)]
+        return use, [pa.array(w.astype(np.int32)), signed(seq.runs(at, at + w)), halves, kept, *_marks(seq, at, w, sizes, poor), _sketches(seq, at, w, long)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for start, _end, data, offs in slices(b.column(2)):
+            for start, _end, data, offs in slices(b.column(3)):
                 row, made = work(TextView(data, offs))
                 take = pa.array(row + start)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *made], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*[b.column(k).take(take) for k in range(3)], *made], names=schema.names)
         release_memory()
 
     lists = {"halves": LongType(), "kept": LongType(), "marks": LongType(), "places": IntegerType(), "stretches": IntegerType(), "sketch": LongType()}
     schema = StructType([own.schema["id"], own.schema["th"], StructField("no", IntegerType()), StructField("w", IntegerType()), StructField("lh", LongType()),
                          *[StructField(c, ArrayType(t)) for c, t in lists.items()]])
-    return own.select("id", "th", "_text").mapInArrow(run, schema)
+    return own.select("id", "th", F.posexplode(_lines_of("_text")).alias("no", "line")).mapInArrow(run, schema)
 
 
 def _candidate_words(own: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -252,27 +250,19 @@ def _candidate_words(own: DataFrame, wanted: DataFrame) -> DataFrame:
     per_doc = materialize(per_doc.select("id", "th", "x.no", "x.lh", "x.kind"), "wanted")
     n_wanted = wanted.count()
     docs = own.join(F.broadcast(per_doc) if n_wanted <= BROADCAST_IDS else per_doc, ["id", "th"])
+    # Python gets the wanted lines alone, not the texts
+    asked = docs.select(F.inline(F.arrays_zip("lh", "kind", _picked(_lines_of("_text"), F.col("no"))))).toDF("lh", "kind", "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            per_row = b.column(0).value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.cumsum(per_row)
-            no, lh, kind = (b.column(k).flatten().to_numpy(zero_copy_only=False) for k in range(3))
-            for start, end, data, offs in slices(b.column(3)):
-                first, last, of = line_spans(data, offs)
-                asked = slice(ends[start] - per_row[start], ends[end - 1])
-                row = np.repeat(np.arange(end - start), per_row[start:end])
-                pick = np.searchsorted(of, row) + no[asked]
-                size = last[pick] - first[pick]
-                # the asked lines alone, one a row
-                view = TextView(data[np.repeat(first[pick], size) + ranges(size)], np.concatenate([[0], np.cumsum(size)]))
+            for start, end, data, offs in slices(b.column(2)):
+                view = TextView(data, offs)
                 hashes = Hasher(view.data, BYTE_LOWER).spans(view.start, view.end)
                 words = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(view.n_words)]).astype(np.int32)), signed(hashes))
-                yield pa.RecordBatch.from_arrays([pa.array(lh[asked].astype(np.int64)), pa.array(kind[asked].astype(np.int32)), words],
-                                                 names=["lh", "kind", "words"])
+                yield pa.RecordBatch.from_arrays([*[b.column(k).slice(start, end - start) for k in range(2)], words], names=["lh", "kind", "words"])
         release_memory()
 
-    words = materialize(docs.select("no", "lh", "kind", "_text").mapInArrow(run, "lh long, kind int, words array<long>"), "words", partition_by=["kind"])
+    words = materialize(asked.mapInArrow(run, "lh long, kind int, words array<long>"), "words", partition_by=["kind"])
     # rows that repeat an id and a text bring their lines several times
     return materialize(words.dropDuplicates(["lh"]), "words", partition_by=["kind"]) if words.count() > n_wanted else words
 
@@ -550,22 +540,10 @@ def drop_repeated_lines(docs: DataFrame, text_col: str = "text", id_col: str = "
     # line numbers only, broadcast while their files are small: then the texts are not shuffled
     numbers = broadcast_if_small(gone.select(F.col("id").alias("_gone_id"), F.col("th").alias("_gone_th"), F.col("removed").alias("_removed")))
     marked = kept.join(numbers, (F.col(f"`{id_col}`") == F.col("_gone_id")) & (F.xxhash64(f"`{text_col}`") == F.col("_gone_th")), "left")
-    at = names.index(text_col)
-    schema = StructType([*kept.schema.fields, StructField(n_lines, LongType()), StructField(n_removed, LongType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts, removed = b.column(at), b.column(len(names))
-            total = pc.fill_null(pc.add(pc.cast(pc.count_substring(texts, "\n"), pa.int64()), 1), 0)
-            lost = pc.fill_null(pc.cast(pc.list_value_length(removed), pa.int64()), 0)
-            cols = [*b.columns[:len(names)], total, lost]
-            hit = pc.and_(pc.greater(lost, 0), pc.is_valid(texts))
-            left = []
-            for text, gone_here in zip(texts.filter(hit), removed.filter(hit)):
-                out = set(gone_here.as_py())
-                left.append("\n".join(x for k, x in enumerate(text.as_py().split("\n")) if k not in out))
-            if left:
-                cols[at] = pc.replace_with_mask(texts, hit, pa.array(left, texts.type))
-            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
-
-    return marked.select(*[F.col(f"`{c}`") for c in names], "_removed").mapInArrow(run, schema)
+    # row by row in the scan: Arrow batches of so many whole texts, there and back, took most of an executor's memory
+    text, out = F.col(f"`{text_col}`"), F.col("_removed")
+    total = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    left = F.array_join(_picked(_lines_of(f"`{text_col}`"), F.array_except(F.sequence(F.lit(0), total - 1), out)), "\n")
+    return marked.select(*[F.when(out.isNotNull() & text.isNotNull(), left).otherwise(text).alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
+                         F.when(text.isNull(), 0).otherwise(total).cast("long").alias(n_lines),
+                         F.when(out.isNull(), 0).otherwise(F.size(out)).cast("long").alias(n_removed))

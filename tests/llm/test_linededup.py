@@ -233,3 +233,20 @@ def test_texts_are_read_once_for_the_words_of_all_steps(spark, monkeypatch):
     monkeypatch.setattr(linededup, "materialize", lambda df, name="table", *args, **options: written.append(name) or plain(df, name, *args, **options))
     check(spark.createDataFrame(rows, "doc_id long, text string"))
     assert written.count("wanted") == 1
+
+
+def test_texts_go_to_python_by_the_line(spark, monkeypatch):
+    """No Arrow batch holds whole texts: lines go to Python, wanted lines for their words, and what is left of a text is joined in Spark."""
+    rng = random.Random(23)
+    base = [sentence(rng, n) for n in (3, 12, 45, 80)]
+    rows = [(k, "\n".join(rng.sample([*base, "", " ", f"own {k}", base[k % 4].replace(" ", f" x{k} ", 1)], 8))) for k in range(30)]
+    rows += [(100, "\n"), (101, "\n\na\r\n\n"), (102, "\x00é\n🙂\n"), (103, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    plans = []
+    plain = linededup.materialize
+    monkeypatch.setattr(linededup, "materialize", lambda d, *args, **options: plans.append(d) or plain(d, *args, **options))
+    got = drop_repeated_lines(df)
+    node = lambda d: str(d._jdf.queryExecution().optimizedPlan())
+    assert "MapInArrow" not in node(got)
+    assert sum("MapInArrow" in node(d) and ("split(" in node(d)) for d in plans) == 2  # the lines, and the words of some of them
+    check(df)
