@@ -18,9 +18,8 @@ from memweave.streaming.usage import run_usage_stream
 
 @register("s1_file_scan")
 def s1_file_scan(spark, sf_dir):
-    f = FS.scan_files(spark, sf_dir, glob="*.parquet")
-    return f.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length",
-                    F.sha2("content", 256).alias("sha256"))
+    f = FS.with_sha256(FS.scan_files(spark, sf_dir, glob="*.parquet"), sf_dir, suffix=".parquet")
+    return f.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("name"), "length", "sha256")
 
 
 @register("s2_file_inventory")

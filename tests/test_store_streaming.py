@@ -1,11 +1,15 @@
 import glob
+import hashlib
 import os
+import random
 
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
 from memweave.operators import collections as C
+from memweave.plans.io_queries import s1_file_scan
 from memweave.sources import files as FS
 from memweave.sources import store
 from memweave.streaming.upserts import run_upsert_stream
@@ -197,6 +201,55 @@ def test_inventory_of_qualified_roots(spark, tmp_dir):
         assert {r.path: r.exists for r in FS.file_inventory(spark, req, root).collect()} == {name: True, "nope": False}
 
 
+@pytest.fixture
+def odd_files(tmp_dir):
+    """Names to bodies: a body larger than a scan split, and what a line reader drops, unpacks or cannot tell."""
+    mark = b"\xef\xbb\xbf"
+    bodies = {"a b%20\u00e9": b"PAR1\n\nxx\r\n\xff\xfe\x00", "end": b"x\n", "newlines": b"\n\n\n", "none": b"\x00" * 100_000,
+              "mark": mark, "mark_newline": mark + b"\n", "mark_text": mark + b"ab\ncd", "mark_twice": mark * 2 + b"\nz\n",
+              "x.gz": b"not packed\n", "sub/large": random.Random(1).randbytes(12 << 20)}
+    for name, body in bodies.items():
+        os.makedirs(os.path.dirname(f"{tmp_dir}/{name}"), exist_ok=True)
+        with open(f"{tmp_dir}/{name}.parquet", "wb") as f:
+            f.write(body)
+    return {f"{n}.parquet": (len(b), hashlib.sha256(b).hexdigest()) for n, b in bodies.items()}
+
+
+@pytest.fixture
+def small_pieces(spark):
+    """Scan splits of 1 MB, and no file of more as one row."""
+    conf = {"spark.sql.files.maxPartitionBytes": "1m", "spark.sql.sources.binaryFile.maxLength": str(1 << 20)}
+    kept = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in kept.items():
+        spark.conf.set(k, v)
+
+
+def test_file_scan_query_reads_no_file_as_one_row(spark, tmp_dir, odd_files, small_pieces):
+    rows = s1_file_scan(spark, tmp_dir).collect()
+    assert sorted(tuple(r) for r in rows) == sorted((n.split("/")[-1], *v) for n, v in odd_files.items())
+
+
+def test_digests_keep_the_listing(spark, tmp_dir, odd_files, small_pieces):
+    files = FS.scan_files(spark, tmp_dir, glob="*.parquet")
+    rows = FS.with_sha256(files, tmp_dir, suffix=".parquet")
+    assert rows.columns == ["path", "modificationTime", "length", "sha256"]
+    found = [(r.path.split(f"{tmp_dir}/")[1], (r.length, r.sha256)) for r in rows.collect()]
+    assert sorted(found) == sorted(odd_files.items())
+    with pytest.raises(Exception, match="not read: "):  # a listed file that the suffix leaves out
+        FS.with_sha256(files, tmp_dir, suffix=".txt").collect()
+
+
+def test_a_digest_of_other_bytes_than_listed_fails():
+    lines = pa.table({"_file": ["f", "f", "g"], "_size": [4, 4, 9], "_line": [b"a", b"b", b"c"]})
+    found = FS._file_digests(iter(lines.to_batches(max_chunksize=1)))
+    assert next(found).to_pylist() == [{"_file": "f", "sha256": hashlib.sha256(b"a\nb\n").hexdigest()}]
+    with pytest.raises(ValueError, match="g: 1 bytes read, 9 listed"):
+        next(found)
+
+
 def test_scratch_is_released(spark):
     from memweave import session
 
